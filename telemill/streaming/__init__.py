@@ -1,0 +1,5 @@
+"""No stream operators: the tables covered here are bounded.
+
+The column functions in ``telemill.functions`` hold no state, so they can be
+used on a streaming DataFrame as they stand.
+"""
