@@ -22,7 +22,7 @@ def clip(x: Column, lo: float, hi: float) -> Column:
 def degrade(t: Column, nominal, failed, span) -> Column:
     """Exponential wear from ``nominal`` at 0 to ``failed`` at ``span``."""
     nominal, failed, span = F.lit(nominal), F.lit(failed), F.lit(span)
-    share = F.least(t / span, F.lit(1.0))
+    share = F.least(F.try_divide(t, span), F.lit(1.0))
     frac = (F.exp(F.lit(3.0) * share) - 1.0) / F.lit(math.exp(3.0) - 1.0)
     return F.when(span <= 0, failed).otherwise(nominal + (failed - nominal) * frac)
 

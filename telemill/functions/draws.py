@@ -99,15 +99,21 @@ class Draws:
         rate = rate.cast("double")
         last = F.ceil(rate + 12.0 * F.sqrt(rate) + 30.0).cast("int")
         start = F.struct(
-            F.lit(0).alias("n"), F.exp(-rate).alias("p"), F.exp(-rate).alias("cdf")
+            F.lit(0).alias("n"),
+            F.exp(-rate).alias("p"),
+            F.exp(-rate).alias("cdf"),
+            rate.alias("rate"),
+            u.alias("u"),
         )
 
         def step(acc, k):
-            p = acc["p"] * rate / k
+            p = acc["p"] * acc["rate"] / k
             return F.struct(
-                (acc["n"] + (acc["cdf"] <= u).cast("int")).alias("n"),
+                (acc["n"] + (acc["cdf"] <= acc["u"]).cast("int")).alias("n"),
                 p.alias("p"),
                 (acc["cdf"] + p).alias("cdf"),
+                acc["rate"].alias("rate"),
+                acc["u"].alias("u"),
             )
 
         return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda acc: acc["n"])

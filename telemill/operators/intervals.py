@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import Draws
 from ..session import materialize
-from .chunks import CHUNK, running, with_row_index
+from .chunks import CHUNK, with_row_index
 from .spine import row_count
 
 BUCKET = (1, 1440)
@@ -51,11 +51,12 @@ def lay_over(
 ) -> DataFrame:
     """Attach to each row the windows that hold it.
 
-    Rows already laid out by (key, ``bucket_col``) are not moved again.
+    A column name that both sides have keeps the row's value. Rows already laid out by (key, ``bucket_col``) are not moved again.
     """
     at = bucket_col or "_at_bucket"
     left = rows if bucket_col else rows.withColumn(at, F.expr(bucket_of(f"`{row}`", bucket)))
-    right = in_buckets(windows, start, end, bucket).withColumnRenamed(key, "_key")
+    shared = [c for c in windows.columns if c in rows.columns and c != key]
+    right = in_buckets(windows.drop(*shared), start, end, bucket).withColumnRenamed(key, "_key")
     on = (
         (F.col(key) == F.col("_key"))
         & (F.col(at) == F.col("_bucket"))
@@ -88,10 +89,9 @@ def poisson_events(
     counted = spread.withColumn(
         "_n",
         draws.poisson(F.col("_rate") * F.col("_part"), [key, "event_day"], f"{stream}_count"),
-    ).where("_n > 0")
-    timed = counted.withColumn(
-        "event_in_day", F.explode(F.sequence(F.lit(1), F.col("_n")))
-    ).withColumn(
+    )
+    numbers = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n")))
+    timed = counted.withColumn("event_in_day", F.explode(numbers)).withColumn(
         "time_s",
         (
             F.col("event_day")
@@ -191,49 +191,55 @@ def non_overlapping(
 ) -> DataFrame:
     """Walk each device's windows in time order, dropping any that overlaps a kept one.
 
-    A window that starts at or after the latest end seen so far opens a new
-    cluster; clusters cannot affect each other, so the walk is done per cluster
-    and never over a whole device. A cluster of up to ``fold_rows`` is one array
-    fold; a longer one is walked in blocks of ``block_rows``, each starting from
-    the end reached by the block before it.
+    Windows are cut into segments at buckets whose first window starts after
+    everything before it has ended; segments cannot affect each other, so the
+    walk is done per segment and never over a whole device. A segment of up to
+    ``fold_rows`` windows is one array fold; a longer one is walked in blocks of
+    ``block_rows``, each starting from the end reached by the block before it.
     """
     order = [start, *ids]
-    placed = windows.withColumn(CHUNK, F.expr(bucket_of(f"`{start}`", bucket)))
-    seen = running(placed, [key], {"_reach": (end, "max")}, order, inclusive=False)
-    heads = seen.withColumn(
-        "_head",
-        F.when(
-            F.col("_reach").isNull() | (F.col(start) >= F.col("_reach")),
-            F.struct(*order),
-        ),
-    )
-    clusters = running(heads, [key], {"_cluster": ("_head", "last")}, order)
     names = windows.columns
-    ordered = [*order, *[c for c in names if c not in order]]
-    item = F.struct(*ordered)
-
-    long_ones = materialize(
-        clusters.groupBy(key, "_cluster")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .where(F.col("_size") > fold_rows),
-        "long-clusters",
+    placed = windows.withColumn(CHUNK, F.expr(bucket_of(f"`{start}`", bucket)))
+    by_time = Window.partitionBy(key).orderBy(CHUNK)
+    earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max("_reach").over(earlier)
+    cut = F.when(reached.isNull() | (reached <= F.col("_first")), F.col(CHUNK))
+    segments = materialize(
+        placed.groupBy(key, CHUNK)
+        .agg(
+            F.max(end).alias("_reach"), F.min(start).alias("_first"), F.count(F.lit(1)).alias("_n")
+        )
+        .withColumn("_cut", cut)
+        .withColumn("_segment", F.last("_cut", ignorenulls=True).over(by_time))
+        .withColumn("_size", F.sum("_n").over(Window.partitionBy(key, "_segment")))
+        .select(key, CHUNK, "_segment", "_size"),
+        "window-segments",
     )
-    longest = long_ones.agg(F.max("_size")).first()[0]
-    short = clusters
-    if longest is not None:
-        short = clusters.join(long_ones, [key, "_cluster"], "left_anti")
+    longest = segments.agg(F.max("_size")).first()[0] or 0
+    grouped = placed.join(segments, [key, CHUNK]).drop(CHUNK)
+    item = F.struct(*order, *[c for c in names if c not in order])
     kept = (
-        short.groupBy(key, "_cluster")
+        grouped.where(F.col("_size") <= fold_rows)
+        .groupBy(key, "_segment")
         .agg(F.collect_list(item).alias("_items"))
         .select(F.explode(_walk(F.col("_items"), start, end)).alias("w"))
         .select(*[F.col(f"w.{c}").alias(c) for c in names])
     )
-    if longest is None:
+    if longest <= fold_rows:
         return kept
-    rest = clusters.join(long_ones, [key, "_cluster"], "left_semi").drop("_head", "_reach", CHUNK)
+    rest = grouped.where(F.col("_size") > fold_rows).drop("_size")
     return kept.unionByName(_walk_blocks(rest, longest, key, start, end, order, names, block_rows))
 
 
+def fit_windows(
+    maintenance: DataFrame, decoys: DataFrame, bucket: tuple[int, int] = BUCKET
+) -> tuple[DataFrame, DataFrame]:
+    """Maintenance first, then the decoys that fit between: both walked, both stored."""
+    m = materialize(non_overlapping(maintenance, bucket=bucket), "maintenance")
+    free = clear_of(decoys, m, end="proposed_end", bucket=bucket)
+    return m, materialize(non_overlapping(free, bucket=bucket), "decoys")
+
+
 def _walk_blocks(
     windows: DataFrame,
     longest: int,
@@ -244,14 +250,14 @@ def _walk_blocks(
     names: Sequence[str],
     block_rows: int,
 ) -> DataFrame:
-    """Walk long clusters block after block, all clusters side by side."""
+    """Walk long segments block after block, all segments side by side."""
     indexed = materialize(
-        with_row_index(windows, [key, "_cluster"], order, "_at").withColumn(
+        with_row_index(windows, [key, "_segment"], order, "_at").withColumn(
             "_block", F.expr(f"_at div {int(block_rows)}")
         ),
-        "cluster-blocks",
+        "segment-blocks",
     )
-    out_schema = indexed.drop("_cluster", "_at", "_block").schema
+    out_schema = indexed.drop("_segment", "_at", "_block").schema
     order = list(order)
 
     def walk(pdf):
@@ -271,21 +277,21 @@ def _walk_blocks(
         now = (
             now.withColumn("_from", F.lit(-1).cast("bigint"))
             if state is None
-            else now.join(state, [key, "_cluster"])
+            else now.join(state, [key, "_segment"])
         )
         walked = materialize(
-            now.groupBy(key, "_cluster").applyInPandas(walk, out_schema), "walked-block"
+            now.groupBy(key, "_segment").applyInPandas(walk, out_schema), "walked-block"
         )
         parts.append(walked.select(*names))
         ends = walked.join(
-            now.select(key, F.col("_cluster"), *order, "_from"), [key, *order]
+            now.select(key, F.col("_segment"), *order, "_from"), [key, *order]
         )
-        reached = ends.groupBy(key, "_cluster").agg(F.max(end).alias("_to"))
+        reached = ends.groupBy(key, "_segment").agg(F.max(end).alias("_to"))
         state = materialize(
-            now.select(key, "_cluster", "_from")
+            now.select(key, "_segment", "_from")
             .distinct()
-            .join(reached, [key, "_cluster"], "left")
-            .select(key, "_cluster", F.coalesce("_to", "_from").alias("_from")),
+            .join(reached, [key, "_segment"], "left")
+            .select(key, "_segment", F.coalesce("_to", "_from").alias("_from")),
             "walked-state",
         )
     out = parts[0]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import LUT_POINTS
+from ..session import materialize
 from .joins import attach
 
 
@@ -46,7 +47,7 @@ def interp(
     ``extend`` the first and last segments run on as straight lines. The segment
     table is stored so that its size decides how it is joined.
     """
-    seg = segments(lut, signals, axis, param)
+    seg = materialize(segments(lut, signals, axis, param), "segments")
     value = F.col(x) if extend else F.least(F.greatest(F.col(x), F.col("p_min")), F.col("p_max"))
     inside = F.least(F.greatest(F.col(x), F.col("p_min")), F.col("p_max"))
     hit = (inside >= F.col("p0")) & (

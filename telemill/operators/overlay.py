@@ -1,14 +1,19 @@
 """What an event does to the signals of the rows in its window.
 
-Each ``*_values`` function gives ``column -> expression`` for a row that has
-been joined with its window (``start_row``, ``end_row``, anchor columns); each
-``overlay_*`` function does the join as well. ``pre_`` and ``post_`` columns hold
-the values at the window's first row and at the row after it.
+Inside a window every signal becomes a weighted sum of a few values: the row's
+own value, a start value fixed for the window, a second fixed value, a recorded
+episode, noise and the ambient level. An event kind is therefore a set of
+weights per group of signals (``Mix``): ``stop`` for signals that fall to zero,
+``cool`` for temperatures, ``hold`` for state. The weights are worked out once
+per row and shared by all signals, which keeps the generated code small.
+
+``start_*``, ``other_*`` and ``ep_*`` columns come with the window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,72 +30,121 @@ from ..functions.curves import degrade, ease
 from ..functions.draws import Draws
 from .intervals import BUCKET, lay_over
 from .joins import with_anchor
-from .lut import read_curve
 
 KEY, ROW = "device_id", "row_i"
 
 
-def _since(start: str = "start_row") -> Column:
-    return F.col(ROW) - F.col(start)
+@dataclass
+class Mix:
+    """Weights of one event for one group of signals; None stands for 0."""
 
+    own: Column | float | None = None
+    start: Column | float | None = None
+    other: Column | float | None = None
+    episode: Column | float | None = None
+    noise: Column | float | None = None
+    level: Column | float | None = None
 
-def _noise(stream: str, col: str, sd: float, draws: Draws, row: str = ROW) -> Column:
-    if sd == 0:
-        return F.lit(0.0)
-    return draws.normal([KEY, row], f"{stream}_{col}", 0.0, sd)
 
+Mixes = dict[str, Mix]
+UNCHANGED = Mix(own=1.0)
 
-def _apply(joined: DataFrame, rows: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Use the event's values where a window was found; drop the window's columns."""
-    inside = F.col("start_row").isNotNull()
-    changed = {c: F.when(inside, v).otherwise(F.col(c)) for c, v in values.items()}
-    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in rows.columns])
 
+def since(start: str = "start_row") -> Column:
+    return F.col(ROW) - F.col(start)
 
-# -- maintenance -------------------------------------------------------------
 
+def _length() -> Column:
+    return F.col("end_row") - F.col("start_row")
 
-def shutdown_values(
-    stopped: dict[str, float],
-    cooled: dict[str, float],
-    freq_s: int,
+
+def event_noise(stream: str, col: str, draws: Draws, row: str = ROW) -> Column:
+    """Standard normal of one signal in one row under an event."""
+    return draws.normal([KEY, row], f"{stream}_{col}")
+
+
+def apply_mixes(
+    joined: DataFrame,
+    events: Sequence[tuple[Column, Mixes]],
+    groups: dict[str, Sequence[str]],
+    sd_by_col: dict[str, float],
     draws: Draws,
+    stream: str = "event",
     ambient: float = PUMP_T_AMBIENT,
-) -> dict[str, Column]:
-    """Controlled stop: ramp down, stand still, ramp up to the value after the window.
+) -> DataFrame:
+    """Replace the signals of rows whose window meets one of the conditions."""
+    weights, used = {}, {}
+    for group in groups:
+        for part in (f.name for f in fields(Mix)):
+            given = [(cond, getattr(m.get(group, UNCHANGED), part)) for cond, m in events]
+            if all(w is None for _, w in given):
+                continue
+            w = F.lit(None).cast("double")
+            for cond, weight in reversed(given):
+                w = F.when(cond, F.lit(0.0 if weight is None else weight)).otherwise(w)
+            name = f"_{part}_{group}"
+            weights[name] = w
+            used.setdefault(group, []).append(part)
+    values = {}
+    for group, cols in groups.items():
+        parts = used.get(group, [])
+        if not parts:
+            continue
+        for c in cols:
+            terms = {
+                "own": F.col(c),
+                "start": F.col(f"start_{c}"),
+                "other": F.coalesce(F.col(f"other_{c}"), F.lit(0.0)) if "other" in parts else None,
+                "episode": F.coalesce(F.col(f"ep_{c}"), F.lit(0.0)) if "episode" in parts else None,
+                "level": F.lit(float(ambient)),
+            }
+            if "start" in parts and len(events) > 1:
+                terms["start"] = F.coalesce(terms["start"], F.lit(0.0))
+            total = None
+            for part in parts:
+                w = F.col(f"_{part}_{group}")
+                if part == "noise":
+                    sd = sd_by_col.get(c, 0.0)
+                    if sd == 0:
+                        continue
+                    term = w * F.lit(sd) * event_noise(stream, c, draws)
+                else:
+                    term = w * terms[part]
+                total = term if total is None else total + term
+            first = F.col(f"_{parts[0]}_{group}")
+            values[c] = F.when(first.isNotNull(), total).otherwise(F.col(c))
+    return joined.withColumns(weights).withColumns(values).drop(*weights)
+
+
+def _laid(
+    rows: DataFrame, windows: DataFrame, bucket: tuple[int, int], mixes, groups, sd, draws, **kw
+) -> DataFrame:
+    """Lay windows over rows, apply one kind of event, keep the rows' columns."""
+    joined = lay_over(rows, windows, bucket=bucket)
+    inside = F.col("start_row").isNotNull()
+    return apply_mixes(joined, [(inside, mixes)], groups, sd, draws, **kw).select(*rows.columns)
 
-    ``stopped`` and ``cooled`` give the noise spread of the signals that fall to
-    zero and of the temperatures that fall to ambient.
-    """
-    r = _since()
-    n = F.col("end_row") - F.col("start_row")
+
+# -- maintenance -------------------------------------------------------------
+
+
+def shutdown_mixes(freq_s: int) -> Mixes:
+    """Controlled stop: ramp down, stand still, ramp up to the value after the window."""
+    r, n = since(), _length()
     ramp = F.least(F.lit(RAMP_ROWS_MAX), F.floor(n / 4))
     width = F.greatest(ramp, F.lit(1))
-    going_down, going_up = r < ramp, r >= n - ramp
-    down = 1.0 - ease(r, width)
-    up = ease(r - (n - ramp), width)
-    flat = r - ramp
-    out = {}
-    for c, sd in stopped.items():
-        out[c] = (
-            F.when(going_down, F.col(f"pre_{c}") * down)
-            .when(going_up, F.col(f"post_{c}") * up)
-            .otherwise(_noise("shutdown", c, sd * 0.3, draws))
-        )
-    t0, tau = F.lit(ambient), float(COOLING_TAU_S) / freq_s
-    for c, sd in cooled.items():
-        above = F.col(f"pre_{c}") - t0
-        left = F.when(ramp > 0, 1.0 - ease(ramp - 1, width)).otherwise(F.lit(1.0))
-        out[c] = (
-            F.when(going_down, t0 + above * down)
-            .when(going_up, t0 + (F.col(f"post_{c}") - t0) * up)
-            .otherwise(
-                t0
-                + above * left * F.exp(-flat / F.lit(tau))
-                + _noise("shutdown", c, sd * 0.3, draws)
-            )
-        )
-    return out
+    down, up = r < ramp, r >= n - ramp
+    falling, rising = 1.0 - ease(r, width), ease(r - (n - ramp), width)
+    hot = F.when(ramp > 0, 1.0 - ease(ramp - 1, width)).otherwise(F.lit(1.0))
+    decay = hot * F.exp(-(r - ramp) / F.lit(float(COOLING_TAU_S) / freq_s))
+    start = F.when(down, falling).otherwise(F.lit(0.0))
+    other = F.when(~down & up, rising).otherwise(F.lit(0.0))
+    noise = F.when(down | up, F.lit(0.0)).otherwise(F.lit(0.3))
+    cooling = F.when(down, falling).when(up, F.lit(0.0)).otherwise(decay)
+    return {
+        "stop": Mix(start=start, other=other, noise=noise),
+        "cool": Mix(start=cooling, other=other, noise=noise, level=1.0 - cooling - other),
+    }
 
 
 def overlay_shutdown(
@@ -103,13 +157,17 @@ def overlay_shutdown(
     ambient: float = PUMP_T_AMBIENT,
     bucket: tuple[int, int] = BUCKET,
 ) -> DataFrame:
+    """Maintenance windows over rows; the two maps give each signal's noise spread."""
     cols = [*stopped, *cooled]
     placed = with_anchor(
-        windows.select(KEY, "start_row", "end_row"), rows, cols, "start_row", "pre_"
+        windows.select(KEY, "start_row", "end_row"), rows, cols, "start_row", "start_"
+    )
+    placed = with_anchor(placed, rows, cols, "end_row", "other_")
+    groups = {"stop": list(stopped), "cool": list(cooled)}
+    return _laid(
+        rows, placed, bucket, shutdown_mixes(freq_s), groups, {**stopped, **cooled}, draws,
+        ambient=ambient,
     )
-    placed = with_anchor(placed, rows, cols, "end_row", "post_")
-    joined = lay_over(rows, placed, bucket=bucket)
-    return _apply(joined, rows, shutdown_values(stopped, cooled, freq_s, draws, ambient))
 
 
 # -- episodes ----------------------------------------------------------------
@@ -137,36 +195,44 @@ def with_episode(
     ).drop("_kind", "_idx")
 
 
-def episode_values(
+def fade_in(blend: int = BLEND_ROWS) -> Column:
+    """Cosine rise over the first rows of a window, then 1."""
+    r = since()
+    b = F.least(F.lit(int(blend)), _length())
+    return F.when(r < b, ease(r, b)).otherwise(F.lit(1.0))
+
+
+def splice_mixes(groups: Sequence[str], amplitude: Column | None, blend: int = BLEND_ROWS) -> Mixes:
+    """Fade over to the episode, shifted to meet the series at its first row.
+
+    With an amplitude the episode is scaled and noise of twice the usual spread
+    is added; the base level it is scaled around cancels out in the shift.
+    """
+    a = fade_in(blend)
+    if amplitude is None:
+        mix = Mix(own=1.0 - a, start=a, episode=a)
+    else:
+        mix = Mix(own=1.0 - a, start=a, episode=a * amplitude, noise=2.0 * a)
+    return {g: mix for g in groups}
+
+
+def splice_starts(
     cols: Sequence[str],
     draws: Draws,
     amplitude: Column | None = None,
-    base: dict[str, Column] | None = None,
     sd_by_col: dict[str, float] | None = None,
-    blend: int = BLEND_ROWS,
-    prefix: str = "ep_",
-    first: str = "ep0_",
+    stream: str = "event",
 ) -> dict[str, Column]:
-    """Splice: shift the episode to meet the series at its first row, fade in, then copy.
-
-    Needs ``ep_*`` (episode at this row), ``ep0_*`` (episode at its first row)
-    and ``pre_*``. With ``amplitude`` the deviation from ``base`` is scaled and
-    noise of twice the usual spread is added first.
-    """
-    r = _since()
-    b = F.least(F.lit(int(blend)), F.col("end_row") - F.col("start_row"))
-    a = ease(r, b)
+    """Per window: what the episode has to be shifted by (from ``pre_*``, ``ep0_*``)."""
     out = {}
     for c in cols:
-        now, start = F.col(f"{prefix}{c}"), F.col(f"{first}{c}")
+        first = F.col(f"ep0_{c}")
         if amplitude is not None:
-            sd = 2.0 * (sd_by_col or {}).get(c, 0.0)
-            now = scale_episode(now, base[c], amplitude) + _noise("decoy", c, sd, draws)
-            start = scale_episode(start, base[c], amplitude) + _noise(
-                "decoy", c, sd, draws, "start_row"
-            )
-        moved = now + (F.col(f"pre_{c}") - start)
-        out[c] = F.when(r < b, (1.0 - a) * F.col(c) + a * moved).otherwise(moved)
+            sd = (sd_by_col or {}).get(c, 0.0)
+            first = amplitude * first
+            if sd > 0:
+                first = first + 2.0 * sd * event_noise(stream, c, draws, "start_row")
+        out[f"start_{c}"] = F.col(f"pre_{c}") - first
     return out
 
 
@@ -178,7 +244,6 @@ def splice(
     draws: Draws = Draws(),
     speed_up: Column | None = None,
     amplitude: Column | None = None,
-    base: dict[str, Column] | None = None,
     sd_by_col: dict[str, float] | None = None,
     blend: int = BLEND_ROWS,
     bucket: tuple[int, int] = BUCKET,
@@ -187,11 +252,28 @@ def splice(
 
     ``speed_up`` (a window column, 1 = as recorded) runs through the episode faster.
     """
-    idx = _since() if speed_up is None else F.floor(_since() * speed_up).cast("bigint")
+    idx = since() if speed_up is None else F.floor(since() * speed_up).cast("bigint")
     placed = with_anchor(windows, rows, cols, "start_row", "pre_")
     placed = with_episode(placed, episodes, cols, F.lit(0), "ep0_")
+    placed = placed.withColumns(splice_starts(cols, draws, amplitude, sd_by_col))
     joined = with_episode(lay_over(rows, placed, bucket=bucket), episodes, cols, idx, "ep_")
-    return _apply(joined, rows, episode_values(cols, draws, amplitude, base, sd_by_col, blend))
+    inside = F.col("start_row").isNotNull()
+    mixes = splice_mixes(["all"], amplitude, blend)
+    return apply_mixes(
+        joined, [(inside, mixes)], {"all": list(cols)}, sd_by_col or {}, draws
+    ).select(*rows.columns)
+
+
+def target_mix() -> Mix:
+    """Cosine move from the first value to the target.
+
+    Kinds that end in ``ramp`` take 0.6 of the window, others five rows.
+    """
+    span = F.when(
+        F.col("kind").endswith("ramp"), F.greatest(F.lit(1.0), _length() * RAMP_SHARE)
+    ).otherwise(F.lit(float(STEP_ROWS)))
+    a = ease(F.least(F.lit(1.0), since() / span), 1.0)
+    return Mix(start=1.0 - a, other=a, noise=1.0)
 
 
 def overlay_target(
@@ -201,58 +283,51 @@ def overlay_target(
     draws: Draws,
     bucket: tuple[int, int] = BUCKET,
 ) -> DataFrame:
-    """Move the signals to ``target_*`` (on the windows) over each window."""
-    placed = with_anchor(windows, rows, list(sd_by_col), "start_row", "pre_")
-    joined = lay_over(rows, placed, bucket=bucket)
-    return _apply(joined, rows, target_values(sd_by_col, draws))
-
-
-def target_values(sd_by_col: dict[str, float], draws: Draws) -> dict[str, Column]:
-    """Cosine move from the first value to the target.
-
-    Kinds that end in ``ramp`` take 0.6 of the window, others five rows.
-    """
-    r = _since()
-    n = F.col("end_row") - F.col("start_row")
-    span = F.when(F.col("kind").endswith("ramp"), F.greatest(F.lit(1.0), n * RAMP_SHARE)).otherwise(
-        F.lit(float(STEP_ROWS))
-    )
-    a = ease(F.least(F.lit(1.0), r / span), 1.0)
-    return {
-        c: F.col(f"pre_{c}") * (1.0 - a)
-        + F.col(f"target_{c}") * a
-        + _noise("decoy", c, sd, draws)
-        for c, sd in sd_by_col.items()
-    }
+    """Move the signals to ``other_*`` (on the windows) over each window."""
+    cols = list(sd_by_col)
+    placed = with_anchor(windows, rows, cols, "start_row", "start_")
+    return _laid(rows, placed, bucket, {"all": target_mix()}, {"all": cols}, sd_by_col, draws)
 
 
 # -- failure -----------------------------------------------------------------
 
 
-def wear_values(
-    sd_by_col: dict[str, float],
-    wear_columns: Sequence[str],
-    freq_s: int,
-    draws: Draws,
-    blend: int = BLEND_ROWS,
-) -> dict[str, Column]:
-    """Wear that drives the signals along a response curve.
+def with_wear(
+    joined: DataFrame, responses: Sequence[str], freq_s: int, prefix: str = "ep_"
+) -> DataFrame:
+    """Wear of a row inside a failure window and the responses it leads to.
 
-    Windows carry ``curve`` (see ``curve_array``), ``nominal``, ``failed``,
-    ``span_s`` and ``wear_column`` (which parameter column follows the wear).
+    Windows carry ``curve`` (see ``curve_array``), ``nominal``, ``failed`` and
+    ``span_s``. Adds ``_wear`` and the responses; the curve segment is looked up
+    once for all of them.
     """
-    r = _since()
-    wear = degrade(r * F.lit(float(freq_s)), F.col("nominal"), F.col("failed"), F.col("span_s"))
+    wear = degrade(
+        since() * F.lit(float(freq_s)), F.col("nominal"), F.col("failed"), F.col("span_s")
+    )
+    curve = F.col("curve")
+    at = F.least(
+        F.greatest(F.col("_wear"), F.element_at(curve, 1)["p0"]), F.element_at(curve, -1)["p1"]
+    )
+    seg = F.element_at(
+        F.filter(curve, lambda s: (F.col("_at") >= s["p0"]) & (F.col("_at") <= s["p1"])), 1
+    )
+    s = F.col("_seg")
+    share = (F.col("_at") - s["p0"]) / (s["p1"] - s["p0"])
+    out = joined.withColumn("_wear", wear).withColumn("_at", at)
+    out = out.withColumn("_seg", F.when(curve.isNotNull(), seg)).withColumn("_share", share)
+    return out.withColumns(
+        {
+            f"{prefix}{c}": s[f"y0_{c}"] + (s[f"y1_{c}"] - s[f"y0_{c}"]) * F.col("_share")
+            for c in responses
+        }
+    ).drop("_at", "_seg", "_share", "curve")
+
+
+def wear_mix(blend: int = BLEND_ROWS) -> Mix:
+    """Fade over to the response curve, with fresh noise."""
+    r = since()
     a = F.when(r < blend, ease(r, float(blend))).otherwise(F.lit(1.0))
-    out = {
-        c: F.col(c) * (1.0 - a)
-        + read_curve(F.col("curve"), wear, c) * a
-        + _noise("failure", c, sd, draws)
-        for c, sd in sd_by_col.items()
-    }
-    for c in wear_columns:
-        out[c] = F.when(F.col("wear_column") == c, wear).otherwise(F.col(c))
-    return out
+    return Mix(own=1.0 - a, episode=a, noise=1.0)
 
 
 def failure_curve(
@@ -264,31 +339,31 @@ def failure_curve(
     draws: Draws,
     bucket: tuple[int, int] = BUCKET,
 ) -> DataFrame:
-    joined = lay_over(rows, windows, bucket=bucket)
-    return _apply(joined, rows, wear_values(sd_by_col, wear_columns, freq_s, draws))
+    """Wear that drives the signals along a response curve.
 
+    ``wear_column`` on the windows names the parameter column that follows it.
+    """
+    cols = list(sd_by_col)
+    joined = with_wear(lay_over(rows, windows, bucket=bucket), cols, freq_s)
+    inside = F.col("start_row").isNotNull()
+    out = apply_mixes(
+        joined, [(inside, {"all": wear_mix()})], {"all": cols}, sd_by_col, draws, "failure"
+    )
+    worn = {
+        c: F.when(F.col("wear_column") == c, F.col("_wear")).otherwise(F.col(c))
+        for c in wear_columns
+    }
+    return out.withColumns(worn).select(*rows.columns)
 
-def downtime_values(
-    stopped: dict[str, float],
-    cooled: dict[str, float],
-    frozen: Sequence[str],
-    freq_s: int,
-    draws: Draws,
-    noise_share: float = 0.5,
-    ambient: float = PUMP_T_AMBIENT,
-) -> dict[str, Column]:
-    """Standstill after a failure; ``pre_*`` holds the values of the failure row."""
-    r = _since()
-    tau = float(COOLING_TAU_S) / freq_s
-    t0 = F.lit(ambient)
-    out = {c: _noise("downtime", c, sd * noise_share, draws) for c, sd in stopped.items()}
-    for c, sd in cooled.items():
-        out[c] = (
-            t0
-            + (F.col(f"pre_{c}") - t0) * F.exp(-r / F.lit(tau))
-            + _noise("downtime", c, sd * 0.3, draws)
-        )
-    return {**out, **{c: F.col(f"pre_{c}") for c in frozen}}
+
+def downtime_mixes(freq_s: int, noise_share: float = 0.5) -> Mixes:
+    """Standstill after a failure; ``start_*`` holds the values of the failure row."""
+    left = F.exp(-since() / F.lit(float(COOLING_TAU_S) / freq_s))
+    return {
+        "stop": Mix(noise=noise_share),
+        "cool": Mix(start=left, level=1.0 - left, noise=0.3),
+        "hold": Mix(start=1.0),
+    }
 
 
 def overlay_downtime(
@@ -306,48 +381,43 @@ def overlay_downtime(
 ) -> DataFrame:
     """Lay the downtime over the ``rows_down`` rows after each ``fail_row``."""
     placed = with_anchor(
-        failures.select(KEY, "fail_row"), rows, [*cooled, *frozen], "fail_row", "pre_"
+        failures.select(KEY, "fail_row"), rows, [*cooled, *frozen], "fail_row", "start_"
     ).withColumns(
         {
             "start_row": F.col("fail_row") + 1,
             "end_row": F.col("fail_row") + 1 + F.lit(int(rows_down)),
         }
     )
-    joined = lay_over(rows, placed, bucket=bucket)
-    return _apply(
-        joined,
-        rows,
-        downtime_values(stopped, cooled, frozen, freq_s, draws, noise_share, ambient),
+    groups = {"stop": list(stopped), "cool": list(cooled), "hold": list(frozen)}
+    return _laid(
+        rows, placed, bucket, downtime_mixes(freq_s, noise_share), groups,
+        {**stopped, **cooled}, draws, stream="failure", ambient=ambient,
     )
 
 
-def restart_values(
-    ramped: dict[str, Column],
-    warmed: Sequence[str],
-    reset: dict[str, Column],
-    length: Column,
-    ambient: float = PUMP_T_AMBIENT,
-    from_zero: bool = False,
-) -> dict[str, Column]:
-    """Cosine return to work; ``reset`` columns take their healthy value at once.
+def restart_mixes(length: Column, from_zero: bool = False, from_start: bool = False) -> Mixes:
+    """Cosine return to work over ``length`` rows; state takes ``start_*`` at once.
 
-    Temperatures rise from ambient, or from zero with ``from_zero``.
+    Temperatures rise from ambient, or from zero with ``from_zero``. With
+    ``from_start`` the ramp leads to the fixed start value plus noise instead
+    of the row's own value.
     """
-    r = _since()
+    r = since()
     a = F.when(r < length, ease(r, length)).otherwise(F.lit(1.0))
-    t0 = F.lit(0.0 if from_zero else ambient)
-    out = {c: F.when(r < length, a * x).otherwise(F.col(c)) for c, x in ramped.items()}
-    out.update({c: t0 + (F.col(c) - t0) * a for c in warmed})
-    out.update(reset)
-    return out
+    stop = Mix(start=a, noise=a) if from_start else Mix(own=a)
+    cool = Mix(own=a) if from_zero else Mix(own=a, level=1.0 - a)
+    return {"stop": stop, "cool": cool, "hold": Mix(start=1.0)}
+
+
+REPAIRED: Mixes = {"stop": UNCHANGED, "cool": UNCHANGED, "hold": Mix(start=1.0)}
 
 
 def overlay_restart(
     rows: DataFrame,
     restarts: DataFrame,
-    ramped: dict[str, Column],
+    ramped: Sequence[str],
     warmed: Sequence[str],
-    reset: dict[str, Column],
+    reset: Sequence[str],
     rows_up: int,
     ambient: float = PUMP_T_AMBIENT,
     from_zero: bool = False,
@@ -355,10 +425,11 @@ def overlay_restart(
 ) -> DataFrame:
     """Restart from ``start_row`` (up to ``end_row``, the end of the series).
 
-    ``restarts`` may carry further columns for the ``reset`` expressions.
+    ``restarts`` carries ``start_*`` for the ``reset`` columns.
     """
-    joined = lay_over(rows, restarts, bucket=bucket)
-    length = F.least(F.lit(int(rows_up)), F.col("end_row") - F.col("start_row"))
-    return _apply(
-        joined, rows, restart_values(ramped, warmed, reset, length, ambient, from_zero)
+    length = F.least(F.lit(int(rows_up)), _length())
+    groups = {"stop": list(ramped), "cool": list(warmed), "hold": list(reset)}
+    return _laid(
+        rows, restarts, bucket, restart_mixes(length, from_zero), groups, {}, Draws(),
+        ambient=ambient,
     )

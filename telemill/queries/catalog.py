@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from . import build_queries, draw_queries, record_queries, series_queries
+from . import build_queries, draw_queries, plan_queries, record_queries, series_queries
 
-_REGISTRIES = [m.register for m in (series_queries, draw_queries, record_queries, build_queries)]
+_MODULES = (series_queries, draw_queries, record_queries, build_queries, plan_queries)
 
-QUERIES = {name: fn for r in _REGISTRIES for name, fn in r.queries.items()}
-ORACLE = {name: sql for r in _REGISTRIES for name, sql in r.oracle.items()}
+QUERIES = {name: fn for m in _MODULES for name, fn in m.register.queries.items()}
+ORACLE = {name: sql for m in _MODULES for name, sql in m.register.oracle.items()}
