@@ -14,9 +14,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import NO_FAILURE_TTF
 from ..functions.draws import Draws
 from ..operators.intervals import lay_over
 from ..operators.joins import with_anchor
+from ..operators.labels import label_values
 from ..operators.manifest import default_severity, default_start_day
 from ..operators.spine import day_rows, day_spine, row_count
 from ..session import materialize
@@ -141,3 +143,40 @@ def failure_phases(failures: DataFrame, freq_s: int, down_s: int, up_s: int) ->
         )
         .drop("_p")
     )
+
+
+def final_columns(
+    signals: Sequence[str], keep: Sequence[str], freq_s: int, inclusive_extra: int = 0
+) -> list:
+    """Result columns of a build, labels and event types from the failure phase."""
+    phase, failing = F.col("phase"), F.col("phase") == "failure"
+    labels = label_values(
+        F.col("row_i"),
+        F.col("fail_row"),
+        freq_s,
+        F.col("fail_start"),
+        inclusive_extra=inclusive_extra,
+        open_end=False,
+    )
+    label = (
+        F.when(failing, labels["label"])
+        .when(phase == "post_failure", F.lit("FAILURE"))
+        .otherwise(F.lit("NORMAL"))
+    )
+    left = F.when(failing, labels["time_to_failure_s"]).otherwise(F.lit(NO_FAILURE_TTF))
+    event = (
+        F.when(failing, F.col("failure_kind"))
+        .when(phase.isin("post_failure", "startup"), phase)
+        .otherwise(F.col("event_type"))
+    )
+    return [
+        F.col(KEY),
+        F.col("row_i"),
+        *[F.col(c) for c in keep],
+        *[F.col(c) for c in signals],
+        F.col("time_s").cast("bigint").alias("time_s"),
+        F.col("time_h"),
+        label.alias("label"),
+        left.alias("time_to_failure_s"),
+        event.alias("event_type"),
+    ]

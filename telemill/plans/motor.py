@@ -12,7 +12,7 @@ from ..functions.curves import ambient_resistance, around, degrade, duty_factor
 from ..functions.draws import Draws
 from ..operators import overlay as O
 from ..operators.intervals import fit_windows, lay_over, schedule
-from ..operators.labels import first_crossing, label_values
+from ..operators.labels import first_crossing
 from ..operators.lut import curve_array, interp, read_curve
 from ..operators.modulate import noise
 from ..operators.spine import with_one_row
@@ -22,6 +22,7 @@ from . import layers as Y
 KEY = Y.KEY
 SIGNALS, RESPONSES, PARAMS = K.MOTOR_SIGNALS, K.MOTOR_RESPONSES, K.MOTOR_PARAMS
 SD = {c: K.MOTOR_NOISE_SD[c] for c in RESPONSES}
+GROUPS = {"stop": RESPONSES}
 SPEED, CURRENT = RESPONSES[:2]
 
 
@@ -104,27 +105,31 @@ def build_motor(
         devices, lut, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
     anchors = Y.at_rows(walked, Y.points_of(events, "start_row", "post_row"), freq_s, base)
+    placed = Y.anchored(events, anchors, RESPONSES, start="start_row", post="post_row")
+    others = {f"other_{c}": F.coalesce(f"target_{c}", f"post_{c}") for c in RESPONSES}
     placed = materialize(
-        Y.anchored(events, anchors, RESPONSES, pre="start_row", post="post_row"), "motor-events"
+        placed.withColumns(others).select(
+            KEY, "start_row", "end_row", "kind", *[f"start_{c}" for c in RESPONSES], *others
+        ),
+        "motor-events",
     )
 
     def with_events(rows: DataFrame) -> DataFrame:
         """Maintenance and decoys over the base series; parameters stay."""
         joined = lay_over(rows, placed, bucket=(freq_s, 86400), bucket_col="day")
-        stop = O.shutdown_values(SD, {}, freq_s, draws)
-        decoy = O.target_values(SD, draws)
         kind = F.col("kind")
-        values = {
-            c: F.when(kind == "maintenance", stop[c])
-            .when(kind.isNotNull(), decoy[c])
-            .otherwise(F.col(c))
-            for c in RESPONSES
-        }
-        return joined.select(
-            *[F.col(c) for c in rows.columns if c not in RESPONSES],
-            *[v.alias(c) for c, v in values.items()],
-            F.coalesce(kind, F.lit("normal")).alias("event_type"),
+        mixed = O.apply_mixes(
+            joined,
+            [
+                (kind == "maintenance", O.shutdown_mixes(freq_s)),
+                (kind.isNotNull(), {"stop": O.target_mix()}),
+            ],
+            GROUPS,
+            SD,
+            draws,
         )
+        event = F.coalesce(kind, F.lit("normal")).alias("event_type")
+        return mixed.select(*rows.columns, event)
 
     failures = _failures(devices, lut, freq_s)
     fixed = Y.at_rows(
@@ -133,17 +138,8 @@ def build_motor(
         freq_s,
         lambda rows: with_events(base(rows)),
     )
-    phases = materialize(
-        Y.failure_phases(
-            Y.anchored(failures, fixed, SIGNALS, first="first_row"),
-            freq_s,
-            K.DOWNTIME_S,
-            K.RESTART_S,
-        ),
-        "motor-failures",
-    )
     rows = with_events(base(walked))
-    return _with_failures(rows, phases, freq_s, draws, keep)
+    return _with_failures(rows, _phases(failures, fixed, freq_s), freq_s, draws, keep)
 
 
 def _shifted(devices: DataFrame, lut: DataFrame) -> DataFrame:
@@ -250,59 +246,59 @@ def _failures(devices, lut, freq_s) -> DataFrame:
     )
 
 
-def _with_failures(rows, phases, freq_s, draws, keep) -> DataFrame:
-    joined = lay_over(rows, phases, bucket=(freq_s, 86400), bucket_col="day")
-    phase = F.col("phase")
-    worn = O.wear_values(SD, PARAMS, freq_s, draws)
-    at_fail = degrade(
+def _phases(failures, fixed, freq_s) -> DataFrame:
+    """Windows of each failure with the values they need; stored."""
+    f = Y.anchored(failures, fixed, SIGNALS, start="first_row")
+    wear = degrade(
         (F.col("fail_row") - F.col("fail_start")) * F.lit(float(freq_s)),
         F.col("nominal"),
         F.col("failed"),
         F.col("span_s"),
     )
-    down = O.downtime_values(SD, {}, [], freq_s, draws, noise_share=0.3)
-    fresh = {
-        c: F.col(f"first_{c}") + draws.normal([KEY, "row_i"], f"startup_{c}", 0.0, SD[c])
-        for c in RESPONSES
-    }
-    up = O.restart_values(fresh, [], {}, F.col("end_row") - F.col("start_row"))
-    active = O.since() < F.col("wear_rows")
-    values = {}
-    for c in SIGNALS:
-        x, param = F.col(c), c in PARAMS
-        stopped = F.when(F.col("wear_column") == c, at_fail).otherwise(x) if param else down[c]
-        values[c] = (
-            F.when((phase == "failure") & active, worn[c])
-            .when(phase == "post_failure", stopped)
-            .when(phase == "startup", F.col(f"first_{c}") if param else up[c])
-            .when(phase == "repaired", F.col(f"first_{c}") if param else x)
-            .otherwise(x)
-        )
-    labels = label_values(
-        F.col("row_i"),
-        F.col("fail_row"),
-        freq_s,
-        F.col("fail_start"),
-        inclusive_extra=1,
-        open_end=False,
+    phases = Y.failure_phases(f.withColumn("final_wear", wear), freq_s, K.DOWNTIME_S, K.RESTART_S)
+    failing = F.col("phase") == "failure"
+    return materialize(
+        phases.withColumns(
+            {
+                "curve": F.when(failing, F.col("curve")),
+                "failure_kind": F.col("kind"),
+            }
+        ).drop("kind", "seed", "n_rows", "first_row"),
+        "motor-failures",
     )
-    failing = phase == "failure"
-    return joined.select(
-        KEY,
-        "row_i",
-        *keep,
-        *[v.alias(c) for c, v in values.items()],
-        F.col("time_s").cast("bigint").alias("time_s"),
-        "time_h",
-        F.when(failing, labels["label"])
-        .when(phase == "post_failure", F.lit("FAILURE"))
-        .otherwise(F.lit("NORMAL"))
-        .alias("label"),
-        F.when(failing, labels["time_to_failure_s"])
-        .otherwise(F.lit(K.NO_FAILURE_TTF))
-        .alias("time_to_failure_s"),
-        F.when(failing, F.col("kind"))
-        .when(phase.isin("post_failure", "startup"), phase)
-        .otherwise(F.col("event_type"))
-        .alias("event_type"),
+
+
+def _with_failures(rows, phases, freq_s, draws, keep) -> DataFrame:
+    """Wear, downtime and restart over the series; labels and the final columns."""
+    phase = F.col("phase")
+    joined = O.with_wear(
+        lay_over(rows, phases, bucket=(freq_s, 86400), bucket_col="day"), RESPONSES, freq_s
+    )
+    active = (phase == "failure") & (O.since() < F.col("wear_rows"))
+    mixed = O.apply_mixes(
+        joined,
+        [
+            (active, {"stop": O.wear_mix()}),
+            (phase == "post_failure", O.downtime_mixes(freq_s, noise_share=0.3)),
+            (
+                phase == "startup",
+                O.restart_mixes(F.col("end_row") - F.col("start_row"), from_start=True),
+            ),
+            (phase.isin("failure", "repaired"), O.REPAIRED),
+        ],
+        GROUPS,
+        SD,
+        draws,
+        "failure",
+    )
+    follows = {c: F.col("wear_column") == c for c in PARAMS}
+    params = {
+        c: F.when(active & follows[c], F.col("_wear"))
+        .when((phase == "post_failure") & follows[c], F.col("final_wear"))
+        .when(phase.isin("startup", "repaired"), F.col(f"start_{c}"))
+        .otherwise(F.col(c))
+        for c in PARAMS
+    }
+    return mixed.withColumns(params).select(
+        *Y.final_columns(SIGNALS, keep, freq_s, inclusive_extra=1)
     )

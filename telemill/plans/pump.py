@@ -13,7 +13,6 @@ from ..functions.derive import flow_gap
 from ..functions.draws import Draws
 from ..operators import overlay as O
 from ..operators.intervals import fit_windows, lay_over, schedule
-from ..operators.labels import label_values
 from ..operators.modulate import apply_pump_offsets, noise
 from ..operators.spine import template_mean, tile, with_one_row
 from ..session import materialize
@@ -22,7 +21,7 @@ from . import layers as Y
 KEY = Y.KEY
 SIGNALS = K.PUMP_SIGNALS
 STOPPED = {c: K.PUMP_NOISE_SD[c] for c in K.PUMP_SPEEDS + K.PUMP_FLOWS}
-COOLED = {c: K.PUMP_NOISE_SD[c] for c in K.PUMP_TEMPS}
+GROUPS = {"stop": list(STOPPED), "cool": K.PUMP_TEMPS, "hold": K.PUMP_STATES}
 
 
 @dataclass
@@ -93,34 +92,25 @@ def build_pump(
     anchors = Y.at_rows(
         walked, Y.points_of(events, "start_row", "post_row"), freq_s, base
     )
-    placed = Y.anchored(events, anchors, SIGNALS, pre="start_row", post="post_row")
-    placed = materialize(
-        O.with_episode(placed, episodes, SIGNALS, F.lit(0), "ep0_"), "pump-events"
-    )
-    centre = {c: F.col(f"mean_{c}") for c in SIGNALS}
+    placed = _placed(events, anchors, episodes, draws)
 
     def with_events(rows: DataFrame) -> DataFrame:
         """Maintenance and decoys over the base series."""
-        joined = lay_over(
-            rows, placed.drop("seed"), bucket=(freq_s, 86400), bucket_col="day"
-        )
+        joined = lay_over(rows, placed, bucket=(freq_s, 86400), bucket_col="day")
         joined = O.with_episode(joined, episodes, SIGNALS, O.since(), "ep_")
-        stop = O.shutdown_values(STOPPED, COOLED, freq_s, draws)
-        decoy = O.episode_values(
-            SIGNALS, draws, F.col("amplitude"), centre, K.PUMP_NOISE_SD
-        )
         kind = F.col("kind")
-        values = {
-            c: F.when(kind == "maintenance", stop.get(c, F.col(c)))
-            .when(kind.isNotNull(), decoy[c])
-            .otherwise(F.col(c))
-            for c in SIGNALS
-        }
-        return joined.select(
-            *[F.col(c) for c in rows.columns if c not in SIGNALS],
-            *[v.alias(c) for c, v in values.items()],
-            F.coalesce(kind, F.lit("normal")).alias("event_type"),
+        mixed = O.apply_mixes(
+            joined,
+            [
+                (kind == "maintenance", O.shutdown_mixes(freq_s)),
+                (kind.isNotNull(), O.splice_mixes(list(GROUPS), F.col("amplitude"))),
+            ],
+            GROUPS,
+            K.PUMP_NOISE_SD,
+            draws,
         )
+        event = F.coalesce(kind, F.lit("normal")).alias("event_type")
+        return mixed.select(*rows.columns, event)
 
     failures = _failures(devices, lengths, freq_s)
     fixed = Y.at_rows(
@@ -132,7 +122,7 @@ def build_pump(
     phases = _phases(failures, fixed, episodes, freq_s)
 
     rows = with_events(base(walked))
-    return _with_failures(rows, phases, episodes, centre, freq_s, draws, keep)
+    return _with_failures(rows, phases, episodes, freq_s, draws, keep)
 
 
 def _events(devices, lengths, draws, freq_s, per_month, maintenance_h, decoy_h) -> DataFrame:
@@ -169,6 +159,25 @@ def _events(devices, lengths, draws, freq_s, per_month, maintenance_h, decoy_h)
     )
 
 
+def _placed(events, anchors, episodes, draws) -> DataFrame:
+    """Event windows with the fixed values their rows are mixed from; stored."""
+    at = Y.anchored(events, anchors, SIGNALS, pre="start_row", other="post_row")
+    at = O.with_episode(at, episodes, SIGNALS, F.lit(0), "ep0_")
+    spliced = O.splice_starts(SIGNALS, draws, F.col("amplitude"), K.PUMP_NOISE_SD)
+    stops = F.col("kind") == "maintenance"
+    starts = {
+        f"start_{c}": F.when(stops, F.col(f"pre_{c}")).otherwise(spliced[f"start_{c}"])
+        for c in SIGNALS
+    }
+    return materialize(
+        at.withColumns(starts).select(
+            KEY, "start_row", "end_row", "kind", "amplitude", *starts,
+            *[f"other_{c}" for c in GROUPS["stop"] + GROUPS["cool"]],
+        ),
+        "pump-events",
+    )
+
+
 def _failures(devices, lengths, freq_s) -> DataFrame:
     """Failing devices with the rows their episode runs over."""
     start = F.floor(F.col("failure_start_day") * 86400.0 / freq_s)
@@ -187,7 +196,10 @@ def _failures(devices, lengths, freq_s) -> DataFrame:
             - 1,
         )
         .where("fail_row >= fail_start")
-        .select(KEY, "seed", "kind", "failure_severity", "fail_start", "fail_row", "n_rows")
+        .select(
+            KEY, "seed", "kind", "failure_severity", "fail_start", "fail_row", "n_rows",
+            *[f"mean_{c}" for c in GROUPS["hold"]],
+        )
     )
 
 
@@ -207,65 +219,46 @@ def _phases(failures, fixed, episodes, freq_s) -> DataFrame:
         for c in SIGNALS
     }
     f = f.withColumns({f"hot_{c}": x for c, x in hot.items()})
-    phases = Y.failure_phases(f, freq_s, K.DOWNTIME_S, K.RESTART_S)
-    after = F.col("phase") != "failure"
+    spliced = O.splice_starts(SIGNALS, None)
+    healthy = {c: F.col(f"mean_{c}") for c in GROUPS["hold"]}
+    phase = F.col("phase")
     starts = {
-        f"pre_{c}": F.when(after, F.col(f"hot_{c}")).otherwise(F.col(f"pre_{c}")) for c in SIGNALS
+        f"start_{c}": F.when(phase == "failure", spliced[f"start_{c}"])
+        .when(phase == "post_failure", F.col(f"hot_{c}"))
+        .otherwise(healthy.get(c, F.lit(0.0)))
+        for c in SIGNALS
     }
     return materialize(
-        phases.withColumns(starts).select(
-            KEY, "phase", "start_row", "end_row", "kind", "failure_severity", "fail_start",
-            "fail_row", *[f"{p}_{c}" for p in ("pre", "ep0") for c in SIGNALS],
+        Y.failure_phases(f, freq_s, K.DOWNTIME_S, K.RESTART_S)
+        .withColumns(starts)
+        .select(
+            KEY, "phase", "start_row", "end_row", F.col("kind").alias("failure_kind"),
+            F.col("failure_severity").alias("severity"), "fail_start", "fail_row", *starts,
         ),
         "pump-failures",
     )
 
 
-def _with_failures(rows, phases, episodes, centre, freq_s, draws, keep) -> DataFrame:
+def _with_failures(rows, phases, episodes, freq_s, draws, keep) -> DataFrame:
     """Failure, downtime and restart over the series; labels and the final columns."""
-    renamed = phases.withColumnRenamed("failure_severity", "severity")
-    joined = lay_over(rows, renamed, bucket=(freq_s, 86400), bucket_col="day")
-    idx = F.floor(O.since() * F.col("severity")).cast("bigint")
-    joined = O.with_episode(joined, episodes, SIGNALS, idx, "ep_")
     phase = F.col("phase")
-    broken = O.episode_values(SIGNALS, draws)
-    down = O.downtime_values(STOPPED, COOLED, K.PUMP_STATES, freq_s, draws)
-    up = O.restart_values(
-        {c: F.col(c) for c in STOPPED},
-        list(COOLED),
-        {c: centre[c] for c in K.PUMP_STATES},
-        F.col("end_row") - F.col("start_row"),
+    joined = lay_over(rows, phases, bucket=(freq_s, 86400), bucket_col="day").withColumn(
+        "kind", F.when(phase == "failure", F.col("failure_kind"))
     )
-    values = {
-        c: F.when(phase == "failure", broken[c])
-        .when(phase == "post_failure", down[c])
-        .when(phase == "startup", up[c])
-        .when(phase == "repaired", centre[c] if c in K.PUMP_STATES else F.col(c))
-        .otherwise(F.col(c))
-        for c in SIGNALS
-    }
-    labels = label_values(
-        F.col("row_i"), F.col("fail_row"), freq_s, F.col("fail_start"), open_end=False
-    )
-    event = (
-        F.when(phase == "failure", F.col("kind"))
-        .when(phase.isin("post_failure", "startup"), phase)
-        .otherwise(F.col("event_type"))
+    idx = F.floor(O.since() * F.col("severity")).cast("bigint")
+    joined = O.with_episode(joined, episodes, SIGNALS, idx, "ep_")
+    mixed = O.apply_mixes(
+        joined,
+        [
+            (phase == "failure", O.splice_mixes(list(GROUPS), None)),
+            (phase == "post_failure", O.downtime_mixes(freq_s)),
+            (phase == "startup", O.restart_mixes(F.col("end_row") - F.col("start_row"))),
+            (phase == "repaired", O.REPAIRED),
+        ],
+        GROUPS,
+        K.PUMP_NOISE_SD,
+        draws,
+        "failure",
     )
-    failing = phase == "failure"
-    return joined.select(
-        KEY,
-        "row_i",
-        *keep,
-        *[v.alias(c) for c, v in values.items()],
-        F.col("time_s").cast("bigint").alias("time_s"),
-        "time_h",
-        F.when(failing, labels["label"])
-        .when(phase == "post_failure", F.lit("FAILURE"))
-        .otherwise(F.lit("NORMAL"))
-        .alias("label"),
-        F.when(failing, labels["time_to_failure_s"])
-        .otherwise(F.lit(K.NO_FAILURE_TTF))
-        .alias("time_to_failure_s"),
-        event.alias("event_type"),
-    ).withColumn("flow_gap_m3s", flow_gap(F.col("flow_in_m3s"), F.col("flow_out_m3s")))
+    gap = flow_gap(F.col("flow_in_m3s"), F.col("flow_out_m3s"))
+    return mixed.select(*Y.final_columns(SIGNALS, keep, freq_s), gap.alias("flow_gap_m3s"))
