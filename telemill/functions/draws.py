@@ -16,48 +16,48 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnLike = Column | str
-
-
-def _col(c: ColumnLike) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 @dataclass(frozen=True)
 class Draws:
-    """Draws for one seed; ``seed`` may be a number or a per-row column."""
+    """Draws for one seed: a number, or the name of a column that holds it.
 
-    seed: int | Column = 0
-    method: str = "md5"
+    Key columns are given by name. The hash is written as one SQL expression,
+    which keeps plans with many draws cheap to put together.
+    """
 
-    def _seed(self) -> Column:
-        return self.seed if isinstance(self.seed, Column) else F.lit(int(self.seed))
+    seed: int | str = 0
+    method: str = "md5"
 
-    def _units(self, keys: Sequence[ColumnLike], stream: str) -> tuple[Column, Column]:
-        """Two independent uniforms in [0, 1) from one hash."""
-        cols = [_col(k) for k in keys]
+    def _units(self, keys: Sequence[str], stream: str) -> tuple[str, str]:
+        """SQL of two independent uniforms in [0, 1) from one hash."""
+        names = ", ".join(f"`{k}`" for k in keys)
+        seed = f"`{self.seed}`" if isinstance(self.seed, str) else f"{int(self.seed)}L"
         if self.method == "md5":
-            text = F.md5(F.concat_ws("|", self._seed(), *cols, F.lit(stream)))
-            return tuple(
-                F.conv(F.substring(text, at, 13), 16, 10).cast("bigint") / F.lit(2.0**52)
-                for at in (1, 14)
-            )
+            h = f"md5(concat_ws('|', {seed}, {names}, '{stream}'))"
+            part = "(cast(conv(substring({h}, {at}, 13), 16, 10) as bigint) / 4503599627370496.0D)"
+            return part.format(h=h, at=1), part.format(h=h, at=14)
         if self.method == "xxhash64":
-            h = F.xxhash64(self._seed().cast("bigint"), *cols, F.lit(stream))
-            low = h.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
-            return F.shiftrightunsigned(h, 32) / F.lit(2.0**32), low / F.lit(2.0**32)
+            h = f"xxhash64(cast({seed} as bigint), {names}, '{stream}')"
+            return (
+                f"(shiftrightunsigned({h}, 32) / 4294967296.0D)",
+                f"(({h} & 4294967295L) / 4294967296.0D)",
+            )
         raise ValueError(f"unknown draw method {self.method!r}")
 
-    def uniform(self, keys, stream: str, lo=0.0, hi=1.0) -> Column:
+    def _unit(self, keys: Sequence[str], stream: str) -> Column:
+        return F.expr(self._units(keys, stream)[0])
+
+    def uniform(self, keys: Sequence[str], stream: str, lo=0.0, hi=1.0) -> Column:
         """Uniform in [lo, hi)."""
-        u, _ = self._units(keys, stream)
-        return F.lit(lo) + u * (F.lit(hi) - F.lit(lo))
+        return F.lit(lo) + self._unit(keys, stream) * (F.lit(hi) - F.lit(lo))
 
-    def normal(self, keys, stream: str, mean=0.0, sd=1.0) -> Column:
-        """Normal draw by Box-Muller."""
+    def standard_normal(self, keys: Sequence[str], stream: str) -> Column:
+        """Normal draw of mean 0 and spread 1 by Box-Muller."""
         u1, u2 = self._units(keys, stream)
-        z = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
-        return F.lit(mean) + F.lit(sd) * z
+        return F.expr(f"sqrt(-2.0D * ln(1.0D - {u1})) * cos({2.0 * math.pi!r}D * {u2})")
+
+    def normal(self, keys: Sequence[str], stream: str, mean=0.0, sd=1.0) -> Column:
+        """Normal draw."""
+        return F.lit(mean) + F.lit(sd) * self.standard_normal(keys, stream)
 
     def lognormal(self, keys, stream: str, mu, sigma, lo, hi) -> Column:
         """Lognormal clipped to [lo, hi]."""
@@ -66,27 +66,28 @@ class Draws:
 
     def exponential(self, keys, stream: str, scale, lo, hi) -> Column:
         """Exponential clipped to [lo, hi]."""
-        u, _ = self._units(keys, stream)
+        u = self._unit(keys, stream)
         x = F.lit(-1.0) * F.lit(scale) * F.log(F.lit(1.0) - u)
         return F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
 
     def randint(self, keys, stream: str, lo: int, hi) -> Column:
         """Whole number in [lo, hi)."""
-        u, _ = self._units(keys, stream)
+        u = self._unit(keys, stream)
         return F.floor(F.lit(lo) + u * (F.lit(hi) - F.lit(lo))).cast("int")
 
     def choice(self, options: Column, keys, stream: str) -> Column:
         """One element of an array column."""
-        u, _ = self._units(keys, stream)
+        u = self._unit(keys, stream)
         return F.element_at(options, (F.floor(u * F.size(options)) + 1).cast("int"))
 
-    def subset(self, options: Column, k: ColumnLike, keys, stream: str) -> Column:
+    def subset(self, options: Column, k: Column | str, keys, stream: str) -> Column:
         """``k`` elements without replacement: the ones with the lowest hashes."""
-        prefix = F.concat_ws("|", self._seed(), *[_col(c) for c in keys], F.lit(stream))
+        seed = F.col(self.seed) if isinstance(self.seed, str) else F.lit(int(self.seed))
+        prefix = F.concat_ws("|", seed, *keys, F.lit(stream))
         tagged = F.transform(
             options, lambda x: F.struct(F.md5(F.concat_ws("|", prefix, x)).alias("h"), x.alias("v"))
         )
-        return F.transform(F.slice(F.array_sort(tagged), F.lit(1), _col(k)), lambda s: s["v"])
+        return F.transform(F.slice(F.array_sort(tagged), F.lit(1), F.col(k) if isinstance(k, str) else k), lambda s: s["v"])
 
     def poisson(self, rate: Column, keys, stream: str) -> Column:
         """Poisson count by inverting the distribution function.
@@ -95,7 +96,7 @@ class Draws:
         of the uniform, so no count is cut. Keep ``rate`` below 700 per draw;
         split longer spans into days first.
         """
-        u, _ = self._units(keys, stream)
+        u = self._unit(keys, stream)
         rate = rate.cast("double")
         last = F.ceil(rate + 12.0 * F.sqrt(rate) + 30.0).cast("int")
         start = F.struct(

@@ -20,7 +20,7 @@ from .chunks import CHUNK, CHUNK_ROWS, running, with_chunk
 
 
 def noise(col: str, sd, keys, draws: Draws, scale=1.0, stream: str = "noise") -> Column:
-    return draws.normal(keys, f"{stream}_{col}", 0.0, F.lit(sd) * F.lit(scale))
+    return draws.standard_normal(keys, f"{stream}_{col}") * (F.lit(sd) * F.lit(scale))
 
 
 def add_noise(

@@ -60,7 +60,7 @@ def _length() -> Column:
 
 def event_noise(stream: str, col: str, draws: Draws, row: str = ROW) -> Column:
     """Standard normal of one signal in one row under an event."""
-    return draws.normal([KEY, row], f"{stream}_{col}")
+    return draws.standard_normal([KEY, row], f"{stream}_{col}")
 
 
 def apply_mixes(

@@ -21,7 +21,7 @@ from ..operators.joins import with_anchor
 from ..operators.labels import label_values
 from ..operators.manifest import default_severity, default_start_day
 from ..operators.spine import day_rows, day_spine, row_count
-from ..session import materialize
+from ..session import materialize, use_compiled_code
 
 KEY = "device_id"
 
@@ -39,55 +39,90 @@ def prepared(manifest: DataFrame, freq_s: int, draws: Draws) -> DataFrame:
             "failure_severity": default_severity(F.col("failure_severity"), [KEY], draws),
         }
     )
+    use_compiled_code(manifest.sparkSession)
     return materialize(filled, "manifest")
 
 
-def walk_steps(cols: Sequence[str], sd: float, draws: Draws) -> dict:
-    return {f"_z_{c}": draws.normal([KEY, "row_i"], f"drift_{c}", 0.0, sd) for c in cols}
-
-
 def place_days(
     devices: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
 ) -> DataFrame:
-    """The (device, day) table with the random walk reached before each day."""
+    """The (device, day) table with the random walk reached before each day.
+
+    A day's total step is drawn as one normal of the right spread, so the walk
+    between days needs no pass over the rows; ``open_days`` fills in the rows of
+    a day given its total. The result has the law of independent steps per row.
+    """
     days = day_spine(devices, freq_s)
-    steps = (
-        day_rows(days.select(KEY, "day", "seed", "_from", "_to", "_last"), freq_s)
-        .withColumns(walk_steps(cols, sd, draws))
-        .groupBy(KEY, "day")
-        .agg(*[F.sum(f"_z_{c}").alias(f"_z_{c}") for c in cols])
-    )
+    n = (F.col("_to") - F.col("_from") + 1).cast("double")
+    total = {
+        c: draws.normal([KEY, "day"], f"drift_day_{c}", 0.0, F.lit(sd) * F.sqrt(n)) for c in cols
+    }
     earlier = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = steps.select(
-        KEY,
-        "day",
-        *[F.coalesce(F.sum(f"_z_{c}").over(earlier), F.lit(0.0)).alias(f"_c_{c}") for c in cols],
+    walked = (
+        days.select(KEY, "seed", "day", "_from", "_to")
+        .withColumns({f"_t_{c}": x for c, x in total.items()})
+        .select(
+            KEY,
+            "day",
+            *[f"_t_{c}" for c in cols],
+            *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0.0)).alias(f"_c_{c}") for c in cols],
+        )
     )
-    return days.join(materialize(carried, "day-walk"), [KEY, "day"])
+    return days.join(materialize(walked, "day-walk"), [KEY, "day"])
 
 
 def open_days(
     days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
 ) -> DataFrame:
     """Rows of the placed days with the walk so far as ``_w_*``."""
-    so_far = (
-        Window.partitionBy(KEY, "day").orderBy("row_i").rowsBetween(Window.unboundedPreceding, 0)
+    day = Window.partitionBy(KEY, "day")
+    so_far = day.orderBy("row_i").rowsBetween(Window.unboundedPreceding, 0)
+    share = (F.col("row_i") - F.col("_first") + 1) / F.col("_n")
+    rows = day_rows(
+        days.withColumn("_first", F.col("_from")).withColumn("_n", F.expr("_to - _from + 1")), freq_s
+    ).withColumns(
+        {f"_z_{c}": draws.normal([KEY, "row_i"], f"drift_{c}", 0.0, sd) for c in cols}
+    )
+    sums = {f"_s_{c}": F.sum(f"_z_{c}").over(so_far) for c in cols}
+    whole = {f"_d_{c}": F.sum(f"_z_{c}").over(day) for c in cols}
+    walk = {
+        f"_w_{c}": F.col(f"_c_{c}")
+        + F.col(f"_s_{c}")
+        - share * (F.col(f"_d_{c}") - F.col(f"_t_{c}"))
+        for c in cols
+    }
+    return (
+        rows.withColumns({**sums, **whole})
+        .withColumns(walk)
+        .drop("_first", "_n", *[f"_{p}_{c}" for p in "zcstd" for c in cols])
     )
-    rows = day_rows(days, freq_s).withColumns(walk_steps(cols, sd, draws))
-    return rows.withColumns(
-        {f"_w_{c}": F.col(f"_c_{c}") + F.sum(f"_z_{c}").over(so_far) for c in cols}
-    ).drop(*[f"_{p}_{c}" for p in "zc" for c in cols])
 
 
 def at_rows(
-    walked: DataFrame, points: DataFrame, freq_s: int, build: Callable[[DataFrame], DataFrame]
+    days: DataFrame,
+    points: DataFrame,
+    freq_s: int,
+    open_: Callable[[DataFrame], DataFrame],
+    build: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Built rows at the given (device, row) points only; stored."""
-    one_row = points.distinct().select(
-        KEY, F.col("row_i").alias("_start"), (F.col("row_i") + 1).alias("_end")
+    """Built rows at the given (device, row) points only; stored.
+
+    Only the days that hold a point are opened.
+    """
+    one_row = materialize(
+        points.distinct().select(
+            KEY, F.col("row_i").alias("_start"), (F.col("row_i") + 1).alias("_end")
+        ),
+        "points",
     )
+    used = one_row.select(KEY, F.expr(f"(_start * {int(freq_s)}) div 86400").alias("day")).distinct()
     picked = lay_over(
-        walked, one_row, start="_start", end="_end", bucket=(freq_s, 86400), bucket_col="day",
+        open_(days.join(used, [KEY, "day"], "left_semi")),
+        one_row,
+        start="_start",
+        end="_end",
+        bucket=(freq_s, 86400),
+        bucket_col="day",
         how="inner",
     ).drop("_start", "_end")
     return materialize(build(picked), "anchors")

@@ -58,7 +58,7 @@ def build_motor(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Signals, labels and events of every device in ``manifest``."""
-    draws = Draws(F.col("seed"), method)
+    draws = Draws("seed", method)
     lut = materialize(inputs.lut.select("axis", "param", *RESPONSES), "response-lut")
     healthy = materialize(inputs.healthy.select(*RESPONSES), "healthy")
     level = healthy.select(*[F.col(c).alias(f"level_{c}") for c in RESPONSES])
@@ -82,17 +82,20 @@ def build_motor(
         values["resistance_ohm"] = values["resistance_ohm"] + F.col("_r")
         return rows.withColumn("_r", r).withColumns(values).drop("_r")
 
-    def rows_of(table: DataFrame) -> DataFrame:
-        days = Y.place_days(table, freq_s, RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
+    def placed_days(table: DataFrame) -> DataFrame:
+        return Y.place_days(table, freq_s, RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
+
+    def opened(days: DataFrame) -> DataFrame:
         return Y.open_days(days, freq_s, RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
 
+    # The duty factor works around the mean of the whole series: one pass for it.
     means = (
-        undutied(rows_of(devices))
+        undutied(opened(placed_days(devices)))
         .groupBy(KEY)
         .agg(*[F.avg(c).alias(f"mean_{c}") for c in RESPONSES])
     )
     devices = materialize(devices.join(materialize(means, "means"), KEY), "motor-devices")
-    walked = rows_of(devices)
+    days = placed_days(devices)
 
     def base(rows: DataFrame) -> DataFrame:
         duty = duty_factor(F.col("time_h"), F.col("duty_cycle_var"), 0.4, smooth=False)
@@ -104,7 +107,8 @@ def build_motor(
     events = _events(
         devices, lut, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
-    anchors = Y.at_rows(walked, Y.points_of(events, "start_row", "post_row"), freq_s, base)
+    points = Y.points_of(events, "start_row", "post_row")
+    anchors = Y.at_rows(days, points, freq_s, opened, base)
     placed = Y.anchored(events, anchors, RESPONSES, start="start_row", post="post_row")
     others = {f"other_{c}": F.coalesce(f"target_{c}", f"post_{c}") for c in RESPONSES}
     placed = materialize(
@@ -133,12 +137,13 @@ def build_motor(
 
     failures = _failures(devices, lut, freq_s)
     fixed = Y.at_rows(
-        walked,
+        days,
         Y.points_of(failures, "first_row"),
         freq_s,
+        opened,
         lambda rows: with_events(base(rows)),
     )
-    rows = with_events(base(walked))
+    rows = with_events(base(opened(days)))
     return _with_failures(rows, _phases(failures, fixed, freq_s), freq_s, draws, keep)
 
 

@@ -50,7 +50,7 @@ def build_pump(
 
     ``keep`` names manifest columns to carry into the result.
     """
-    draws = Draws(F.col("seed"), method)
+    draws = Draws("seed", method)
     cycle = K.CYCLE_S // freq_s
     startup = K.STARTUP_CYCLES * cycle
     profile = materialize(inputs.profile.select("phase", "idx", *SIGNALS), "profile")
@@ -59,7 +59,9 @@ def build_pump(
     devices = with_one_row(Y.prepared(manifest, freq_s, draws), mean)
 
     days = Y.place_days(devices, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
-    walked = Y.open_days(days, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
+
+    def opened(placed_days: DataFrame) -> DataFrame:
+        return Y.open_days(placed_days, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
 
     def base(rows: DataFrame) -> DataFrame:
         """Tiled profile, noise, drift, ambient, duty, device offsets."""
@@ -89,9 +91,8 @@ def build_pump(
     events = _events(
         devices, lengths, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
-    anchors = Y.at_rows(
-        walked, Y.points_of(events, "start_row", "post_row"), freq_s, base
-    )
+    points = Y.points_of(events, "start_row", "post_row")
+    anchors = Y.at_rows(days, points, freq_s, opened, base)
     placed = _placed(events, anchors, episodes, draws)
 
     def with_events(rows: DataFrame) -> DataFrame:
@@ -114,14 +115,15 @@ def build_pump(
 
     failures = _failures(devices, lengths, freq_s)
     fixed = Y.at_rows(
-        walked,
+        days,
         Y.points_of(failures, "fail_start", "fail_row"),
         freq_s,
+        opened,
         lambda rows: with_events(base(rows)),
     )
     phases = _phases(failures, fixed, episodes, freq_s)
 
-    rows = with_events(base(walked))
+    rows = with_events(base(opened(days)))
     return _with_failures(rows, phases, episodes, freq_s, draws, keep)
 
 

@@ -45,3 +45,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def use_compiled_code(spark: SparkSession) -> None:
+    """Keep very wide stages out of methods the JVM will not compile.
+
+    HotSpot leaves methods over 8,000 bytes of code to its interpreter. With the
+    limit set, Spark falls back to per-operator code for such stages, which is
+    split into small methods. A value set by the user stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":
+        spark.conf.set(name, "8000")
