@@ -13,6 +13,7 @@ from ..plans import scenarios as SN
 from ..plans.motor import MotorInputs, build_motor
 from ..plans.pump import PumpInputs, build_pump
 from ..session import new_path
+from . import plan_sql
 from .base import Registry, r6, table
 
 register = Registry()
@@ -100,7 +101,7 @@ def suppliers(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey")
 
 
-@register("pump_series")
+@register("pump_series", plan_sql.pump_series(PUMP_TEXT, DAYS))
 def pump_series(spark, sf, freq_s=300, method="md5"):
     manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "pump", DAYS)
     out = build_pump(
