@@ -78,13 +78,29 @@ def curve_array(lut: DataFrame, signals: Sequence[str], axis: str = "axis", para
     )
 
 
-def read_curve(curve: Column, x: Column, signal: str) -> Column:
-    """Interpolated value from a ``curve_array`` column, held at the ends."""
-    first, last = F.element_at(curve, 1), F.element_at(curve, -1)
-    at = F.least(F.greatest(x, first["p0"]), last["p1"])
-    seg = F.element_at(F.filter(curve, lambda s: (at >= s["p0"]) & (at <= s["p1"])), 1)
-    y0, y1 = seg[f"y0_{signal}"], seg[f"y1_{signal}"]
-    return y0 + (y1 - y0) * (at - seg["p0"]) / (seg["p1"] - seg["p0"])
+def with_curve(
+    df: DataFrame, x: Column, signals: Sequence[str], prefix: str = "ep_", curve: str = "curve"
+) -> DataFrame:
+    """Add the values at ``x`` read from a ``curve_array`` column, held at its ends.
+
+    The segment is looked up once for all signals; a null curve gives nulls.
+    """
+    arr, at, seg = F.col(curve), F.col("_at"), F.col("_seg")
+    held = F.least(F.greatest(x, F.element_at(arr, 1)["p0"]), F.element_at(arr, -1)["p1"])
+    found = F.element_at(F.filter(arr, lambda s: (at >= s["p0"]) & (at <= s["p1"])), 1)
+    share = (at - seg["p0"]) / (seg["p1"] - seg["p0"])
+    return (
+        df.withColumn("_at", held)
+        .withColumn("_seg", F.when(arr.isNotNull() & at.isNotNull(), found))
+        .withColumn("_share", share)
+        .withColumns(
+            {
+                f"{prefix}{c}": seg[f"y0_{c}"] + (seg[f"y1_{c}"] - seg[f"y0_{c}"]) * F.col("_share")
+                for c in signals
+            }
+        )
+        .drop("_at", "_seg", "_share")
+    )
 
 
 def steady_state(

@@ -30,6 +30,7 @@ from ..functions.curves import degrade, ease
 from ..functions.draws import Draws
 from .intervals import BUCKET, lay_over
 from .joins import with_anchor
+from .lut import with_curve
 
 KEY, ROW = "device_id", "row_i"
 
@@ -298,29 +299,14 @@ def with_wear(
     """Wear of a row inside a failure window and the responses it leads to.
 
     Windows carry ``curve`` (see ``curve_array``), ``nominal``, ``failed`` and
-    ``span_s``. Adds ``_wear`` and the responses; the curve segment is looked up
-    once for all of them.
+    ``span_s``. Adds ``_wear`` and the responses.
     """
     wear = degrade(
         since() * F.lit(float(freq_s)), F.col("nominal"), F.col("failed"), F.col("span_s")
     )
-    curve = F.col("curve")
-    at = F.least(
-        F.greatest(F.col("_wear"), F.element_at(curve, 1)["p0"]), F.element_at(curve, -1)["p1"]
+    return with_curve(joined.withColumn("_wear", wear), F.col("_wear"), responses, prefix).drop(
+        "curve"
     )
-    seg = F.element_at(
-        F.filter(curve, lambda s: (F.col("_at") >= s["p0"]) & (F.col("_at") <= s["p1"])), 1
-    )
-    s = F.col("_seg")
-    share = (F.col("_at") - s["p0"]) / (s["p1"] - s["p0"])
-    out = joined.withColumn("_wear", wear).withColumn("_at", at)
-    out = out.withColumn("_seg", F.when(curve.isNotNull(), seg)).withColumn("_share", share)
-    return out.withColumns(
-        {
-            f"{prefix}{c}": s[f"y0_{c}"] + (s[f"y1_{c}"] - s[f"y0_{c}"]) * F.col("_share")
-            for c in responses
-        }
-    ).drop("_at", "_seg", "_share", "curve")
 
 
 def wear_mix(blend: int = BLEND_ROWS) -> Mix:

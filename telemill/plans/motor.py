@@ -13,7 +13,7 @@ from ..functions.draws import Draws
 from ..operators import overlay as O
 from ..operators.intervals import fit_windows, lay_over, schedule
 from ..operators.labels import first_crossing
-from ..operators.lut import curve_array, interp, read_curve
+from ..operators.lut import curve_array, interp, with_curve
 from ..operators.modulate import noise
 from ..operators.spine import with_one_row
 from ..session import materialize
@@ -229,22 +229,13 @@ def _failures(devices, lut, freq_s) -> DataFrame:
         f.withColumn("_r", F.explode(F.expr("sequence(0L, greatest(wear_rows - 1, 0L))")))
         .withColumn("row_i", F.col("fail_start") + F.col("_r"))
         .where("row_i < n_rows")
-        .withColumn(
-            "_v",
-            read_curve(
-                F.col("curve"),
-                degrade(
-                    F.col("_r") * F.lit(float(freq_s)),
-                    F.col("nominal"),
-                    F.col("failed"),
-                    F.col("span_s"),
-                ),
-                SPEED,
-            ),
-        )
         .withColumn("_end", F.least(F.col("fail_start") + F.col("wear_rows"), F.col("n_rows") - 1))
     )
-    crossed = first_crossing(curve_rows, "_v", limit, fallback="_end")
+    wear_at = degrade(
+        F.col("_r") * F.lit(float(freq_s)), F.col("nominal"), F.col("failed"), F.col("span_s")
+    )
+    slowing = with_curve(curve_rows, wear_at, [SPEED])
+    crossed = first_crossing(slowing, f"ep_{SPEED}", limit, fallback="_end")
     return f.join(crossed, KEY).select(
         KEY, "seed", "kind", "curve", "wear_column", "nominal", "failed", "span_s", "wear_rows",
         "fail_start", "fail_row", "n_rows", F.lit(0).cast("bigint").alias("first_row"),

@@ -11,7 +11,7 @@ from ..functions.derive import flow_gap
 from ..functions.draws import Draws
 from ..operators import overlay as O
 from ..operators.labels import first_crossing, label_from, label_tail
-from ..operators.lut import curve_array, read_curve
+from ..operators.lut import curve_array, with_curve
 from ..operators.modulate import add_drift, add_noise
 from ..operators.spine import tile, with_one_row
 from ..session import materialize
@@ -121,12 +121,8 @@ def motor_scenarios(
             changed, input_level(t, F.col("decoy_type"), change_at_s, K.MOTOR_INPUTS)
         ),
     )
-    signals = {
-        c: F.when(F.col("_x").isNotNull(), read_curve(F.col("curve"), F.col("_x"), c)).otherwise(
-            F.col(f"level_{c}")
-        )
-        for c in K.MOTOR_RESPONSES
-    }
+    rows = with_curve(rows, F.col("_x"), K.MOTOR_RESPONSES).drop("curve")
+    signals = {c: F.coalesce(f"ep_{c}", f"level_{c}") for c in K.MOTOR_RESPONSES}
     for name, (column, healthy, _) in K.MOTOR_WEAR.items():
         signals[column] = F.when(F.col("failure_type") == name, F.col("_x")).otherwise(
             F.lit(healthy)

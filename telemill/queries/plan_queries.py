@@ -110,7 +110,7 @@ def pump_series(spark, sf, freq_s=300, method="md5"):
     return out.withColumns({c: r6(c) for c in [*K.PUMP_SIGNALS, "flow_gap_m3s"]})
 
 
-@register("motor_series")
+@register("motor_series", plan_sql.motor_series(RESPONSE_TEXT, AXES, DAYS))
 def motor_series(spark, sf, freq_s=300, method="md5"):
     manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "motor", DAYS)
     out = build_motor(

@@ -156,7 +156,7 @@ def labelled(extra: int, failure_kind: str) -> str:
     case when phase = 'failure' and row_i >= {first} then (fail_row - row_i) * {FREQ}.0::double
       else -1.0::double end as time_to_failure_s,
     case when phase = 'failure' then {failure_kind}
-      when phase in ('post_failure', 'startup') then phase else ev end as event_type"""
+      when phase in ('post_failure', 'startup') then phase else b.ev end as event_type"""
 
 
 PHASED = """phased as (select b.*, f.* exclude (device_id), case when f.fail_start is null or b.row_i < f.fail_start then null
@@ -260,3 +260,144 @@ def pump_series(text: dict[str, str], days: float) -> str:
     left join broken h on h.device_id = b.device_id and h.row_i = b.fail_row, means m)""",
         ]
     ) + " " + final(cols, ", round(greatest(flow_in_m3s - flow_out_m3s, 0.0), 6) + 0.0 as flow_gap_m3s")
+
+
+def motor_inputs(text: dict[str, str], axes: dict[str, tuple[float, float]]) -> str:
+    """CTEs ``lut``, ``segs``, ``ends`` and ``level``."""
+    cols = ", ".join(f'avg({t}) as "{c}"' for c, t in text.items())
+    points = " union all ".join(
+        f"""select '{axis}' as axis, {min(a)!r}::double + i * {(max(a) - min(a)) / (K.LUT_POINTS - 1)!r}::double
+        as param, {', '.join(f'"{c}"' for c in text)} from (select floor(({a[0]!r}::double
+        + (p_size - 1) / 49.0::double * {a[1] - a[0]!r}::double - {min(a)!r}::double)
+        / {(max(a) - min(a)) / (K.LUT_POINTS - 1)!r}::double + 0.5) as i, {cols} from part group by 1)
+        where i between 0 and {K.LUT_POINTS - 1}"""
+        for axis, a in axes.items()
+    )
+    ends = ", ".join(
+        f'"{c}" as "y0_{c}", lead("{c}") over by_axis as "y1_{c}"' for c in text
+    )
+    return f"""lut as ({points}),
+  ends as (select axis, min(param) as p_min, max(param) as p_max from lut group by 1),
+  segs as materialized (select * from (select axis, param as p0, lead(param) over by_axis as p1, {ends},
+    p_min, p_max from lut join ends using (axis) window by_axis as (partition by axis order by param))
+    where p1 is not null),
+  level as materialized (select {cols} from part where p_size = 1)"""
+
+
+def seg_join(alias: str, axis: str, x: str) -> str:
+    """Join of the segment that holds ``x``, held at the ends."""
+    held = f"least(greatest({x}, {alias}.p_min), {alias}.p_max)"
+    return f"""segs {alias} on {alias}.axis = {axis} and {held} >= {alias}.p0
+      and ({held} < {alias}.p1 or ({alias}.p1 = {alias}.p_max and {held} = {alias}.p_max))"""
+
+
+def seg_value(alias: str, c: str, x: str, held: bool = True) -> str:
+    at = f"least(greatest({x}, {alias}.p_min), {alias}.p_max)" if held else x
+    return f"""({alias}."y0_{c}" + ({alias}."y1_{c}" - {alias}."y0_{c}")
+      * (({at}) - {alias}.p0) / ({alias}.p1 - {alias}.p0))"""
+
+
+def by_value(column: str, table: dict[str, object]) -> str:
+    return f"case {column} " + " ".join(
+        f"when '{k}' then {v!r}" + ("::double" if isinstance(v, float) else "")
+        for k, v in table.items()
+    ) + " end"
+
+
+def worn(t: str, nominal: str, failed: str, span: str) -> str:
+    return f"""({nominal} + ({failed} - {nominal}) * (exp(3 * least(({t}) / ({span}), 1.0)) - 1)
+      / (exp(3.0::double) - 1))"""
+
+
+def motor_series(text, axes, days: float) -> str:
+    resp, params, sd = K.MOTOR_RESPONSES, K.MOTOR_PARAMS, K.MOTOR_NOISE_SD
+    speed, current = resp[:2]
+    coupled = """(amb * 0.01 * sin(6.283185307179586 * (time_h - 14) / 24)
+      + amb * 0.005 * sin(6.283185307179586 * time_h / 8760))"""
+    hour = "(time_h - 24 * floor(time_h / 24))"
+    duty = f"""(case when {hour} >= 6 and {hour} < 18 then 1.0 else 1 - 0.4 * dut end
+      * case when floor(time_h / 24) % 7 >= 5 then 1 - 0.3 * dut else 1.0 end)"""
+
+    def raw(c):
+        x = f'v."{c}" + {row_n("noise_" + c)} * ({sd[c]} * ns) + "w_{c}"'
+        if c in (speed, current):
+            x += f' + "shift_{c}"'
+        if c == speed:
+            x = f"({x}) - 10 * {coupled}"
+        return f'{x} as "{c}"'
+
+    nominal = {v[0]: v[1] for v in K.MOTOR_WEAR.values()}
+    fixed = ", ".join(
+        f'{nominal[c]!r}::double{" + " + coupled if c == "resistance_ohm" else ""} as "{c}"' for c in params
+    )
+    kinds = {f"decoy_{k}": a for k, a in K.MOTOR_DECOY_AXIS.items()}
+    low = by_value("axis", {a: v[0] for a, v in K.MOTOR_INPUTS.items()})
+    high = by_value("axis", {a: v[1] for a, v in K.MOTOR_INPUTS.items()})
+
+    def event(c):
+        span = f"case when w.kind like '%ramp' then greatest(1.0, {N} * 0.6::double) else 5.0 end"
+        a = ease(f"least(1.0::double, {R} / ({span}))", "1.0")
+        return f"""case when w.kind is null then b."{c}" when w.kind = 'maintenance' then {stopped(c, sd[c])}
+          else pre."{c}" * (1 - {a}) + w."t_{c}" * {a} + {sd[c]} * {row_n('event_' + c)} end as "{c}" """
+
+    wear_at = worn(f"r * {FREQ}.0::double", "p_nom", "p_fail", "span_s")
+    q = "(b.row_i - b.fail_start)"
+    wear = worn(f"{q} * {FREQ}.0::double", "b.p_nom", "b.p_fail", "b.span_s")
+    last = worn(f"(b.fail_row - b.fail_start) * {FREQ}.0::double", "b.p_nom", "b.p_fail", "b.span_s")
+    active = f"phase = 'failure' and {q} < b.wear_rows"
+    u = "(b.row_i - b.fail_row - 73)"
+    up = ease(u, "least(48, b.n - b.fail_row - 73)")
+    fa = f"case when {q} < 30 then {ease(q, '30')} else 1.0 end"
+
+    def finished(c):
+        if c in params:
+            mine = f"b.wear_column = '{c}'"
+            return f"""case when {active} and {mine} then {wear}
+              when phase = 'post_failure' and {mine} then {last}
+              when phase in ('startup', 'repaired') then z."{c}" else b."{c}" end as "{c}" """
+        noise = f"{sd[c]} * {row_n('failure_' + c)}"
+        return f"""case when {active} then (1 - ({fa})) * b."{c}" + ({fa}) * {seg_value('s', c, wear)} + {noise}
+          when phase = 'post_failure' then 0.3 * {noise}
+          when phase = 'startup' then {up} * (z."{c}" + {noise}) else b."{c}" end as "{c}" """
+
+    wear_of = {k: K.MOTOR_WEAR[k] for k in K.MOTOR_WEAR}
+    return "with recursive " + ", ".join(
+        [
+            manifest("motor", K.MOTOR_FAILURES, K.MOTOR_DECOYS, K.MOTOR_V_NOM, days, False),
+            motor_inputs(text, axes),
+            rows_and_walk(resp, K.MOTOR_DRIFT_SD_LONG),
+            f"""shift as (select device_id, {', '.join(
+                f'{seg_value("a", c, "23.0 + vo", False)} - {seg_value("z", c, "23.0::double", False)} as "shift_{c}"'
+                for c in (speed, current))} from man join {seg_join('a', "'voltage'", '23.0 + vo')}
+    join {seg_join('z', "'voltage'", '23.0::double')}),
+  raw as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h, dut, {', '.join(raw(c) for c in resp)},
+    {fixed} from walk b join shift using (device_id), level v),
+  means as (select device_id, {', '.join(f'avg("{c}") as "m_{c}"' for c in resp)} from raw group by 1),
+  base as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h,
+    {', '.join(f'"m_{c}" + (b."{c}" - "m_{c}") * {duty} as "{c}"' for c in resp)},
+    {', '.join(f'b."{c}"' for c in params)} from raw b join means using (device_id))""",
+            windows((1.0, 4.0), (0.4, 1.0), 0.5, False),
+            f"""aimed as materialized (select k.*, {', '.join(f'{seg_value("s", c, "x")} as "t_{c}"' for c in resp)}
+    from (select *, {low} + amplitude * ({high} - {low}) as x from (select *, {by_value('kind', kinds)} as axis
+      from kept)) k left join {seg_join('s', 'k.axis', 'x')}),
+  l1 as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h, coalesce(w.kind, 'normal') as ev,
+    {', '.join(event(c) for c in resp)}, {', '.join(f'b."{c}"' for c in params)}
+    from base b left join aimed w on {IN_WINDOW} {ANCHORS}),
+  failing as (select device_id, n, ftype, {by_value('ftype', {k: v[1] for k, v in wear_of.items()})} as p_nom,
+    {by_value('ftype', {k: v[2] for k, v in wear_of.items()})} as p_fail,
+    {by_value('ftype', {k: v[0] for k, v in wear_of.items()})} as wear_column,
+    21600.0::double * sev as span_s, cast(floor(21600.0::double * sev / {FREQ}) as bigint) as wear_rows,
+    cast(floor(fday * 86400.0 / {FREQ}) as bigint) as fail_start from man where ftype is not null),
+  crossing as (select device_id, min(fail_start + r) filter ({seg_value('s', speed, wear_at)}
+      < 0.4 * (select "{speed}" from level)) as hit
+    from (select *, unnest(range(0, wear_rows)) as r from failing) f
+    join {seg_join('s', 'f.ftype', wear_at)} where fail_start + r < n group by 1),
+  fails as (select f.* exclude (n), coalesce(hit, least(fail_start + wear_rows, n - 1)) as fail_row
+    from failing f left join crossing using (device_id))""",
+            PHASED,
+            f"""done as (select b.device_id, b.row_i, b.time_s, b.time_h, {', '.join(finished(c) for c in [*resp, *params])},
+    {labelled(1, "'failure_' || ftype").replace('row_i', 'b.row_i')}
+    from phased b left join l1 z on z.device_id = b.device_id and z.row_i = 0
+    left join {seg_join('s', 'b.ftype', wear)} and {active})""",
+        ]
+    ) + " " + final([*resp, *params])
