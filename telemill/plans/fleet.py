@@ -159,6 +159,7 @@ def sample_dataset(
     inputs: PumpInputs | MotorInputs,
     freq_s: int = K.SAVE_FREQ_S,
     maintenance_per_month: float = 1.0,
+    method: str = "xxhash64",
     **settings,
 ) -> tuple[DataFrame, DataFrame]:
     """Long series of a sample data set and their lookup table."""
@@ -168,6 +169,7 @@ def sample_dataset(
         inputs,
         freq_s,
         maintenance_per_month=maintenance_per_month,
+        method=method,
         keep=(unit, "scenario_id"),
     )
     lookup = series_dim(

@@ -15,6 +15,7 @@ from ..plans.pump import PumpInputs, build_pump
 from ..session import new_path
 from . import plan_sql
 from .base import Registry, r6, table
+from .draw_queries import QUOTA
 
 register = Registry()
 DAYS = 2.0
@@ -119,41 +120,64 @@ def motor_series(spark, sf, freq_s=300, method="md5"):
     return out.withColumns({c: r6(c) for c in K.MOTOR_SIGNALS})
 
 
-@register("pump_scenario_set")
+@register("pump_scenario_set", plan_sql.pump_scenarios(PUMP_TEXT, SN.PUMP_SCENARIOS))
 def pump_scenario_set(spark, sf):
-    units = suppliers(spark, sf)
-    return SN.pump_scenarios(units, "s_suppkey", pump_inputs(spark, sf, 300), 300)
+    out = SN.pump_scenarios(suppliers(spark, sf), "s_suppkey", pump_inputs(spark, sf, 300), 300)
+    return out.withColumns({c: r6(c) for c in [*K.PUMP_SIGNALS, "flow_gap_m3s"]})
 
 
-@register("motor_scenario_set")
+@register(
+    "motor_scenario_set", plan_sql.motor_scenarios(RESPONSE_TEXT, AXES, SN.MOTOR_SCENARIOS)
+)
 def motor_scenario_set(spark, sf):
-    units = suppliers(spark, sf)
-    return SN.motor_scenarios(units, "s_suppkey", motor_inputs(spark, sf), 300, draws=Draws(42))
+    out = SN.motor_scenarios(
+        suppliers(spark, sf), "s_suppkey", motor_inputs(spark, sf), 300, draws=Draws(42)
+    )
+    return out.withColumns({c: r6(c) for c in K.MOTOR_SIGNALS})
 
 
-@register("pump_sample_dataset")
-def pump_sample_dataset(spark, sf):
+def _sample(spark, sf, machine, inputs):
     series, _ = FL.sample_dataset(
-        suppliers(spark, sf), "s_suppkey", "pump", pump_inputs(spark, sf, 300), 300,
-        duration_days=1.0, ambient_var_K=5.0, duty_cycle_var=0.5,
+        suppliers(spark, sf), "s_suppkey", machine, inputs, 300,
+        duration_days=1.0, ambient_var_K=5.0, duty_cycle_var=0.5, method="md5",
     )
     return series
 
 
-@register("motor_sample_dataset")
+@register(
+    "pump_sample_dataset",
+    plan_sql.sample_dataset("pump", plan_sql.pump_series, 1.0, PUMP_TEXT),
+)
+def pump_sample_dataset(spark, sf):
+    out = _sample(spark, sf, "pump", pump_inputs(spark, sf, 300))
+    return out.withColumns({c: r6(c) for c in [*K.PUMP_SIGNALS, "flow_gap_m3s"]})
+
+
+@register(
+    "motor_sample_dataset",
+    plan_sql.sample_dataset("motor", plan_sql.motor_series, 1.0, RESPONSE_TEXT, AXES),
+)
 def motor_sample_dataset(spark, sf):
-    series, _ = FL.sample_dataset(
-        suppliers(spark, sf), "s_suppkey", "motor", motor_inputs(spark, sf), 300,
-        duration_days=1.0, ambient_var_K=5.0, duty_cycle_var=0.5,
-    )
-    return series
+    out = _sample(spark, sf, "motor", motor_inputs(spark, sf))
+    return out.withColumns({c: r6(c) for c in K.MOTOR_SIGNALS})
 
 
-@register("fleet_build")
+@register(
+    "fleet_build",
+    QUOTA.replace("p_partkey", "s_suppkey").replace("from part", "from supplier").format(
+        seed=12345, a="bearing", b="impeller", c="radial"
+    ).join(
+        [
+            "with ",
+            """ select printf('device_%06d', s_suppkey) as device_id, 12345 + s_suppkey as seed,
+      failure_type, 'completed' as status, 2881::bigint as num_rows from typed""",
+        ]
+    ),
+)
 def fleet_build(spark, sf):
-    """Builds and writes the pump fleet, then reports the run's manifest."""
+    """Builds and writes the pump fleet at one row a minute, then reports its manifest."""
     run = FL.build_fleet(
         suppliers(spark, sf), "s_suppkey", "pump", pump_inputs(spark, sf, 60),
         new_path(spark, "pump-fleet"), DAYS,
     )
-    return run.manifest.drop("generation_time_s", "file_size_bytes")
+    return run.manifest.select("device_id", "seed", "failure_type", "status", "num_rows")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from .. import constants as K
 from .base import sql_n, sql_u
 from .draw_queries import poisson_sql
@@ -165,7 +167,22 @@ PHASED = """phased as (select b.*, f.* exclude (device_id), case when f.fail_sta
     from l1 b left join fails f on f.device_id = b.device_id)"""
 
 
-def pump_series(text: dict[str, str], days: float) -> str:
+def pump_positions(signals: str) -> str:
+    """CTEs ``positions`` (profile by position), ``means``, ``episodes`` and ``lens``."""
+    cols = ", ".join(f'avg("{c}") as "{c}"' for c in K.PUMP_SIGNALS)
+    return f"""positions as materialized (select l_orderkey % 60 as i, {signals} from lineitem group by 1),
+  means as materialized (select {cols} from positions where i >= 48),
+  episodes as materialized (select case when l_linestatus = 'O' then 'decoy_' || list_extract(
+      {K.PUMP_DECOYS}, (l_linenumber - 1) % 4 + 1) else 'failure_' || list_extract(
+      {K.PUMP_FAILURES}, (l_linenumber - 1) % 3 + 1) end as kind,
+    l_orderkey % case when l_linestatus = 'O' then 49 else 73 end as idx, {signals}
+    from lineitem group by 1, 2),
+  lens as (select kind, max(idx) + 1 as len from episodes group by 1)"""
+
+
+def pump_series(
+    text: dict[str, str], days: float, man: str | None = None, per_day: float = 0.5, extra: str = ""
+) -> str:
     cols = list(text)
     signals = ", ".join(f'{t} as "{c}"' for c, t in text.items())
     temps, speeds, flows, states = K.PUMP_TEMPS, K.PUMP_SPEEDS, K.PUMP_FLOWS, K.PUMP_STATES
@@ -225,21 +242,13 @@ def pump_series(text: dict[str, str], days: float) -> str:
 
     return "with recursive " + ", ".join(
         [
-            manifest("device", K.PUMP_FAILURES, K.PUMP_DECOYS, K.PUMP_V_NOM, days, True),
-            f"""positions as materialized (select l_orderkey % 60 as i, {signals} from lineitem group by 1),
-  profile as (select case when i < 48 then i else i end as at, * exclude (i) from positions),
-  means as materialized (select {', '.join(f'avg("{c}") as "{c}"' for c in cols)} from positions where i >= 48),
-  episodes as materialized (select case when l_linestatus = 'O' then 'decoy_' || list_extract(
-      {K.PUMP_DECOYS}, (l_linenumber - 1) % 4 + 1) else 'failure_' || list_extract(
-      {K.PUMP_FAILURES}, (l_linenumber - 1) % 3 + 1) end as kind,
-    l_orderkey % case when l_linestatus = 'O' then 49 else 73 end as idx, {signals}
-    from lineitem group by 1, 2),
-  lens as (select kind, max(idx) + 1 as len from episodes group by 1)""",
+            man or manifest("device", K.PUMP_FAILURES, K.PUMP_DECOYS, K.PUMP_V_NOM, days, True),
+            pump_positions(signals),
             rows_and_walk(temps, K.PUMP_DRIFT_SD),
             f"""base as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h,
-    {', '.join(based(c) for c in cols)} from walk b join profile p
-    on p.at = case when b.row_i < 48 then b.row_i else 48 + (b.row_i - 48) % 12 end, means m)""",
-            windows((1.0, 6.0), (0.4, 1.6), 0.5, True),
+    {', '.join(based(c) for c in cols)} from walk b join positions p
+    on p.i = case when b.row_i < 48 then b.row_i else 48 + (b.row_i - 48) % 12 end, means m)""",
+            windows((1.0, 6.0), (0.4, 1.6), per_day, True),
             f"""l1 as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h,
     coalesce(w.kind, 'normal') as ev, {', '.join(event(c) for c in cols)}
     from base b left join kept w on {IN_WINDOW} {ANCHORS}
@@ -259,7 +268,7 @@ def pump_series(text: dict[str, str], days: float) -> str:
     from phased b left join broken x on x.device_id = b.device_id and x.row_i = b.row_i
     left join broken h on h.device_id = b.device_id and h.row_i = b.fail_row, means m)""",
         ]
-    ) + " " + final(cols, ", round(greatest(flow_in_m3s - flow_out_m3s, 0.0), 6) + 0.0 as flow_gap_m3s")
+    ) + " " + final(cols, extra + ", round(greatest(flow_in_m3s - flow_out_m3s, 0.0), 6) + 0.0 as flow_gap_m3s")
 
 
 def motor_inputs(text: dict[str, str], axes: dict[str, tuple[float, float]]) -> str:
@@ -309,7 +318,7 @@ def worn(t: str, nominal: str, failed: str, span: str) -> str:
       / (exp(3.0::double) - 1))"""
 
 
-def motor_series(text, axes, days: float) -> str:
+def motor_series(text, axes, days: float, man=None, per_day=0.5, extra="") -> str:
     resp, params, sd = K.MOTOR_RESPONSES, K.MOTOR_PARAMS, K.MOTOR_NOISE_SD
     speed, current = resp[:2]
     coupled = """(amb * 0.01 * sin(6.283185307179586 * (time_h - 14) / 24)
@@ -363,7 +372,7 @@ def motor_series(text, axes, days: float) -> str:
     wear_of = {k: K.MOTOR_WEAR[k] for k in K.MOTOR_WEAR}
     return "with recursive " + ", ".join(
         [
-            manifest("motor", K.MOTOR_FAILURES, K.MOTOR_DECOYS, K.MOTOR_V_NOM, days, False),
+            man or manifest("motor", K.MOTOR_FAILURES, K.MOTOR_DECOYS, K.MOTOR_V_NOM, days, False),
             motor_inputs(text, axes),
             rows_and_walk(resp, K.MOTOR_DRIFT_SD_LONG),
             f"""shift as (select device_id, {', '.join(
@@ -376,7 +385,7 @@ def motor_series(text, axes, days: float) -> str:
   base as materialized (select b.device_id, b.row_i, b.n, b.time_s, b.time_h,
     {', '.join(f'"m_{c}" + (b."{c}" - "m_{c}") * {duty} as "{c}"' for c in resp)},
     {', '.join(f'b."{c}"' for c in params)} from raw b join means using (device_id))""",
-            windows((1.0, 4.0), (0.4, 1.0), 0.5, False),
+            windows((1.0, 4.0), (0.4, 1.0), per_day, False),
             f"""aimed as materialized (select k.*, {', '.join(f'{seg_value("s", c, "x")} as "t_{c}"' for c in resp)}
     from (select *, {low} + amplitude * ({high} - {low}) as x from (select *, {by_value('kind', kinds)} as axis
       from kept)) k left join {seg_join('s', 'k.axis', 'x')}),
@@ -400,4 +409,119 @@ def motor_series(text, axes, days: float) -> str:
     from phased b left join l1 z on z.device_id = b.device_id and z.row_i = 0
     left join {seg_join('s', 'b.ftype', wear)} and {active})""",
         ]
-    ) + " " + final([*resp, *params])
+    ) + " " + final([*resp, *params], extra)
+
+
+def sample_dataset(machine: str, build, days: float, *inputs) -> str:
+    """Twin of a sample data set: the same build over four series per supplier."""
+    failures = K.PUMP_FAILURES if machine == "pump" else K.MOTOR_FAILURES
+    decoys = K.PUMP_DECOYS if machine == "pump" else K.MOTOR_DECOYS
+    names = [("normal_long", None)] + [(f"{f}_failure_long", f) for f in failures]
+    values = ", ".join(f"({i}, '{n}', {repr(f) if f else 'null'})" for i, (n, f) in enumerate(names))
+    man = f"""named as (select s_suppkey || '_' || name as device_id, ftype from supplier,
+    (values {values}) v(i, name, ftype)),
+  man as materialized (select device_id, {days}::double as days,
+    cast(floor({days} * 86400 / {FREQ}.0) as bigint) + 1 as n, {decoys} as types, ftype,
+    {days}::double * (0.7 + {sql_u(WHO, 'default_start')} * (0.9::double - 0.7::double)) as fday,
+    1.0::double as sev, 5.0::double as amb, 0.5::double as dut, 2.0::double as dfreq, 1.0::double as ns,
+    0.0::double as vo, 0.0::double as po from named)"""
+    number = "case " + " ".join(
+        f"when \\1 like '%\\_{n}' escape '\\' then {i}".replace("\\\\1", "\\1")
+        for i, (n, _) in enumerate(names)
+    ) + " end"
+    key = number.replace("\\1", "device_id")
+    extra = f", cast(split_part(device_id, '_', 1) as bigint) as s_suppkey, {key} as scenario_id"
+    sql = build(*inputs, days, man, 1.0 / 30.0, extra)
+    seed = re.compile(r"\(12345 \+ cast\(right\(((?:\w+\.)?device_id), 6\) as bigint\)\)")
+    return seed.sub(lambda m: f"(42 + {number.replace(chr(92) + '1', m.group(1))})", sql)
+
+
+def scenarios(machine: str, catalogue) -> str:
+    """CTE ``scen``: rows of every scenario of every supplier."""
+    values = ", ".join(
+        "({})".format(
+            ", ".join([str(i)] + [f"'{v}'" if v is not None else "null" for v in row])
+        )
+        for i, row in enumerate(catalogue)
+    )
+    return f"""scen as (select s_suppkey, v.*, s_suppkey || '_' || scenario_id as device_id, row_i,
+    row_i * {FREQ} as time_s, row_i * {FREQ} / 3600.0::double as time_h, kind = 'failure' as faulty
+    from supplier, (values {values}) v(scenario_id, scenario, grp, kind, ftype, dtype), range(0, 73) r(row_i))"""
+
+
+def scenario_labels(fail: str) -> str:
+    return f"""case when {fail} is null then 'NORMAL' when row_i >= {fail} then 'FAILURE'
+      when row_i >= greatest({fail} - 12, 0) then 'PRE_FAILURE' else 'NORMAL' end as label,
+    case when {fail} is null or row_i < greatest({fail} - 12, 0) then -1.0::double
+      else greatest({fail} - row_i, 0) * {FREQ}.0::double end as time_to_failure_s"""
+
+
+SCENARIO_KEYS = "s_suppkey, scenario_id, scenario, row_i, time_s, time_h, label, time_to_failure_s"
+
+
+def motor_scenarios(text, axes, catalogue) -> str:
+    resp, params, sd = K.MOTOR_RESPONSES, K.MOTOR_PARAMS, K.MOTOR_NOISE_SD
+    key = "'42|' || device_id || '|' || row_i"
+    wear = worn("time_s::double", "p_nom", "p_fail", "21600.0::double")
+    axis_of = by_value("dtype", K.MOTOR_DECOY_AXIS)
+    low = by_value("axis", {a: v[0] for a, v in K.MOTOR_INPUTS.items()})
+    high = by_value("axis", {a: v[1] for a, v in K.MOTOR_INPUTS.items()})
+    shape = """case when dtype like '%ramp' then least(greatest((time_s - 7200) / 7200.0::double, 0), 1)
+      else 1.0::double end"""
+    pars = ", ".join(
+        f"case when ftype = '{k}' then x else {v[1]!r}::double end as \"{v[0]}\"" for k, v in K.MOTOR_WEAR.items()
+    )
+    values = ", ".join(
+        f"""round("{c}" + {sql_n(key, 'noise_' + c)} * {sd[c]} + sum({K.MOTOR_DRIFT_SD_SHORT}
+      * {sql_n(key, 'drift_' + c)}) over (partition by device_id order by row_i), 6) + 0.0 as "{c}" """
+        for c in resp
+    )
+    rest = ", ".join(f'round("{c}", 6) + 0.0 as "{c}"' for c in params)
+    read = ", ".join(f'coalesce({seg_value("s", c, "x")}, v."{c}") as "{c}"' for c in resp)
+    return "with " + ", ".join(
+        [
+            motor_inputs(text, axes),
+            scenarios("motor", catalogue),
+            f"""driven as (select *, case when faulty then {wear}
+      when dtype is not null and time_s >= 7200 then {low} + {shape} * ({high} - {low}) end as x
+    from (select *, coalesce(ftype, {axis_of}) as axis,
+      {by_value('ftype', {k: v[1] for k, v in K.MOTOR_WEAR.items()})} as p_nom,
+      {by_value('ftype', {k: v[2] for k, v in K.MOTOR_WEAR.items()})} as p_fail from scen)),
+  clean as (select d.*, {read}, {pars} from driven d cross join level v
+    left join {seg_join('s', 'd.axis', 'd.x')}),
+  hits as (select device_id, coalesce(min(row_i) filter ("{resp[0]}" / (select "{resp[0]}" from level) < 0.4),
+    max(row_i)) as f from clean where faulty group by 1)
+  select {SCENARIO_KEYS}, {values}, {rest} from (select c.*, {scenario_labels('f')}
+    from clean c left join hits using (device_id))""",
+        ]
+    )
+
+
+def pump_scenarios(text, catalogue) -> str:
+    sd = K.PUMP_NOISE_SD
+    key = "'42|' || device_id || '|' || row_i"
+    signals = ", ".join(f'{t} as "{c}"' for c, t in text.items())
+
+    def value(c):
+        x = f'case when e.kind is not null then e."{c}" else p."{c}" end'
+        return f"""round({x} + {sd[c]} * {sql_n(key, 'noise_' + c)}, 6) + 0.0 as "{c}" """
+
+    return "with " + ", ".join(
+        [
+            pump_positions(signals),
+            scenarios("pump", catalogue),
+            f"""done as (select s.* exclude (kind), {', '.join(value(c) for c in text)},
+    round(greatest({noisy('flow_in_m3s', sd, key)} - {noisy('flow_out_m3s', sd, key)}, 0.0), 6) + 0.0
+      as flow_gap_m3s, case when faulty then max(row_i) over (partition by device_id) end as f
+    from scen s join positions p on p.i = case when row_i < 48 then row_i else 48 + (row_i - 48) % 12 end
+    left join episodes e on e.kind = case when faulty then 'failure_' || ftype else 'decoy_' || dtype end
+      and e.idx = case when faulty then row_i else row_i - 24 end
+    where not faulty or e.kind is not null)""",
+        ]
+    ) + f""" select {SCENARIO_KEYS}, {', '.join(f'"{c}"' for c in text)}, flow_gap_m3s
+      from (select *, {scenario_labels('f')} from done)"""
+
+
+def noisy(c, sd, key) -> str:
+    x = f'case when e.kind is not null then e."{c}" else p."{c}" end'
+    return f"({x} + {sd[c]} * {sql_n(key, 'noise_' + c)})"
