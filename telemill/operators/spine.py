@@ -17,28 +17,34 @@ def row_count(days: Column, freq_s: int) -> Column:
     return F.floor(days.cast("double") * 86400.0 / F.lit(float(freq_s))).cast("bigint") + 1
 
 
-def day_spine(
-    devices: DataFrame, freq_s: int, days: str = "duration_days", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """One row per (device, day) with its row range, spread for what it will grow to.
-
-    The table is tiny, so the task count is set from the number of series rows
-    it stands for; adaptive coalescing would otherwise see only the small input.
-    """
+def day_table(devices: DataFrame, freq_s: int, days: str = "duration_days") -> DataFrame:
+    """One row per (device, day) with the range of rows it holds (``_from``, ``_to``)."""
     f = int(freq_s)
-    last = row_count(F.col(days), f) - 1
-    total = devices.agg(F.sum(last + 1)).first()[0] or 0
-    spark = devices.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_task))
     return (
-        devices.withColumn("_last", last)
+        devices.withColumn("_last", row_count(F.col(days), f) - 1)
         .withColumn("day", F.explode(F.expr(f"sequence(0L, (_last * {f}) div 86400)")))
         .withColumn("_from", F.expr(f"(day * 86400 + {f - 1}) div {f}"))
         .withColumn("_to", F.expr(f"least(_last, ((day + 1) * 86400 - 1) div {f})"))
-        .repartition(int(n), "device_id", "day")
     )
 
 
+def place(table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Spread a (device, day) table for the rows it will grow to.
+
+    The table is tiny, so the task count is set from the number of series rows
+    it stands for; adaptive coalescing would otherwise see only the small input.
+    """
+    total = table.agg(F.sum(F.col("_to") - F.col("_from") + 1)).first()[0] or 0
+    spark = table.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_task))
+    return table.repartition(int(n), "device_id", "day")
+
+
+def day_spine(devices: DataFrame, freq_s: int, days: str = "duration_days") -> DataFrame:
+    """The placed (device, day) table of a set of devices."""
+    return place(day_table(devices, freq_s, days))
+
+
 def day_rows(days: DataFrame, freq_s: int) -> DataFrame:
     """Open each (device, day) into its rows; the partitioning stays."""
     return (

@@ -20,7 +20,7 @@ from ..operators.intervals import lay_over
 from ..operators.joins import with_anchor
 from ..operators.labels import label_values
 from ..operators.manifest import default_severity, default_start_day
-from ..operators.spine import day_rows, day_spine, row_count
+from ..operators.spine import day_rows, day_table, place, row_count
 from ..session import materialize, use_compiled_code
 
 KEY = "device_id"
@@ -52,23 +52,14 @@ def place_days(
     between days needs no pass over the rows; ``open_days`` fills in the rows of
     a day given its total. The result has the law of independent steps per row.
     """
-    days = day_spine(devices, freq_s)
     n = (F.col("_to") - F.col("_from") + 1).cast("double")
     total = {
-        c: draws.normal([KEY, "day"], f"drift_day_{c}", 0.0, F.lit(sd) * F.sqrt(n)) for c in cols
+        f"_t_{c}": draws.normal([KEY, "day"], f"drift_day_{c}", 0.0, F.lit(sd) * F.sqrt(n))
+        for c in cols
     }
     earlier = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    walked = (
-        days.select(KEY, "seed", "day", "_from", "_to")
-        .withColumns({f"_t_{c}": x for c, x in total.items()})
-        .select(
-            KEY,
-            "day",
-            *[f"_t_{c}" for c in cols],
-            *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0.0)).alias(f"_c_{c}") for c in cols],
-        )
-    )
-    return days.join(materialize(walked, "day-walk"), [KEY, "day"])
+    reached = {f"_c_{c}": F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0.0)) for c in cols}
+    return place(day_table(devices, freq_s).withColumns(total).withColumns(reached))
 
 
 def open_days(

@@ -213,7 +213,7 @@ def manifest_unflatten(spark, sf):
 
 RESULTS = """results as (select printf('order_%08d', o_orderkey) as device_id,
     o_custkey as num_rows, cast(floor(o_totalprice) as bigint) as file_size_bytes,
-    round(o_totalprice / 1000, 2) as generation_time_s,
+    o_totalprice / 1000 as generation_time_s,
     case o_orderstatus when 'F' then 'completed' when 'O' then 'error: open' else 'pending' end
       as status from orders)"""
 
@@ -224,7 +224,7 @@ def results(spark, sf):
         F.format_string("order_%08d", "o_orderkey").alias("device_id"),
         F.col("o_custkey").alias("num_rows"),
         F.floor("o_totalprice").alias("file_size_bytes"),
-        F.round(F.col("o_totalprice") / 1000, 2).alias("generation_time_s"),
+        (F.col("o_totalprice") / 1000).alias("generation_time_s"),
         F.when(state == "F", "completed").when(state == "O", "error: open").otherwise("pending").alias(
             "status"
         ),
