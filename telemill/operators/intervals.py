@@ -325,20 +325,49 @@ def resolve_events(
 ) -> DataFrame:
     """Event type per row where windows overlap: the last name in ``priority`` wins.
 
-    ``windows`` has ``kind``; a kind is ranked by its part before the first
-    underscore or by its whole name.
+    ``windows`` has ``kind``; a kind is ranked by its whole name or by its part
+    before the first underscore. The windows are first cut into pieces that do
+    not overlap, so each row meets one piece at most and no row is moved for it.
     """
     ranks = {name: i for i, name in enumerate(priority)}
     whole, head = F.col("kind"), F.substring_index("kind", "_", 1)
     rank = F.coalesce(*[F.when(whole == n, F.lit(i)) for n, i in ranks.items()])
     rank = F.coalesce(rank, *[F.when(head == n, F.lit(i)) for n, i in ranks.items()], F.lit(-1))
-    ranked = windows.select(
-        key, "start_row", "end_row", F.struct(rank.alias("r"), "kind").alias("_event")
+    placed = in_buckets(
+        windows.select(
+            key,
+            F.col("start_row").alias("_s"),
+            F.col("end_row").alias("_e"),
+            F.struct(rank.alias("r"), "kind").alias("_event"),
+        ),
+        "_s",
+        "_e",
+        bucket,
+    )
+    near = Window.partitionBy(key, "_bucket").orderBy("_from")
+    pieces = (
+        placed.select(key, "_bucket", F.explode(F.array("_s", "_e")).alias("_from"))
+        .distinct()
+        .withColumn("_to", F.lead("_from").over(near))
+        .where(F.col("_to").isNotNull())
+    )
+    best = (
+        pieces.join(placed, [key, "_bucket"])
+        .where((F.col("_s") <= F.col("_from")) & (F.col("_e") >= F.col("_to")))
+        .groupBy(key, "_bucket", "_from", "_to")
+        .agg(F.max("_event.r").alias("_r"), F.max_by("_event.kind", "_event.r").alias("_kind"))
+    )
+    stored = materialize(best.select(key, "_bucket", "_from", "_to", "_kind"), "event-pieces")
+    at = F.expr(bucket_of("`row_i`", bucket))
+    right = stored.withColumnRenamed(key, "_key")
+    on = (
+        (F.col(key) == F.col("_key"))
+        & (at == F.col("_bucket"))
+        & (F.col("row_i") >= F.col("_from"))
+        & (F.col("row_i") < F.col("_to"))
     )
-    hit = lay_over(rows.select(key, "row_i"), ranked, key, bucket=bucket, how="inner")
-    best = hit.groupBy(key, "row_i").agg(F.max("_event").alias("_event"))
     return (
-        rows.join(best, [key, "row_i"], "left")
-        .withColumn("event_type", F.coalesce(F.col("_event.kind"), F.lit(default)))
-        .drop("_event")
+        rows.join(right, on, "left")
+        .withColumn("event_type", F.coalesce("_kind", F.lit(default)))
+        .drop(*right.columns)
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import attach
 
 ROWS_PER_TASK = 2_000_000
@@ -105,6 +106,32 @@ def profile_index(startup_rows: int, cycle_rows: int, row: str = "row_i") -> Col
     return F.when(i < s, i).otherwise(F.lit(s) + (i - s) % c)
 
 
+def profile_table(
+    template: DataFrame, signals: Sequence[str], startup_rows: int, cycle_rows: int
+) -> DataFrame:
+    """Template rows by their position in (start-up, then one cycle).
+
+    Stored, so that the join with the series is a broadcast only while the table
+    really is as small as one row per position makes it.
+    """
+    at = F.when(F.col("phase") == "startup", F.col("idx")).otherwise(
+        F.lit(int(startup_rows)) + F.col("idx")
+    )
+    used = template.where(
+        ((F.col("phase") == "startup") & (F.col("idx") < int(startup_rows)))
+        | ((F.col("phase") == "cycle") & (F.col("idx") < int(cycle_rows)))
+    )
+    return materialize(used.select(at.cast("bigint").alias("_at"), *signals), "profile")
+
+
+def tile_profile(
+    rows: DataFrame, profile: DataFrame, startup_rows: int, cycle_rows: int, row: str = "row_i"
+) -> DataFrame:
+    """Tile a stored ``profile_table`` over rows."""
+    at = profile_index(startup_rows, cycle_rows, row)
+    return rows.withColumn("_at", at).join(profile, "_at").drop("_at")
+
+
 def tile(
     rows: DataFrame,
     template: DataFrame,
@@ -115,21 +142,10 @@ def tile(
 ) -> DataFrame:
     """Start-up once, then the steady cycle over and over, cut at the end.
 
-    ``template`` has ``phase`` and ``idx`` and one row per pair, so the part
-    that is broadcast has at most ``startup_rows + cycle_rows`` rows.
+    ``template`` has ``phase`` and ``idx`` and one row per pair.
     """
-    at = F.when(F.col("phase") == "startup", F.col("idx")).otherwise(
-        F.lit(int(startup_rows)) + F.col("idx")
-    )
-    used = template.where(
-        ((F.col("phase") == "startup") & (F.col("idx") < int(startup_rows)))
-        | ((F.col("phase") == "cycle") & (F.col("idx") < int(cycle_rows)))
-    ).select(at.cast("bigint").alias("_at"), *signals)
-    return (
-        rows.withColumn("_at", profile_index(startup_rows, cycle_rows, row))
-        .join(F.broadcast(used), "_at")
-        .drop("_at")
-    )
+    used = profile_table(template, signals, startup_rows, cycle_rows)
+    return tile_profile(rows, used, startup_rows, cycle_rows, row)
 
 
 def template_mean(template: DataFrame, signals: Sequence[str], prefix: str = "mean_") -> DataFrame:

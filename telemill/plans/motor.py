@@ -135,7 +135,8 @@ def build_motor(
         event = F.coalesce(kind, F.lit("normal")).alias("event_type")
         return mixed.select(*rows.columns, event)
 
-    failures = _failures(devices, lut, freq_s)
+    curves = materialize(curve_array(lut, RESPONSES), "curves")
+    failures = materialize(_failures(devices, curves, freq_s), "failures")
     fixed = Y.at_rows(
         days,
         Y.points_of(failures, "first_row"),
@@ -204,13 +205,13 @@ def _events(devices, lut, draws, freq_s, per_month, maintenance_h, decoy_h) -> D
     )
 
 
-def _failures(devices, lut, freq_s) -> DataFrame:
+def _failures(devices, curves, freq_s) -> DataFrame:
     """Failing devices with their wear curve and the row where speed gives out."""
     wear = {k: v for k, v in K.MOTOR_WEAR.items()}
     f = (
         devices.where("failure_type is not null")
         .withColumn("axis", F.col("failure_type"))
-        .join(F.broadcast(curve_array(lut, RESPONSES)), "axis")
+        .join(curves, "axis")
         .withColumns(
             {
                 "wear_column": pick("axis", {k: v[0] for k, v in wear.items()}),

@@ -14,7 +14,7 @@ from ..functions.draws import Draws
 from ..operators import overlay as O
 from ..operators.intervals import fit_windows, lay_over, schedule
 from ..operators.modulate import apply_pump_offsets, noise
-from ..operators.spine import template_mean, tile, with_one_row
+from ..operators.spine import profile_table, template_mean, tile_profile, with_one_row
 from ..session import materialize
 from . import layers as Y
 
@@ -56,6 +56,7 @@ def build_pump(
     profile = materialize(inputs.profile.select("phase", "idx", *SIGNALS), "profile")
     episodes = materialize(inputs.episodes.select("kind", "idx", *SIGNALS), "episodes")
     mean = template_mean(profile, SIGNALS)
+    tiles = profile_table(profile, SIGNALS, startup, cycle)
     devices = with_one_row(Y.prepared(manifest, freq_s, draws), mean)
 
     days = Y.place_days(devices, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
@@ -65,7 +66,7 @@ def build_pump(
 
     def base(rows: DataFrame) -> DataFrame:
         """Tiled profile, noise, drift, ambient, duty, device offsets."""
-        df = tile(rows, profile, SIGNALS, startup, cycle)
+        df = tile_profile(rows, tiles, startup, cycle)
         warm = ambient_temperature(F.col("time_h"), F.col("ambient_var_K"))
         duty = duty_factor(F.col("time_h"), F.col("duty_cycle_var"), 0.6, smooth=True)
         df = df.withColumns({"_warm": warm, "_duty": duty})
@@ -87,7 +88,9 @@ def build_pump(
             F.col("p_offset"),
         )
 
-    lengths = episodes.groupBy("kind").agg((F.max("idx") + 1).alias("_len"))
+    lengths = materialize(
+        episodes.groupBy("kind").agg((F.max("idx") + 1).alias("_len")), "episode-lengths"
+    )
     events = _events(
         devices, lengths, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
@@ -148,7 +151,7 @@ def _events(devices, lengths, draws, freq_s, per_month, maintenance_h, decoy_h)
         amplitude=(0.4, 1.6),
     )
     # A decoy stops when its recorded episode runs out; unknown kinds are left out.
-    decoys = decoys.join(F.broadcast(lengths), "kind").withColumn(
+    decoys = decoys.join(lengths, "kind").withColumn(
         "end_row", F.least("proposed_end", F.col("start_row") + F.col("_len"))
     )
     cols = [
@@ -186,7 +189,7 @@ def _failures(devices, lengths, freq_s) -> DataFrame:
     return (
         devices.where("failure_type is not null")
         .withColumn("kind", F.concat(F.lit("failure_"), "failure_type"))
-        .join(F.broadcast(lengths), "kind")
+        .join(lengths, "kind")
         .withColumn("fail_start", start)
         .where("fail_start < n_rows")
         .withColumn(

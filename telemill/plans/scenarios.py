@@ -104,7 +104,7 @@ def motor_scenarios(
     curves = materialize(curve_array(lut, K.MOTOR_RESPONSES), "curves")
     rows = _rows(units.withColumn("_severity", F.lit(severity)), unit, "motor", freq_s, horizon_s)
     axis = F.coalesce("failure_type", pick("decoy_type", K.MOTOR_DECOY_AXIS))
-    rows = rows.withColumn("axis", axis).join(F.broadcast(curves), "axis", "left")
+    rows = rows.withColumn("axis", axis).join(curves, "axis", "left")
     level = inputs.healthy.select(
         *[F.col(c).alias(f"level_{c}") for c in K.MOTOR_RESPONSES]
     )
