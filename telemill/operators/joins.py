@@ -29,7 +29,10 @@ def with_anchor(
     key: str = "device_id",
     row: str = "row_i",
 ) -> DataFrame:
-    """Add the row values at row ``at`` of each window, as ``prefix + column``."""
+    """Add the values at row ``at`` of each window, as ``prefix + column``.
+
+    For rows already cut down to the anchors; see ``with_anchors`` for a whole series.
+    """
     values = rows.select(
         F.col(key).alias("_k"),
         F.col(row).alias("_r"),
@@ -38,3 +41,33 @@ def with_anchor(
     return windows.join(
         values, (F.col(key) == F.col("_k")) & (F.col(at) == F.col("_r")), "left"
     ).drop("_k", "_r")
+
+
+def with_anchors(
+    windows: DataFrame,
+    rows: DataFrame,
+    at: dict[str, tuple[str, Sequence[str]]],
+    key: str = "device_id",
+    row: str = "row_i",
+) -> DataFrame:
+    """Add row values of a whole series to windows: ``prefix -> (row column, columns)``.
+
+    The rows are read once for all prefixes and only the named ones are kept; a
+    table of row numbers small enough to broadcast leaves the rows where they
+    are. The result is stored.
+    """
+    windows = materialize(windows, "windows")
+    points = None
+    for column, _ in at.values():
+        one = windows.select(F.col(key).alias("_k"), F.col(column).cast("bigint").alias("_r"))
+        points = one if points is None else points.unionByName(one)
+    cols = list(dict.fromkeys(c for _, named in at.values() for c in named))
+    picked = materialize(
+        rows.select(key, row, *cols)
+        .join(points.distinct(), (F.col(key) == F.col("_k")) & (F.col(row) == F.col("_r")))
+        .drop("_k", "_r"),
+        "anchors",
+    )
+    for prefix, (column, named) in at.items():
+        windows = with_anchor(windows, picked, named, column, prefix, key, row)
+    return materialize(windows, "anchored")

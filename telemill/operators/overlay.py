@@ -29,7 +29,7 @@ from ..constants import (
 from ..functions.curves import degrade, ease
 from ..functions.draws import Draws
 from .intervals import BUCKET, lay_over
-from .joins import with_anchor
+from .joins import with_anchors
 from .lut import with_curve
 
 KEY, ROW = "device_id", "row_i"
@@ -160,10 +160,11 @@ def overlay_shutdown(
 ) -> DataFrame:
     """Maintenance windows over rows; the two maps give each signal's noise spread."""
     cols = [*stopped, *cooled]
-    placed = with_anchor(
-        windows.select(KEY, "start_row", "end_row"), rows, cols, "start_row", "start_"
+    placed = with_anchors(
+        windows.select(KEY, "start_row", "end_row"),
+        rows,
+        {"start_": ("start_row", cols), "other_": ("end_row", cols)},
     )
-    placed = with_anchor(placed, rows, cols, "end_row", "other_")
     groups = {"stop": list(stopped), "cool": list(cooled)}
     return _laid(
         rows, placed, bucket, shutdown_mixes(freq_s), groups, {**stopped, **cooled}, draws,
@@ -254,7 +255,7 @@ def splice(
     ``speed_up`` (a window column, 1 = as recorded) runs through the episode faster.
     """
     idx = since() if speed_up is None else F.floor(since() * speed_up).cast("bigint")
-    placed = with_anchor(windows, rows, cols, "start_row", "pre_")
+    placed = with_anchors(windows, rows, {"pre_": ("start_row", list(cols))})
     placed = with_episode(placed, episodes, cols, F.lit(0), "ep0_")
     placed = placed.withColumns(splice_starts(cols, draws, amplitude, sd_by_col))
     joined = with_episode(lay_over(rows, placed, bucket=bucket), episodes, cols, idx, "ep_")
@@ -286,7 +287,7 @@ def overlay_target(
 ) -> DataFrame:
     """Move the signals to ``other_*`` (on the windows) over each window."""
     cols = list(sd_by_col)
-    placed = with_anchor(windows, rows, cols, "start_row", "start_")
+    placed = with_anchors(windows, rows, {"start_": ("start_row", cols)})
     return _laid(rows, placed, bucket, {"all": target_mix()}, {"all": cols}, sd_by_col, draws)
 
 
@@ -366,8 +367,8 @@ def overlay_downtime(
     bucket: tuple[int, int] = BUCKET,
 ) -> DataFrame:
     """Lay the downtime over the ``rows_down`` rows after each ``fail_row``."""
-    placed = with_anchor(
-        failures.select(KEY, "fail_row"), rows, [*cooled, *frozen], "fail_row", "start_"
+    placed = with_anchors(
+        failures.select(KEY, "fail_row"), rows, {"start_": ("fail_row", [*cooled, *frozen])}
     ).withColumns(
         {
             "start_row": F.col("fail_row") + 1,
