@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import LABELS
 from ..functions.derive import fixed_text
-from .chunks import CHUNK, CHUNK_ROWS, neighbours, running, trailing_sum
+from ..session import materialize
+from .chunks import CHUNK, CHUNK_ROWS, neighbours, trailing_sum
 from .joins import attach
 from .spine import with_one_row
 
@@ -53,7 +54,9 @@ def event_spans(
 ) -> DataFrame:
     """Runs of equal values: ``start``, ``end`` (time of the row after), value, rows.
 
-    The last run of a series ends at its last time.
+    The last run of a series ends at its last time. Rows are first summed up to
+    the runs inside each chunk, which moves them once; only those fragments are
+    then joined across chunk borders.
     """
     near = neighbours(
         df.select(key, row, time, col),
@@ -63,18 +66,38 @@ def event_spans(
         chunk_rows,
         keep_chunk=True,
     )
-    opened = near.withColumn(
-        "_open",
-        F.when((F.col(row) == 0) | ~F.col(col).eqNullSafe(F.col("_prev")), F.col(row)),
+    opens = (F.col(row) == 0) | ~F.col(col).eqNullSafe(F.col("_prev"))
+    so_far = (
+        Window.partitionBy(key, CHUNK).orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
     )
-    return (
-        running(opened, [key], {"start_row": ("_open", "last")}, [row])
-        .groupBy(key, "start_row")
+    fragments = materialize(
+        near.withColumn("_open", F.when(opens, F.col(row)))
+        .withColumn("_start", F.last("_open", ignorenulls=True).over(so_far))
+        .groupBy(key, CHUNK, "_start")
         .agg(
             F.min(time).alias("start"),
             F.max(F.coalesce("_next_time", time)).alias("end"),
             F.any_value(col).alias(col),
             F.count(F.lit(1)).alias("rows"),
+        ),
+        "span-fragments",
+    )
+    # A fragment without a start of its own goes on from an earlier chunk.
+    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    open_run = F.last("_last", ignorenulls=True).over(earlier)
+    carried = (
+        fragments.groupBy(key, CHUNK)
+        .agg(F.max("_start").alias("_last"))
+        .select(key, CHUNK, open_run.alias("_carried"))
+    )
+    return (
+        fragments.join(carried, [key, CHUNK])
+        .groupBy(key, F.coalesce("_start", "_carried").alias("start_row"))
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.any_value(col).alias(col),
+            F.sum("rows").alias("rows"),
         )
     )
 
