@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..queries.base import Registry, table
 from ..session import new_path
-from . import mixing, sharding
+from . import mixing, sharding, substring
 
 register = Registry()
 
@@ -61,3 +61,9 @@ from ordered"""
 @register("op3_weighted_mixing", MIX_SQL)
 def op3_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_block_anchors")
+def op2_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "repeat_starts", "repeat_ends")
