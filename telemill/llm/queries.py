@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..queries.base import Registry, table
 from ..session import new_path
-from . import mixing, sharding, substring
+from . import jaccard, mixing, sharding, substring
 
 register = Registry()
 
@@ -67,3 +67,8 @@ def op3_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "repeat_starts", "repeat_ends")
+
+
+@register("op10_shingle_jaccard")
+def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
