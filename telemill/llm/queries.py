@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..queries.base import Registry, table
 from ..session import new_path
-from . import jaccard, mixing, sharding, substring
+from . import jaccard, mixing, sharding, substring, toxicity
 
 register = Registry()
 
@@ -72,3 +72,9 @@ def op2_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_shingle_jaccard")
 def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op7_recurrent_toxicity")
+def op7_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
