@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..queries.base import Registry, table
+from ..queries.base import Registry
+from ..queries.base import table as read_table
 from ..session import new_path
-from . import jaccard, mixing, sharding, substring, toxicity
+from . import jaccard, language, mixing, sharding, substring, toxicity
+from .tables import ship_package
 
 register = Registry()
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return read_table(spark, sf_dir, name)
+
+
 @register("op1_virtual_slots")
 def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -78,3 +85,9 @@ def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op5_rank_order_language")
+def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,3 +34,18 @@ def in_pieces(docs: DataFrame, n: int, *columns: str) -> DataFrame:
 def crc32_mod(column: str, n: int):
     """crc32 of a column as text, modulo ``n``."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package where they wouldn't find it by their own path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    app = spark.sparkContext.applicationId
+    if os.path.realpath(root) in found | {os.path.realpath(os.getcwd())} or app in _SHIPPED:
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "telemill"), "zip", root, "telemill")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
