@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..queries.base import Registry
 from ..queries.base import table as read_table
 from ..session import new_path
-from . import jaccard, language, mixing, sharding, substring, toxicity
+from . import decontam, jaccard, language, mixing, sharding, substring, toxicity, vectors
 from .tables import ship_package
 
 register = Registry()
@@ -91,3 +91,14 @@ def op7_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
+
+
+@register("op9_projection_forest")
+def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op6_template_decontamination")
+def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and item; documents without a row hold no item."""
+    return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
