@@ -44,7 +44,7 @@ PAIRS_PER_POSTING = 4
 COUNTS = "piece long, bucket long, n long, keys binary, often binary"
 CODES = "piece long, bucket long, n long, bits binary, codes binary"
 SETS = "doc_id long, n_shingles long, signature binary, shared binary, codes binary"
-POSTINGS = "token long, rep long, n long, alone long, l int"
+POSTINGS = "token long, rep long, n long, at long, alone long, l int"
 PAIR = "a long, b long"
 
 
@@ -196,8 +196,9 @@ def _post(batches):
         for rep, n, shared, codes in zip(t["rep"], t["n"], t["shared"], t["codes"], strict=True):
             c = np.frombuffer(codes, np.uint8)
             length, size = best_length(n, c)
-            for token in np.frombuffer(shared, np.int64)[:size].tolist():
-                rows.append((token, rep, n, n - len(c), length))
+            alone = n - len(c)
+            for at, token in enumerate(np.frombuffer(shared, np.int64)[:size].tolist()):
+                rows.append((token, rep, n, alone + at, alone, length))
         yield from rows_table(rows, POSTINGS).to_batches()
 
 
@@ -226,6 +227,11 @@ def _close(a, b):
     return (4 * F.least(a, b)) >= (3 * F.greatest(a, b))
 
 
+def _overlap(a, b):
+    """Smallest overlap of two similar sets: 3 / 7 of both sizes, rounded up."""
+    return F.ceil((F.lit(3) * (a + b)) / F.lit(7))
+
+
 def _lists(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Postings with their component, the largest component of their list, and the list's size."""
     if labels is None:
@@ -278,14 +284,28 @@ def linked_classes(classes: DataFrame, also: DataFrame) -> DataFrame:
         turn += 1
     if not total:
         return components(also)
-    x = lists.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("rep", "n", "l", "comp")))
-    y = lists.select("token", "rep", "n", "l", "comp", "minor")
+    # the first ``l`` common shingles stand before place ``n - overlap + l`` in either set
+    x = lists.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("rep", "n", "at", "l", "comp")))
+    y = lists.select("token", "rep", "n", "at", "l", "comp", "minor")
+    spare = F.least("l", "l_x") - _overlap(F.col("n"), F.col("n_x"))
+    met = x.join(y, "token").filter(
+        (F.col("comp") != F.col("comp_x"))
+        & (~F.col("minor") | (F.col("rep_x") < F.col("rep")))
+        & _close(F.col("n"), F.col("n_x"))
+        & (F.col("at") < F.col("n") + spare)
+        & (F.col("at_x") < F.col("n_x") + spare)
+    )
+    # either of a pair may be the minor one of a list; behind the last match that
+    # was seen, no more can match than the shorter rest
+    turned = F.col("rep") < F.col("rep_x")
+    pair = lambda c: (F.when(turned, F.col(f"{c}_x")).otherwise(F.col(c)), F.when(turned, F.col(c)).otherwise(F.col(f"{c}_x")))
+    (a, b), (na, nb), (at, bt) = pair("rep"), pair("n"), pair("at")
     pairs = (
-        x.join(y, "token")
-        .filter((F.col("comp") != F.col("comp_x")) & (~F.col("minor") | (F.col("rep_x") < F.col("rep"))) & _close(F.col("n"), F.col("n_x")))
-        .groupBy(F.greatest("rep", "rep_x").alias("a"), F.least("rep", "rep_x").alias("b"))
-        .agg(F.count(F.lit(1)).alias("matches"), F.min(F.least("l", "l_x")).alias("least"))
-        .filter("matches >= least")
+        met.select(a.alias("a"), b.alias("b"), na.alias("na"), nb.alias("nb"), at.alias("at"), bt.alias("bt"), F.least("l", "l_x").alias("l"))
+        .groupBy("a", "b", "na", "nb", "l")
+        .agg(F.count(F.lit(1)).alias("matches"), F.max("at").alias("at"), F.max("bt").alias("bt"))
+        .withColumn("rest", F.least(F.col("na") - F.col("at"), F.col("nb") - F.col("bt")) - 1)
+        .filter((F.col("matches") >= F.col("l")) & (F.col("matches") + F.col("rest") >= _overlap(F.col("na"), F.col("nb"))))
         .select("a", "b")
     )
     found = verified(pairs, classes)

@@ -15,8 +15,6 @@ the tasks; scoring is one pass without shuffles and treats every document alone.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +26,7 @@ from .words import GAP, LOWER, find, utf8, word_hashes
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 #: Labelled documents of either class that training may see.
-SAMPLE = 2_000
+SAMPLE = 1_500
 VOCABULARY = 4_000
 ROUNDS, BATCH = 6, 128
 OUT = "doc_id long, held_out boolean, score double, predicted int, n_windows long"
@@ -75,24 +73,23 @@ class Model:
         self.p |= {"att": f(2 * h, 1)[:, 0], "out": f(2 * h, 1)[:, 0], "bias": np.zeros(1, np.float32)}
         self.scale, self.shift = 1.0, 0.0
 
-    def inputs(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """Word id and input vector of every token."""
-        ids = np.zeros(len(t.hashes), np.int64)
+    def inputs(self, t: Tokens, lo: int = 0, hi: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Word id and input vector of the tokens from ``lo`` to ``hi``."""
+        hashes, starts, stops = t.hashes[lo:hi], t.starts[lo:hi], t.stops[lo:hi]
+        ids = np.zeros(len(hashes), np.int64)
         if len(self.vocabulary):
-            at = np.searchsorted(self.vocabulary, t.hashes)
+            at = np.searchsorted(self.vocabulary, hashes)
             at[at == len(self.vocabulary)] = 0
-            ids = np.where(self.vocabulary[at] == t.hashes, at + 1, 0)
+            ids = np.where(self.vocabulary[at] == hashes, at + 1, 0)
         x = np.empty((len(ids), WORD_DIM + CHAR_DIM), np.float32)
         x[:, :WORD_DIM] = self.p["word"][ids]
-        size = (t.stops - t.starts).astype(np.float32)[:, None]
         i = 0
         while i < len(ids):  # sums of bytes in blocks, so that long texts need little memory
-            j = max(i + 1, int(np.searchsorted(t.stops, t.starts[i] + (1 << 18), "right")))
-            lo = int(t.starts[i])
-            rows = self.p["char"][t.data[lo : int(t.stops[j - 1])]]
-            x[i:j, WORD_DIM:] = np.add.reduceat(rows, t.starts[i:j] - lo, axis=0)
+            j = max(i + 1, int(np.searchsorted(stops, starts[i] + (1 << 18), "right")))
+            rows = self.p["char"][t.data[starts[i] : stops[j - 1]]]
+            x[i:j, WORD_DIM:] = np.add.reduceat(rows, starts[i:j] - starts[i], axis=0)
             i = j
-        x[:, WORD_DIM:] /= size
+        x[:, WORD_DIM:] /= (stops - starts).astype(np.float32)[:, None]
         return ids, x
 
     def _scan(self, xs, side):
@@ -133,14 +130,13 @@ class Model:
         pooled = np.einsum("tw,twh->wh", a, h)
         return pooled @ self.p["out"] + self.p["bias"][0], (at, live, h, a, pooled, kf, kb)
 
-    def windows(self, t: Tokens, block: int = 4096) -> np.ndarray:
-        """Logits of all windows, a block of documents' tokens at a time."""
+    def windows(self, t: Tokens, block: int = 2048) -> np.ndarray:
+        """Logits of all windows, a block of them and their tokens at a time."""
         logits = np.zeros(len(t.begin), np.float32)
-        if len(logits) == 0:
-            return logits
-        proj = self._project(self.inputs(t)[1])
         for i in range(0, len(logits), block):
-            logits[i : i + block] = self.forward(proj, t.begin[i : i + block], t.length[i : i + block])[0]
+            begin, length = t.begin[i : i + block], t.length[i : i + block]
+            lo, hi = int(begin[0]), int((begin + length).max())
+            logits[i : i + block] = self.forward(self._project(self.inputs(t, lo, hi)[1]), begin - lo, length)[0]
         return logits
 
     def documents(self, t: Tokens) -> np.ndarray:
@@ -197,18 +193,14 @@ class Model:
 
 def _vocabulary(t: Tokens, first: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of at least three sample documents that tell the classes apart best, with log odds."""
-    bad, good = Counter(), Counter()
-    for r in range(t.n_docs):
-        (bad if y[r] else good).update(np.unique(t.hashes[first[r] : first[r + 1]]).tolist())
-    n_bad, n_good = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    rows = []
-    for word in bad.keys() | good.keys():
-        b, c = bad[word], good[word]
-        if b + c >= 3:
-            odds = np.log((b + 0.5) / (n_bad + 1)) - np.log((c + 0.5) / (n_good + 1))
-            rows.append((abs(odds) * np.sqrt(b + c), word, odds))
-    rows = sorted(sorted(rows, reverse=True)[:VOCABULARY], key=lambda x: x[1])
-    return np.array([x[1] for x in rows], np.uint64), np.clip(np.array([x[2] for x in rows], np.float32), -3, 3)
+    own = [np.unique(t.hashes[first[r] : first[r + 1]]) for r in range(t.n_docs)]
+    every, at = np.unique(np.concatenate(own), return_inverse=True)
+    n = np.bincount(at, minlength=len(every))
+    bad = np.bincount(at, np.repeat(y, [len(x) for x in own]), minlength=len(every))
+    odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((n - bad + 0.5) / (len(y) - y.sum() + 1))
+    rank = np.lexsort((every, -np.abs(odds) * np.sqrt(n)))
+    best = np.sort(rank[n[rank] >= 3][:VOCABULARY])
+    return every[best], np.clip(odds[best], -3, 3).astype(np.float32)
 
 
 def train(texts: list[str | None], toxic: list[int], prior: float | None = None, seed: int = 0) -> Model:
@@ -222,14 +214,18 @@ def train(texts: list[str | None], toxic: list[int], prior: float | None = None,
     t = Tokens(pa.array(texts, pa.large_string()))
     first = np.searchsorted(t.starts, utf8(pa.array(texts, pa.large_string()))[1])
     model = Model(*_vocabulary(t, first, y), seed=seed)
+    if len(model.vocabulary) == 0:
+        model = Model(np.zeros(1, np.uint64), np.zeros(1, np.float32), seed=seed)
     r = np.random.default_rng(seed)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.p.items()}
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
     step = 0
     for turn in range(ROUNDS):
         if turn == 0:  # by the log odds of their words
-            ids, x = model.inputs(t)
-            sums = np.concatenate([[0], np.cumsum(np.maximum(x[:, 0], 0))])
+            at = np.searchsorted(model.vocabulary, t.hashes)
+            at[at == len(model.vocabulary)] = 0
+            odds = np.where(model.vocabulary[at] == t.hashes, model.p["word"][at + 1, 0], 0)
+            sums = np.concatenate([[0], np.cumsum(np.maximum(odds, 0))])
             logits = sums[t.begin + t.length] - sums[t.begin]
         else:
             logits = model.windows(t)
