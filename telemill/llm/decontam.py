@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .exchange import rows_table
 from .mixing import word_count
-from .words import LOWER, U, find, grams, mix, utf8, word_hashes
+from .words import LOWER, U, find, grams, mix, slices, utf8, word_hashes, words_of
 
 WINDOW = 13
 #: Words of a window that must be literal, not slots; of a shorter item the same share.
@@ -70,8 +70,6 @@ def _count(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 
 def template(column) -> Template:
     """Template words of a batch of texts, at the places of their words."""
-    from .words import words_of
-
     w = words_of(column)
     n = len(w.starts)
     if n == 0:
@@ -143,6 +141,9 @@ class Block:
         """(row, item, kind, windows, first word, last word, slots, changed) of verified matches."""
         if len(self.hashes) == 0:
             return []
+        return [(i + h[0], *h[1:]) for i, part in slices(column) for h in self._hits(part)]
+
+    def _hits(self, column) -> list[tuple]:
         t = template(column)
         first = t.words.first
         found: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import crc32_mod
-from .words import GAP, LOWER, find, utf8, word_hashes
+from .words import GAP, LOWER, find, slices, utf8, word_hashes
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
@@ -302,11 +302,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Mo
     return train([r[1] for r in sample], [r[2] for r in sample], counts[1] / (counts[0] + counts[1]))
 
 
-def _scores(model: Model, column, rows: int = 256):
-    """Score and window count of every text, some texts at a time."""
+def _scores(model: Model, column):
+    """Score and window count of every text, about a MB of text at a time."""
     score, windows = [], []
-    for i in range(0, len(column), rows):
-        t = Tokens(column.slice(i, rows))
+    for _, part in slices(column):
+        t = Tokens(part)
         score.append(model.probability(model.documents(t)))
         windows.append(t.n_windows)
     return np.concatenate([np.zeros(0), *score]), np.concatenate([np.zeros(0, np.int64), *windows])

@@ -48,6 +48,16 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(column, most: int = 1 << 20):
+    """Parts of a column with up to ``most`` bytes of text each, one row at least, and where they begin."""
+    offsets = utf8(column)[1]
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+        yield i, column.slice(i, j - i)
+        i = j
+
+
 def find(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = GAP) -> Words:
     inside = ~gap[data]
     begin, end = inside.copy(), inside.copy()
