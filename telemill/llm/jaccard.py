@@ -10,11 +10,9 @@ least estimated cost. A pair needs the smaller ``l`` of the two.
    Shingles of one document only come first in its order, so a document with more
    than a quarter of them has no partner and goes no further.
 2. Documents of equal sets become one class.
-3. Prefixes are posted by shingle. Long lists, which groups of near copies make, are
-   first compared with one member, a hub, and what links with it becomes one
-   component. Rounds go on, with new hubs, while they pay; then all pairs that are
-   left between different components are counted, filtered and verified. Pairs
-   inside a component can't change it, so nothing is lost by leaving them out.
+3. Prefixes are posted by shingle, and ``joining`` finds the components: dense groups
+   by way of hubs, all pairs between different components by counting matches and
+   verifying what has enough.
 """
 
 from __future__ import annotations
@@ -28,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .components import components
 from .exchange import bits, cut, pack, rows_table, unpack
+from .joining import linked
 from .tables import in_pieces, pieces
 from .words import LOWER, U, first_of_runs, grams, mix, word_hashes, words_of
 
@@ -37,14 +35,10 @@ SHINGLE = 5
 PIECE_BYTES = 5_000_000
 #: Longest prefix extension tried, and the cost of verifying a pair in postings.
 LONGEST, VERIFY = 8, 4.0
-#: Lists up to this length aren't worth a hub.
-SHORT_LIST = 16
-#: Hub rounds go on while pairs left exceed this many times the postings.
-PAIRS_PER_POSTING = 4
 COUNTS = "piece long, bucket long, n long, keys binary, often binary"
 CODES = "piece long, bucket long, n long, bits binary, codes binary"
 SETS = "doc_id long, n_shingles long, signature binary, shared binary, codes binary"
-POSTINGS = "token long, rep long, n long, at long, alone long, l int"
+POSTINGS = "token long, rep long, n long, at long, rank long, l int"
 PAIR = "a long, b long"
 
 
@@ -232,85 +226,35 @@ def _overlap(a, b):
     return F.ceil((F.lit(3) * (a + b)) / F.lit(7))
 
 
-def _lists(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings with their component, the largest component of their list, and the list's size."""
-    if labels is None:
-        return postings.withColumn("comp", F.col("rep"))
-    found = postings.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    return found.select(*postings.columns, F.coalesce("component", "rep").alias("comp"))
+def _meet(met: DataFrame) -> DataFrame:
+    """Pairs with enough matches.
 
-
-def _open(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Lists of several components: token, size, and its largest component ``major``."""
-    own = _lists(postings, labels).groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-    return (
-        own.groupBy("token")
-        .agg(F.sum("k").alias("size"), F.max("k").alias("top"), F.max_by("comp", F.struct("k", "comp")).alias("major"))
-        .filter("top < size")
-        .drop("top")
-    )
-
-
-def linked_classes(classes: DataFrame, also: DataFrame) -> DataFrame:
-    """``node, component`` of classes (rep, n, shared, codes) that similarity or ``also`` (a, b) connects."""
-    postings = classes.select("rep", "n", "shared", "codes").mapInArrow(_post, POSTINGS)
-    many = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("token")
-    postings = materialize(postings.join(many, "token", "left_semi"), "postings")
-    total = postings.count()
-    links, labels, before, turn = None, None, math.inf, 0
-    while total:
-        lists = materialize(
-            _lists(postings, labels).join(_open(postings, labels), "token"), "open-lists"
-        ).withColumn("minor", F.col("comp") != F.col("major"))
-        work = lists.agg(F.sum(F.when(F.col("minor"), F.col("size")))).first()[0] or 0
-        if work <= PAIRS_PER_POSTING * total or work > 0.8 * before:
-            break
-        before = work
-        hub_of = F.struct("alone", "rep") if turn == 0 else F.struct(F.xxhash64("rep", F.lit(turn)), "rep")
-        eligible = lists.filter(F.col("size") > SHORT_LIST)
-        eligible = eligible if turn == 0 else eligible.filter(~F.col("minor"))
-        hubs = eligible.groupBy("token").agg(
-            F.min_by(F.struct(F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")), hub_of).alias("h")
-        ).select("token", "h.*")
-        pairs = (
-            lists.join(hubs, "token")
-            .filter((F.col("comp") != F.col("hub_comp")) & _close(F.col("n"), F.col("hub_n")))
-            .select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-            .distinct()
-        )
-        found = verified(pairs, classes)
-        links = materialize(found if links is None else links.unionByName(found), "similar")
-        labels = components(links)
-        turn += 1
-    if not total:
-        return components(also)
-    # the first ``l`` common shingles stand before place ``n - overlap + l`` in either set
-    x = lists.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("rep", "n", "at", "l", "comp")))
-    y = lists.select("token", "rep", "n", "at", "l", "comp", "minor")
+    The first ``l`` common shingles stand before place ``n - overlap + l`` in either
+    set. Behind the last match that was seen, no more can match than the shorter rest.
+    """
     spare = F.least("l", "l_x") - _overlap(F.col("n"), F.col("n_x"))
-    met = x.join(y, "token").filter(
-        (F.col("comp") != F.col("comp_x"))
-        & (~F.col("minor") | (F.col("rep_x") < F.col("rep")))
-        & _close(F.col("n"), F.col("n_x"))
-        & (F.col("at") < F.col("n") + spare)
-        & (F.col("at_x") < F.col("n_x") + spare)
-    )
-    # either of a pair may be the minor one of a list; behind the last match that
-    # was seen, no more can match than the shorter rest
+    met = met.filter((F.col("at") < F.col("n") + spare) & (F.col("at_x") < F.col("n_x") + spare))
+    # either of a pair may come first, so both are put in order before matches are counted
     turned = F.col("rep") < F.col("rep_x")
-    pair = lambda c: (F.when(turned, F.col(f"{c}_x")).otherwise(F.col(c)), F.when(turned, F.col(c)).otherwise(F.col(f"{c}_x")))
-    (a, b), (na, nb), (at, bt) = pair("rep"), pair("n"), pair("at")
-    pairs = (
+
+    def both(c):
+        return F.when(turned, F.col(f"{c}_x")).otherwise(F.col(c)), F.when(turned, F.col(c)).otherwise(F.col(f"{c}_x"))
+
+    (a, b), (na, nb), (at, bt) = both("rep"), both("n"), both("at")
+    counted = (
         met.select(a.alias("a"), b.alias("b"), na.alias("na"), nb.alias("nb"), at.alias("at"), bt.alias("bt"), F.least("l", "l_x").alias("l"))
         .groupBy("a", "b", "na", "nb", "l")
         .agg(F.count(F.lit(1)).alias("matches"), F.max("at").alias("at"), F.max("bt").alias("bt"))
         .withColumn("rest", F.least(F.col("na") - F.col("at"), F.col("nb") - F.col("bt")) - 1)
-        .filter((F.col("matches") >= F.col("l")) & (F.col("matches") + F.col("rest") >= _overlap(F.col("na"), F.col("nb"))))
-        .select("a", "b")
     )
-    found = verified(pairs, classes)
-    found = found.unionByName(also)
-    return components(found if links is None else links.unionByName(found))
+    enough = (F.col("matches") >= F.col("l")) & (F.col("matches") + F.col("rest") >= _overlap(F.col("na"), F.col("nb")))
+    return counted.filter(enough).select("a", "b")
+
+
+def linked_classes(classes: DataFrame, also: DataFrame) -> DataFrame:
+    """``node, component`` of classes (rep, n, shared, codes) that similarity or ``also`` (a, b) connects."""
+    postings = classes.select("rep", "n", "shared", "codes").mapInArrow(_post, POSTINGS)
+    return linked(postings, lambda pairs: verified(pairs, classes), _close, _meet, also)
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:

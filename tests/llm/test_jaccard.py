@@ -1,7 +1,7 @@
 import random
 import re
 
-from telemill.llm import jaccard
+from telemill.llm import jaccard, joining
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -39,8 +39,8 @@ def test_against_brute_force(documents):
 
 def test_groups_of_near_copies_in_small_pieces(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PIECE_BYTES", 4_000)
-    monkeypatch.setattr(jaccard, "SHORT_LIST", 4)
-    monkeypatch.setattr(jaccard, "PAIRS_PER_POSTING", 0)
+    monkeypatch.setattr(joining, "SHORT_LIST", 4)
+    monkeypatch.setattr(joining, "PAIRS_PER_POSTING", 0)
     rnd = random.Random(5)
     bases = [[f"{b}{rnd.randint(0, 10**6)}" for _ in range(rnd.choice((3, 5, 9, 30, 60)))] for b in "abcdefghij"]
     rows = []
