@@ -113,14 +113,17 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1) -> Profiles:
 
     Rows without id, text or lang don't count. Of each language a share that makes
     about ``SAMPLE`` documents is counted, chosen by a hash of the id. The driver
-    gets ``PROFILE`` rows per language.
+    gets a count and ``PROFILE`` rows per language.
     """
     known = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null").filter(
         crc32_mod("doc_id", folds) != held
     )
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_k"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("k")).collect()
+    if not sizes:
+        return Profiles([], np.zeros(0, np.int64), np.zeros((0, 1), np.int64))
+    size = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], r["k"])))
     u = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = known.join(sizes, "lang").filter(u * F.col("_k") < SAMPLE).select("lang", "text")
+    sample = known.filter(u * F.element_at(size, F.col("lang")) < SAMPLE).select("lang", "text")
     counts = sample.mapInArrow(_count, COUNTED).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     rows = counts.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < PROFILE).collect()

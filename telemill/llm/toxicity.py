@@ -295,9 +295,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Mo
     if len(counts) < 2:
         return train([], [])
     share = F.when(F.col("y") == 1, min(1.0, SAMPLE / counts[1])).otherwise(min(1.0, SAMPLE / counts[0]))
+    # about 2 * SAMPLE ids at any input size, so they may be broadcast
     u = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = known.filter(u < share).select(F.col("doc_id").alias("_id"), "y")
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y").filter("text is not null").distinct()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y").filter("text is not null").distinct()
     sample = sorted((tuple(r) for r in rows.collect()))
     return train([r[1] for r in sample], [r[2] for r in sample], counts[1] / (counts[0] + counts[1]))
 
