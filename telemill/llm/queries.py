@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..queries.base import Registry
 from ..queries.base import table as read_table
 from ..session import new_path
-from . import decontam, jaccard, language, mixing, sharding, substring, toxicity, vectors
+from . import decontam, jaccard, language, lines, mixing, sharding, substring, toxicity, vectors
 from .tables import ship_package
 
 register = Registry()
@@ -102,3 +102,8 @@ def op9_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and item; documents without a row hold no item."""
     return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_segment_edit_lines")
+def op4_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_lines(table(spark, sf_dir, "documents"))
