@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..queries.base import Registry
 from ..queries.base import table as read_table
 from ..session import new_path
-from . import decontam, jaccard, language, lines, mixing, sharding, substring, toxicity, vectors
+from . import decontam, jaccard, language, lines, mixing, quality, sharding, substring, toxicity, vectors
 from .tables import ship_package
 
 register = Registry()
@@ -107,3 +107,9 @@ def op6_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_segment_edit_lines")
 def op4_segment_edit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+@register("op8_cotrained_quality")
+def op8_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
