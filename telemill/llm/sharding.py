@@ -43,10 +43,6 @@ def digests(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
-def slot_bytes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("virtual_slot").agg(F.sum("size").alias("slot_bytes"))
-
-
 def _sizes(table: DataFrame, slots: int) -> list[int]:
     """Bytes by slot; ``slots`` rows at most come to the driver."""
     out = [0] * slots
@@ -145,29 +141,50 @@ def moved(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.join(b, "virtual_slot").filter("from_shard <> to_shard")
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | None = None) -> DataFrame:
-    """Put documents into shards of near equal bytes.
+def balanced_map(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """A map fitted to the bytes of ``docs``, and bytes and rows of every slot.
 
-    Returns doc_id, size, text_crc32, virtual_slot, map_version, shard, slot. ``slot``
-    counts the rows of a shard without gaps from 0. With ``path`` the map's versions
-    are stored there, and a stored map is taken up and edited. Null ids are hashed by
-    text, null texts have size 1, rows repeated in full get neighbouring slots, and no
-    rows give no rows. A slot is never split, so one row larger than a shard's share
-    keeps its shard that much larger. Columns other than doc_id and text are ignored.
+    With ``path`` the map's versions are stored there, and a stored map is taken up
+    and edited instead of a new one.
     """
     spark = docs.sparkSession
-    rows = digests(docs, slots)
-    stats = rows.groupBy("virtual_slot").agg(F.sum("size").alias("slot_bytes"), F.count(F.lit(1)).alias("slot_rows"))
+    stats = digests(docs, slots).groupBy("virtual_slot").agg(F.sum("size").alias("slot_bytes"), F.count(F.lit(1)).alias("slot_rows"))
     # one read of the texts: ``slots`` rows, held as a local table from here on
     stats = spark.createDataFrame(stats.toPandas(), "virtual_slot long, slot_bytes long, slot_rows long")
-    start = first_map(spark, slots, shards)
+    old = read_map(spark, path) if path is not None and _stored(spark, path) else first_map(spark, slots, shards)
+    new = rebalance(old, stats, shards)
     if path is not None:
-        start = read_map(spark, path) if _stored(spark, path) else start
-    slot_map = rebalance(start, stats, shards)
-    if path is not None:
-        write_map(start, path)
-        write_map(slot_map, path)
-    counts = stats.select("virtual_slot", "slot_rows").toPandas()["slot_rows"]
+        write_map(old, path)
+        write_map(new, path)
+    return new, stats
+
+
+def assign(docs: DataFrame, slot_map: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """doc_id, text, size, virtual_slot, map_version and shard of every row, moving no row.
+
+    ``slot_map`` has ``slots`` rows, so it may be broadcast.
+    """
+    rows = docs.select(
+        "doc_id", "text", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        record_slot(slots).alias("virtual_slot"),
+    )
+    held = slot_map.select("virtual_slot", F.col("version").alias("map_version"), "shard")
+    return rows.join(F.broadcast(held), "virtual_slot").select("doc_id", "text", "size", "virtual_slot", "map_version", "shard")
+
+
+def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, path: str | None = None) -> DataFrame:
+    """Put documents into shards of near equal bytes.
+
+    Returns doc_id, size, text_crc32, virtual_slot, map_version, shard, slot. ``slot``
+    counts the rows of a shard without gaps from 0. ``path`` is that of
+    ``balanced_map``. Null ids are hashed by text, null texts have size 1, rows
+    repeated in full get neighbouring slots, and no rows give no rows. A slot is never
+    split, so one row larger than a shard's share keeps its shard that much larger.
+    Columns other than doc_id and text are ignored.
+    """
+    slot_map, stats = balanced_map(docs, shards, slots, path)
+    rows = digests(docs, slots)
+    counts = stats.toPandas()["slot_rows"]
     parts = max(1, math.ceil(int(counts.max()) / NUMBERED)) if len(counts) else 1
     # rows of a slot are numbered in parts, each by its own sort; parts follow one another
     part = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(parts))

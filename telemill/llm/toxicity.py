@@ -318,7 +318,7 @@ def score(docs: DataFrame, model: Model, folds: int = 5, held: int = 0) -> DataF
 
     All windows of the whole text are read. Null and empty texts, and texts without a
     token, have no window and get the calibrated bias of the network. Equal texts
-    get equal scores. Columns other than doc_id and text are ignored; a null id stays
+    get equal scores, up to single precision. Columns other than doc_id and text are ignored; a null id stays
     null and isn't held out. No rows give no rows.
     """
     def run(batches):
