@@ -34,7 +34,7 @@ from .words import LOWER, U, first_of_runs, grams, mix, word_hashes, words_of
 SHINGLE = 5
 PIECE_BYTES = 5_000_000
 #: Longest prefix extension tried, and the cost of verifying a pair in postings.
-LONGEST, VERIFY = 8, 4.0
+LONGEST, VERIFY = 8, 1.0
 COUNTS = "piece long, bucket long, n long, keys binary, often binary"
 CODES = "piece long, bucket long, n long, bits binary, codes binary"
 SETS = "doc_id long, n_shingles long, signature binary, shared binary, codes binary"
@@ -169,15 +169,21 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def best_length(n: int, codes: np.ndarray) -> tuple[int, int]:
-    """The extension ``l`` of least estimated cost, and the shared shingles its prefix has."""
+    """The extension ``l`` of least estimated cost, and the shared shingles its prefix has.
+
+    What a prefix costs is estimated for a partner of the same size, which may miss
+    one shingle in seven: the documents in its lists, and of those the share that may
+    have enough matches and gets verified.
+    """
     alone = n - len(codes)
-    visits = np.cumsum(np.exp2(codes / 4.0))
+    visits = np.concatenate([[0.0], np.cumsum(np.exp2(codes / 4.0))])
     best, choice = math.inf, (1, 0)
     for length in range(1, LONGEST + 1):
         size = n - needed(n) + length - alone
         if size > len(codes):
             break
-        cost = visits[size - 1] * (1 + VERIFY / length) if size > 0 else 0.0
+        typical = n - (6 * n + 6) // 7 + length - alone
+        cost = visits[min(max(typical, 0), len(codes))] * (1 + VERIFY / length)
         if cost < best:
             best, choice = cost, (length, max(size, 0))
     return choice
