@@ -49,5 +49,24 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def fixed_text(x: Column, digits: int) -> Column:
-    """Number as text with fixed decimals, halves to even."""
-    return F.format_string(f"%.{digits}f", F.bround(x, digits))
+    """Number as text with fixed decimals, rounded on its exact binary value, halves to even.
+
+    The fraction is cut into two halves of its bits, so that its product with a power
+    of ten has no rounding error before the comparison with one half.
+    """
+    scale, half_bits = 10**digits, float(1 << 26)
+    size = F.abs(x.cast("double"))
+    whole = F.floor(size)
+    part = size - whole
+    high = F.floor(part * half_bits) / half_bits
+    low = (part - high) * float(scale)
+    steps = F.floor(high * float(scale))
+    beyond = (high * float(scale) - steps - 0.5) + low
+    up = (beyond > 0) | ((beyond == 0) & ((whole * scale + steps) % 2 == 1))
+    units = whole * scale + steps + F.when(up, 1).otherwise(0)
+    tail = units % scale
+    text = ((units - tail) / scale).cast("bigint").cast("string")
+    if digits > 0:
+        text = F.concat(text, F.lit("."), F.lpad(tail.cast("string"), digits, "0"))
+    signed = F.concat(F.when(x < 0, "-").otherwise(""), text)
+    return F.when(size < 1e12, signed).otherwise(F.format_string(f"%.{digits}f", x))

@@ -16,6 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Largest rate that one Poisson draw inverts; exp(-rate) is exact enough far beyond it.
+POISSON_RATE = 500.0
+
+
 @dataclass(frozen=True)
 class Draws:
     """Draws for one seed: a number, or the name of a column that holds it.
@@ -28,7 +32,7 @@ class Draws:
     method: str = "md5"
 
     def _units(self, keys: Sequence[str], stream: str) -> tuple[str, str]:
-        """SQL of two independent uniforms in [0, 1) from one hash."""
+        """SQL of two independent uniforms in [0, 1): 52 bits from md5, 53 from xxhash64."""
         names = ", ".join(f"`{k}`" for k in keys)
         seed = f"`{self.seed}`" if isinstance(self.seed, str) else f"{int(self.seed)}L"
         if self.method == "md5":
@@ -36,10 +40,10 @@ class Draws:
             part = "(cast(conv(substring({h}, {at}, 13), 16, 10) as bigint) / 4503599627370496.0D)"
             return part.format(h=h, at=1), part.format(h=h, at=14)
         if self.method == "xxhash64":
-            h = f"xxhash64(cast({seed} as bigint), {names}, '{stream}')"
-            return (
-                f"(shiftrightunsigned({h}, 32) / 4294967296.0D)",
-                f"(({h} & 4294967295L) / 4294967296.0D)",
+            h = "shiftrightunsigned(xxhash64(cast({seed} as bigint), {names}, '{stream}'), 11)"
+            return tuple(
+                f"({h.format(seed=seed, names=names, stream=s)} / 9007199254740992.0D)"
+                for s in (stream, f"{stream}~")
             )
         raise ValueError(f"unknown draw method {self.method!r}")
 
@@ -92,29 +96,44 @@ class Draws:
     def poisson(self, rate: Column, keys, stream: str) -> Column:
         """Poisson count by inverting the distribution function.
 
-        The terms run past the point where the tail drops below the resolution
-        of the uniform, so no count is cut. Keep ``rate`` below 700 per draw;
-        split longer spans into days first.
+        A rate above ``POISSON_RATE`` is cut into equal parts with a draw each, whose
+        sum has the same law. The terms of a part run past the point where the tail
+        drops below the resolution of the uniform, so no count is cut at any rate.
         """
-        u = self._unit(keys, stream)
         rate = rate.cast("double")
-        last = F.ceil(rate + 12.0 * F.sqrt(rate) + 30.0).cast("int")
-        start = F.struct(
-            F.lit(0).alias("n"),
-            F.exp(-rate).alias("p"),
-            F.exp(-rate).alias("cdf"),
-            rate.alias("rate"),
-            u.alias("u"),
+        parts = F.greatest(F.lit(1), F.ceil(rate / POISSON_RATE).cast("int"))
+        # the first part keeps the name of the stream
+        names = F.transform(
+            F.sequence(F.lit(1), parts),
+            lambda j: F.when(j == 1, F.lit(stream)).otherwise(F.concat(F.lit(f"{stream}#"), j.cast("string"))),
         )
+        own = rate / parts
+        counts = F.transform(names, lambda name: _inverted(own, self._uniform_of(keys, name)))
+        return F.when(rate.isNotNull(), F.aggregate(counts, F.lit(0), lambda acc, n: acc + n))
 
-        def step(acc, k):
-            p = acc["p"] * acc["rate"] / k
-            return F.struct(
-                (acc["n"] + (acc["cdf"] <= acc["u"]).cast("int")).alias("n"),
-                p.alias("p"),
-                (acc["cdf"] + p).alias("cdf"),
-                acc["rate"].alias("rate"),
-                acc["u"].alias("u"),
-            )
+    def _uniform_of(self, keys: Sequence[str], stream: Column) -> Column:
+        """The uniform of a stream whose name is a column."""
+        seed = F.col(self.seed) if isinstance(self.seed, str) else F.lit(int(self.seed)).cast("bigint")
+        if self.method == "md5":
+            h = F.md5(F.concat_ws("|", seed.cast("string"), *[F.col(k).cast("string") for k in keys], stream).cast("binary"))
+            return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(4503599627370496.0)
+        h = F.xxhash64(seed.cast("bigint"), *keys, stream)
+        return F.shiftrightunsigned(h, 11) / F.lit(9007199254740992.0)
+
+
+def _inverted(rate: Column, u: Column) -> Column:
+    """Number of terms of the distribution function that do not exceed ``u``."""
+    last = F.ceil(rate + 12.0 * F.sqrt(rate) + 30.0).cast("int")
+    none = F.exp(-rate)
+    start = F.struct(F.lit(0).alias("n"), none.alias("p"), none.alias("cdf"), u.alias("u"))
+
+    def step(acc, k):
+        p = acc["p"] * rate / k
+        return F.struct(
+            (acc["n"] + (acc["cdf"] <= acc["u"]).cast("int")).alias("n"),
+            p.alias("p"),
+            (acc["cdf"] + p).alias("cdf"),
+            acc["u"].alias("u"),
+        )
 
-        return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda acc: acc["n"])
+    return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda acc: acc["n"])

@@ -15,17 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import Draws
 from ..session import materialize
-from .chunks import CHUNK, with_row_index
+from .chunks import CHUNK
 from .spine import row_count
 
 BUCKET = (1, 1440)
-FOLD_ROWS = 1_000
-BLOCK_ROWS = 200_000
 
 
 def bucket_of(row: str, bucket: tuple[int, int] = BUCKET) -> str:
-    """SQL text of ``row * a div b``: with (seconds per row, 86400) it is the day."""
-    return f"(({row}) * {int(bucket[0])}) div {int(bucket[1])}"
+    """SQL text of ``row * a div b``, rounded down: with (seconds per row, 86400) it is the day."""
+    a, b = int(bucket[0]), int(bucket[1])
+    return f"((({row}) * {a} - pmod(({row}) * {a}, {b}L)) div {b})"
 
 
 def in_buckets(
@@ -186,16 +185,14 @@ def non_overlapping(
     end: str = "end_row",
     ids: Sequence[str] = ("event_day", "event_in_day"),
     bucket: tuple[int, int] = BUCKET,
-    fold_rows: int = FOLD_ROWS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Walk each device's windows in time order, dropping any that overlaps a kept one.
 
-    Windows are cut into segments at buckets whose first window starts after
-    everything before it has ended; segments cannot affect each other, so the
-    walk is done per segment and never over a whole device. A segment of up to
-    ``fold_rows`` windows is one array fold; a longer one is walked in blocks of
-    ``block_rows``, each starting from the end reached by the block before it.
+    ``start`` and ``ids`` together name a window of a device. The kept windows are
+    chains: each is followed by the first window that starts no earlier than it ends.
+    Chains begin wherever a bucket's first window starts after everything before it
+    has ended, so they are short. They are followed by doubling: every round knows
+    twice as many steps ahead and doubles the kept part of all chains at once.
     """
     order = [start, *ids]
     names = windows.columns
@@ -204,31 +201,64 @@ def non_overlapping(
     earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
     reached = F.max("_reach").over(earlier)
     cut = F.when(reached.isNull() | (reached <= F.col("_first")), F.col(CHUNK))
-    segments = materialize(
+    segments = (
         placed.groupBy(key, CHUNK)
-        .agg(
-            F.max(end).alias("_reach"), F.min(start).alias("_first"), F.count(F.lit(1)).alias("_n")
-        )
+        .agg(F.max(end).alias("_reach"), F.min(start).alias("_first"))
         .withColumn("_cut", cut)
-        .withColumn("_segment", F.last("_cut", ignorenulls=True).over(by_time))
-        .withColumn("_size", F.sum("_n").over(Window.partitionBy(key, "_segment")))
-        .select(key, CHUNK, "_segment", "_size"),
-        "window-segments",
+        .select(key, CHUNK, F.last("_cut", ignorenulls=True).over(by_time).alias("_segment"))
+    )
+    nodes = materialize(
+        placed.join(segments, [key, CHUNK]).withColumn("_node", F.struct(*order)), "windows"
+    )
+    chain = [key, "_segment"]
+    kept = nodes.groupBy(*chain).agg(F.min("_node").alias("_node"))
+    steps = materialize(_successors(nodes, chain, start, end, ids, bucket), "window-steps")
+    while not steps.isEmpty():
+        further = kept.join(steps, [*chain, "_node"]).select(*chain, F.col("_next").alias("_node"))
+        kept = materialize(kept.unionByName(further), "kept-windows")
+        ahead = steps.select(*chain, F.col("_node").alias("_next"), F.col("_next").alias("_after"))
+        steps = materialize(
+            steps.join(ahead, [*chain, "_next"]).select(*chain, "_node", F.col("_after").alias("_next")),
+            "window-steps",
+        )
+    return nodes.join(kept, [*chain, "_node"], "left_semi").select(*names)
+
+
+def _successors(nodes, chain, start, end, ids, bucket) -> DataFrame:
+    """``_node, _next``: the first window of the segment that starts no earlier than a window ends.
+
+    Ends are put between the starts, ahead of a start at the same place, and look for
+    the next start in their own bucket, else take the first one of the next bucket.
+    """
+    void = F.col(end) <= F.col(start)  # its end doesn't hide the windows right behind it
+    at = F.expr(bucket_of(f"`{end}`", bucket))
+    starts = nodes.select(
+        *chain, CHUNK, F.col("_node").alias("_start"), F.lit(None).cast(nodes.schema["_node"].dataType).alias("_node"),
+        F.col(start).alias("_t"), *ids, F.lit(0).alias("_turn"),
+    )
+    ends = nodes.select(
+        *chain, F.when(void, F.col(CHUNK)).otherwise(at).alias(CHUNK),
+        F.lit(None).cast(nodes.schema["_node"].dataType).alias("_start"), "_node",
+        F.when(void, F.col(start)).otherwise(F.col(end)).alias("_t"),
+        *[F.when(void, F.col(c)).alias(c) for c in ids], F.lit(1).alias("_turn"),
     )
-    longest = segments.agg(F.max("_size")).first()[0] or 0
-    grouped = placed.join(segments, [key, CHUNK]).drop(CHUNK)
-    item = F.struct(*order, *[c for c in names if c not in order])
-    kept = (
-        grouped.where(F.col("_size") <= fold_rows)
-        .groupBy(key, "_segment")
-        .agg(F.collect_list(item).alias("_items"))
-        .select(F.explode(_walk(F.col("_items"), start, end)).alias("w"))
-        .select(*[F.col(f"w.{c}").alias(c) for c in names])
+    both = starts.unionByName(ends)
+    later = [F.col(c).desc_nulls_last() for c in ("_t", *ids, "_turn")]
+    here = Window.partitionBy(*chain, CHUNK).orderBy(*later)
+    found = both.withColumn(
+        "_here", F.last("_start", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1))
+    ).where("_node is not null")
+    firsts = both.groupBy(*chain, CHUNK).agg(F.min("_start").alias("_first_start"))
+    behind = Window.partitionBy(*chain).orderBy(F.col(CHUNK).desc())
+    nexts = firsts.select(
+        *chain, CHUNK,
+        F.last("_first_start", ignorenulls=True).over(behind.rowsBetween(Window.unboundedPreceding, -1)).alias("_there"),
+    )
+    return (
+        found.join(nexts, [*chain, CHUNK])
+        .select(*chain, "_node", F.coalesce("_here", "_there").alias("_next"))
+        .where("_next is not null")
     )
-    if longest <= fold_rows:
-        return kept
-    rest = grouped.where(F.col("_size") > fold_rows).drop("_size")
-    return kept.unionByName(_walk_blocks(rest, longest, key, start, end, order, names, block_rows))
 
 
 def fit_windows(
@@ -240,81 +270,6 @@ def fit_windows(
     return m, materialize(non_overlapping(free, bucket=bucket), "decoys")
 
 
-def _walk_blocks(
-    windows: DataFrame,
-    longest: int,
-    key: str,
-    start: str,
-    end: str,
-    order: Sequence[str],
-    names: Sequence[str],
-    block_rows: int,
-) -> DataFrame:
-    """Walk long segments block after block, all segments side by side."""
-    indexed = materialize(
-        with_row_index(windows, [key, "_segment"], order, "_at").withColumn(
-            "_block", F.expr(f"_at div {int(block_rows)}")
-        ),
-        "segment-blocks",
-    )
-    out_schema = indexed.drop("_segment", "_at", "_block").schema
-    order = list(order)
-
-    def walk(pdf):
-        pdf = pdf.sort_values(order, kind="stable")
-        reached = pdf["_from"].iloc[0]
-        free = []
-        for s, e in zip(pdf[start].to_numpy(), pdf[end].to_numpy()):
-            ok = s >= reached
-            free.append(ok)
-            if ok:
-                reached = e
-        return pdf.loc[free, out_schema.names]
-
-    state, parts = None, []
-    for block in range((longest - 1) // block_rows + 1):
-        now = indexed.where(F.col("_block") == block)
-        now = (
-            now.withColumn("_from", F.lit(-1).cast("bigint"))
-            if state is None
-            else now.join(state, [key, "_segment"])
-        )
-        walked = materialize(
-            now.groupBy(key, "_segment").applyInPandas(walk, out_schema), "walked-block"
-        )
-        parts.append(walked.select(*names))
-        ends = walked.join(
-            now.select(key, F.col("_segment"), *order, "_from"), [key, *order]
-        )
-        reached = ends.groupBy(key, "_segment").agg(F.max(end).alias("_to"))
-        state = materialize(
-            now.select(key, "_segment", "_from")
-            .distinct()
-            .join(reached, [key, "_segment"], "left")
-            .select(key, "_segment", F.coalesce("_to", "_from").alias("_from")),
-            "walked-state",
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _walk(items: Column, start: str, end: str) -> Column:
-    """Kept windows of one array."""
-    none = F.filter(items, lambda x: F.lit(False))
-    state = F.struct(F.lit(-1).cast("bigint").alias("reached"), none.alias("kept"))
-
-    def take(acc, x):
-        free = x[start] >= acc["reached"]
-        return F.struct(
-            F.when(free, x[end].cast("bigint")).otherwise(acc["reached"]).alias("reached"),
-            F.when(free, F.concat(acc["kept"], F.array(x))).otherwise(acc["kept"]).alias("kept"),
-        )
-
-    return F.aggregate(F.array_sort(items), state, take, lambda acc: acc["kept"])
-
-
 def resolve_events(
     rows: DataFrame,
     windows: DataFrame,
@@ -326,7 +281,8 @@ def resolve_events(
     """Event type per row where windows overlap: the last name in ``priority`` wins.
 
     ``windows`` has ``kind``; a kind is ranked by its whole name or by its part
-    before the first underscore. The windows are first cut into pieces that do
+    before the first underscore. Of two windows of one rank the one that starts later
+    wins, then the one that ends later, then the later name. The windows are first cut into pieces that do
     not overlap, so each row meets one piece at most and no row is moved for it.
     """
     ranks = {name: i for i, name in enumerate(priority)}
@@ -338,7 +294,7 @@ def resolve_events(
             key,
             F.col("start_row").alias("_s"),
             F.col("end_row").alias("_e"),
-            F.struct(rank.alias("r"), "kind").alias("_event"),
+            F.struct(rank.alias("r"), F.col("start_row").alias("s"), F.col("end_row").alias("e"), "kind").alias("_event"),
         ),
         "_s",
         "_e",
@@ -355,9 +311,11 @@ def resolve_events(
         pieces.join(placed, [key, "_bucket"])
         .where((F.col("_s") <= F.col("_from")) & (F.col("_e") >= F.col("_to")))
         .groupBy(key, "_bucket", "_from", "_to")
-        .agg(F.max("_event.r").alias("_r"), F.max_by("_event.kind", "_event.r").alias("_kind"))
+        .agg(F.max("_event").alias("_best"))
+    )
+    stored = materialize(
+        best.select(key, "_bucket", "_from", "_to", F.col("_best.kind").alias("_kind")), "event-pieces"
     )
-    stored = materialize(best.select(key, "_bucket", "_from", "_to", "_kind"), "event-pieces")
     at = F.expr(bucket_of("`row_i`", bucket))
     right = stored.withColumnRenamed(key, "_key")
     on = (

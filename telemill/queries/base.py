@@ -7,35 +7,39 @@ from pyspark.sql import functions as F
 
 from ..operators.chunks import with_row_index
 
-_TELE: dict[tuple[str, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def micros(column: str):
+    """Microseconds since 1970 of a timestamp without zone, whatever the session's zone."""
+    gap = f"(cast(`{column}` as timestamp_ntz) - timestamp_ntz'1970-01-01 00:00:00')"
+    return F.expr(
+        f"extract(day from {gap}) * 86400000000L + extract(hour from {gap}) * 3600000000L"
+        f" + extract(minute from {gap}) * 60000000L + cast(extract(second from {gap}) * 1000000 as bigint)"
+    )
+
+
 def tele(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as an indexed series per user; indexed once per session and folder."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    app = (spark.sparkContext.applicationId, sf_dir)
-    if app not in _TELE:
-        events = table(spark, sf_dir, "events").select(
-            F.col("user_id").alias("device_id"),
-            "event_id",
-            F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
-            F.col("value").alias("x"),
-            "event_type",
-        )
-        indexed = with_row_index(events, ["device_id"], ["ts_us", "event_id"])
-        label = (
-            F.when(F.col("event_type") == "error", "FAILURE")
-            .when(F.col("event_type") == "signup", "PRE_FAILURE")
-            .otherwise("NORMAL")
-        )
-        _TELE[app] = indexed.withColumn("label", label).withColumn(
-            "time_h", F.col("ts_us") / F.lit(3.6e9)
-        )
-    return _TELE[app]
+    """``events`` as an indexed series per user, indexed anew at each call."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("device_id"),
+        "event_id",
+        micros("ts").alias("ts_us"),
+        F.col("value").alias("x"),
+        "event_type",
+    )
+    label = (
+        F.when(F.col("event_type") == "error", "FAILURE")
+        .when(F.col("event_type") == "signup", "PRE_FAILURE")
+        .otherwise("NORMAL")
+    )
+    return (
+        with_row_index(events, ["device_id"], ["ts_us", "event_id"])
+        .withColumn("label", label)
+        .withColumn("time_h", F.col("ts_us") / F.lit(3.6e9))
+    )
 
 
 TELE = """tele as (

@@ -15,13 +15,15 @@ from ..operators import lut as LU
 from ..operators import modulate as MO
 from ..operators import overlay as O
 from ..operators import spine as S
-from .base import TELE, Registry, r6, sql_n, sql_u, table, tele, with_ctes
+from .base import TELE, Registry, micros, r6, sql_n, sql_u, table, tele, with_ctes
 from .draw_queries import DEVICES, devices, poisson_sql
 
 register = Registry()
 D = Draws(11)
 FREQ = 300
 STARTUP, CYCLE = 80, 20
+#: 2024-01-15, the middle of the events' month.
+MIDDLE_US = 1_705_276_800_000_000
 ROW_KEY = "'11|' || device_id || '|' || row_i"
 
 # -- inputs taken from the tables -------------------------------------------
@@ -572,9 +574,10 @@ def window_scheduling(spark, sf):
 
 @register(
     "window_non_overlap",
-    """with recursive o as (select user_id as device_id, event_id, epoch_us(ts) as start_us,
-        epoch_us(ts) + cast(round(value * 1e9) as bigint) as end_us,
-        row_number() over (partition by user_id order by epoch_us(ts), event_id) as rn from events
+    f"""with recursive t as (select *, epoch_us(ts) - {MIDDLE_US} as us from events),
+      o as (select user_id as device_id, event_id, us as start_us,
+        us + cast(round(value * 1e9) as bigint) as end_us,
+        row_number() over (partition by user_id order by us, event_id) as rn from t
         where round(value * 1e9) > 0),
       r as (select *, end_us as reached, true as free from o where rn = 1 union all
         select o.*, case when o.start_us >= r.reached then o.end_us else r.reached end,
@@ -582,8 +585,8 @@ def window_scheduling(spark, sf):
       select device_id, event_id, start_us, end_us from r where free""",
 )
 def window_non_overlap(spark, sf):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    start = F.unix_micros(F.col("ts").cast("timestamp"))
+    """Starts count from the middle of the events' month, so they lie on both sides of 0."""
+    start = micros("ts") - F.lit(MIDDLE_US)
     windows = table(spark, sf, "events").select(
         F.col("user_id").alias("device_id"),
         "event_id",
@@ -618,7 +621,7 @@ def failures(spark, sf):
         GRID,
         KEPT_SQL,
         FAIL_WINDOWS,
-        """select g.device_id, g.row_i, coalesce(max_by(w.kind, w.p), 'normal') as event_type
+        """select g.device_id, g.row_i, coalesce(max(row(w.p, w.start_row, w.end_row, w.kind))[4], 'normal') as event_type
       from grid g left join all_windows w on g.device_id = w.device_id
         and g.row_i >= w.start_row and g.row_i < w.end_row group by 1, 2""",
         recursive=True,

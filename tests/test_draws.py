@@ -1,3 +1,4 @@
+import numpy as np
 import math
 
 from pyspark.sql import functions as F
@@ -61,3 +62,15 @@ def test_subset_has_no_repeats(spark):
     rows = [r.s for r in picked.collect()]
     assert all(len(set(s)) == 4 for s in rows)
     assert {x for s in rows for x in s} == set("abcdef")
+
+
+def test_fixed_text_rounds_the_exact_value(spark):
+    from telemill.functions.derive import fixed_text
+
+    rnd = np.random.default_rng(1)
+    x = [k / 20 for k in range(-200, 4000)] + [k / 4 for k in range(100)] + rnd.normal(0, 50, 500).tolist()
+    x += [2.45, 0.15, 0.35, 2.5, 3.5, 0.5, 1.5, 0.25, 0.75, 9.95, 99.95, 1e-9, 123456789.05, 0.05, 1e11 + 0.25]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    for digits in (0, 1, 2, 3):
+        got = [r.t for r in df.select(fixed_text(F.col("x"), digits).alias("t")).collect()]
+        assert got == [f"{v:.{digits}f}" for v in x]

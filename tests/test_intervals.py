@@ -10,7 +10,7 @@ from telemill.operators import intervals as I
 def greedy(pdf):
     kept = []
     for _, g in pdf.sort_values(["device_id", "start_row", "n"]).groupby("device_id"):
-        reached = -1
+        reached = float("-inf")
         for r in g.itertuples():
             if r.start_row >= reached:
                 kept.append((r.device_id, r.n))
@@ -28,12 +28,11 @@ def random_windows(seed, length):
     return pdf
 
 
-@pytest.mark.parametrize("length,fold,block", [(8, 1000, 1000), (60, 1000, 1000), (60, 10, 25), (400, 5, 40)])
-def test_walk_matches_brute_force(spark, length, fold, block):
+@pytest.mark.parametrize("length,shift,bucket", [(8, 0, 50), (60, -1000, 50), (60, -5000, 7), (400, -700, 3000)])
+def test_walk_matches_brute_force(spark, length, shift, bucket):
     pdf = random_windows(length, length)
-    out = I.non_overlapping(
-        spark.createDataFrame(pdf), ids=["n"], bucket=(1, 50), fold_rows=fold, block_rows=block
-    )
+    pdf[["start_row", "end_row"]] += shift
+    out = I.non_overlapping(spark.createDataFrame(pdf), ids=["n"], bucket=(1, bucket))
     assert sorted((r.device_id, r.n) for r in out.collect()) == greedy(pdf)
 
 
@@ -44,6 +43,31 @@ def test_walk_of_touching_nested_and_equal_windows(spark):
     assert sorted(r.n for r in kept) == [0, 1, 3]
 
 
+def test_walk_below_zero_and_of_empty_windows(spark):
+    rows = [(1, 0, -500, -400), (1, 1, -300, -200), (1, 2, 5, 9), (1, 3, 5, 5), (1, 4, 9, 9), (1, 5, 9, 12), (1, 6, 9, 10)]
+    df = spark.createDataFrame(rows, "device_id int, n int, start_row long, end_row long")
+    for bucket in (3, 1440):
+        kept = I.non_overlapping(df, ids=["n"], bucket=(1, bucket)).collect()
+        assert sorted(r.n for r in kept) == [0, 1, 2, 4, 5]
+    assert I.non_overlapping(df.limit(0), ids=["n"]).count() == 0
+
+
+def test_poisson_at_high_rates(spark):
+    for method in ("md5", "xxhash64"):
+        x = spark.range(400).select(Draws(1, method).poisson(F.lit(2000.0), ["id"], "p").alias("n")).toPandas().n
+        assert abs(x.mean() - 2000) < 5 * np.sqrt(2000 / 400)
+        assert 0.8 < x.var() / 2000 < 1.25
+
+
+def test_equal_ranks_go_to_the_later_start(spark):
+    rows = spark.range(10).select(F.lit(1).alias("device_id"), F.col("id").alias("row_i"))
+    w = spark.createDataFrame(
+        [(1, 2, 8, "decoy_z"), (1, 4, 6, "decoy_a"), (1, 4, 6, "decoy_b")], "device_id int, start_row long, end_row long, kind string"
+    )
+    got = [r.event_type for r in I.resolve_events(rows, w, ["decoy"]).orderBy("row_i").collect()]
+    assert got == ["normal"] * 2 + ["decoy_z"] * 2 + ["decoy_b"] * 2 + ["decoy_z"] * 2 + ["normal"] * 2
+
+
 def test_clear_of(spark):
     a, b = random_windows(1, 40), random_windows(2, 40).head(60)
     out = I.clear_of(
