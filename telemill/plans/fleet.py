@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import status as ST
 from ..operators.manifest import sample_manifest
 from ..session import materialize
-from ..sources.records import manifest_rows
+from ..sources.records import apply_overrides, manifest_rows, write_config, write_results
 from ..sources.scenarios import series_dim
 from ..sources.series import file_stats
 from .motor import MotorInputs, build_motor
@@ -33,13 +35,38 @@ class FleetRun:
 
 
 def write_devices(series: DataFrame, path: str) -> None:
-    """Append a build's rows as they lie, sorted by device inside each task.
+    """Write a build's rows as they lie, sorted by device inside each task.
 
     No row moves between tasks; page statistics of the sorted files still let a
     reader skip most of a device's pages. ``sources.series.write_fleet`` gives
     the fully clustered layout at the price of one shuffle.
     """
-    series.sortWithinPartitions("device_id", "row_i").write.mode("append").parquet(path)
+    series.sortWithinPartitions("device_id", "row_i").write.mode("overwrite").parquet(path)
+
+
+def stored_manifest(spark: SparkSession, out: str) -> DataFrame | None:
+    """The newest manifest of a fleet's folder, with ``version`` and ``data_version``; none before the first run."""
+    try:
+        kept = spark.read.parquet(f"{out.rstrip('/')}/manifest")
+    except AnalysisException:
+        return None
+    newest = kept.agg(F.max("version")).first()[0]
+    return kept.where(F.col("version") == newest)
+
+
+def read_devices(spark: SparkSession, out: str) -> DataFrame:
+    """Rows of all devices, each from the run that finished it last.
+
+    Rows of runs that broke off, and of devices that came out wrong, stay unread.
+    """
+    manifest = stored_manifest(spark, out)
+    if manifest is None:
+        raise ValueError(f"no finished run in {out}")
+    chosen = manifest.where("data_version is not null").select(
+        "device_id", F.col("data_version").alias("version")
+    )
+    rows = spark.read.parquet(f"{out.rstrip('/')}/devices")
+    return rows.join(chosen, ["device_id", "version"]).drop("version")
 
 
 def build_fleet(
@@ -52,44 +79,74 @@ def build_fleet(
     freq_s: int = K.SAVE_FREQ_S,
     base_seed: int = K.FLEET_SEED,
     done: DataFrame | None = None,
+    fractions: Sequence[tuple[str, float]] | None = None,
+    settings: DataFrame | None = None,
     **options,
 ) -> FleetRun:
-    """Build every device that ``done`` does not list as completed.
+    """Build every device that the fleet's folder, or ``done``, doesn't list as completed.
+
+    ``devices`` numbers the fleet in column ``index``; ``fractions`` are the shares of
+    the failure types; ``settings`` overrides drawn settings by ``device_id``. A
+    device whose rows do not come out right gets an error status; the others are not
+    affected, and the next run builds it again.
 
-    ``devices`` numbers the fleet in column ``index``. A device whose rows do not
-    come out right gets an error status; the others are not affected.
+    Every run writes its rows, results and settings under its own version and the
+    merged manifest last. A run that broke off leaves no manifest, so the next one
+    takes its version over and replaces what it wrote.
     """
-    spark = devices.sparkSession
-    manifest = materialize(
-        sample_manifest(devices, index, machine, duration_days, base_seed), "fleet-manifest"
-    )
-    todo = manifest if done is None else ST.pending(manifest, done)
+    spark, out = devices.sparkSession, out.rstrip("/")
+    drawn = sample_manifest(devices, index, machine, duration_days, base_seed, fractions)
+    if settings is not None:
+        drawn = apply_overrides(drawn, settings, ["device_id"])
+    manifest = materialize(drawn, "fleet-manifest")
+    fresh = manifest_rows(manifest).withColumn("data_version", F.lit(None).cast("bigint"))
+    before = stored_manifest(spark, out)
+    version = 1
+    if before is not None:
+        version = before.first()["version"] + 1
+        fresh = ST.merge_results(fresh, before, columns=[*ST.RESULT_COLUMNS, "data_version"])
+        others = before.join(manifest.select("device_id"), "device_id", "left_anti").drop("version")
+        fresh = fresh.unionByName(others, allowMissingColumns=True)
+    if done is not None:
+        known = [c for c in ST.RESULT_COLUMNS if c in done.columns]
+        fresh = ST.merge_results(fresh, done.where("status = 'completed'"), columns=known)
+    fresh = materialize(fresh, "fleet-before")
+    todo = ST.pending(manifest, fresh)
     started = time.time()
-    data = f"{out.rstrip('/')}/devices"
+    data = f"{out}/devices/version={version}"
     write_devices(BUILDS[machine](todo, inputs, freq_s, **options), data)
     elapsed = time.time() - started
 
     sizes = file_stats(spark, data, "device_id")
-    written = spark.read.parquet(data)
-    checked = ST.device_status(todo, written, SIGNALS[machine], freq_s)
+    checked = ST.device_status(todo, spark.read.parquet(data), SIGNALS[machine], freq_s)
+    # one build makes all devices together, so no device has a time of its own
     results = materialize(
         checked.join(sizes.select("device_id", "file_size_bytes"), "device_id", "left").select(
             "device_id",
             "num_rows",
             F.coalesce("file_size_bytes", F.lit(0)).alias("file_size_bytes"),
-            F.lit(0.0).alias("generation_time_s"),
+            F.lit(None).cast("double").alias("generation_time_s"),
             "status",
+            F.when(F.col("status") == "completed", F.lit(version).cast("bigint")).alias("data_version"),
         ),
         "fleet-results",
     )
-    n = results.count()
-    results = results.withColumn("generation_time_s", F.lit(round(elapsed / max(n, 1), 4)))
-    merged = ST.merge_results(manifest_rows(manifest), results)
+    merged = ST.merge_results(fresh, results, columns=[*ST.RESULT_COLUMNS, "data_version"])
+    write_results(results, f"{out}/results/version={version}")
+    used = spark.range(1).select(
+        F.lit(machine).alias("machine"), F.lit(float(duration_days)).alias("duration_days"),
+        F.lit(int(freq_s)).alias("save_freq_s"), F.lit(int(base_seed)).alias("base_seed"),
+        *[F.lit(float(share)).alias(f"{name}_fraction") for name, share in fractions or []],
+    )
+    write_config(used, f"{out}/settings/version={version}")
+    merged.write.mode("overwrite").parquet(f"{out}/manifest/version={version}")
+    kept = stored_manifest(spark, out)
+    present = kept.where("data_version is not null").select("device_id", "file_size_bytes")
     return FleetRun(
-        merged,
-        results,
+        kept.drop("version", "data_version"),
+        results.drop("data_version"),
         ST.run_summary(results, elapsed),
-        ST.validate(manifest, sizes),
+        ST.validate(manifest, present),
     )
 
 

@@ -181,3 +181,27 @@ def fleet_build(spark, sf):
         new_path(spark, "pump-fleet"), DAYS,
     )
     return run.manifest.select("device_id", "seed", "failure_type", "status", "num_rows")
+
+
+@register(
+    "fleet_resume",
+    f"""select printf('device_%06d', s_suppkey) as device_id, 'completed' as status,
+      {int(DAYS * 86400 / 300) + 1}::bigint as num_rows, {int(DAYS * 86400 / 300) + 1}::bigint as stored_rows,
+      {int(DAYS * 86400 / 300) + 1}::bigint as different_rows, case when s_suppkey % 10 = 3 then 3
+        when s_suppkey % 2 = 0 then 2 else 1 end::bigint as run
+    from supplier""",
+)
+def fleet_resume(spark, sf):
+    """Odd devices first, then all, then again; the settings of some are unusable until the third run."""
+    all_, inputs, out = suppliers(spark, sf), pump_inputs(spark, sf, 300), new_path(spark, "resumed-fleet")
+    odd = all_.where("s_suppkey % 2 = 1")
+    broken = all_.where("s_suppkey % 10 = 3").select(
+        F.format_string("device_%06d", "s_suppkey").alias("device_id"), F.lit(float("nan")).alias("noise_scale")
+    )
+    for part, settings in ((odd, broken), (all_, broken), (all_, None)):
+        FL.build_fleet(part, "s_suppkey", "pump", inputs, out, DAYS, 300, settings=settings)
+    rows = FL.read_devices(spark, out).groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("stored_rows"), F.count_distinct("row_i").alias("different_rows")
+    )
+    manifest = FL.stored_manifest(spark, out).select("device_id", "status", "num_rows", F.col("data_version").alias("run"))
+    return manifest.join(rows, "device_id", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from telemill import constants as K
 from telemill import schemas
 from telemill.operators.manifest import sample_manifest
-from telemill.plans.fleet import build_fleet
+from telemill.plans.fleet import build_fleet, read_devices
 from telemill.plans.motor import build_motor
 from telemill.plans.pump import build_pump
 from telemill.queries import plan_queries as P
@@ -90,14 +90,27 @@ def test_no_row_moves_after_the_days_are_opened(spark, built):
 
 
 def test_fleet_build_resumes(spark):
+    """A device finished elsewhere, one that comes out wrong, a run that broke off, and a run with nothing to do."""
     out = new_path(spark, "fleet")
     devices, inputs = P.suppliers(spark, SF), P.pump_inputs(spark, SF, 300)
-    done = spark.createDataFrame([("device_000001", "completed")], "device_id string, status string")
-    run = build_fleet(devices, "s_suppkey", "pump", inputs, out, 2.0, 300, done=done)
     n = devices.count()
+    done = spark.createDataFrame([("device_000001", "completed")], "device_id string, status string")
+    bad = spark.createDataFrame([("device_000002", float("nan"))], "device_id string, noise_scale double")
+    args = (devices, "s_suppkey", "pump", inputs, out, 2.0, 300)
+    run = build_fleet(*args, done=done, settings=bad)
     summary = run.summary.first()
-    assert (summary.completed, summary.failed, summary.total_rows) == (n - 1, 0, (n - 1) * 577)
+    assert (summary.completed, summary.failed, summary.total_rows) == (n - 2, 1, (n - 2) * 577)
     check = run.completeness.first()
-    assert (check.expected, check.valid, check.missing) == (n, n - 1, 1)
-    second = build_fleet(devices, "s_suppkey", "pump", inputs, out, 2.0, 300, done=run.manifest)
-    assert second.results.count() == 1 and second.completeness.first().missing == 0
+    assert (check.expected, check.valid, check.missing) == (n, n - 2, 2)
+    spark.range(5).selectExpr("'device_000002' as device_id").write.parquet(f"{out}/devices/version=2")  # broke off
+    second = build_fleet(*args)
+    assert [(r.device_id, r.status) for r in second.results.collect()] == [("device_000002", "completed")]
+    third = build_fleet(*args)
+    assert third.results.count() == 0
+    states = third.manifest.groupBy("status").count().collect()
+    assert [(r.status, r["count"]) for r in states] == [("completed", n)]
+    rows = read_devices(spark, out).groupBy("device_id").agg(F.count("*").alias("k"), F.count_distinct("row_i").alias("d"))
+    assert {(r.k, r.d) for r in rows.collect()} == {(577, 577)} and rows.count() == n - 1
+    assert third.completeness.first().missing == 1  # the rows of the first device are elsewhere
+    again = build_fleet(devices.limit(1), *args[1:])
+    assert again.manifest.count() == n
