@@ -44,24 +44,44 @@ def interp(
     """Linear interpolation of each signal at ``x``, held at the ends of the curve.
 
     A value on a curve point belongs to the segment that starts there. With
-    ``extend`` the first and last segments run on as straight lines. The segment
-    table is stored so that its size decides how it is joined.
+    ``extend`` the first and last segments run on as straight lines. Every axis is cut
+    into as many equal cells as it has segments, and values meet the segments that
+    touch their cell, so the join has a key even where the axis is a constant, and a
+    value meets few segments however long the curve is.
     """
     seg = materialize(segments(lut, signals, axis, param), "segments")
-    value = F.col(x) if extend else F.least(F.greatest(F.col(x), F.col("p_min")), F.col("p_max"))
-    inside = F.least(F.greatest(F.col(x), F.col("p_min")), F.col("p_max"))
-    hit = (inside >= F.col("p0")) & (
-        (inside < F.col("p1")) | ((F.col("p1") == F.col("p_max")) & (inside == F.col("p_max")))
+    ends = seg.groupBy(F.col(axis).alias("_axis")).agg(
+        F.min("p_min").alias("_low"), F.max("p_max").alias("_high"), F.count(F.lit(1)).alias("_cells")
     )
-    right = seg.withColumnRenamed(axis, "_axis")
-    joined = df.join(right, (F.col(axis) == F.col("_axis")) & hit, "left")
+
+    def cell(v):
+        share = (v - F.col("_low")) / (F.col("_high") - F.col("_low"))
+        return F.greatest(F.lit(0), F.least(F.floor(share * F.col("_cells")), F.col("_cells") - 1))
+
+    first, last = cell(F.col("p0")), cell(F.col("p1"))
+    touched = seg.join(ends, F.col(axis) == F.col("_axis")).withColumn(
+        "_cell", F.explode(F.sequence(first, last))
+    )
+    right = touched.drop(axis, "_low", "_high", "_cells")
+    bounds = ends.withColumnRenamed("_axis", "_of")
+    inside = F.least(F.greatest(F.col(x), F.col("_low")), F.col("_high"))
+    placed = df.join(bounds, F.col(axis) == F.col("_of"), "left").withColumns(
+        {"_inside": inside, "_at_cell": cell(inside)}
+    )
+    hit = (F.col("_inside") >= F.col("p0")) & (
+        (F.col("_inside") < F.col("p1"))
+        | ((F.col("p1") == F.col("p_max")) & (F.col("_inside") == F.col("p_max")))
+    )
+    joined = placed.join(
+        right, (F.col("_of") == F.col("_axis")) & (F.col("_at_cell") == F.col("_cell")) & hit, "left"
+    )
+    value = F.col(x) if extend else F.col("_inside")
     share = (value - F.col("p0")) / (F.col("p1") - F.col("p0"))
     out = {
         f"{prefix}{s}": F.col(f"y0_{s}") + (F.col(f"y1_{s}") - F.col(f"y0_{s}")) * share
         for s in signals
     }
-    extra = [c for c in right.columns]
-    return joined.withColumns(out).drop(*extra)
+    return joined.withColumns(out).drop(*right.columns, *bounds.columns, "_inside", "_at_cell")
 
 
 def curve_array(lut: DataFrame, signals: Sequence[str], axis: str = "axis", param: str = "param") -> DataFrame:
@@ -152,6 +172,7 @@ def build_lut(
     """Calibration curve from measured rows: evenly spaced points from lo to hi.
 
     Each row counts for its nearest point; a point's value is the mean of its rows.
+    Rows more than half a step below ``lo`` or above ``hi`` belong to no point.
     """
     width = (hi - lo) / (points - 1)
     idx = F.floor((F.col(param) - lo) / width + 0.5)

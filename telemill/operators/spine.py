@@ -127,9 +127,13 @@ def profile_table(
 def tile_profile(
     rows: DataFrame, profile: DataFrame, startup_rows: int, cycle_rows: int, row: str = "row_i"
 ) -> DataFrame:
-    """Tile a stored ``profile_table`` over rows."""
+    """Tile a stored ``profile_table`` over rows.
+
+    A position that the profile lacks leaves its rows with nulls. In a left join only
+    the profile can be the broadcast side, never the opened rows.
+    """
     at = profile_index(startup_rows, cycle_rows, row)
-    return rows.withColumn("_at", at).join(profile, "_at").drop("_at")
+    return rows.withColumn("_at", at).join(profile, "_at", "left").drop("_at")
 
 
 def tile(

@@ -193,11 +193,13 @@ def _events(devices, lut, draws, freq_s, per_month, maintenance_h, decoy_h) -> D
         KEY, "event_day", "event_in_day", "start_row", "proposed_end", "end_row", "kind",
         "amplitude",
     ]
-    m, d = fit_windows(maintenance.select(*cols), decoys.select(*cols), (freq_s, 86400))
+    # unknown kinds are left out before windows are fitted, so they push out no other
     kinds = {f"decoy_{k}": axis for k, axis in K.MOTOR_DECOY_AXIS.items()}
+    decoys = decoys.where(F.col("kind").isin(list(kinds)))
+    m, d = fit_windows(maintenance.select(*cols), decoys.select(*cols), (freq_s, 86400))
     low = pick("axis", {a: v[0] for a, v in K.MOTOR_INPUTS.items()})
     high = pick("axis", {a: v[1] for a, v in K.MOTOR_INPUTS.items()})
-    d = d.withColumn("axis", pick("kind", kinds)).where("axis is not null")
+    d = d.withColumn("axis", pick("kind", kinds))
     d = d.withColumn("_x", low + F.col("amplitude") * (high - low))
     d = interp(d, lut, "_x", RESPONSES, prefix="target_").drop("axis", "_x")
     return m.withColumn("post_row", F.col("end_row")).unionByName(

@@ -130,3 +130,32 @@ def test_zoom_clips_at_the_ends(spark):
     df = spark.createDataFrame(rows, "device_id int, row_i long, label string")
     got = A.zoom(df, 6).collect()
     assert sorted(r.row_i for r in got) == list(range(9)) and {r.device_id for r in got} == {1}
+
+
+def test_interp_of_a_long_curve_with_a_constant_axis(spark):
+    import numpy as np
+
+    from telemill.operators.lut import interp
+
+    rnd = np.random.default_rng(3)
+    p = np.sort(rnd.uniform(-3, 9, 20_000) ** 3)
+    y = rnd.normal(size=len(p))
+    lut = spark.createDataFrame([("a", float(u), float(v)) for u, v in zip(p, y)], "axis string, param double, s double")
+    x = np.concatenate([rnd.uniform(-40, 800, 2_000), p[:50], p[-50:]])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i long, x double")
+    out = interp(df.selectExpr("*", "'a' as axis"), lut, "x", ["s"])
+    got = [r.at_s for r in out.orderBy("i").collect()]
+    assert np.allclose(got, np.interp(x, p, y), atol=1e-6)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("Join [" in x and "_at_cell" in x for x in plan)  # segments meet by key
+    assert sum("NestedLoopJoin" in x for x in plan) <= 2  # the ends of an axis are one row (initial and final plan)
+
+
+def test_tiling_keeps_rows_that_the_profile_lacks(spark):
+    from telemill.operators.spine import tile
+
+    rows = spark.range(12).selectExpr("id as row_i")
+    template = spark.createDataFrame([("startup", 0, 1.0), ("cycle", 0, 2.0)], "phase string, idx long, v double")
+    out = tile(rows, template, ["v"], 2, 2)
+    assert [r.v for r in out.orderBy("row_i").collect()] == [1.0, None] + [2.0, None] * 5
+    assert "BuildLeft" not in out._jdf.queryExecution().executedPlan().toString()
