@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .exchange import KEYS, among, hot_of, key_rows, rows_table, shared_hashes
+from .exchange import KEYS, among, hot_of, key_rows, shared_hashes
 from .joining import linked
 from .tables import in_pieces, pieces
 from .words import U, find, mix, utf8, word_hashes
@@ -33,7 +33,9 @@ BREAK[[0x0A, 0x0D]] = True
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0B, 0x0C]] = True
 FOUND = "row long, doc_id long, n_lines long, places array<int>, ids array<long>, line_id long, line string, keys binary, marks binary"
-POSTINGS = "token long, rep long, n long, rank long, marked boolean"
+POSTINGS = "token long, rep long, n long, rank long, marked boolean, counts array<int>"
+#: Groups of characters that are counted; an edit moves two counts by one at most.
+COUNTED = 24
 #: Characters and columns that one verification step holds.
 STEP_CELLS = 4_000_000
 
@@ -229,14 +231,20 @@ def _find(buckets: int):
 
 
 def _post(batches):
+    """A posting for each key that a line shares, with counts of its characters by group."""
     for batch in batches:
         rows = []
         t = batch.to_pydict()
-        for line_id, n, raw, marks in zip(t["line_id"], t["n"], t["keys"], t["marks"], strict=True):
+        for line_id, n, line, raw, marks in zip(*(t[c] for c in ("line_id", "n", "line", "keys", "marks")), strict=True):
             keys = np.frombuffer(raw, np.int64)
             flags = np.unpackbits(np.frombuffer(marks, np.uint8), count=len(keys)).astype(bool)
-            rows += [(k, line_id, n, n, f) for k, f in dict(sorted(zip(keys.tolist(), flags.tolist(), strict=True))).items()]
-        yield from rows_table(rows, POSTINGS).to_batches()
+            chars = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+            counts = np.bincount(chars % COUNTED, minlength=COUNTED).tolist()
+            rows += [(k, line_id, n, n, f, counts) for k, f in dict(sorted(zip(keys.tolist(), flags.tolist(), strict=True))).items()]
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
+        names = [f.split()[0] for f in POSTINGS.split(", ")]
+        yield from pa.table([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=names).to_batches()
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -260,7 +268,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         F.first("line").alias("line"), F.first("keys").alias("keys"), F.first("marks").alias("marks")
     )
     lines = materialize(lines.withColumn("n", F.length("line").cast("long")), "lines")
-    postings = lines.select("line_id", "n", "keys", "marks").mapInArrow(_post, POSTINGS)
+    postings = lines.select("line_id", "n", "line", "keys", "marks").mapInArrow(_post, POSTINGS)
 
     def verify(pairs: DataFrame) -> DataFrame:
         x = lines.select(F.col("line_id").alias("a"), F.col("line").alias("xa"))
@@ -268,7 +276,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         return pairs.join(x, "a").join(y, "b").select("a", "b", "xa", "xb").mapInArrow(_verify_batches, "a long, b long")
 
     def meet(met: DataFrame) -> DataFrame:
-        return met.filter("marked or marked_x").select(F.greatest("rep", "rep_x").alias("a"), F.least("rep", "rep_x").alias("b")).distinct()
+        apart = F.aggregate(F.zip_with("counts", "counts_x", lambda a, b: F.abs(a - b)), F.lit(0), lambda acc, d: acc + d)
+        return met.filter(F.expr("marked or marked_x") & (apart <= 2 * EDITS)).select(F.greatest("rep", "rep_x").alias("a"), F.least("rep", "rep_x").alias("b")).distinct()
 
     groups = linked(postings, verify, lambda a, b: F.abs(a - b) <= EDITS, meet)
     rows = found.filter("row is not null").select("row", "doc_id", "n_lines", "places", "ids")
