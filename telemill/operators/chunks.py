@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 CHUNK_ROWS = 65536
+#: Rows that one task of ``with_row_index`` sorts.
+INDEX_ROWS = 4_000_000
 CHUNK = "_chunk"
 
 
@@ -148,7 +150,8 @@ def with_row_index(
     (key, partition) give the index without a per-key window over the rows. The
     placed rows are stored first so the positions cannot change on a retry.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(least, -(-df.count() // INDEX_ROWS))
     placed = materialize(
         df.repartitionByRange(n, *keys, *order)
         .sortWithinPartitions(*keys, *order)

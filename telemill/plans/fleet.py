@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import status as ST
 from ..operators.manifest import sample_manifest
+from ..operators.spine import with_one_row
 from ..session import materialize
-from ..sources.records import apply_overrides, manifest_rows, write_config, write_results
+from ..sources.records import apply_overrides, is_current, manifest_rows, write_config, write_csv, write_results
 from ..sources.scenarios import series_dim
-from ..sources.series import file_stats
+from ..sources.series import file_stats, write_series
 from .motor import MotorInputs, build_motor
 from .pump import PumpInputs, build_pump
 
@@ -178,8 +179,13 @@ def sample_manifest_rows(
     ambient_var_K: float = 0.0,
     duty_cycle_var: float = 0.0,
     seed: int = 42,
+    decoy_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Four series per unit: a healthy one and one per failure, seeds counting up."""
+    """Four series per unit: a healthy one and one per failure, seeds counting up.
+
+    ``decoy_types`` limits the decoys; by default all of the machine's may occur.
+    """
+    kinds = DECOYS[machine] if decoy_types is None else decoy_types
     series = F.array(
         *[
             F.struct(
@@ -201,7 +207,7 @@ def sample_manifest_rows(
             "ambient_var_K": F.lit(float(ambient_var_K)),
             "duty_cycle_var": F.lit(float(duty_cycle_var)),
             "decoy_freq_per_day": F.lit(float(decoys_per_day)),
-            "decoy_types": F.array(*[F.lit(d) for d in DECOYS[machine]]),
+            "decoy_types": F.array(*[F.lit(d) for d in kinds]).cast("array<string>"),
             "noise_scale": F.lit(1.0),
             "v_offset": F.lit(0.0),
             "p_offset": F.lit(0.0),
@@ -239,3 +245,25 @@ def sample_dataset(
         decoy_text=machine == "pump",
     )
     return series, lookup
+
+
+def write_sample_dataset(
+    out: str, units: DataFrame, unit: str, machine: str, inputs: PumpInputs | MotorInputs, **settings
+) -> bool:
+    """Write a sample data set, unless the folder holds one with these settings; was it written?
+
+    The settings are stored last, so a run that broke off is not taken for finished.
+    """
+    out, spark = out.rstrip("/"), units.sparkSession
+    params = spark.range(1).select(
+        F.lit(machine).alias("machine"),
+        *[F.lit(None if v is None else str(v)).cast("string").alias(k) for k, v in sorted(settings.items())],
+    )
+    params = with_one_row(params, units.agg(F.count(F.lit(1)).alias("units")))
+    if is_current(spark, f"{out}/series", f"{out}/params", params):
+        return False
+    series, lookup = sample_dataset(units, unit, machine, inputs, **settings)
+    write_series(series, f"{out}/series", "scenario_id")
+    write_csv(lookup, f"{out}/lookup")
+    write_config(params, f"{out}/params")
+    return True

@@ -15,6 +15,8 @@ from ..operators.lut import curve_array, with_curve
 from ..operators.modulate import add_drift, add_noise
 from ..operators.spine import tile, with_one_row
 from ..session import materialize
+from ..sources.records import write_csv
+from ..sources.series import write_by_key
 from .motor import MotorInputs, pick
 from .pump import PumpInputs
 
@@ -43,6 +45,33 @@ MOTOR_SCENARIOS = [
     ("decoy_duty_step", "demag", "decoy", None, "duty_step"),
     ("decoy_duty_ramp", "demag", "decoy", None, "duty_ramp"),
 ]
+# --- fixed values: what the lookup says of each scenario ---------------------
+DESCRIPTIONS = {
+    "pump": [
+        "Healthy pump — all sensors stable",
+        "Thrust bearing wear — Tt rises above healthy baseline",
+        "High-load step — speed ↑, Tt rises from load (not wear)",
+        "High-load ramp — speed ↑ gradually, Tt rises proportionally",
+        "Impeller wear — A shrinks, flow capacity degrades",
+        "Back pressure step — flow drops but A stays constant",
+        "Back pressure ramp — flow drops gradually, A constant",
+        "Radial bearing wear — Tr rises above healthy baseline",
+        "High-load step — speed ↑, Tr rises from load (not wear)",
+        "High-load ramp — speed ↑ gradually, Tr rises proportionally",
+    ],
+    "motor": [
+        "Healthy motor — all signals stable",
+        "Winding degradation — R rises, speed drops, current rises",
+        "Load step — speed drops from load increase (not winding)",
+        "Load ramp — speed drops gradually from load (not winding)",
+        "Bearing wear — friction rises, speed drops under same load",
+        "Voltage sag step — speed drops from lower voltage (not wear)",
+        "Voltage sag ramp — speed drops gradually (not wear)",
+        "Demagnetization — K drops, speed/current characteristics change",
+        "Duty cycle step — speed drops from reduced duty (not demag)",
+        "Duty cycle ramp — speed drops gradually (not demag)",
+    ],
+}
 CATALOGUES = {"pump": PUMP_SCENARIOS, "motor": MOTOR_SCENARIOS}
 _FIELDS = ["scenario", "group", "kind", "failure_type", "decoy_type"]
 
@@ -185,7 +214,18 @@ def pump_scenarios(
 
 
 def scenario_lookup(units: DataFrame, machine: str, unit: str) -> DataFrame:
-    """Lookup rows of the scenarios each unit runs."""
-    return with_catalogue(units.select(unit), machine).select(
-        unit, "scenario_id", "scenario", "group", "kind", "faulty"
+    """Lookup rows of the scenarios each unit runs, with their descriptions."""
+    texts = F.array(*[F.lit(t) for t in DESCRIPTIONS[machine]])
+    rows = with_catalogue(units.select(unit), machine)
+    text = F.element_at(texts, F.col("scenario_id") + 1)
+    return rows.select(
+        unit,
+        F.col("scenario_id").cast("int").alias("scenario_id"),
+        "scenario", "group", "kind", "faulty", text.alias("description"),
     )
+
+
+def write_scenario_set(series: DataFrame, lookup: DataFrame, out: str) -> None:
+    """Write a scenario set: a CSV folder per scenario and the lookup beside them."""
+    write_by_key(series, f"{out.rstrip('/')}/series", "scenario")
+    write_csv(lookup, f"{out.rstrip('/')}/lookup")

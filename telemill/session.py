@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,7 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local-mode session may do without the setting; it then gets a
-    temporary folder of its own.
+    temporary folder of its own, which goes when Python ends. On a cluster a
+    ``file:`` folder has to be one that all machines mount.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -26,6 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="telemill-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
     return _LOCAL_DIRS[app]
 
 
@@ -52,7 +56,8 @@ def use_compiled_code(spark: SparkSession) -> None:
 
     HotSpot leaves methods over 8,000 bytes of code to its interpreter. With the
     limit set, Spark falls back to per-operator code for such stages, which is
-    split into small methods. A value set by the user stays.
+    split into small methods. It holds for the whole session, so builds don't set it;
+    call this before large builds. A value set by the user stays.
     """
     name = "spark.sql.codegen.hugeMethodLimit"
     if spark.conf.get(name) == "65535":

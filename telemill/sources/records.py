@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,11 +75,10 @@ def same_params(saved: DataFrame, current: DataFrame, key: str) -> DataFrame:
 
 def is_current(spark: SparkSession, data_path: str, params_path: str, current: DataFrame) -> bool:
     """A stored data set may be reused: its data exist and its settings are these."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in (data_path, params_path):
-        p = hadoop(path)
-        if not p.getFileSystem(conf).exists(p):
-            return False
+    try:
+        spark.read.parquet(data_path).schema  # noqa: B018  a missing folder is an analysis error
+        spark.read.text(params_path).schema  # noqa: B018
+    except AnalysisException:
+        return False
     saved = spark.read.schema(current.schema).json(params_path)
     return saved.exceptAll(current).isEmpty() and current.exceptAll(saved).isEmpty()

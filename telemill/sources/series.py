@@ -15,9 +15,21 @@ def read_series(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def write_by_key(df: DataFrame, path: str, key: str, fmt: str = "csv") -> None:
-    """One folder per key value; a large key is spread over several files in it."""
-    writer = df.write.mode("overwrite").partitionBy(key)
+#: Rows of one key that go to one file.
+FILE_ROWS = 5_000_000
+
+
+def write_by_key(df: DataFrame, path: str, key: str, fmt: str = "csv", file_rows: int = FILE_ROWS) -> None:
+    """One folder per key value; a large key is spread over several files in it.
+
+    Rows are placed by key and, within a key, by a hash of the whole row into as many
+    parts as its row count asks for, so a key makes few files and no task holds a hot key.
+    """
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(file_rows)).alias("_parts"))
+    part = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.col("_parts"))
+    placed = df.join(counts, df[key].eqNullSafe(counts["_k"])).withColumn("_part", part)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = placed.repartition(tasks, key, "_part").select(df.columns).write.mode("overwrite").partitionBy(key)
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:
@@ -42,7 +54,8 @@ def write_fleet(
     Range partitioning keeps a device's rows together, so file statistics prune
     by device, and splits a device that is larger than a file.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = files or max(least, -(-df.count() // FILE_ROWS))
     (
         df.repartitionByRange(int(n), key, row)
         .sortWithinPartitions(key, row)

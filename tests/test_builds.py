@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from telemill import constants as K
 from telemill import schemas
+from telemill.functions.draws import Draws
 from telemill.operators.manifest import sample_manifest
 from telemill.plans.fleet import build_fleet, read_devices
 from telemill.plans.motor import build_motor
@@ -114,3 +115,53 @@ def test_fleet_build_resumes(spark):
     assert third.completeness.first().missing == 1  # the rows of the first device are elsewhere
     again = build_fleet(devices.limit(1), *args[1:])
     assert again.manifest.count() == n
+
+
+def test_scenario_set_as_files(spark):
+    from telemill.plans import scenarios as SN
+    from telemill.sources.scenarios import read_scenario_dim
+
+    units = P.suppliers(spark, SF).limit(1)
+    out = new_path(spark, "scenarios")
+    series = SN.pump_scenarios(units, "s_suppkey", P.pump_inputs(spark, SF, 300), 300)
+    SN.write_scenario_set(series, SN.scenario_lookup(units, "pump", "s_suppkey").drop("s_suppkey"), out)
+    lookup = read_scenario_dim(spark, f"{out}/lookup").orderBy("scenario_id").collect()
+    assert [r.scenario_id for r in lookup] == list(range(10)) and all(r.description for r in lookup)
+    back = spark.read.option("header", True).csv(f"{out}/series")
+    assert back.count() == series.count() and back.select("scenario").distinct().count() == 10
+    files = back.select(F.col("_metadata.file_path")).distinct().count()
+    assert files == 10  # a small series is one file
+
+
+def test_sample_dataset_is_reused(spark):
+    from telemill.plans.fleet import write_sample_dataset
+
+    units, inputs, out = P.suppliers(spark, SF).limit(1), P.pump_inputs(spark, SF, 300), new_path(spark, "sample")
+    args = dict(freq_s=300, duration_days=8.0, decoy_types=("highload_step",))
+    assert write_sample_dataset(out, units, "s_suppkey", "pump", inputs, **args)
+    assert not write_sample_dataset(out, units, "s_suppkey", "pump", inputs, **args)
+    rows = spark.read.parquet(f"{out}/series")
+    assert rows.count() == 4 * (8 * 288 + 1)
+    seen = {r.event_type for r in rows.select("event_type").distinct().collect()}
+    assert {e for e in seen if e.startswith("decoy_")} == {"decoy_highload_step"}
+    assert write_sample_dataset(out, units, "s_suppkey", "pump", inputs, **{**args, "duration_days": 1.0})
+    assert spark.read.option("header", True).csv(f"{out}/lookup").count() == 4
+
+
+@pytest.mark.parametrize("machine", ("pump", "motor"))
+def test_bulk_draws_of_a_fleet(spark, machine):
+    """Over ten days of many devices, weekend included, signals stay near their profile and no draw repeats."""
+    devices = P.suppliers(spark, SF)
+    manifest = sample_manifest(devices, "s_suppkey", machine, 10.0, method="xxhash64")
+    inputs = P.pump_inputs(spark, SF, 300) if machine == "pump" else P.motor_inputs(spark, SF)
+    build = build_pump if machine == "pump" else build_motor
+    rows = build(manifest, inputs, 300).where("event_type = 'normal' and label = 'NORMAL'")
+    signals = K.PUMP_SIGNALS if machine == "pump" else K.MOTOR_SIGNALS
+    stats = rows.agg(F.count("*").alias("n"), *[F.stddev(c).alias(f"sd_{c}") for c in signals], *[F.count_if(F.isnan(c) | F.col(c).isNull()).alias(f"bad_{c}") for c in signals]).first()
+    assert stats.n > 2000 * devices.count() / 2 and all(stats[f"bad_{c}"] == 0 for c in signals)
+    assert sum(stats[f"sd_{c}"] > 0 for c in signals) >= len(signals) / 2
+    days = {r.d for r in rows.select(F.floor(F.col("time_h") / 24).alias("d")).distinct().collect()}
+    assert set(range(10)) <= days
+    z = spark.range(200_000).select(Draws(5, "xxhash64").standard_normal(["id"], "s").alias("z"), Draws(5, "xxhash64").uniform(["id"], "s").alias("u"))
+    m = z.agg(F.avg("z"), F.stddev("z"), F.avg("u"), F.count_distinct("u"), F.corr("z", "u")).first()
+    assert abs(m[0]) < 0.012 and abs(m[1] - 1) < 0.01 and abs(m[2] - 0.5) < 0.004 and m[3] == 200_000
