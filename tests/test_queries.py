@@ -1,6 +1,6 @@
 """Registered queries against their SQL twins on the smallest tables.
 
-The slow whole builds are left to ``check_queries.py``; their parts are here.
+Fleets are left to ``test_builds.py`` and ``check_queries.py``.
 """
 
 import duckdb
@@ -8,13 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import TABLES, rows_of
+from telemill.queries import catalog
 
 SF = "/root/testdata/sf0.001"
-SLOW = {
-    "pump_series", "motor_series", "pump_sample_dataset", "motor_sample_dataset", "fleet_build",
-    "event_precedence", "target_overlay", "window_scheduling",
-}
-FAST = [n for n in entry.queries() if n not in SLOW]
+FLEETS = {"fleet_build", "fleet_resume"}
+NAMES = [n for n in catalog.QUERIES if n not in FLEETS]
 
 
 @pytest.fixture(scope="module")
@@ -26,10 +24,10 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     got = rows_of(entry.queries()[name](spark, SF).toPandas())
     assert got == rows_of(duck.execute(entry.oracle_sql()[name]).df())
