@@ -98,6 +98,8 @@ def mix(rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).cast("long").alias("epochs"),
     ).withColumn("_rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
+    # a row per source; stored, so that its size decides whether it is broadcast
+    plan = materialize(plan, "mix-plan")
     binned = keyed.join(plan, keyed["source"].eqNullSafe(plan["_source"])).drop("_source").withColumn(
         "_bin", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.col("_bins")).cast("long")
     )
