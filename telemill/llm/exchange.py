@@ -13,7 +13,6 @@ a million) only makes a candidate, which the caller has to confirm.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +123,3 @@ def among(hot: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = np.searchsorted(hot, x)
     at[at == len(hot)] = 0
     return hot[at] == x
-
-
-GroupFn = Callable[[pa.Table], pa.Table]
