@@ -26,7 +26,7 @@ from .words import GAP, LOWER, find, slices, utf8, word_hashes
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 #: Labelled documents of either class that training may see.
-SAMPLE = 1_500
+SAMPLE = 1_000
 VOCABULARY = 4_000
 ROUNDS, BATCH = 6, 128
 OUT = "doc_id long, held_out boolean, score double, predicted int, n_windows long"
@@ -45,8 +45,8 @@ class Tokens:
         self.hashes = word_hashes(w, fold=LOWER)
         self.data, self.starts = data, w.starts
         # characters of a token: up to the next token of the text, or its end
-        self.stops = np.append(w.starts[1:], len(data))
-        self.stops = np.minimum(self.stops, offsets[1:][w.doc]) if len(w.doc) else self.stops[:0]
+        self.stops = np.append(w.starts[1:], len(data))[: len(w.doc)]
+        np.minimum(self.stops, offsets[1:][w.doc], out=self.stops)
         n = w.counts
         per = np.where(n > 0, np.maximum(0, -(-(n - WINDOW) // STRIDE)) + 1, 0)
         self.of = np.repeat(np.arange(self.n_docs), per)
@@ -130,7 +130,7 @@ class Model:
         pooled = np.einsum("tw,twh->wh", a, h)
         return pooled @ self.p["out"] + self.p["bias"][0], (at, live, h, a, pooled, kf, kb)
 
-    def windows(self, t: Tokens, block: int = 2048) -> np.ndarray:
+    def windows(self, t: Tokens, block: int = 1024) -> np.ndarray:
         """Logits of all windows, a block of them and their tokens at a time."""
         logits = np.zeros(len(t.begin), np.float32)
         for i in range(0, len(logits), block):
@@ -191,32 +191,49 @@ class Model:
         return g, logit
 
 
-def _vocabulary(t: Tokens, first: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of at least three sample documents that tell the classes apart best, with log odds."""
-    own = [np.unique(t.hashes[first[r] : first[r + 1]]) for r in range(t.n_docs)]
+def _vocabulary(t: Tokens, first: np.ndarray, y: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of a few of ``docs`` at least that tell the classes apart best, with log odds.
+
+    A few is 1 in 200, and three at least, so that words which only a group of copies
+    shares don't stand for a class.
+    """
+    own = [np.unique(t.hashes[first[r] : first[r + 1]]) for r in docs]
+    y = y[docs]
     every, at = np.unique(np.concatenate(own), return_inverse=True)
     n = np.bincount(at, minlength=len(every))
     bad = np.bincount(at, np.repeat(y, [len(x) for x in own]), minlength=len(every))
     odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((n - bad + 0.5) / (len(y) - y.sum() + 1))
     rank = np.lexsort((every, -np.abs(odds) * np.sqrt(n)))
-    best = np.sort(rank[n[rank] >= 3][:VOCABULARY])
+    best = np.sort(rank[n[rank] >= max(3, len(y) // 200)][:VOCABULARY])
     return every[best], np.clip(odds[best], -3, 3).astype(np.float32)
 
 
 def train(texts: list[str | None], toxic: list[int], prior: float | None = None, seed: int = 0) -> Model:
-    """Fit a model. ``prior`` is the share of toxic documents to calibrate for, by default the sample's."""
+    """Fit a model. ``prior`` is the share of toxic documents to calibrate for, by default the sample's.
+
+    A quarter of the sample, if it has some of either class, is kept from training and
+    calibrates the scores.
+    """
     y = np.array(toxic, np.float32)
     if len(y) == 0 or y.min() == y.max():
         model = Model(np.zeros(0, np.uint64), np.zeros(0, np.float32))
         share = min(0.99, max(0.01, float(y.mean()) if len(y) else 0.01))
         model.scale, model.shift = 0.0, float(np.log(share / (1 - share)))
         return model
-    t = Tokens(pa.array(texts, pa.large_string()))
-    first = np.searchsorted(t.starts, utf8(pa.array(texts, pa.large_string()))[1])
-    model = Model(*_vocabulary(t, first, y), seed=seed)
+    column = pa.array(texts, pa.large_string())
+    t = Tokens(column)
+    first = np.searchsorted(t.starts, utf8(column)[1])
+    r = np.random.default_rng(seed)
+    aside = np.zeros(len(y), bool)
+    for label in (0, 1):
+        own = r.permutation(np.flatnonzero(y == label))
+        aside[own[: len(own) // 4]] = True
+    if min(aside[y == 0].sum(), aside[y == 1].sum()) < 5:
+        aside[:] = False
+    docs = np.flatnonzero(~aside)
+    model = Model(*_vocabulary(t, first, y, docs), seed=seed)
     if len(model.vocabulary) == 0:
         model = Model(np.zeros(1, np.uint64), np.zeros(1, np.float32), seed=seed)
-    r = np.random.default_rng(seed)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in model.p.items()}
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
     step = 0
@@ -232,6 +249,7 @@ def train(texts: list[str | None], toxic: list[int], prior: float | None = None,
         order = np.lexsort((logits, t.of))
         last = np.append(t.of[order][1:] != t.of[order][:-1], True)
         top = order[last]
+        top = top[~aside[t.of[top]]]
         for _ in range(2):
             for part in np.array_split(r.permutation(top), max(1, len(top) // BATCH)):
                 own = _tokens_of(t, part)
@@ -239,7 +257,7 @@ def train(texts: list[str | None], toxic: list[int], prior: float | None = None,
                 doc = t.of[part]
                 g, _ = model.gradients(own, ids, x, np.arange(len(part)), y[doc], weight[doc])
                 step += 1
-                rate = 0.02 / (1 + turn)
+                rate = 0.02 / (1 + turn / 3)
                 for k, v in model.p.items():
                     m, s = moment[k]
                     m += 0.1 * (g[k] - m)
@@ -248,6 +266,8 @@ def train(texts: list[str | None], toxic: list[int], prior: float | None = None,
                     v *= 1 - (1e-3 if k in ("word", "char") else 1e-4) * rate
     logits = model.documents(t).astype(np.float64)
     share = float(y.mean()) if prior is None else prior
+    if aside.any():
+        logits, y = logits[aside], y[aside]
     _calibrate(model, logits, y, np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean())))
     return model
 

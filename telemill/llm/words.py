@@ -17,7 +17,7 @@ U = np.uint64
 GAP = np.zeros(256, dtype=bool)
 GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 @dataclass
