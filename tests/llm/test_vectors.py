@@ -64,6 +64,36 @@ def test_large_group_of_near_copies(spark):
     assert sum(g[2] != w[2] for g, w in zip(got, sorted(want, key=str))) <= 3
 
 
+def exact(rows, least=0.9):
+    """Like ``brute`` for rows with distinct ids and usable vectors, by matrices."""
+    out = []
+    for n in {len(v) for _, v in rows}:
+        ids = np.array([i for i, v in rows if len(v) == n])
+        x = np.array([v for _, v in rows if len(v) == n])
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        near = x @ x.T >= least
+        root, before = ids.copy(), None
+        while before is None or (root != before).any():
+            before, root = root, np.where(near, root[None, :], ids.max()).min(axis=1)
+        out += list(zip(ids.tolist(), (near.sum(axis=1) - 1).tolist(), root.tolist(), strict=True))
+    return sorted(out, key=str)
+
+
+def test_groups_of_many_leaves(spark, monkeypatch):
+    """Groups of 10 and 50 leaves, at the registered number of trees, lose no link."""
+    monkeypatch.setattr(vectors, "BLOCK", 150, raising=False)
+    r = np.random.default_rng(7)
+    rows, leaf = [], 20
+    for size, spread in ((10 * leaf, 0.25), (50 * leaf, 0.25), (5 * leaf, 0.02)):  # the last within half the angle
+        centre = r.normal(size=64)
+        rows += [c.tolist() for c in centre + spread * r.normal(size=(size, 64))]
+        rows += [rows[-1]] * 3 + [(2 * np.array(rows[-2])).tolist()]
+    rows += r.normal(size=(2 * len(rows), 64)).tolist()
+    rows += [[1.0, 0.1 * i] for i in range(5)]  # a length that few vectors have
+    rows = list(enumerate(rows))
+    assert run(spark, rows, leaf=leaf, trees=vectors.TREES) == exact(rows)
+
+
 def test_odd_rows(spark):
     rows = [
         (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
