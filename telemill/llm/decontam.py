@@ -4,9 +4,10 @@ Words are brought to a template: a word with a digit becomes a number, a unit of
 measure after a number a unit, and a capitalised word inside a sentence a name;
 other words lose case and outer punctuation. Windows of ``WINDOW`` template words
 (whole items where those are shorter) are joined by hash. A hit is verified word by
-word, and its slots have to agree over the whole match of a document with an item:
-one value of the item always stands for one value of the document, and the other
-way round. That tells a question with new values from chance.
+word. A window whose words and values are all equal counts whatever stands around it.
+Windows with other values have to agree with those and with each other, in the order
+of the document: one value of the item always stands for one value of the document.
+That tells a question with new values from chance.
 
 The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words. The table of a
 block goes to the tasks and all documents are read against it, whatever the size
@@ -169,29 +170,30 @@ class Block:
         return [(row, self.ids[i], KINDS[h[1] < 0], h[0], h[2], h[3], h[4], -h[1]) for (row, i), h in sorted(out.items())]
 
     def _verify(self, t: Template, spans, shift):
-        """Windows and words of a match whose literals are equal and whose slots agree."""
-        there: dict[bytes, bytes] = {}
-        back: dict[bytes, bytes] = {}
-        words, good, slots = set(), 0, set()
+        """Windows and words of a match: all that are equal, then those whose values agree with the ones before."""
+        same, other = [], []
         for at, place, n in spans:
-            pairs, ok = [], True
+            pairs, equal, ok = [], True, True
             for d in range(n):
                 a = bytes(t.words.data[t.words.starts[at + d] : t.words.ends[at + d]])
                 b, kind = self.text[place + d], int(self.slot[place + d])
-                if kind != int(t.slot[at + d]) or (kind == 0 and a.lower() != b.lower()):
+                differs = a != b if kind else a.lower() != b.lower()
+                if differs and (kind == 0 or kind != int(t.slot[at + d])):
                     ok = False
                     break
+                equal &= not differs
                 if kind:
                     pairs.append((b, a, at + d))
-            if not ok:
+            if ok:
+                (same if equal else other).append((at, n, pairs))
+        there: dict[bytes, bytes] = {}
+        words, good, slots = set(), 0, set()
+        for at, n, pairs in same + other:
+            new: dict[bytes, bytes] = {}
+            if any(there.get(b, new.setdefault(b, a)) != a or new[b] != a for b, a, _ in pairs):
                 continue
-            if any(there.get(b, a) != a or back.get(a, b) != b for b, a, _ in pairs):
-                return None
-            for b, a, k in pairs:
-                there[b], back[a] = a, b
-                slots.add(k)
-            if len({b for b, _, _ in pairs}) != len({a for _, a, _ in pairs}):
-                return None
+            there |= new
+            slots.update(k for _, _, k in pairs)
             good += 1
             words.update(range(at, at + n))
         if not good:

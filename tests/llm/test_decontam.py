@@ -28,6 +28,15 @@ def test_inconsistent_slots(spark):
     assert run(spark, [(1, good), (2, bad)], [(5, item)]) == {(1, 5): "reparameterised"}
 
 
+def test_conflicting_values_leave_the_rest(spark):
+    """A value that disagrees takes only its own windows away; values may become equal."""
+    item = "the train leaves at 8 and the bus leaves at 8 so both of them leave at 8 in the morning"
+    docs = [(1, item.replace("8", "9", 1)), (2, ITEM.replace("12", "7")), (3, item.replace("leave at 8", "leave at 7").replace("8", "9", 1).replace("8", "6"))]
+    assert run(spark, docs, [(5, item), (6, ITEM)]) == {(1, 5): "exact", (2, 6): "reparameterised"}
+    two = "a farmer sold 12 of the apples and 7 of the pears to his friend"
+    assert run(spark, [(1, two.replace("12", "4").replace("7", "4"))], [(1, two)]) == {(1, 1): "reparameterised"}
+
+
 def test_short_items_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 20)
     items = [(i, " ".join(f"w{c}x" for c in f"{i:03d}" * 2) + " a b c") for i in range(5)] + [(9, None), (10, "")]
