@@ -3,7 +3,8 @@
 Words are brought to a template: a word with a digit becomes a number, a unit of
 measure after a number a unit, and a capitalised word inside a sentence a name;
 other words lose case and outer punctuation. Windows of ``WINDOW`` template words
-(whole items where those are shorter) are joined by hash. A hit is verified word by
+(whole items where those are shorter) are joined by hash, and so are windows of the
+plain words in lower case, whatever they are. A hit is verified word by
 word. A window whose words and values are all equal counts whatever stands around it.
 Windows with other values have to agree with those and with each other, in the order
 of the document: one value of the item always stands for one value of the document.
@@ -21,15 +22,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .exchange import rows_table
 from .mixing import word_count
-from .words import LOWER, U, find, grams, mix, slices, utf8, word_hashes, words_of
+from .words import U, find, grams, mix, slices, utf8, word_hashes, words_of
 
 WINDOW = 13
-#: Words of a window that must be literal, not slots; of a shorter item the same share.
+#: Words of a window with other values that must be literal, not slots; of a shorter item the same share.
 LITERAL = 8
 BLOCK_WORDS = 1_000_000
 #: Units of measure, in lower case (fixed values).
@@ -46,14 +48,15 @@ NUMBER, UNIT, NAME = U(1), U(2), U(3)
 
 @dataclass
 class Template:
-    words: object
+    words: object  # in lower case
+    plain: np.ndarray  # word, by hash
     hashes: np.ndarray  # template word, by hash
     slot: np.ndarray  # 0 literal, 1 number, 2 unit, 3 name
 
 
 def _unit_hashes() -> np.ndarray:
     w = find(*utf8(pa.array([" ".join(UNITS)])))
-    return np.sort(word_hashes(w, fold=LOWER))
+    return np.sort(word_hashes(w))
 
 
 _IS_PUNCT = np.zeros(256, bool)
@@ -69,22 +72,27 @@ def _count(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return sums[ends] - sums[starts]
 
 
-def template(column) -> Template:
-    """Template words of a batch of texts, at the places of their words."""
-    w = words_of(column)
-    n = len(w.starts)
-    if n == 0:
-        return Template(w, np.zeros(0, np.uint64), np.zeros(0, np.int8))
-    punct = _IS_PUNCT[w.data]
-    # the core of a word: without punctuation at either end, all of it where there is nothing else
-    solid = np.flatnonzero(~punct)
+def _core(w):
+    """Words without punctuation at either end, all of a word where there is nothing else."""
+    solid = np.flatnonzero(~_IS_PUNCT[w.data])
     a = np.searchsorted(solid, w.starts)
     b = np.searchsorted(solid, w.ends) - 1
     some = b >= a
     start, end = w.starts.copy(), w.ends.copy()
     start[some], end[some] = solid[a[some]], solid[b[some]] + 1
-    core = type(w)(w.data, start, end, w.doc, w.counts)
-    hashes = word_hashes(core, fold=LOWER)
+    return type(w)(w.data, start, end, w.doc, w.counts)
+
+
+def template(column) -> Template:
+    """Template words of a batch of texts, at the places of their words."""
+    w = words_of(column)
+    n = len(w.starts)
+    if n == 0:
+        return Template(w, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8))
+    low = _core(words_of(pc.utf8_lower(column)))
+    core = _core(w)
+    start, end = core.starts, core.ends
+    hashes = word_hashes(low)
     slot = np.zeros(n, np.int8)
     digit = _count(_IS_DIGIT[w.data], start, end) > 0
     slot[digit] = NUMBER
@@ -101,15 +109,18 @@ def template(column) -> Template:
     first = w.data[start]
     capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (w.data[np.minimum(start + 1, len(w.data) - 1)] < 0x9F))
     slot[capital & ~opens & (slot == 0)] = NAME
-    return Template(core, np.where(slot > 0, slot.astype(np.uint64), hashes), slot)
-
-
-def _windows(t: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of every window of ``size`` words with enough literals."""
-    h, whole = grams(t.hashes, t.words.doc, size)
-    literal = np.concatenate([[0], np.cumsum(t.slot == 0)])
-    enough = literal[size:] - literal[: len(literal) - size] >= math.ceil(size * LITERAL / WINDOW)
-    at = np.flatnonzero(whole & enough[: len(h)]) if len(h) else np.zeros(0, np.int64)
+    return Template(low, hashes, np.where(slot > 0, slot.astype(np.uint64), hashes), slot)
+
+
+def _windows(t: Template, size: int, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every window of ``size`` words, of templates only with enough literals."""
+    h, whole = grams(t.plain if plain else t.hashes, t.words.doc, size)
+    if not len(h):
+        return np.zeros(0, np.int64), h
+    if not plain:
+        literal = np.concatenate([[0], np.cumsum(t.slot == 0)])
+        whole = whole & (literal[size:] - literal[: len(literal) - size] >= math.ceil(size * LITERAL / WINDOW))
+    at = np.flatnonzero(whole)
     return at, mix(h[at] + U(size))
 
 
@@ -122,45 +133,46 @@ class Block:
         self.first = t.words.first
         self.slot = t.slot
         self.text = [bytes(t.words.data[a:b]) for a, b in zip(t.words.starts, t.words.ends, strict=True)]
+        self.sizes = sorted({int(min(WINDOW, c)) for c in t.words.counts if c})
+        #: Hash, place, size and item of the windows of templates, and of those of plain words.
+        self.windows = [self._sorted(t, plain) for plain in (False, True)]
+
+    def _sorted(self, t: Template, plain: bool) -> tuple[np.ndarray, ...]:
         counts = t.words.counts
-        self.sizes = sorted({int(min(WINDOW, c)) for c in counts if c})
-        hashes, place, size = [], [], []
+        hashes, place, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n in self.sizes:
-            at, h = _windows(t, n)
+            at, h = _windows(t, n, plain)
             keep = counts[t.words.doc[at]] >= WINDOW if n == WINDOW else counts[t.words.doc[at]] == n
             hashes.append(h[keep])
             place.append(at[keep])
             size.append(np.full(int(keep.sum()), n))
-        hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        hashes, place, size = np.concatenate(hashes), np.concatenate(place), np.concatenate(size)
         order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[order]
-        self.place = np.concatenate([np.zeros(0, np.int64), *place])[order].astype(np.int64)
-        self.size = np.concatenate([np.zeros(0, np.int64), *size])[order].astype(np.int64)
-        self.item = np.searchsorted(self.first, self.place, "right") - 1
+        return hashes[order], place[order], size[order], np.searchsorted(self.first, place[order], "right") - 1
 
     def hits(self, column) -> list[tuple]:
         """(row, item, kind, windows, first word, last word, slots, changed) of verified matches."""
-        if len(self.hashes) == 0:
+        if not self.sizes:
             return []
         return [(i + h[0], *h[1:]) for i, part in slices(column) for h in self._hits(part)]
 
     def _hits(self, column) -> list[tuple]:
         t = template(column)
         first = t.words.first
-        found: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+        found: dict[tuple[int, int, int], set[tuple[int, int, int]]] = {}
         for n in self.sizes:
-            at, h = _windows(t, n)
-            lo, hi = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-            for k in np.flatnonzero(hi > lo).tolist():
-                row = int(t.words.doc[at[k]])
-                for j in range(int(lo[k]), int(hi[k])):
-                    if self.size[j] == n:
-                        i = int(self.item[j])
-                        shift = int(at[k]) - int(self.place[j])
-                        found.setdefault((row, i, shift), []).append((int(at[k]), int(self.place[j]), n))
+            for plain, (hashes, place, size, item) in enumerate(self.windows):
+                at, h = _windows(t, n, bool(plain))
+                lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+                for k in np.flatnonzero(hi > lo).tolist():
+                    row = int(t.words.doc[at[k]])
+                    for j in range(int(lo[k]), int(hi[k])):
+                        if size[j] == n:
+                            shift = int(at[k]) - int(place[j])
+                            found.setdefault((row, int(item[j]), shift), set()).add((int(at[k]), int(place[j]), n))
         out: dict[tuple[int, int], tuple] = {}
         for (row, i, shift), spans in sorted(found.items()):
-            match = self._verify(t, spans, shift)
+            match = self._verify(t, sorted(spans))
             if match is None:
                 continue
             windows, words, slots, changed = match
@@ -169,7 +181,7 @@ class Block:
                 out[row, i] = hit
         return [(row, self.ids[i], KINDS[h[1] < 0], h[0], h[2], h[3], h[4], -h[1]) for (row, i), h in sorted(out.items())]
 
-    def _verify(self, t: Template, spans, shift):
+    def _verify(self, t: Template, spans):
         """Windows and words of a match: all that are equal, then those whose values agree with the ones before."""
         same, other = [], []
         for at, place, n in spans:
@@ -177,7 +189,7 @@ class Block:
             for d in range(n):
                 a = bytes(t.words.data[t.words.starts[at + d] : t.words.ends[at + d]])
                 b, kind = self.text[place + d], int(self.slot[place + d])
-                differs = a != b if kind else a.lower() != b.lower()
+                differs = a != b
                 if differs and (kind == 0 or kind != int(t.slot[at + d])):
                     ok = False
                     break
@@ -219,7 +231,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     another value), n_windows, first_word and last_word (where in the document),
     n_slots and n_changed (values of the item that differ). Null and empty texts hold
     nothing and match nothing; items whose windows are mostly slots can't be told
-    apart and match nothing. Rows of ``docs`` are judged one by one, a null id
+    apart with other values and match only as they are. Case doesn't count. Rows of ``docs`` are judged one by one, a null id
     included; of an item that a document holds more than once, its longest match is
     given. Other columns are ignored. No documents or no items give no rows.
     """

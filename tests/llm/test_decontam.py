@@ -37,6 +37,21 @@ def test_conflicting_values_leave_the_rest(spark):
     assert run(spark, [(1, two.replace("12", "4").replace("7", "4"))], [(1, two)]) == {(1, 1): "reparameterised"}
 
 
+def test_exact_copies_of_any_words(spark):
+    """Names, numbers, capitals and what stands before a copy don't hide it."""
+    items = [
+        (1, "Anna Berta Clara Dora Emil Frieda Gustav Heinrich Ida Julius Konrad Ludwig Martha Nordpol"),
+        (2, "3 + 4 = 7 and 12 - 5 = 7 but 2 * 9 = 18"),
+        (3, "Früh am Morgen ÜBT Jörg seine Übungen für den großen Auftritt in Köln"),
+        (4, "Which of the two boys has more of the red marbles now"),
+    ]
+    docs = [(i, f"Then they asked: {x} - so it went") for i, x in items] + [(10 + i, f"x {x.upper()} x") for i, x in items[:2] + items[3:]]
+    docs += [(23, "x früh am Morgen übt Jörg seine übungen FÜR den großen Auftritt in Köln."), (34, "He asked Which of the two boys\nhas more of the red marbles now")]
+    got = run(spark, docs, items)
+    assert got == {(i, i % 10): "exact" for i, _ in docs}
+    assert run(spark, [(1, items[0][1].replace("Ida", "Ina")[:60]), (2, items[1][1].replace("12", "13"))], items) == {}
+
+
 def test_short_items_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 20)
     items = [(i, " ".join(f"w{c}x" for c in f"{i:03d}" * 2) + " a b c") for i in range(5)] + [(9, None), (10, "")]
