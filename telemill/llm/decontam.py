@@ -12,7 +12,8 @@ That tells a question with new values from chance.
 
 The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words. The table of a
 block goes to the tasks and all documents are read against it, whatever the size
-of either side, without a shuffle.
+of either side, without a shuffle. What a block finds is stored before the next one is
+read, so the driver holds one block at a time.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .exchange import rows_table
 from .mixing import word_count
 from .words import U, find, grams, mix, slices, utf8, word_hashes, words_of
@@ -214,14 +216,14 @@ class Block:
 
 
 def blocks(benchmark: DataFrame):
-    """Blocks of the benchmark, each read when it is due; rows without id or text are left out."""
+    """Blocks of the benchmark and whether more follow, each read when it is due; rows without id or text are left out."""
     rows = benchmark.filter("item_id is not null and text is not null").select("item_id", "text")
     total = rows.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
     n = max(1, math.ceil(2 * total / BLOCK_WORDS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
         own = sorted({(r["item_id"], r["text"]) for r in rows.filter(part == k).collect()})
-        yield Block([i for i, _ in own], [x for _, x in own])
+        yield Block([i for i, _ in own], [x for _, x in own]), k < n - 1
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -237,7 +239,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     ready = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
-    for block in blocks(benchmark):
+    for block, more in blocks(benchmark):
         def run(batches, block=block):
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
@@ -245,13 +247,15 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield from rows_table(rows, OUT).to_batches()
 
         found = ready.mapInArrow(run, OUT)
+        found = materialize(found, "block-items") if more else found
         out = found if out is None else out.unionByName(found)
+        del block, run
     return out
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that hold no benchmark item."""
-    for block in blocks(benchmark):
+    for block, more in blocks(benchmark):
         def run(batches, block=block):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
@@ -260,4 +264,6 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = materialize(docs, "block-clean") if more else docs
+        del block, run
     return docs

@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 from telemill.llm import decontam
 
 ITEM = "On Monday the farmer Smith sold 12 kg of apples and 7 boxes of pears to his friend Jones for 90 dollars before noon."
@@ -62,6 +65,35 @@ def test_short_items_and_blocks(spark, monkeypatch):
     assert run(spark, [], items) == {}
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    """No earlier block is alive when the next one is made, nor more than one at the end."""
+    made, alive = [], []
+    make = decontam.Block.__init__
+
+    def watched(self, *args):
+        gc.collect()
+        alive.append(sum(r() is not None for r in made))
+        make(self, *args)
+        made.append(weakref.ref(self))
+
+    monkeypatch.setattr(decontam.Block, "__init__", watched)
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 20)
+    words = "red blue green brown black white grey pink gold".split()
+    items = [(i, " ".join(words[i:] + words[:i])) for i in range(6)]
+    d = spark.createDataFrame([(i, f"x {t} x") for i, t in items] + [(9, "none")], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.find_items(d, b)
+    assert len(alive) > 2 and not any(alive)
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(6)]
+    assert found._jdf.queryExecution().logical().toString().count("MapInArrow") == 1  # a plan holds the blocks it names
+    del found
+    made.clear()
+    alive.clear()
+    kept = decontam.keep_uncontaminated(d, b)
+    assert len(alive) > 2 and not any(alive)
+    assert [r.doc_id for r in kept.collect()] == [9]
+
+
 def test_documents_that_hold_whole_items(spark, documents):
     """Every document with all words of an item in a row is found, and nothing without 8 of them."""
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
