@@ -29,8 +29,10 @@ def day_table(devices: DataFrame, freq_s: int, days: str = "duration_days") -> D
     )
 
 
-def place(table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Spread a (device, day) table for the rows it will grow to.
+def place(
+    table: DataFrame, keys: Sequence[str] = ("device_id", "day"), rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Spread a (device, day) table by ``keys`` for the rows it will grow to.
 
     The table is tiny, so the task count is set from the number of series rows
     it stands for; adaptive coalescing would otherwise see only the small input.
@@ -38,7 +40,7 @@ def place(table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     total = table.agg(F.sum(F.col("_to") - F.col("_from") + 1)).first()[0] or 0
     spark = table.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_task))
-    return table.repartition(int(n), "device_id", "day")
+    return table.repartition(int(n), *keys)
 
 
 def day_spine(devices: DataFrame, freq_s: int, days: str = "duration_days") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .spine import row_count, with_one_row
@@ -101,21 +101,18 @@ def sizing(
     )
 
 
-def device_status(
-    manifest: DataFrame,
-    series: DataFrame,
-    signals: Sequence[str],
-    freq_s: int,
-    key: str = "device_id",
-    days: str = "duration_days",
-) -> DataFrame:
-    """Check each device's rows as data: a bad device gets a message, the run goes on."""
+def missing_values(signals: Sequence[str]) -> Column:
+    """Whether a row lacks a value of any signal."""
     bad = F.lit(False)
     for s in signals:
         bad = bad | F.col(s).isNull() | F.isnan(s)
-    seen = series.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(bad).alias("_bad")
-    )
+    return bad
+
+
+def status_of(
+    manifest: DataFrame, seen: DataFrame, freq_s: int, key: str = "device_id", days: str = "duration_days"
+) -> DataFrame:
+    """Status of each device from counted rows: ``seen`` has the key, ``_rows`` and ``_bad``."""
     expected = row_count(F.col(days), freq_s)
     return (
         manifest.select(key, expected.alias("_expected"))
@@ -133,3 +130,18 @@ def device_status(
             .alias("status"),
         )
     )
+
+
+def device_status(
+    manifest: DataFrame,
+    series: DataFrame,
+    signals: Sequence[str],
+    freq_s: int,
+    key: str = "device_id",
+    days: str = "duration_days",
+) -> DataFrame:
+    """Check each device's rows as data: a bad device gets a message, the run goes on."""
+    seen = series.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(missing_values(signals)).alias("_bad")
+    )
+    return status_of(manifest, seen, freq_s, key, days)

@@ -1,10 +1,11 @@
 """Steps shared by the long-series builds.
 
 A build keeps one layout from start to end: the (device, day) table is placed
-once, while it is tiny, and opened into rows afterwards. Running values,
-interval joins and anchors all work on (device, day), so no step moves rows
-between tasks. Values at single rows (anchors) are read by opening only those
-rows again, which hash draws make exact.
+once, while it is tiny, and opened into rows afterwards. Days are placed in blocks of
+``BLOCK_DAYS``, so that a device's rows end up in few files. Running values and
+interval joins all work on (device, block), so no step moves rows
+between tasks. Values at single rows (anchors) and means need no running value per
+row: hash draws can be repeated, and sums of them say what the walk is there.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..constants import NO_FAILURE_TTF
 from ..functions.draws import Draws
-from ..operators.intervals import lay_over
 from ..operators.joins import with_anchor
 from ..operators.labels import label_values
 from ..operators.manifest import default_severity, default_start_day
@@ -24,6 +24,13 @@ from ..operators.spine import day_rows, day_table, place, row_count
 from ..session import materialize
 
 KEY = "device_id"
+#: Days of a device that one task builds and writes together.
+BLOCK_DAYS = 14
+
+
+def block_bucket(freq_s: int) -> dict:
+    """How ``lay_over`` meets rows that are placed by (device, block)."""
+    return {"bucket": (freq_s, 86400 * BLOCK_DAYS), "bucket_col": "block"}
 
 
 def prepared(manifest: DataFrame, freq_s: int, draws: Draws) -> DataFrame:
@@ -45,7 +52,7 @@ def prepared(manifest: DataFrame, freq_s: int, draws: Draws) -> DataFrame:
 def place_days(
     devices: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
 ) -> DataFrame:
-    """The (device, day) table with the random walk reached before each day.
+    """The (device, day) table with the random walk reached before each day, placed by block.
 
     A day's total step is drawn as one normal of the right spread, so the walk
     between days needs no pass over the rows; ``open_days`` fills in the rows of
@@ -58,21 +65,27 @@ def place_days(
     }
     earlier = Window.partitionBy(KEY).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     reached = {f"_c_{c}": F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0.0)) for c in cols}
-    return place(day_table(devices, freq_s).withColumns(total).withColumns(reached))
+    days = day_table(devices, freq_s).withColumns(total).withColumns(reached)
+    return place(days.withColumn("block", F.expr(f"day div {BLOCK_DAYS}")), [KEY, "block"])
+
+
+def _with_steps(
+    days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
+) -> DataFrame:
+    """Rows of the days with a step ``_z_*`` each, and ``_first``, ``_n`` of their day."""
+    sized = days.withColumn("_first", F.col("_from")).withColumn("_n", F.expr("_to - _from + 1"))
+    steps = {f"_z_{c}": draws.normal([KEY, "row_i"], f"drift_{c}", 0.0, sd) for c in cols}
+    return day_rows(sized, freq_s).withColumns(steps)
 
 
 def open_days(
     days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
 ) -> DataFrame:
     """Rows of the placed days with the walk so far as ``_w_*``."""
-    day = Window.partitionBy(KEY, "day")
+    day = Window.partitionBy(KEY, "block", "day")
     so_far = day.orderBy("row_i").rowsBetween(Window.unboundedPreceding, 0)
     share = (F.col("row_i") - F.col("_first") + 1) / F.col("_n")
-    rows = day_rows(
-        days.withColumn("_first", F.col("_from")).withColumn("_n", F.expr("_to - _from + 1")), freq_s
-    ).withColumns(
-        {f"_z_{c}": draws.normal([KEY, "row_i"], f"drift_{c}", 0.0, sd) for c in cols}
-    )
+    rows = _with_steps(days, freq_s, cols, sd, draws)
     sums = {f"_s_{c}": F.sum(f"_z_{c}").over(so_far) for c in cols}
     whole = {f"_d_{c}": F.sum(f"_z_{c}").over(day) for c in cols}
     walk = {
@@ -88,34 +101,81 @@ def open_days(
     )
 
 
+def open_for_sums(
+    days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
+) -> DataFrame:
+    """Rows of the days whose ``_w_*`` add up to those of ``open_days`` over each day.
+
+    The walk at a row sums the steps up to it, so over a day of n rows a step counts as often
+    as there are rows from it on, and the bridge to the day's total takes (n + 1) / 2
+    times the gap. Each row's share of that needs no order, so sums and means of a
+    build need neither a sort nor a window.
+    """
+    after = F.col("_n") - (F.col("row_i") - F.col("_first"))
+    middle = (F.col("_n") + 1) / F.lit(2.0)
+    walk = {
+        f"_w_{c}": F.col(f"_c_{c}")
+        + F.col(f"_z_{c}") * (after - middle)
+        + F.col(f"_t_{c}") * middle / F.col("_n")
+        for c in cols
+    }
+    rows = _with_steps(days, freq_s, cols, sd, draws).withColumns(walk)
+    return rows.drop("_first", "_n", *[f"_{p}_{c}" for p in "zct" for c in cols])
+
+
 def at_rows(
     days: DataFrame,
     points: DataFrame,
     freq_s: int,
-    open_: Callable[[DataFrame], DataFrame],
+    cols: Sequence[str],
+    sd: float,
+    draws: Draws,
     build: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Built rows at the given (device, row) points only; stored.
 
-    Only the days that hold a point are opened.
+    The days that hold a point are cut behind each point. Steps are summed per piece, which
+    needs no order and few columns, and the sums of a day's pieces give its walk
+    at the points.
     """
-    one_row = materialize(
-        points.distinct().select(
-            KEY, F.col("row_i").alias("_start"), (F.col("row_i") + 1).alias("_end")
-        ),
+    named = materialize(
+        points.distinct().select(KEY, "row_i", F.expr(f"(row_i * {int(freq_s)}) div 86400").alias("day")),
         "points",
     )
-    used = one_row.select(KEY, F.expr(f"(_start * {int(freq_s)}) div 86400").alias("day")).distinct()
-    picked = lay_over(
-        open_(days.join(used, [KEY, "day"], "left_semi")),
-        one_row,
-        start="_start",
-        end="_end",
-        bucket=(freq_s, 86400),
-        bucket_col="day",
-        how="inner",
-    ).drop("_start", "_end")
-    return materialize(build(picked), "anchors")
+    held = days.select(KEY, "day", "seed", "_from", "_to")
+    of_day = Window.partitionBy(KEY, "day").orderBy("_end")
+    ends = held.join(named, [KEY, "day"]).select(*held.columns, F.col("row_i").alias("_end"))
+    pieces = (
+        ends.unionByName(ends.withColumn("_end", F.col("_to")).distinct())
+        .distinct()
+        .withColumn("_start", F.coalesce(F.lag("_end").over(of_day) + 1, F.col("_from")))
+        .select(KEY, "seed", "day", F.col("_from").alias("_first"), F.col("_start").alias("_from"), F.col("_end").alias("_to"), "_end")
+    )
+    steps = {f"_z_{c}": draws.normal([KEY, "row_i"], f"drift_{c}", 0.0, sd) for c in cols}
+    sums = (
+        day_rows(place(pieces, [KEY, "day", "_end"]), freq_s)
+        .groupBy(KEY, "day", "_end", "_first")
+        .agg(*[F.sum(z).alias(f"_p_{c}") for c, z in zip(cols, steps.values(), strict=True)])
+    )
+    so_far = of_day.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(KEY, "day")
+    reached = sums.select(
+        KEY, "day", F.col("_end").alias("row_i"), "_first",
+        *[F.sum(f"_p_{c}").over(so_far).alias(f"_s_{c}") for c in cols],
+        *[F.sum(f"_p_{c}").over(whole).alias(f"_d_{c}") for c in cols],
+    )
+    share = (F.col("row_i") - F.col("_first") + 1) / (F.col("_to") - F.col("_from") + 1)
+    walk = {
+        f"_w_{c}": F.col(f"_c_{c}") + F.col(f"_s_{c}") - share * (F.col(f"_d_{c}") - F.col(f"_t_{c}"))
+        for c in cols
+    }
+    rows = (
+        days.join(reached.join(named, [KEY, "day", "row_i"], "left_semi"), [KEY, "day"])
+        .withColumns(walk)
+        .withColumns({"time_s": F.col("row_i") * F.lit(int(freq_s)), "time_h": F.col("row_i") * F.lit(int(freq_s)) / F.lit(3600.0)})
+        .drop("_first", "_from", "_to", "_last", *[f"_{p}_{c}" for p in "csdt" for c in cols])
+    )
+    return materialize(build(materialize(rows, "walk-at-points")), "anchors")
 
 
 def points_of(windows: DataFrame, *columns: str) -> DataFrame:

@@ -82,20 +82,15 @@ def build_motor(
         values["resistance_ohm"] = values["resistance_ohm"] + F.col("_r")
         return rows.withColumn("_r", r).withColumns(values).drop("_r")
 
-    def placed_days(table: DataFrame) -> DataFrame:
-        return Y.place_days(table, freq_s, RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
-
-    def opened(days: DataFrame) -> DataFrame:
-        return Y.open_days(days, freq_s, RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
-
-    # The duty factor works around the mean of the whole series: one pass for it.
+    walk = (RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
+    # The duty factor works around the mean of the whole series, which is summed up without the walk's order.
     means = (
-        undutied(opened(placed_days(devices)))
+        undutied(Y.open_for_sums(Y.place_days(devices, freq_s, *walk), freq_s, *walk))
         .groupBy(KEY)
         .agg(*[F.avg(c).alias(f"mean_{c}") for c in RESPONSES])
     )
     devices = materialize(devices.join(materialize(means, "means"), KEY), "motor-devices")
-    days = placed_days(devices)
+    days = Y.place_days(devices, freq_s, *walk)
 
     def base(rows: DataFrame) -> DataFrame:
         duty = duty_factor(F.col("time_h"), F.col("duty_cycle_var"), 0.4, smooth=False)
@@ -108,7 +103,7 @@ def build_motor(
         devices, lut, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
     points = Y.points_of(events, "start_row", "post_row")
-    anchors = Y.at_rows(days, points, freq_s, opened, base)
+    anchors = Y.at_rows(days, points, freq_s, *walk, base)
     placed = Y.anchored(events, anchors, RESPONSES, start="start_row", post="post_row")
     others = {f"other_{c}": F.coalesce(f"target_{c}", f"post_{c}") for c in RESPONSES}
     placed = materialize(
@@ -120,7 +115,7 @@ def build_motor(
 
     def with_events(rows: DataFrame) -> DataFrame:
         """Maintenance and decoys over the base series; parameters stay."""
-        joined = lay_over(rows, placed, bucket=(freq_s, 86400), bucket_col="day")
+        joined = lay_over(rows, placed, **Y.block_bucket(freq_s))
         kind = F.col("kind")
         mixed = O.apply_mixes(
             joined,
@@ -141,10 +136,10 @@ def build_motor(
         days,
         Y.points_of(failures, "first_row"),
         freq_s,
-        opened,
+        *walk,
         lambda rows: with_events(base(rows)),
     )
-    rows = with_events(base(opened(days)))
+    rows = with_events(base(Y.open_days(days, freq_s, *walk)))
     return _with_failures(rows, _phases(failures, fixed, freq_s), freq_s, draws, keep)
 
 
@@ -271,7 +266,7 @@ def _with_failures(rows, phases, freq_s, draws, keep) -> DataFrame:
     """Wear, downtime and restart over the series; labels and the final columns."""
     phase = F.col("phase")
     joined = O.with_wear(
-        lay_over(rows, phases, bucket=(freq_s, 86400), bucket_col="day"), RESPONSES, freq_s
+        lay_over(rows, phases, **Y.block_bucket(freq_s)), RESPONSES, freq_s
     )
     active = (phase == "failure") & (O.since() < F.col("wear_rows"))
     mixed = O.apply_mixes(

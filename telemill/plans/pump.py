@@ -59,10 +59,8 @@ def build_pump(
     tiles = profile_table(profile, SIGNALS, startup, cycle)
     devices = with_one_row(Y.prepared(manifest, freq_s, draws), mean)
 
-    days = Y.place_days(devices, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
-
-    def opened(placed_days: DataFrame) -> DataFrame:
-        return Y.open_days(placed_days, freq_s, K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
+    walk = (K.PUMP_TEMPS, K.PUMP_DRIFT_SD, draws)
+    days = Y.place_days(devices, freq_s, *walk)
 
     def base(rows: DataFrame) -> DataFrame:
         """Tiled profile, noise, drift, ambient, duty, device offsets."""
@@ -95,12 +93,12 @@ def build_pump(
         devices, lengths, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
     points = Y.points_of(events, "start_row", "post_row")
-    anchors = Y.at_rows(days, points, freq_s, opened, base)
+    anchors = Y.at_rows(days, points, freq_s, *walk, base)
     placed = _placed(events, anchors, episodes, draws)
 
     def with_events(rows: DataFrame) -> DataFrame:
         """Maintenance and decoys over the base series."""
-        joined = lay_over(rows, placed, bucket=(freq_s, 86400), bucket_col="day")
+        joined = lay_over(rows, placed, **Y.block_bucket(freq_s))
         joined = O.with_episode(joined, episodes, SIGNALS, O.since(), "ep_")
         kind = F.col("kind")
         mixed = O.apply_mixes(
@@ -121,12 +119,12 @@ def build_pump(
         days,
         Y.points_of(failures, "fail_start", "fail_row"),
         freq_s,
-        opened,
+        *walk,
         lambda rows: with_events(base(rows)),
     )
     phases = _phases(failures, fixed, episodes, freq_s)
 
-    rows = with_events(base(opened(days)))
+    rows = with_events(base(Y.open_days(days, freq_s, *walk)))
     return _with_failures(rows, phases, episodes, freq_s, draws, keep)
 
 
@@ -247,7 +245,7 @@ def _phases(failures, fixed, episodes, freq_s) -> DataFrame:
 def _with_failures(rows, phases, episodes, freq_s, draws, keep) -> DataFrame:
     """Failure, downtime and restart over the series; labels and the final columns."""
     phase = F.col("phase")
-    joined = lay_over(rows, phases, bucket=(freq_s, 86400), bucket_col="day").withColumn(
+    joined = lay_over(rows, phases, **Y.block_bucket(freq_s)).withColumn(
         "kind", F.when(phase == "failure", F.col("failure_kind"))
     )
     idx = F.floor(O.since() * F.col("severity")).cast("bigint")
