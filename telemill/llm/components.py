@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, release
 
 
 def _star(both: DataFrame, keep) -> DataFrame:
@@ -44,10 +44,13 @@ def components(links: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        edges = materialize(small, "links")
+        edges, last = materialize(small, "links"), edges
+        release(last)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+    out = materialize(stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct()), "components")
+    release(edges)
+    return out

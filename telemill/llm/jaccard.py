@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import keep, materialize, scratch
 from .exchange import bits, cut, pack, rows_table, unpack
 from .joining import linked
-from .tables import in_pieces, pieces
+from .tables import in_pieces, pieces, ships_package
 from .words import LOWER, U, first_of_runs, grams, mix, word_hashes, words_of
 
 SHINGLE = 5
@@ -37,7 +37,7 @@ PIECE_BYTES = 5_000_000
 LONGEST, VERIFY = 8, 1.0
 COUNTS = "piece long, bucket long, n long, keys binary, often binary"
 CODES = "piece long, bucket long, n long, bits binary, codes binary"
-SETS = "doc_id long, n_shingles long, signature binary, shared binary, codes binary"
+SETS = "doc_id long, text_hash long, n_shingles long, signature binary, shared binary, codes binary"
 POSTINGS = "token long, rep long, n long, at long, rank long, l int"
 PAIR = "a long, b long"
 
@@ -135,34 +135,40 @@ def _sets(buckets: int):
             at[at == len(hot)] = 0
             codes = np.where(hot[at] == x, code[at], 0).astype(np.uint8)
         rows, seen, i = [], set(), 0
-        for doc_id, n in zip(table.column("doc_id").to_pylist(), counts.tolist(), strict=True):
+        for doc_id, text_hash, n in zip(table.column("doc_id").to_pylist(), table.column("text_hash").to_pylist(), counts.tolist(), strict=True):
             own, c = x[i : i + n], codes[i : i + n]
             i += n
             if n == 0 or doc_id is None:
-                rows.append((doc_id, n, None, None, None))
+                rows.append((doc_id, text_hash, n, None, None, None))
                 continue
             signature = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
             keep = np.flatnonzero(c)
             if len(keep) < needed(n):
-                rows.append((doc_id, n, None, None, None))
+                rows.append((doc_id, text_hash, n, None, None, None))
             elif signature in seen:
-                rows.append((doc_id, n, signature, None, None))
+                rows.append((doc_id, text_hash, n, signature, None, None))
             else:
                 seen.add(signature)
                 order = keep[np.lexsort((own[keep], c[keep]))]
-                rows.append((doc_id, n, signature, own[order].tobytes(), c[order].tobytes()))
+                rows.append((doc_id, text_hash, n, signature, own[order].tobytes(), c[order].tobytes()))
         return rows_table(rows, SETS)
 
     return run
 
 
+def text_hash(text: str = "text"):
+    """What tells rows of one doc_id apart."""
+    return F.coalesce(F.xxhash64(F.lit(3), text), F.lit(0))
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and, where a document may have a partner, signature and ordered shared shingles.
+    """doc_id, text_hash, n_shingles and, where a document may have a partner, signature and ordered shared shingles.
 
     Of equal sets in one piece of the corpus one row has the shingles.
     """
     n = pieces(docs, PIECE_BYTES)
-    parts = in_pieces(docs, n, "doc_id", "text")
+    docs = docs.select("doc_id", "text", text_hash().alias("text_hash"))
+    parts = in_pieces(docs, n, "doc_id", "text", "text_hash")
     counts = parts.groupBy("piece").applyInArrow(_send(n), COUNTS)
     codes = counts.groupBy("bucket").applyInArrow(_count, CODES)
     return parts.groupBy("piece").cogroup(codes.groupBy("piece")).applyInArrow(_sets(n), SETS)
@@ -257,12 +263,43 @@ def _meet(met: DataFrame) -> DataFrame:
     return counted.filter(enough).select("a", "b")
 
 
-def linked_classes(classes: DataFrame, also: DataFrame) -> DataFrame:
+def linked_classes(classes: DataFrame, also: DataFrame | None) -> DataFrame:
     """``node, component`` of classes (rep, n, shared, codes) that similarity or ``also`` (a, b) connects."""
     postings = classes.select("rep", "n", "shared", "codes").mapInArrow(_post, POSTINGS)
     return linked(postings, lambda pairs: verified(pairs, classes), _close, _meet, also)
 
 
+def _classes(sets: DataFrame) -> DataFrame:
+    """Distinct sets that may have a partner: signature, class_id (smallest doc_id), n, shared, codes, rep; stored.
+
+    ``rep`` names a class by its smallest id, or by its set where that id has several rows.
+    """
+    classes = (
+        sets.filter("signature is not null").groupBy("signature").agg(
+            F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"),
+            F.first("shared", ignorenulls=True).alias("shared"), F.first("codes", ignorenulls=True).alias("codes"),
+        )
+    )
+    repeated = sets.filter("doc_id is not null").groupBy(F.col("doc_id").alias("class_id")).agg(
+        F.count(F.lit(1)).alias("_k")
+    ).filter("_k > 1").select("class_id", F.lit(True).alias("_twice"))
+    named = classes.join(materialize(repeated, "repeated-ids"), "class_id", "left").withColumn(
+        "rep", F.when(F.col("_twice"), F.xxhash64("signature")).otherwise(F.col("class_id"))
+    )
+    return materialize(named.drop("_twice"), "classes")
+
+
+def _with_classes(sets: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``sets`` that have a class, with class_id and rep, and those that have none.
+
+    Most rows have none; they take no part in a join, where they would all be one key.
+    """
+    own = sets.filter("signature is not null").select("doc_id", "text_hash", "n_shingles", "signature")
+    rest = sets.filter("signature is null").select("doc_id", "text_hash", "n_shingles")
+    return own.join(classes.select("signature", "class_id", "rep"), "signature").drop("signature"), rest
+
+
+@ships_package
 def similar_documents(docs: DataFrame) -> DataFrame:
     """Component of every document under similarity of its 5-word shingles.
 
@@ -273,41 +310,53 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     component_id (smallest doc_id that links reach), a row for each row. Rows of one
     doc_id are one document: what any of its texts links with is linked. A row
     without id gets a null class and component and links with nothing. No rows
-    give no rows.
+    give no rows. Tables of the join are deleted when it ends; the result is stored.
     """
-    sets = materialize(shingle_sets(docs), "shingle-sets")
-    classes = (
-        sets.filter("signature is not null").groupBy("signature").agg(
-            F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"),
-            F.first("shared", ignorenulls=True).alias("shared"), F.first("codes", ignorenulls=True).alias("codes"),
-        )
-    )
-    # a class is named by its smallest id, or by its set where that id has several texts
-    repeated = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1 and doc_id is not null")
-    repeated = materialize(repeated.select("doc_id"), "repeated-ids")
-    doubtful = repeated.select(F.col("doc_id").alias("class_id"), F.lit(True).alias("_twice"))
-    classes = classes.join(doubtful, "class_id", "left").withColumn(
-        "rep", F.when(F.col("_twice"), F.xxhash64("signature")).otherwise(F.col("class_id"))
-    )
-    classes = materialize(classes.drop("_twice"), "classes")
-    rows = sets.select("doc_id", "n_shingles", "signature").join(
-        classes.select("signature", "class_id", "rep"), "signature", "left"
-    )
-    of_repeated = rows.filter("rep is not null").join(repeated, "doc_id", "left_semi")
-    together = of_repeated.join(
-        of_repeated.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id"
-    ).select(F.col("rep").alias("a"), "b")
-    labels = linked_classes(classes, together)
-    labels = classes.select("rep", "class_id").join(labels.withColumnRenamed("node", "rep"), "rep")
-    labels = materialize(labels, "labels")
-    smallest = labels.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = labels.join(smallest, "component").select("rep", "component_id")
-    out = rows.join(named, "rep", "left").select(
-        "doc_id", "n_shingles",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("component_id", "class_id", "doc_id").alias("_own"),
-    )
-    shared = out.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("_own").alias("_all"))
-    return out.join(shared, "doc_id", "left").select(
-        "doc_id", "n_shingles", "class_id", F.coalesce("_all", "_own").alias("component_id")
-    )
+    with scratch(docs.sparkSession):
+        sets = materialize(shingle_sets(docs), "shingle-sets")
+        classes = _classes(sets)
+        repeated = sets.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+        repeated = materialize(repeated.select("doc_id"), "repeated-ids")
+        rows, rest = _with_classes(sets, classes)
+        of_repeated = rows.join(repeated, "doc_id", "left_semi")
+        together = of_repeated.join(
+            of_repeated.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id"
+        ).select(F.col("rep").alias("a"), "b")
+        labels = linked_classes(classes, together)
+        labels = classes.select("rep", "class_id").join(labels.withColumnRenamed("node", "rep"), "rep")
+        labels = materialize(labels, "labels")
+        smallest = labels.groupBy("component").agg(F.min("class_id").alias("component_id"))
+        named = materialize(labels.join(smallest, "component").select("rep", "component_id"), "named")
+        out = rows.join(named, "rep", "left").select(
+            "doc_id", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"),
+        ).unionByName(rest.select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")))
+        again = out.join(repeated, "doc_id", "left_semi")
+        shared = again.groupBy("doc_id").agg(F.min("component_id").alias("_all"))
+        again = again.join(shared, "doc_id").select("doc_id", "n_shingles", "class_id", F.col("_all").alias("component_id"))
+        once = out.join(repeated, "doc_id", "left_anti")
+        return keep(materialize(once.unionByName(again), "similar-documents"))
+
+
+@ships_package
+def similar_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay if of each group of similar texts one does: doc_id, text_hash, copies.
+
+    As ``similar_documents``, but every row is a text of its own: rows of one doc_id with
+    different texts are in one group only if their texts are similar. Of a group the row of
+    the smallest doc_id stays, of several with that id the one of the smallest ``text_hash``;
+    ``copies`` says how many rows of the table have this id and hash. Rows without
+    id are in no group and not listed; texts without words each stay.
+    """
+    with scratch(docs.sparkSession):
+        sets = materialize(shingle_sets(docs), "shingle-sets")
+        classes = _classes(sets)
+        rows, rest = _with_classes(sets, classes)
+        labels = linked_classes(classes, None)
+        named = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("_group", F.coalesce("component", "rep"))
+        key = F.struct("doc_id", "text_hash")
+        counted = named.groupBy("_group", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+        first = counted.groupBy("_group").agg(F.min_by(F.struct("doc_id", "text_hash", "copies"), key).alias("_f")).select("_f.*")
+        alone = rest.filter("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("_n"))
+        # rows of one id and text are similar if the text has words
+        alone = alone.select("doc_id", "text_hash", F.when(F.col("_n") > 0, F.col("copies")).otherwise(F.lit(1)).alias("copies"))
+        return keep(materialize(first.unionByName(alone), "similar-rows"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 import shutil
@@ -49,3 +50,14 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "telemill"), "zip", root, "telemill")
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def ships_package(fn):
+    """An operator, called with a DataFrame first, whose tasks need this package."""
+
+    @functools.wraps(fn)
+    def run(df: DataFrame, *args, **settings):
+        ship_package(df.sparkSession)
+        return fn(df, *args, **settings)
+
+    return run

@@ -31,6 +31,17 @@ def test_one_document_of_each_group(spark, documents, odd_documents):
         assert got.count(None) == sum(i is None for i, _ in rows) and kept.columns == docs.columns
 
 
+def test_rows_of_one_id_are_texts_of_their_own(spark):
+    """Different texts under one id stay, unless another row has a similar one; equal rows leave one."""
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(7, a, "x"), (7, b, "y"), (3, a, "z"), (9, b, "z"), (8, "alone", "z"), (7, "also alone", "z"), (7, None, "z"), (7, "", "z"), (7, "", "z"), (5, "twice the same text in one id", "p"), (5, "twice the same text in one id", "q"), (None, a, "n"), (None, a, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash0 string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    want = [(3, a), (7, b), (8, "alone"), (7, "also alone"), (7, None), (7, ""), (7, ""), (5, rows[9][1]), (None, a), (None, a)]
+    assert sorted(got, key=str) == sorted(want, key=str) and kept.columns == docs.columns
+
+
 def test_benchmark_items_go(spark, documents):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     held = {r.doc_id for r in decontam.find_items(documents, bench).collect()}
