@@ -5,22 +5,26 @@ that ascending keys list a source in the order in which a weighted draw without
 replacement would take its rows. A source's budget is spent on complete epochs
 first; what is left of it goes down the list until it is used up.
 
-Only DataFrame functions are used. A source is never sorted in one task: keys are
-cut into bins of bounded row counts (by ``1 - exp(-key)``, which is uniform for
-weight 1), bins are summed, and rows are sorted inside their bin.
+Only DataFrame functions are used. A source is never sorted in one task: the logarithms of
+the keys are cut into equal bins, bins are summed, and rows are sorted inside their
+bin. The logarithm of an exponential variable has the same law for every weight, only
+shifted, and a density of at most ``ln(2) / e`` to base 2. So whatever weights a source mixes,
+no bin is expected to hold more than its width times that.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import keep, materialize, scratch
 from .tables import WORD
 
-#: Mean number of rows in a bin of keys.
-BIN_ROWS = 20_000
+#: Expected number of rows in the largest bin of keys, and the density that bounds it.
+BIN_ROWS, DENSEST = 20_000, math.log(2) / math.e
 
 
 def word_count(text):
@@ -29,7 +33,7 @@ def word_count(text):
 
 
 def key(doc_id, weight, seed: str = "mix"):
-    """Exponential key of a row: small keys come first. From md5, so any engine can repeat it."""
+    """Exponential key of a row by its id: small keys come first. From md5, so any engine can repeat it."""
     text = F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("")))
     u = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double")
     return -F.log((u + F.lit(0.5)) / F.lit(4503599627370496.0)) / weight
@@ -70,19 +74,27 @@ def mix(rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """How many words of every row the mix takes.
 
     ``rows``: ``doc_id, size, source`` and optionally ``weight`` (quality; null, NaN
-    or not positive counts as 1). ``targets``: ``source, source_size, target``; by
+    or not positive counts as 1) and ``name`` (a text that stands for a null id, and is
+    handed on). ``targets``: ``source, source_size, target``; by
     default those of ``source_targets``. Returns doc_id, size, source, source_size,
     target, epochs (complete passes), taken. The row in which a budget ends gives
     its first words only, so ``taken`` adds up to the target of its source, rounded
     to a word. Equal keys (repeated ids) are ordered by size; rows that are the same
-    in both may change places. No rows give no rows; a null source is a source.
+    in both may change places. No rows give no rows; a null source is a source. The
+    result is stored.
     """
+    with scratch(rows.sparkSession):
+        return keep(materialize(_mixed(rows, targets), "mixed"))
+
+
+def _mixed(rows: DataFrame, targets: DataFrame | None) -> DataFrame:
     w = F.col("weight").cast("double") if "weight" in rows.columns else F.lit(1.0)
     w = F.when(w > 0, F.when(F.isnan(w), 1.0).otherwise(w)).otherwise(1.0)
+    named = ["name"] if "name" in rows.columns else []
+    who = F.coalesce(F.col("doc_id").cast("string"), *map(F.col, named))
     keyed = materialize(
         rows.select(
-            "doc_id", F.col("size").cast("long").alias("size"), "source",
-            key(F.col("doc_id"), w).alias("_key"),
+            "doc_id", F.col("size").cast("long").alias("size"), "source", *named, key(who, w).alias("_key"),
         ),
         "mix-keys",
     )
@@ -94,14 +106,14 @@ def mix(rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
         F.col("source").alias("_source"),
         "source_size",
         "target",
-        F.ceil(F.coalesce("_rows", F.lit(1)) / F.lit(BIN_ROWS)).alias("_bins"),
+        F.ceil(F.coalesce("_rows", F.lit(1)) * F.lit(DENSEST) / F.lit(BIN_ROWS)).alias("_bins"),
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).cast("long").alias("epochs"),
     ).withColumn("_rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
     # a row per source; stored, so that its size decides whether it is broadcast
     plan = materialize(plan, "mix-plan")
     binned = keyed.join(plan, keyed["source"].eqNullSafe(plan["_source"])).drop("_source").withColumn(
-        "_bin", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.col("_bins")).cast("long")
+        "_bin", F.floor(F.log2("_key") * F.col("_bins")).cast("long")
     )
     below = W.partitionBy("source").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     starts = binned.groupBy("source", "_bin").agg(F.sum("size").alias("_n")).select(
@@ -113,22 +125,31 @@ def mix(rows: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     joined = placed.join(starts, placed["source"].eqNullSafe(starts["_s"]) & (placed["_bin"] == starts["_b"]))
     part = F.least(F.col("size"), F.greatest(F.lit(0), F.col("_rest") - F.col("_start") - F.col("_before")))
     return joined.select(
-        "doc_id", "size", "source", "source_size", "target", "epochs",
+        "doc_id", "size", "source", "source_size", "target", "epochs", *named,
         (F.col("epochs") * F.col("size") + part).alias("taken"),
     )
 
 
-def mix_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def text_name(text: str = "text"):
+    """What stands for the id of a row that has none."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
+def mix_documents(docs: DataFrame, labels: DataFrame | None = None, named: bool = False) -> DataFrame:
     """``mix`` over documents (doc_id, text, source), sized in words.
 
     Quality weights come from ``labels`` (doc_id, quality): 1 for good, 0.25 for bad
-    and 0.5 for unlabelled documents. Null texts have size 0. Other columns of
-    ``docs`` are ignored.
+    and 0.5 for unlabelled documents. Null texts have size 0. Rows without id are drawn by a
+    hash of their text; with ``named`` that hash comes as ``name`` (null for others). Other
+    columns of ``docs`` are ignored.
     """
-    rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), "source")
+    name = F.when(F.col("doc_id").isNull(), text_name())
+    rows = docs.select("doc_id", word_count(F.col("text")).alias("size"), "source", name.alias("name"))
     if labels is not None:
-        known = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
-        rows = rows.join(known, rows["doc_id"] == known["_id"], "left").withColumn(
-            "weight", F.when(F.col("_q") > 0, 1.0).when(F.col("_q") <= 0, 0.25).otherwise(0.5)
-        )
-    return mix(rows)
+        known = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
+        of_rows = F.when(F.col("_q") > 0, 1.0).when(F.col("_q") <= 0, 0.25).otherwise(0.5)
+        # rows without id have no label; in the join they would all be one key
+        labelled = rows.filter("doc_id is not null").join(known, F.col("doc_id") == F.col("_id"), "left").withColumn("weight", of_rows)
+        rows = labelled.select(*rows.columns, "weight").unionByName(rows.filter("doc_id is null").withColumn("weight", F.lit(0.5)))
+    out = mix(rows)
+    return out if named else out.drop("name")

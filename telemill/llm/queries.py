@@ -33,7 +33,7 @@ MIX_SQL = r"""
 with q as (select doc_id, max(quality) quality from labels group by doc_id),
 rows_ as (
   select d.doc_id, d.source, len(regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+')) as size,
-    -ln((('0x' || substr(md5('mix|' || coalesce(d.doc_id::varchar, '')), 1, 13))::bigint::double + 0.5::double)
+    -ln((('0x' || substr(md5('mix|' || coalesce(d.doc_id::varchar, md5(coalesce(d.text, '')))), 1, 13))::bigint::double + 0.5::double)
       / 4503599627370496.0::double)
       / (case when q.quality > 0 then 1.0 when q.quality <= 0 then 0.25 else 0.5 end)::double as k
   from documents d left join q on d.doc_id = q.doc_id),

@@ -85,3 +85,34 @@ def test_good_documents_come_first(spark):
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, size long, source string, weight double")).collect()
     good = sum(r.taken for r in got if r.source == "a" and r.doc_id % 2)
     assert good > 0.8 * sum(r.taken for r in got if r.source == "a")
+
+
+def test_no_bin_is_large(spark, monkeypatch):
+    """Whatever the weights, and without ids: bins stay near their bound, and no weight piles up."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "BIN_ROWS", 500)
+    bins = []
+
+    def watched(df, name):
+        if name == "mixed":
+            bins.append(df._jdf.queryExecution().toString().count("_bin"))
+        return real(df, name)
+
+    real = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", watched)
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 > 0, F.col("id")).alias("doc_id"), F.lit(3).alias("size"), F.lit("a").alias("source"),
+        F.element_at(F.array(F.lit(1.0), F.lit(0.5), F.lit(0.25), F.lit(40.0)), (F.col("id") % 4 + 1).cast("int")).alias("weight"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("name"),
+    )
+    keys = rows.select("weight", mixing.key(F.coalesce(F.col("doc_id").cast("string"), "name"), F.col("weight")).alias("k"))
+    width = math.ceil(60_000 * mixing.DENSEST / 500)
+    for some in (keys, keys.filter("weight = 1"), keys.filter("weight = 0.5"), keys.filter("weight = 0.25")):
+        n = some.count()
+        own = math.ceil(n * mixing.DENSEST / 500) if n < 60_000 else width
+        largest = some.groupBy(F.floor(F.log2("k") * own)).count().agg(F.max("count")).first()[0]
+        assert largest <= 1.3 * 500
+    got = mixing.mix(rows)
+    assert got.count() == 60_000 and got.agg(F.sum("taken")).first()[0] == pytest.approx(180_000, abs=1) and bins
