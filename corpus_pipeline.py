@@ -1,8 +1,8 @@
 """From raw documents to shards of a training mix.
 
 Each stage takes what the one before it kept, decides on whole texts, and hands on
-the rows that stay, with the columns of ``documents``. The last one names a shard
-for every row.
+the rows that stay, with the columns of ``documents``. The last one hands on doc_id and
+text and names a shard for every row.
 """
 
 from __future__ import annotations
@@ -11,14 +11,13 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from telemill.llm import decontam, jaccard, mixing, sharding, toxicity  # noqa: E402
 from telemill.llm.tables import ship_package  # noqa: E402
-from telemill.session import materialize, new_path  # noqa: E402
+from telemill.session import keep, materialize, new_path, release, scratch  # noqa: E402
 
 SHARDS = 16
 #: No SQL states a trained network.
@@ -36,23 +35,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, model)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't use."""
+    return next(n for n in (f"{name}{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similarity connects, the one with the smallest doc_id.
+    """Of each group of rows that similarity of their texts connects, one row.
 
-    Rows of one doc_id are one document, of which the row first in order of text
-    stays. Rows without id are in no group and stay, as do texts without words.
+    It is the one with the smallest doc_id, and of several with that id and different texts the
+    one of the smallest text hash. Rows that are equal in id and text are one group,
+    of which one row stays. Rows without id are in no group and stay, as do texts
+    without words. Different texts of one id that nothing connects all stay.
     """
-    ship_package(spark)
-    groups = materialize(jaccard.similar_documents(docs), "groups")
-    stays = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
-    stays = materialize(stays, "stays")
-    once = docs.join(stays.filter("k = 1"), "doc_id", "left_semi")
-    again = docs.join(stays.filter("k > 1"), "doc_id", "left_semi")
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    place = next(n for n in (f"_at{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
-    again = again.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1)
-    kept = once.unionByName(again.drop(place)).unionByName(docs.filter("doc_id is null"))
-    return kept.select(docs.columns)
+    stays = jaccard.similar_rows(docs)
+    mark = free_name(docs, "_hash")
+    named = docs.withColumn(mark, jaccard.text_hash())
+
+    def chosen(some: str) -> DataFrame:
+        own = stays.filter(some).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
+        return named.join(own, (named["doc_id"] == F.col("_id")) & (named[mark] == F.col("_text")), "left_semi")
+
+    whole = F.struct(*docs.columns)
+    again = (
+        chosen("copies > 1").groupBy("doc_id", mark)
+        .agg(F.min_by(whole, F.xxhash64(whole)).alias("_row")).select("_row.*")
+    )
+    return chosen("copies = 1").select(docs.columns).unionByName(again).unionByName(docs.filter("doc_id is null"))
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,23 +76,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     at least half of it is in. Rows that share doc_id, source and size come equally
     often, the mean rounded up.
     """
-    taken = mixing.mix_documents(docs, table(spark, sf_dir, "labels"))
+    taken = mixing.mix_documents(docs, table(spark, sf_dir, "labels"), named=True)
     part = F.when(F.col("size") > 0, (F.col("taken") - F.col("epochs") * F.col("size")) / F.col("size")).otherwise(0.0)
     copies = (
         taken.select(
-            F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-            (F.col("epochs") + F.round(part)).alias("_n"),
+            F.coalesce(F.col("doc_id").cast("string"), "name").alias("_id"), F.col("source").alias("_source"),
+            F.col("size").alias("_size"), (F.col("epochs") + F.round(part)).alias("_n"),
         )
         .groupBy("_id", "_source", "_size")
         .agg(F.ceil(F.avg("_n")).cast("int").alias("_copies"))
         .filter("_copies > 0")
     )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (mixing.word_count(F.col("text")) == F.col("_size"))
+    own = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.coalesce(F.col("doc_id").cast("string"), mixing.text_name()).alias("_who"),
+        "source", mixing.word_count(F.col("text")).alias("_words"),
     )
-    own = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", "text")
+    same = (F.col("_who") == F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
     rows = own.join(copies, same).select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_turn"))
     return rows.select("_row.*")
 
@@ -105,8 +113,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; a stage's tables go when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark):
+            kept = keep(materialize(stage(spark, docs, sf_dir), f"stage-{name}"))
+        release(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
