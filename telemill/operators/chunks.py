@@ -80,14 +80,36 @@ def trailing_sum(
     order: str = "row_i",
     rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` over the last ``length`` rows, this one included."""
-    rows = max(rows, length)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(order).rowsBetween(-(length - 1), 0)
+    """Sum of ``value`` over the last ``length`` rows, this one included.
+
+    It is the running total less the running total ``length`` rows before. Inside a chunk
+    that row is in the halo; a window longer than a chunk meets it by a join at that
+    distance, so no task holds more than a chunk. Whole numbers are exact; a sum
+    of doubles has the rounding of the total it is taken from.
+    """
+    if length <= rows:
+        here = Window.partitionBy(*keys, CHUNK).orderBy(order)
+        total = F.sum("_value").over(here.rowsBetween(Window.unboundedPreceding, 0))
+        return (
+            with_halo(df.withColumn("_value", F.coalesce(value, F.lit(0))), order, rows, before=length)
+            .withColumn("_total", total)
+            .withColumn(name, F.col("_total") - F.coalesce(F.lag("_total", length).over(here), F.lit(0)))
+            .where("_own")
+            .drop("_own", "_value", "_total", CHUNK)
+        )
+    summed = running(with_chunk(df.withColumn("_value", F.coalesce(value, F.lit(0))), order, rows), keys, {"_total": ("_value", "sum")}, [order])
+    summed = materialize(summed, "running-totals")
+    before = summed.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        (F.col(order) + length).alias("_row"), F.col("_total").alias("_before"),
+    )
+    at = F.col(order) == F.col("_row")
+    for i, k in enumerate(keys):
+        at = at & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     return (
-        with_halo(df, order, rows, before=length - 1)
-        .withColumn(name, F.sum(value).over(w))
-        .where("_own")
-        .drop("_own", CHUNK)
+        summed.join(before, at, "left")
+        .withColumn(name, F.col("_total") - F.coalesce("_before", F.lit(0)))
+        .select(*df.columns, name)
     )
 
 
@@ -131,12 +153,17 @@ def running(
             result = combine(F.col(f"_c_{name}"), F.col(f"_l_{name}"))
         carries.append(carry.alias(f"_c_{name}"))
         results[name] = result
-    by_chunk = df.groupBy(*keys, chunk).agg(*totals).select(*keys, chunk, *carries)
+    names = {k: f"_by{i}" for i, k in enumerate([*keys, chunk])}
+    by_chunk = df.groupBy(*keys, chunk).agg(*totals).select(*[F.col(k).alias(n) for k, n in names.items()], *carries)
+    same = None
+    for k, n in names.items():
+        one = F.col(k).eqNullSafe(F.col(n))
+        same = one if same is None else same & one
     return (
         df.withColumns(locals_)
-        .join(by_chunk, [*keys, chunk])
+        .join(by_chunk, same)
         .withColumns(results)
-        .drop(*[f"_{p}_{n}" for n in columns for p in "lc"])
+        .drop(*names.values(), *[f"_{p}_{n}" for n in columns for p in "lc"])
     )
 
 

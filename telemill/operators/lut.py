@@ -12,8 +12,12 @@ from ..session import materialize
 from .joins import attach
 
 
+#: Segments of a curve that a value is compared with one by one.
+BLOCK_SEGMENTS = 16
+
+
 def segments(lut: DataFrame, signals: Sequence[str], axis: str = "axis", param: str = "param") -> DataFrame:
-    """Neighbouring curve points as ``(p0, p1, y0_*, y1_*)``, plus each axis's ends.
+    """Neighbouring curve points as ``(p0, p1, y0_*, y1_*)``, each axis's ends and ``_no``, the place from 0.
 
     A falling grid gives the same segments as a rising one.
     """
@@ -21,6 +25,7 @@ def segments(lut: DataFrame, signals: Sequence[str], axis: str = "axis", param:
     whole = Window.partitionBy(axis)
     points = lut.select(
         axis,
+        (F.row_number().over(w) - 1).alias("_no"),
         F.col(param).alias("p0"),
         F.lead(param).over(w).alias("p1"),
         F.min(param).over(whole).alias("p_min"),
@@ -31,6 +36,23 @@ def segments(lut: DataFrame, signals: Sequence[str], axis: str = "axis", param:
     return points.where("p1 is not null")
 
 
+def halvings(size: Column) -> Column:
+    """Steps of a binary search among ``size`` elements: powers of two, falling to 1."""
+    top = F.greatest(F.floor(F.log2(size.cast("double"))), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), top), lambda j: F.pow(F.lit(2.0), top - j).cast("int"))
+
+
+def last_not_above(knots: Column, steps: Column, x: Column) -> Column:
+    """Index from 0 of the last of the rising ``knots`` that isn't above ``x``; 0 if all are.
+
+    ``steps`` are the ``halvings`` of their number, so a value looks at as many knots as
+    that number has binary digits, however they are spaced.
+    """
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(knots, at + step) <= x, at + step).otherwise(at)
+    )
+
+
 def interp(
     df: DataFrame,
     lut: DataFrame,
@@ -43,58 +65,56 @@ def interp(
 ) -> DataFrame:
     """Linear interpolation of each signal at ``x``, held at the ends of the curve.
 
-    A value on a curve point belongs to the segment that starts there. With
-    ``extend`` the first and last segments run on as straight lines. Every axis is cut
-    into as many equal cells as it has segments, and values meet the segments that
-    touch their cell, so the join has a key even where the axis is a constant, and a
-    value meets few segments however long the curve is.
+    A value on a curve point belongs to the segment that starts there; a null value, or an
+    axis of fewer than two points, gives nulls. With ``extend`` the first and last segments run on as straight lines. The segments of an
+    axis form blocks of equal count; a value finds its block among their first points by
+    binary search and is joined with the few segments of that block. So it meets equally
+    few wherever the points are close together, and values at different places of a curve are
+    different keys.
     """
-    seg = materialize(segments(lut, signals, axis, param), "segments")
-    ends = seg.groupBy(F.col(axis).alias("_axis")).agg(
-        F.min("p_min").alias("_low"), F.max("p_max").alias("_high"), F.count(F.lit(1)).alias("_cells")
+    seg = materialize(
+        segments(lut, signals, axis, param).withColumn("_block", F.expr(f"_no div {BLOCK_SEGMENTS}").cast("int")), "segments"
     )
-
-    def cell(v):
-        share = (v - F.col("_low")) / (F.col("_high") - F.col("_low"))
-        return F.greatest(F.lit(0), F.least(F.floor(share * F.col("_cells")), F.col("_cells") - 1))
-
-    first, last = cell(F.col("p0")), cell(F.col("p1"))
-    touched = seg.join(ends, F.col(axis) == F.col("_axis")).withColumn(
-        "_cell", F.explode(F.sequence(first, last))
+    starts = seg.groupBy(F.col(axis).alias("_of"), "_block").agg(F.min("p0").alias("_p"), F.min("p_min").alias("_lo"), F.max("p_max").alias("_hi"))
+    bounds = materialize(
+        starts.groupBy("_of").agg(
+            F.array_sort(F.collect_list("_p")).alias("_starts"), F.min("_lo").alias("_low"), F.max("_hi").alias("_high")
+        ).withColumn("_halvings", halvings(F.size("_starts"))),
+        "curve-bounds",
     )
-    right = touched.drop(axis, "_low", "_high", "_cells")
-    bounds = ends.withColumnRenamed("_axis", "_of")
-    inside = F.least(F.greatest(F.col(x), F.col("_low")), F.col("_high"))
-    placed = df.join(bounds, F.col(axis) == F.col("_of"), "left").withColumns(
-        {"_inside": inside, "_at_cell": cell(inside)}
+    right = seg.withColumnRenamed(axis, "_axis").withColumnRenamed("_block", "_at").drop("_no")
+    inside = F.when(F.col(x).isNotNull(), F.least(F.greatest(F.col(x), F.col("_low")), F.col("_high")))
+    placed = (
+        df.join(bounds, F.col(axis) == F.col("_of"), "left")
+        .withColumn("_inside", inside)
+        .withColumn("_block", last_not_above(F.col("_starts"), F.col("_halvings"), F.col("_inside")))
+        .drop("_starts", "_halvings")
     )
     hit = (F.col("_inside") >= F.col("p0")) & (
         (F.col("_inside") < F.col("p1"))
         | ((F.col("p1") == F.col("p_max")) & (F.col("_inside") == F.col("p_max")))
     )
-    joined = placed.join(
-        right, (F.col("_of") == F.col("_axis")) & (F.col("_at_cell") == F.col("_cell")) & hit, "left"
-    )
+    joined = placed.join(right, (F.col("_of") == F.col("_axis")) & (F.col("_block") == F.col("_at")) & hit, "left")
     value = F.col(x) if extend else F.col("_inside")
     share = (value - F.col("p0")) / (F.col("p1") - F.col("p0"))
     out = {
         f"{prefix}{s}": F.col(f"y0_{s}") + (F.col(f"y1_{s}") - F.col(f"y0_{s}")) * share
         for s in signals
     }
-    return joined.withColumns(out).drop(*right.columns, *bounds.columns, "_inside", "_at_cell")
+    return joined.withColumns(out).drop(*right.columns, "_of", "_low", "_high", "_inside", "_block")
 
 
 def curve_array(lut: DataFrame, signals: Sequence[str], axis: str = "axis", param: str = "param") -> DataFrame:
-    """Each axis's segments as one short array (one element per curve segment)."""
-    seg = segments(lut, signals, axis, param)
-    return seg.groupBy(axis).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    "p0", "p1", *[f"y0_{s}" for s in signals], *[f"y1_{s}" for s in signals]
-                )
-            )
-        ).alias("curve")
+    """Each axis's points as one ``curve``: rising ``knots``, their ``halvings``, and values per signal.
+
+    For curves of bounded length; ``interp`` takes those of any.
+    """
+    point = F.struct(F.col(param).cast("double").alias("p"), *[F.col(s).alias(f"y_{s}") for s in signals])
+    points = lut.groupBy(axis).agg(F.array_sort(F.collect_list(point)).alias("_points")).where("size(_points) > 1")
+    knots = F.col("_points.p")
+    parts = [knots.alias("knots"), halvings(F.size("_points") - 1).alias("halvings")]
+    return points.select(
+        axis, F.struct(*parts, *[F.col(f"_points.y_{s}").alias(f"y_{s}") for s in signals]).alias("curve")
     )
 
 
@@ -103,22 +123,23 @@ def with_curve(
 ) -> DataFrame:
     """Add the values at ``x`` read from a ``curve_array`` column, held at its ends.
 
-    The segment is looked up once for all signals; a null curve gives nulls.
+    The segment is found once for all signals, by binary search; a null curve gives nulls.
     """
-    arr, at, seg = F.col(curve), F.col("_at"), F.col("_seg")
-    held = F.least(F.greatest(x, F.element_at(arr, 1)["p0"]), F.element_at(arr, -1)["p1"])
-    found = F.element_at(F.filter(arr, lambda s: (at >= s["p0"]) & (at <= s["p1"])), 1)
-    share = (at - seg["p0"]) / (seg["p1"] - seg["p0"])
+    c, at, i = F.col(curve), F.col("_at"), F.col("_seg")
+    held = F.when(x.isNotNull(), F.least(F.greatest(x, F.get(c["knots"], F.lit(0))), F.element_at(c["knots"], -1)))
+    # the last knot begins no segment
+    found = F.least(last_not_above(c["knots"], c["halvings"], at), F.size(c["knots"]) - 2)
+    p0, p1 = F.get(c["knots"], i), F.get(c["knots"], i + 1)
+
+    def value(s):
+        y0, y1 = F.get(c[f"y_{s}"], i), F.get(c[f"y_{s}"], i + 1)
+        return y0 + (y1 - y0) * F.col("_share")
+
     return (
         df.withColumn("_at", held)
-        .withColumn("_seg", F.when(arr.isNotNull() & at.isNotNull(), found))
-        .withColumn("_share", share)
-        .withColumns(
-            {
-                f"{prefix}{c}": seg[f"y0_{c}"] + (seg[f"y1_{c}"] - seg[f"y0_{c}"]) * F.col("_share")
-                for c in signals
-            }
-        )
+        .withColumn("_seg", F.when(c.isNotNull() & at.isNotNull(), found))
+        .withColumn("_share", (at - p0) / (p1 - p0))
+        .withColumns({f"{prefix}{s}": value(s) for s in signals})
         .drop("_at", "_seg", "_share")
     )
 

@@ -207,12 +207,13 @@ SMOOTH = f"""(1 - case when hour >= 6 and hour < 18 then 0.0 else 0.6 * {DEPTH}
 STEPPED = f"(case when hour >= 6 and hour < 18 then 1.0 else 1 - 0.4 * {DEPTH} end) * {WEEKEND}"
 
 
-# From the fifth day on, of the first week or the second, so that weekends are in.
-LATE = "select * replace (time_h + 96 + 168 * (device_id % 2) as time_h) from tiled"
+# Nine days and more of every device, so that a weekend and a second week are in.
+LONG = TILED.replace("days * 86400", "(days + 9) * 86400")
 
 
-def late(spark, sf):
-    return tiled(spark, sf).withColumn("time_h", F.col("time_h") + 96 + 168 * (F.col("device_id") % 2))
+def long_tiled(spark, sf):
+    days = devices(spark, sf).withColumn("days", F.col("days") + 9)
+    return S.tile(S.spine(days, FREQ, "days"), profile(spark, sf), SIGNALS, STARTUP, CYCLE)
 
 
 def depth():
@@ -222,15 +223,15 @@ def depth():
 @register(
     "duty_smooth",
     with_ctes(
-        TILED,
-        f"""late as ({LATE}), hours as (select *, time_h - 24 * floor(time_h / 24) as hour from late)
+        LONG,
+        f"""hours as (select *, time_h - 24 * floor(time_h / 24) as hour from tiled)
       select device_id, row_i, round(m_speed + (speed - m_speed) * {SMOOTH}, 6) as speed,
       round(m_flow + (flow - m_flow) * {SMOOTH}, 6) as flow from hours, means""",
     ),
 )
 def duty_smooth(spark, sf):
     means = S.template_mean(profile(spark, sf), ["speed", "flow"])
-    df = S.with_one_row(late(spark, sf), means)
+    df = S.with_one_row(long_tiled(spark, sf), means)
     out = MO.add_duty(df, {"speed": "mean_speed", "flow": "mean_flow"}, depth(), 0.6, True)
     return rounded(out, ["speed", "flow"], *KEYS)
 
@@ -238,14 +239,14 @@ def duty_smooth(spark, sf):
 @register(
     "duty_stepped",
     with_ctes(
-        TILED,
-        f"""late as ({LATE}), hours as (select *, time_h - 24 * floor(time_h / 24) as hour,
-        avg(speed) over (partition by device_id) as mine from late)
+        LONG,
+        f"""hours as (select *, time_h - 24 * floor(time_h / 24) as hour,
+        avg(speed) over (partition by device_id) as mine from tiled)
       select device_id, row_i, round(mine + (speed - mine) * {STEPPED}, 6) as speed from hours""",
     ),
 )
 def duty_stepped(spark, sf):
-    df = MO.with_series_mean(late(spark, sf), ["speed"])
+    df = MO.with_series_mean(long_tiled(spark, sf), ["speed"])
     return rounded(MO.add_duty(df, {"speed": "mean_speed"}, depth(), 0.4, False), ["speed"], *KEYS)
 
 

@@ -19,6 +19,8 @@ from .draw_queries import QUOTA
 
 register = Registry()
 DAYS = 2.0
+#: The long series run over a weekend and into a second week.
+SERIES_DAYS = 9.0
 
 # One text per signal, read the same way by both engines.
 PUMP_TEXT = {
@@ -102,18 +104,18 @@ def suppliers(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey")
 
 
-@register("pump_series", plan_sql.pump_series(PUMP_TEXT, DAYS))
+@register("pump_series", plan_sql.pump_series(PUMP_TEXT, SERIES_DAYS))
 def pump_series(spark, sf, freq_s=300, method="md5"):
-    manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "pump", DAYS)
+    manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "pump", SERIES_DAYS)
     out = build_pump(
         manifest, pump_inputs(spark, sf, freq_s), freq_s, maintenance_per_month=15.0, method=method
     )
     return out.withColumns({c: r6(c) for c in [*K.PUMP_SIGNALS, "flow_gap_m3s"]})
 
 
-@register("motor_series", plan_sql.motor_series(RESPONSE_TEXT, AXES, DAYS))
+@register("motor_series", plan_sql.motor_series(RESPONSE_TEXT, AXES, SERIES_DAYS))
 def motor_series(spark, sf, freq_s=300, method="md5"):
-    manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "motor", DAYS)
+    manifest = sample_manifest(suppliers(spark, sf), "s_suppkey", "motor", SERIES_DAYS)
     out = build_motor(
         manifest, motor_inputs(spark, sf), freq_s, maintenance_per_month=15.0, method=method
     )

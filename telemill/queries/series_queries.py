@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analyse as A
 from ..operators import labels as L
+from ..operators.chunks import with_row_index
 from .base import TELE, Registry, r6, table, tele, with_ctes
 
 register = Registry()
@@ -152,6 +153,30 @@ def failure_centred_window(spark, sf):
     return A.busiest_window(_decoyed(tele(spark, sf)), 30, "kind")
 
 
+LONG_BUSY = (
+    BUSY.replace("29 preceding", "7999 preceding").replace("centre - 15", "centre - 4000").replace("+ 30", "+ 8000").replace("- 30", "- 8000")
+)
+
+
+@register(
+    "long_busiest_window",
+    with_ctes(
+        """decoyed as (select l_returnflag as device_id,
+      row_number() over (partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber) - 1 as row_i,
+      case when l_quantity >= 40 then 'decoy_load' else 'normal' end as kind from lineitem)""",
+        LONG_BUSY.format(fail="cast(null as bigint)"),
+    ),
+)
+def long_busiest_window(spark, sf):
+    """Order lines by return flag: a window of 8,000 rows, half the series or more, in chunks of 1,000."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("device_id"), "l_shipdate", "l_orderkey", "l_linenumber",
+        F.when(F.col("l_quantity") >= 40, "decoy_load").otherwise("normal").alias("kind"),
+    )
+    rows = with_row_index(lines, ["device_id"], ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return A.busiest_window(rows, 8_000, "kind", label=None, chunk_rows=1_000)
+
+
 @register(
     "group_compare",
     """select r_name as series, cast(l_orderkey as bigint) as t, l_quantity as x,

@@ -147,7 +147,7 @@ def test_interp_of_a_long_curve_with_a_constant_axis(spark):
     got = [r.at_s for r in out.orderBy("i").collect()]
     assert np.allclose(got, np.interp(x, p, y), atol=1e-6)
     plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
-    assert any("Join [" in x and "_at_cell" in x for x in plan)  # segments meet by key
+    assert any("Join [" in x and "_block" in x for x in plan)  # segments meet by key
     assert sum("NestedLoopJoin" in x for x in plan) <= 2  # the ends of an axis are one row (initial and final plan)
 
 
@@ -159,3 +159,54 @@ def test_tiling_keeps_rows_that_the_profile_lacks(spark):
     out = tile(rows, template, ["v"], 2, 2)
     assert [r.v for r in out.orderBy("row_i").collect()] == [1.0, None] + [2.0, None] * 5
     assert "BuildLeft" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_curves_with_points_at_one_end(spark):
+    """A log-spaced curve of 100,000 points: by blocks, and as an array."""
+    import numpy as np
+
+    from telemill.operators.lut import curve_array, interp, with_curve
+
+    rnd = np.random.default_rng(4)
+    p = np.logspace(-9, 3, 100_000)
+    y = np.sin(np.log(p)) * 50
+    lut = spark.createDataFrame([("a", float(u), float(v)) for u, v in zip(p, y)] + [("b", 0.0, 1.0), ("b", 2.0, 5.0), ("c", 1.0, 1.0)], "axis string, param double, s double")
+    x = np.concatenate([10 ** rnd.uniform(-10, 4, 500), p[:20], p[-20:], [0.0, -1.0, 1e9]])
+    df = spark.createDataFrame([(i, "a", float(v)) for i, v in enumerate(x)] + [(9_001, "b", 0.5), (9_002, "c", 1.0), (9_003, "none", 1.0), (9_004, "a", None)], "i long, axis string, x double")
+    want = np.interp(x, p, y)
+    out = {r.i: r.at_s for r in interp(df, lut, "x", ["s"]).collect()}
+    assert np.allclose([out[i] for i in range(len(x))], want, atol=1e-9)
+    assert out[9_001] == 2.0 and out[9_002] is None and out[9_003] is None and out[9_004] is None and len(out) == len(x) + 4
+    arr = curve_array(lut, ["s"])
+    read = {r.i: r.ep_s for r in with_curve(df.join(arr, "axis", "left"), F.col("x"), ["s"]).select("i", "ep_s").collect()}
+    assert np.allclose([read[i] for i in range(len(x))], want, atol=1e-9)
+    assert read[9_001] == 2.0 and read[9_002] is None and read[9_003] is None and read[9_004] is None
+
+
+def test_no_value_meets_a_whole_curve(spark):
+    """However close its points are, a value is compared with the segments of one block."""
+    import numpy as np
+
+    from telemill.operators import lut as LU
+
+    p = np.concatenate([np.linspace(0, 1e-6, 5_000), [1.0, 2.0]])
+    lut = spark.createDataFrame([("a", float(u), float(i)) for i, u in enumerate(p)], "axis string, param double, s double")
+    seg = LU.segments(lut, ["s"]).withColumn("_block", F.expr(f"_no div {LU.BLOCK_SEGMENTS}"))
+    assert seg.groupBy("_block").count().agg(F.max("count")).first()[0] <= LU.BLOCK_SEGMENTS
+
+
+@pytest.mark.parametrize("length", (1, 7, 20, 21, 64, 500, 5_000))
+def test_trailing_sums_of_any_length(spark, length):
+    """Windows within a chunk, of a whole chunk, over several, and longer than the series."""
+    import numpy as np
+
+    from telemill.operators.chunks import trailing_sum
+
+    rnd = np.random.default_rng(length)
+    series = {"a": rnd.integers(0, 5, 333).tolist(), "b": rnd.integers(0, 5, 20).tolist(), None: [1, None, 2]}
+    rows = [(k, i, v, "x") for k, own in series.items() for i, v in enumerate(own)]
+    df = spark.createDataFrame(rows, "device_id string, row_i long, v long, _row string")
+    out = trailing_sum(df.drop("_row") if length > 20 else df, ["device_id"], "s", F.col("v"), length, rows=20)
+    got = {(r.device_id, r.row_i): r.s for r in out.collect()}
+    want = {(k, i): sum(x or 0 for x in own[max(0, i - length + 1) : i + 1]) for k, own in series.items() for i in range(len(own))}
+    assert got == want
