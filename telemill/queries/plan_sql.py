@@ -488,7 +488,7 @@ def motor_scenarios(text, axes, catalogue) -> str:
       {by_value('ftype', {k: v[1] for k, v in K.MOTOR_WEAR.items()})} as p_nom,
       {by_value('ftype', {k: v[2] for k, v in K.MOTOR_WEAR.items()})} as p_fail from scen)),
   clean as (select d.*, {read}, {pars} from driven d cross join level v
-    left join {seg_join('s', 'd.axis', 'd.x')}),
+    left join {seg_join('s', 'd.axis', 'd.x')} and d.x is not null),
   hits as (select device_id, coalesce(min(row_i) filter ("{resp[0]}" / (select "{resp[0]}" from level) < 0.4),
     max(row_i)) as f from clean where faulty group by 1)
   select {SCENARIO_KEYS}, {values}, {rest} from (select c.*, {scenario_labels('f')}
