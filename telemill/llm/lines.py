@@ -8,7 +8,8 @@ those substrings of its own that could be a segment of a line of its length or u
 of ``2 * EDITS + 1`` diagonals, many pairs at once.
 
 Keys that no other line shares are sorted out by ``exchange`` before any line is
-moved; equal lines are one line from then on.
+moved; equal lines are one line from then on. Lines too short for edits have one key, their
+whole content, and are compared by equality.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .exchange import KEYS, among, hot_of, key_rows, shared_hashes
 from .joining import linked
-from .tables import in_pieces, pieces
+from .tables import in_pieces, join_spread, pieces, ships_package
 from .words import U, find, mix, utf8, word_hashes
 
 EDITS = 2
-#: Shorter lines, in characters, are left alone.
+#: Shorter lines, in characters, have to be equal.
 SHORTEST = 20
 PIECE_BYTES = 5_000_000
 BREAK = np.zeros(256, bool)
@@ -65,6 +66,11 @@ class Lines:
         long = np.flatnonzero(self.size >= SHORTEST)
         return long[np.unique(self.ids[long], return_index=True)[1]]
 
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and keys of every different shorter line."""
+        ids = np.unique(self.ids[self.size < SHORTEST])
+        return ids, mix(ids.view(np.uint64) + U(0x2545F4914F6CDD1D))
+
 
 def line_keys(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, line and whether it is an index key, of all lines, about a MB of them at a time."""
@@ -192,6 +198,8 @@ def _send(buckets: int):
         lines = Lines(table.column("text"))
         own = lines.distinct()
         keys, _, marks = line_keys([bytes(lines.data[lines.start[i] : lines.end[i]]) for i in own])
+        _, short = lines.short()
+        keys, marks = np.concatenate([keys, short]), np.concatenate([marks, np.ones(len(short), bool)])
         return key_rows(table.column("piece")[0].as_py(), keys, marks, buckets)
 
     return run
@@ -203,9 +211,11 @@ def _find(buckets: int):
         own = lines.distinct()
         raw = [bytes(lines.data[lines.start[i] : lines.end[i]]) for i in own]
         keys, of, marks = line_keys(raw)
-        hit = among(hot_of(replies, keys, buckets), keys)
+        ids, short = lines.short()
+        hot = hot_of(replies, np.concatenate([keys, short]), buckets)
+        hit = among(hot, keys)
         rows = []
-        wanted = set()
+        wanted = set(ids[among(hot, short)].tolist())
         order = np.flatnonzero(hit)[np.argsort(of[hit], kind="stable")]
         edges = np.searchsorted(of[order], np.arange(len(own) + 1))
         for k in range(len(own)):
@@ -215,13 +225,12 @@ def _find(buckets: int):
                 wanted.add(line_id)
                 rows.append((None, None, None, None, None, line_id, raw[k].decode(), keys[mine].tobytes(), np.packbits(marks[mine]).tobytes()))
         # lines that come twice in this piece count even without a partner elsewhere
-        long = lines.size >= SHORTEST
-        twice, n = np.unique(lines.ids[long], return_counts=True)
+        twice, n = np.unique(lines.ids, return_counts=True)
         wanted |= set(twice[n > 1].tolist())
         first = np.concatenate([[0], np.cumsum(lines.counts)])
         for r, doc_id in enumerate(table.column("doc_id").to_pylist()):
             span = slice(int(first[r]), int(first[r + 1]))
-            both = [(p, i) for p, i, ok in zip(lines.place[span].tolist(), lines.ids[span].tolist(), long[span].tolist(), strict=True) if ok and i in wanted]
+            both = [(p, i) for p, i in zip(lines.place[span].tolist(), lines.ids[span].tolist(), strict=True) if i in wanted]
             rows.append(((key[0].as_py() << 40) + r, doc_id, int(lines.counts[r]), [p for p, _ in both], [i for _, i in both], None, None, None, None))
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(9)]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.string(), pa.binary(), pa.binary()]
@@ -247,14 +256,15 @@ def _post(batches):
         yield from pa.table([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=names).to_batches()
 
 
+@ships_package
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Lines of every document that an earlier place has already, up to ``EDITS`` edits.
 
     Lines end at line feed or carriage return; white space at either end and empty
     lines don't count. Lines of ``SHORTEST`` characters or more that chains of at most
-    ``EDITS`` edits (insert, delete, replace one character) connect are one group; its
-    line in the smallest doc_id, there the first, stays and all others go. Shorter
-    lines always stay. ``docs``: ``doc_id`` (integer), ``text``; other columns are
+    ``EDITS`` edits (insert, delete, replace one character) connect are one group, and so are
+    equal shorter lines; a group's line in the smallest doc_id, there the first, stays
+    and all others go. ``docs``: ``doc_id`` (integer), ``text``; other columns are
     ignored. Returns doc_id, n_lines, n_removed, removed_lines (numbers from 0 among
     the lines that count), a row for each row. A null id comes last; rows of one
     doc_id are the same document, so a line stays in all or none of them. Null and
@@ -287,8 +297,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     named = places.join(groups.select(F.col("node").alias("line_id"), "component"), "line_id", "left").withColumn(
         "group", F.coalesce("component", "line_id")
     )
-    keeper = named.groupBy("group").agg(F.min(F.struct("key", "place")).alias("first"))
-    gone = named.join(keeper, "group").filter((F.col("key") != F.col("first.key")) | (F.col("place") != F.col("first.place")))
+    named = materialize(named.select("row", "key", "place", "group"), "named-lines")
+    keeper = named.groupBy("group").agg(F.min(F.struct("key", "place")).alias("first"), F.count(F.lit(1)).alias("many"))
+    gone = join_spread(named, materialize(keeper, "keepers"), "group", "many").filter(
+        (F.col("key") != F.col("first.key")) | (F.col("place") != F.col("first.place"))
+    )
     removed = gone.groupBy("row").agg(F.array_sort(F.collect_list("place")).alias("removed_lines"))
     out = rows.drop("places", "ids").join(removed, "row", "left")
     none = F.array().cast("array<int>")

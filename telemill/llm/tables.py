@@ -61,3 +61,23 @@ def ships_package(fn):
         return fn(df, *args, **settings)
 
     return run
+
+
+#: Keys with more than this share of all rows are joined by broadcast; there are at most as many.
+HOT_KEYS = 4_096
+
+
+def join_spread(rows: DataFrame, keyed: DataFrame, key: str, many: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, a stored row for each ``key`` with its number of rows, ``many``.
+
+    Keys that hold more than 1 / ``HOT_KEYS`` of all rows, at most that many, are joined by
+    broadcast, so that none of them is one key of a shuffle; the others are joined as usual.
+    Null keys match each other.
+    """
+    total = keyed.agg(F.sum(many)).first()[0] or 0
+    hot = F.col(many) * HOT_KEYS > total
+    own = keyed.withColumnRenamed(key, "_key")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    frequent, others = own.filter(hot), own.filter(~hot)
+    cold = rows.join(F.broadcast(frequent.select("_key")), same, "left_anti").join(others, same)
+    return rows.join(F.broadcast(frequent), same).unionByName(cold).drop("_key", many)

@@ -40,7 +40,7 @@ def test_banded_distance():
 def brute(rows):
     split = [[x.strip(" \t\x0b\x0c") for x in re.split("[\n\r]", t or "")] for _, t in rows]
     split = [[x for x in ls if x] for ls in split]
-    every = sorted({x for ls in split for x in ls if len(x) >= lines.SHORTEST})
+    every = sorted({x for ls in split for x in ls})
     up = {x: x for x in every}
 
     def root(x):
@@ -48,8 +48,9 @@ def brute(rows):
             x = up[x]
         return x
 
-    for k, a in enumerate(every):
-        for b in every[:k]:
+    long = [x for x in every if len(x) >= lines.SHORTEST]
+    for k, a in enumerate(long):
+        for b in long[:k]:
             if abs(len(a) - len(b)) <= lines.EDITS and distance(a, b) <= lines.EDITS:
                 x, y = sorted((root(a), root(b)))
                 up[y] = x
@@ -57,11 +58,10 @@ def brute(rows):
     first = {}
     for (i, _), ls in zip(rows, split):
         for p, x in enumerate(ls):
-            if len(x) >= lines.SHORTEST:
-                first[root(x)] = min(first.get(root(x), (2**64, 0)), (key(i), p))
+            first[root(x)] = min(first.get(root(x), (2**64, 0)), (key(i), p))
     out = []
     for (i, _), ls in zip(rows, split):
-        gone = [p for p, x in enumerate(ls) if len(x) >= lines.SHORTEST and first[root(x)] != (key(i), p)]
+        gone = [p for p, x in enumerate(ls) if first[root(x)] != (key(i), p)]
         out.append((i, len(ls), len(gone), gone))
     return sorted(out, key=str)
 
@@ -98,7 +98,15 @@ def test_exact_copies_are_all_found(documents):
     rows = sorted((r.doc_id, r.text) for r in documents.collect())
     for i, t in rows:
         for p, x in enumerate([y for y in (z.strip(" \t") for z in re.split("[\n\r]", t)) if y]):
-            if len(x) >= lines.SHORTEST and first.setdefault(x, (i, p)) != (i, p):
+            if first.setdefault(x, (i, p)) != (i, p):
                 want.add((i, p))
     got = {(r[0], p) for r in run(documents) for p in r[3]}
     assert want <= got and want
+
+
+def test_short_lines_have_to_be_equal(spark):
+    rows = [(1, "a short line\n}\nanother\n}"), (2, "a short lime\n}\nother"), (3, "another\n a short line \nx"), (None, "x\n}"), (4, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert run(docs) == brute(rows)
+    got = {r.doc_id: r.removed_lines for r in lines.repeated_lines(docs).collect()}
+    assert got == {1: [3], 2: [1], 3: [0, 1], 4: [0], None: [0, 1]}
