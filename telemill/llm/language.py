@@ -34,17 +34,20 @@ COUNTED = "lang string, gram long, n long"
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Whether each code point is a letter or a mark on one."""
-    table = np.zeros(0x110000, bool)
+    """1 for each code point that is a letter, 2 for a mark on one, else 0."""
+    table = np.zeros(0x110000, np.int8)
     for c in range(0x110000):
-        table[c] = unicodedata.category(chr(c))[0] in "LM"
+        table[c] = "LM".find(unicodedata.category(chr(c))[0]) + 1
     return table
 
 
 def grams(text: str) -> np.ndarray:
-    """Codes of all n-grams of a text: letters at 21 bits each, 0 for the mark beside a word."""
+    """Codes of all n-grams of a text: letters at 21 bits each, 0 for the gap beside a word; none without a letter."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    letter = _letters()[points]
+    kind = _letters()[points]
+    if not (kind == 1).any():
+        return np.zeros(0, np.int64)
+    letter = kind > 0
     x = np.where(letter, points, 0).astype(np.int64)
     x = np.concatenate([[0], x, [0]])
     x = x[np.concatenate([[True], (x[1:] != 0) | (x[:-1] != 0)])]
@@ -84,7 +87,9 @@ class Profiles:
         at[at == len(self.grams)] = 0
         known = self.grams[at] == own
         place = np.arange(len(own))[known]
-        apart = np.abs(self.ranks[at[known]] - place[:, None]).sum(axis=0)
+        rank = self.ranks[at[known]]
+        # what a profile lacks is as far away as can be
+        apart = np.where(rank == PROFILE, PROFILE, np.abs(rank - place[:, None])).sum(axis=0)
         apart = apart + PROFILE * int((~known).sum())
         order = np.argsort(apart, kind="stable")
         best = order[0]

@@ -28,6 +28,7 @@ def odd_documents(spark):
         (6, " \t\n ", "fr", "", 9),
         (7, "!!! 123 ...", "fr", "", 9),
         (8, "one\n\ntwo\r\nthree été 中文", "fr", "a", 9),
+        (9, "\u0301\u0308 \u20dd 12", "fr", "a", 9),  # marks without a letter
     ]
     frame = spark.createDataFrame(rows, DOCS)
     for name in ("piece", "bucket", "size", "slot", "shard", "virtual_slot", "weight", "_key", "score", "kind", "rep", "label"):
