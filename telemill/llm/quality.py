@@ -19,16 +19,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .tables import crc32_mod
+from ..session import materialize, scratch
+from .tables import crc32_mod, ships_package
 from .words import first_of_runs, slices, word_hashes, words_of
 
-#: Labelled documents of either class, and unlabelled ones, that training may see.
-SAMPLE, POOL = 2_000, 4_000
+#: Labelled documents of either class that training may see.
+SAMPLE = 2_000
 ROUNDS = 8
-#: Share of the pool that a view names per round, and how sure it has to be.
-NAMED, SURE = 0.02, 0.9
+#: Unlabelled documents that a view names per round, of all there are, and how sure it has to be.
+NAMED, SURE = 80, 0.9
 BUCKETS = 48
 TEXT, META = 13, BUCKETS + 9
 OUT = "doc_id long, held_out boolean, score double, predicted int, text_score double, page_score double"
@@ -150,8 +152,69 @@ class CoTrained:
         return sigmoid(self.both.logit(np.stack([a, b], axis=1))), sigmoid(a), sigmoid(b)
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], weight: np.ndarray | None = None) -> CoTrained:
-    """Train from labelled rows of both views and an unlabelled pool of both."""
+@dataclass
+class ArrayPool:
+    """Unlabelled rows of both views, held here."""
+
+    views: list[np.ndarray]
+
+    def surest(self, models, taken: set[bytes], most: int) -> dict[tuple[int, int], list[tuple[float, bytes]]]:
+        x = np.hstack(self.views)
+        return _surest(x, [r.tobytes() for r in x], self.views, models, taken, most)
+
+
+@dataclass
+class TablePool:
+    """Unlabelled rows as a table of packed features (``x``), however many."""
+
+    rows: DataFrame
+
+    def surest(self, models, taken: set[bytes], most: int) -> dict[tuple[int, int], list[tuple[float, bytes]]]:
+        """Every task finds its surest rows; of these, a few for each task, the surest are kept."""
+
+        def run(batches):
+            best: dict[tuple[int, int], list] = {}
+            for batch in batches:
+                raw = batch.column("x").to_pylist()
+                x = np.frombuffer(b"".join(raw)).reshape(len(raw), TEXT + META)
+                for kind, found in _surest(x, raw, [x[:, :TEXT], x[:, TEXT:]], models, taken, most).items():
+                    best[kind] = _first(best.get(kind, []) + found, most)
+            rows = [(v, lab, s, r) for (v, lab), found in best.items() for s, r in found]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            types = [pa.int32(), pa.int32(), pa.float64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["view", "label", "sure", "x"])
+
+        found = self.rows.mapInArrow(run, "view int, label int, sure double, x binary").distinct()
+        place = F.row_number().over(W.partitionBy("view", "label").orderBy(F.desc("sure"), "x"))
+        out: dict[tuple[int, int], list] = {}
+        for r in found.withColumn("_at", place).filter(F.col("_at") <= most).collect():
+            out.setdefault((r["view"], r["label"]), []).append((r["sure"], bytes(r["x"])))
+        return {k: _first(v, most) for k, v in out.items()}
+
+
+def _first(found: list[tuple[float, bytes]], most: int) -> list[tuple[float, bytes]]:
+    """The surest different rows; equally sure ones in order of their features."""
+    return sorted(set(found), key=lambda f: (-f[0], f[1]))[:most]
+
+
+def _surest(x, raw, views, models, taken, most) -> dict[tuple[int, int], list[tuple[float, bytes]]]:
+    """By view and label, the rows that the view's model is surest of, without those taken."""
+    out = {}
+    for own, view in enumerate(views):
+        p = sigmoid(models[own].logit(view))
+        for label, sure in ((1, p), (0, 1 - p)):
+            # equal rows stand for one, so all that are sure enough are looked through
+            at = np.flatnonzero(sure >= SURE)
+            out[own, label] = _first([(float(sure[i]), raw[i]) for i in at.tolist() if raw[i] not in taken], most)
+    return out
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, pool, weight: np.ndarray | None = None) -> CoTrained:
+    """Train from labelled rows of both views and an unlabelled ``pool`` (``ArrayPool``, ``TablePool``) of both.
+
+    In a round each view's model names the rows of the whole pool that it is surest of, at most ``NAMED``
+    in the proportion of the labels, and they train the other view.
+    """
     if len(y) == 0 or y.min() == y.max():
         return CoTrained(None, None, None, float(y.mean()) if len(y) else 0.5)
     weight = np.ones(len(y)) if weight is None else weight
@@ -162,22 +225,24 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], wei
     else:
         train = ~aside
     known = [(v[train], y[train].astype(float), weight[train]) for v in views]
-    free = np.ones(len(pool[0]), bool)
+    split = views[0].shape[1]
+    taken: set[bytes] = set()
     models: list[Logistic] = [logistic(*k) for k in known]
     for _ in range(ROUNDS):
         gained = False
+        # enough for each, whatever the others take first
+        surest = pool.surest(models, taken, 2 * NAMED + 4)
         for own, other in ((0, 1), (1, 0)):
-            p = sigmoid(models[own].logit(pool[own]))
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                most = max(1, int(NAMED * len(free) * (y.mean() if label else 1 - y.mean())))
-                found = np.flatnonzero(free & (sure >= SURE))
-                found = found[np.argsort(-sure[found], kind="stable")][:most]
-                if len(found):
+            for label in (1, 0):
+                most = max(1, int(NAMED * (y.mean() if label else 1 - y.mean())))
+                found = [f for f in surest.get((own, label), []) if f[1] not in taken][:most]
+                if found:
+                    rows = np.stack([np.frombuffer(r) for _, r in found])
+                    part = rows[:, split:] if other else rows[:, :split]
                     x, t, w = known[other]
-                    known[other] = (
-                        np.vstack([x, pool[other][found]]), np.append(t, np.full(len(found), label)), np.append(w, sure[found] * 0.5)
-                    )
-                    free[found] = False
+                    sure = np.array([s for s, _ in found])
+                    known[other] = (np.vstack([x, part]), np.append(t, np.full(len(found), float(label))), np.append(w, sure * 0.5))
+                    taken |= {r for _, r in found}
                     gained = True
         models = [logistic(*k) for k in known]
         if not gained:
@@ -206,13 +271,15 @@ def _features(batches):
         )
 
 
+@ships_package
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> CoTrained:
     """Co-train from ``labels.quality`` of documents whose crc32(doc_id) modulo ``folds`` isn't ``held``.
 
-    About ``SAMPLE`` documents of each class and ``POOL`` unlabelled ones, chosen by a
-    hash of the id, are turned into features. Rows without id or label don't count;
-    labels other than 0 count as good, and of several labels of an id the smallest
-    holds.
+    About ``SAMPLE`` labelled documents of each class, chosen by a hash of the id, come to the
+    driver as features. Pseudo-labels are looked for among all documents of other folds
+    without a usable label; of these the driver gets the few that a round names. Rows without
+    id or label don't count; labels other than 0 count as good, and of several labels of an
+    id the smallest holds.
     """
     known = (
         labels.filter("quality is not null").groupBy("doc_id")
@@ -221,29 +288,30 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Co
     )
     counts = {int(r["y"]): r["k"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("k")).collect()}
     if len(counts) < 2:
-        return co_train([np.zeros((0, TEXT)), np.zeros((0, META))], np.zeros(0), [np.zeros((0, TEXT)), np.zeros((0, META))])
+        return co_train([np.zeros((0, TEXT)), np.zeros((0, META))], np.zeros(0), None)
     u = lambda c: F.pmod(F.xxhash64(c, F.lit(13)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.when(F.col("y") == 1, min(1.0, SAMPLE / counts[1])).otherwise(min(1.0, SAMPLE / counts[0]))
     # about 2 * SAMPLE ids at any input size, so they may be broadcast
     chosen = known.filter(u("doc_id") < share).select(F.col("doc_id").alias("_id"), "y")
     ready = _ready(docs)
-    total = ready.count()
     named = ready.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
     # of documents without a usable label, whatever the reason; held-out ones stay out
-    pool = ready.filter((crc32_mod("doc_id", folds) != held) & (u("doc_id") < min(1.0, 2 * POOL / max(1, total))))
+    pool = ready.filter(crc32_mod("doc_id", folds) != held)
     pool = pool.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int"))
-    rows = named.unionByName(pool).mapInArrow(_features, "doc_id long, y int, x binary").distinct().collect()
-    rows = sorted(((r["doc_id"], -1 if r["y"] is None else r["y"], bytes(r["x"])) for r in rows))
+    kind = "doc_id long, y int, x binary"
+    rows = named.mapInArrow(_features, kind).distinct().collect()
+    rows = sorted(((r["doc_id"], r["y"], bytes(r["x"])) for r in rows))
     x = np.array([np.frombuffer(r[2]) for r in rows]).reshape(len(rows), TEXT + META)
-    y = np.array([r[1] for r in rows])
-    views = lambda keep: [x[keep][:, :TEXT], x[keep][:, TEXT:]]
-    told = y >= 0
+    y = np.array([r[1] for r in rows], np.int64)
     prior = {k: counts[k] / (counts[0] + counts[1]) for k in (0, 1)}
     got = {k: max(1, int((y == k).sum())) for k in (0, 1)}
-    weight = np.array([prior[k] * told.sum() / got[k] for k in y[told]])
-    return co_train(views(told), y[told], views(~told), weight)
+    weight = np.array([prior[k] * len(y) / got[k] for k in y])
+    with scratch(docs.sparkSession):
+        free = materialize(pool.mapInArrow(_features, kind).select("x"), "page-features")
+        return co_train([x[:, :TEXT], x[:, TEXT:]], y, TablePool(free), weight)
 
 
+@ships_package
 def score(docs: DataFrame, model: CoTrained, folds: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher is better), predicted, text_score, page_score of every row.
 

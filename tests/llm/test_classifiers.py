@@ -108,6 +108,21 @@ def test_ranks_by_hand():
     assert found.tolist() == sorted(counts, key=lambda g: (-counts[g], g))
 
 
+def test_languages_against_a_plain_loop(docs):
+    """Out-of-place distances and the choice, n-gram by n-gram, for every document."""
+    profiles = language.fit(docs)
+    place = [{int(g): int(r) for g, r in zip(profiles.grams, profiles.ranks[:, i], strict=True) if r < language.PROFILE} for i in range(len(profiles.langs))]
+    got = {r.doc_id: r for r in language.identify(docs, profiles).collect()}
+    for row in docs.collect():
+        mine = language.ranked(row.text or "").tolist()
+        if not mine:
+            assert got[row.doc_id].lang_pred == "und"
+            continue
+        away = [sum(abs(own[g] - i) if g in own else language.PROFILE for i, g in enumerate(mine)) for own in place]
+        best = min(range(len(away)), key=lambda i: (away[i], profiles.langs[i]))
+        assert got[row.doc_id].lang_pred == profiles.langs[best] and got[row.doc_id].distance == away[best]
+
+
 def test_quality_held_out(docs, labels):
     got = quality.score(docs, quality.fit(docs, labels)).join(labels.select("doc_id", "quality"), "doc_id").collect()
     held = [r for r in got if r.held_out]
@@ -123,7 +138,7 @@ def test_views_teach_each_other():
     a = np.hstack([(y * 2 - 1)[:, None] * 2 + r.normal(size=(3000, 1)), r.normal(size=(3000, 6))])
     b = np.hstack([(y * 2 - 1)[:, None] * 1.5 + r.normal(size=(3000, 1)), r.normal(size=(3000, 30))])
     few, rest = slice(0, 40), slice(40, 2000)
-    model = quality.co_train([a[few], b[few]], y[few], [a[rest], b[rest]])
+    model = quality.co_train([a[few], b[few]], y[few], quality.ArrayPool([a[rest], b[rest]]))
     alone = quality.logistic(b[few], y[few].astype(float), np.ones(40))
     test = slice(2000, 3000)
     right = lambda z: ((z > 0) == (y[test] == 1)).mean()
@@ -131,18 +146,53 @@ def test_views_teach_each_other():
     assert ((model.score(a[test], b[test])[0] > 0.5) == (y[test] == 1)).mean() > 0.95
 
 
+def test_pool_of_all_rows(spark, documents, docs, labels):
+    """The surest rows of a table are those of all its rows, found by brute force; equal rows are one."""
+    model = quality.fit(docs, labels)
+    models = [model.text, model.page]
+    frame = quality._ready(documents.unionByName(documents)).selectExpr("*", "cast(null as int) as y").mapInArrow(quality._features, "doc_id long, y int, x binary")
+    x = np.array([np.frombuffer(r.x) for r in frame.collect()])
+    plain = quality.ArrayPool([x[:, : quality.TEXT], x[:, quality.TEXT :]])
+    for taken in (set(), {x[3].tobytes(), x[7].tobytes()}):
+        got = quality.TablePool(frame.repartition(7)).surest(models, taken, 9)
+        want = {k: v for k, v in plain.surest(models, taken, 9).items() if v}
+        assert got == want and all(len({r for _, r in v}) == len(v) for v in got.values()) and got
+
+
+def test_quality_scores_against_a_plain_loop(docs, labels):
+    """Both views, calibration and combination, document by document."""
+    model = quality.fit(docs, labels)
+    got = {r.doc_id: r for r in quality.score(docs, model).collect()}
+
+    def logit(m, row):
+        z = [min(8, max(-8, (v - mu) / sd)) for v, mu, sd in zip(row, m.mean, m.spread, strict=True)]
+        return m.scale * (sum(a * b for a, b in zip(z, m.weight[:-1], strict=True)) + m.weight[-1]) + m.shift
+
+    import math
+
+    import pyarrow as pa
+
+    for r in docs.limit(60).collect():
+        a = quality.text_features(pa.array([r.text], pa.string()))[0].tolist()
+        b = quality.page_features(pa.array([r.source], pa.string()), pa.array([r.lang], pa.string()), pa.array([float(r.n_chars)], pa.float64()))[0].tolist()
+        own = [logit(model.text, a), logit(model.page, b)]
+        assert abs(got[r.doc_id].text_score - 1 / (1 + math.exp(-own[0]))) < 1e-9
+        assert abs(got[r.doc_id].page_score - 1 / (1 + math.exp(-own[1]))) < 1e-9
+        assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-logit(model.both, own)))) < 1e-9
+
+
 def test_odd_rows(odd_documents, spark, docs, labels):
     marks = spark.createDataFrame([(3, 1, 0), (4, 0, 1), (None, 1, 1), (5, None, None), (4, 1, 0)], "doc_id long, quality int, toxic int")
     nothing = marks.limit(0)
     for lab in (marks, nothing):
         for op in (toxicity, quality):
             got = op.score(odd_documents, op.fit(odd_documents, lab)).collect()
-            assert len(got) == 10 and all(0 <= r.score <= 1 for r in got)
+            assert len(got) == 11 and all(0 <= r.score <= 1 for r in got)
             same = [r.score for r in got if r.doc_id == 4]
             assert max(same) - min(same) < 1e-6
             assert op.score(odd_documents.limit(0), op.fit(odd_documents.limit(0), lab)).count() == 0
     assert toxicity.keep_clean(odd_documents, toxicity.fit(odd_documents, nothing)).columns == odd_documents.columns
     for profiles in (language.fit(docs), language.fit(odd_documents), language.fit(docs.limit(0))):
         got = {r.doc_id: r for r in language.identify(odd_documents, profiles).collect()}
-        assert len(got) == 9 and all(got[i].lang_pred == "und" and got[i].score == 0 for i in (1, 2, 6, 7))
+        assert len(got) == 10 and all(got[i].lang_pred == "und" and got[i].score == 0 for i in (1, 2, 6, 7, 9))
     assert language.identify(odd_documents.limit(0), language.fit(docs)).count() == 0
