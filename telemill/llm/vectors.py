@@ -32,8 +32,11 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .components import components
 from .exchange import rows_table
+from .tables import ships_package
 
 TREES, LEAF, SPILL = 8, 2_000, 0.05
+#: Share of close pairs that a level of splits keeps together (at least, at cosine 0.9), and that all trees may miss.
+KEPT, MISSED = 0.92, 0.02
 #: Vectors that a round of splits of one node is learned from, and its deepest split.
 SAMPLE, DEPTH = 8_000, 6
 #: Share of a leaf from which a group gets a hub, what of it a sample has to show, and the vectors that are tried as hubs.
@@ -384,8 +387,20 @@ def near_pairs(
         nodes = sent.filter(~F.col("done")).drop("done")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """Links and components of vectors by cosine.
+def trees_for(n: int, leaf: int = LEAF) -> int:
+    """Trees that leave at most ``MISSED`` of the close pairs of ``n`` vectors apart in all of them.
+
+    A tree keeps a pair together with a chance of ``KEPT`` for each of its levels, so deeper
+    forests need more trees: 8 up to four million vectors, 18 for 1e9.
+    """
+    depth = math.ceil(math.log2(max(1.0, n / leaf)))
+    together = KEPT**depth
+    return max(TREES, 0 if together >= 1 else math.ceil(math.log(MISSED) / math.log(1 - together)))
+
+
+@ships_package
+def near_vectors(vectors: DataFrame, least: float = 0.9, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
+    """Links and components of vectors by cosine; ``trees`` by default as many as ``trees_for`` their number.
 
     ``vectors``: ``vec_id`` (integer), ``embedding`` (array of numbers); other columns
     are ignored. Returns vec_id, n_links (other rows linked with it), component_id
@@ -407,6 +422,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, trees: int = TREES, lea
     ).join(repeated, "class_id", "left")
     classes = classes.withColumn("rep", F.when(F.col("_twice"), F.xxhash64("same")).otherwise(F.col("class_id"))).drop("_twice")
     classes = materialize(classes, "vector-classes")
+    trees = trees_for(classes.count(), leaf) if trees is None else trees
     pairs, homes, hubs = near_pairs(classes.select("rep", "v"), least, trees, leaf)
     links = materialize(pairs, "vector-links")
     named = classes.select("same", "class_id", "members", "rep")
@@ -420,10 +436,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, trees: int = TREES, lea
     parts = components(links).withColumnRenamed("node", "rep")
     small = parts.join(named.select("rep", "class_id"), "rep").groupBy("component").agg(F.min("class_id").alias("smallest"))
     named = named.join(degree, "rep", "left").join(parts.join(small, "component").select("rep", "smallest"), "rep", "left")
-    own = F.when(F.col("vec_id").isNotNull(), F.coalesce("smallest", "class_id", "vec_id"))
-    return unit.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("same")).alias("same")).join(named, "same", "left").select(
-        "vec_id",
-        (F.coalesce(F.col("members") - 1, F.lit(0)) + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"),
-        own.alias("component_id"),
-        F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"),
+    own = F.coalesce("smallest", "class_id", "vec_id")
+    linked = usable.select("vec_id", "same").join(named, "same").select(
+        "vec_id", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"), own.alias("component_id"),
     )
+    alone = unit.filter("v is null or vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -104,3 +104,36 @@ def test_odd_rows(spark):
     assert run(spark, [(1, None)]) == [(1, 0, 1)]
     frame = spark.createDataFrame([], "vec_id long, embedding array<double>, rep string, node string")
     assert vectors.near_vectors(frame).count() == 0
+
+
+def pairs_at(r, n, cosine, size=64):
+    """Random unit vectors, each with a partner at about this cosine."""
+    a = r.normal(size=(n, size))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b = r.normal(size=(n, size))
+    b -= (b * a).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b
+
+
+def test_trees_grow_with_depth():
+    assert vectors.trees_for(10) == vectors.trees_for(4_000_000) == 8 and vectors.trees_for(10**9) == 18
+    r = np.random.default_rng(5)
+    a, b = pairs_at(r, 20_000, 0.9)
+    both = np.concatenate([a, b])
+    kept = []
+    for _ in range(5):
+        tree = vectors._grow(both, len(both), len(both) // 2, r, 1)
+        parts = [set(rows.tolist()) for _, rows in vectors._route(tree, both)]
+        kept.append(np.mean([any(i in p and i + 20_000 in p for p in parts) for i in range(20_000)]))
+    assert vectors.KEPT <= np.mean(kept) < vectors.KEPT + 0.03
+
+
+def test_recall_of_pairs_in_deep_trees(spark):
+    """Pairs in isotropic data at the limit itself, eight levels deep, with the trees that the query would take."""
+    r = np.random.default_rng(6)
+    a, b = pairs_at(r, 1_500, 0.905)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), leaf=20).collect()
+    found = sum(x.component_id == x.vec_id - 1_500 for x in got if x.vec_id >= 1_500)
+    assert found >= 0.95 * 1_500 and sum(x.n_links for x in got) <= 2 * 1_500
