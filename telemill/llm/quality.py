@@ -295,10 +295,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Co
     chosen = known.filter(u("doc_id") < share).select(F.col("doc_id").alias("_id"), "y")
     ready = _ready(docs)
     named = ready.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")
-    # of documents without a usable label, whatever the reason; held-out ones stay out
-    pool = ready.filter(crc32_mod("doc_id", folds) != held)
-    pool = pool.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int"))
     kind = "doc_id long, y int, x binary"
+    # of documents without a usable label, whatever the reason; held-out ones stay out. Labels
+    # are joined with features, not with texts, which are some five times as long
+    pool = ready.filter(crc32_mod("doc_id", folds) != held).withColumn("y", F.lit(None).cast("int"))
+    pool = pool.mapInArrow(_features, kind).join(known.select("doc_id"), "doc_id", "left_anti")
     rows = named.mapInArrow(_features, kind).distinct().collect()
     rows = sorted(((r["doc_id"], r["y"], bytes(r["x"])) for r in rows))
     x = np.array([np.frombuffer(r[2]) for r in rows]).reshape(len(rows), TEXT + META)
@@ -307,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Co
     got = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     weight = np.array([prior[k] * len(y) / got[k] for k in y])
     with scratch(docs.sparkSession):
-        free = materialize(pool.mapInArrow(_features, kind).select("x"), "page-features")
+        free = materialize(pool.select("x"), "page-features")
         return co_train([x[:, :TEXT], x[:, TEXT:]], y, TablePool(free), weight)
 
 
