@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import Draws
 from ..session import materialize
-from .chunks import CHUNK
 from .spine import row_count
 
 BUCKET = (1, 1440)
@@ -178,6 +177,12 @@ def clear_of(
     return windows.join(hit.select(key, *ids).distinct(), [key, *ids], "left_anti")
 
 
+#: Windows that are folded at a time, and buckets that make one group of each level between them and the device.
+PIECE = 256
+SPANS = (4096,)
+_NEVER = -(1 << 63)
+
+
 def non_overlapping(
     windows: DataFrame,
     key: str = "device_id",
@@ -188,76 +193,121 @@ def non_overlapping(
 ) -> DataFrame:
     """Walk each device's windows in time order, dropping any that overlaps a kept one.
 
-    ``start`` and ``ids`` together name a window of a device. The kept windows are
-    chains: each is followed by the first window that starts no earlier than it ends.
-    Chains begin wherever a bucket's first window starts after everything before it
-    has ended, so they are short. They are followed by doubling: every round knows
-    twice as many steps ahead and doubles the kept part of all chains at once.
+    ``start`` and ``ids`` together name a window of a device; windows without start or end
+    are dropped. An empty window is kept where no kept window before it reaches over it.
+
+    A window turns "free from t on" into "free from its end on" if it starts no earlier than t, and
+    leaves t alone otherwise. A run of windows is a map of that kind too, written as steps:
+    for entries up to ``t`` the walk leaves at ``x``. Maps of pieces are composed by spans of
+    buckets up to the whole device; then entries are handed down again. A map only has the
+    steps that a window before it can lead to, so every level reads few rows per piece.
     """
-    order = [start, *ids]
-    names = windows.columns
-    placed = windows.withColumn(CHUNK, F.expr(bucket_of(f"`{start}`", bucket)))
-    by_time = Window.partitionBy(key).orderBy(CHUNK)
-    earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.max("_reach").over(earlier)
-    cut = F.when(reached.isNull() | (reached <= F.col("_first")), F.col(CHUNK))
-    segments = (
-        placed.groupBy(key, CHUNK)
-        .agg(F.max(end).alias("_reach"), F.min(start).alias("_first"))
-        .withColumn("_cut", cut)
-        .select(key, CHUNK, F.last("_cut", ignorenulls=True).over(by_time).alias("_segment"))
+    names, node = windows.columns, F.struct(start, *ids)
+    stored = materialize(windows, "windows")
+    real = stored.where(F.col(end) > F.col(start))
+    firsts = real.groupBy(key, start).agg(F.min(F.struct(*ids, end)).alias("_f")).select(
+        key, F.expr(bucket_of(f"`{start}`", bucket)).alias("_b"), F.col(start).cast("bigint").alias("_t"),
+        F.col(f"_f.`{end}`").cast("bigint").alias("_x"), F.struct(start, *[F.col(f"_f.`{c}`") for c in ids]).alias("_node"),
     )
-    nodes = materialize(
-        placed.join(segments, [key, CHUNK]).withColumn("_node", F.struct(*order)), "windows"
+    pieces = materialize(_pieces(firsts, key, bucket), "window-pieces")
+    levels = [_maps(pieces, _by_window, F.transform("_children", lambda c: c["t"]))]
+    groups = []
+    for span in SPANS:
+        below = levels[-1].withColumn("_g", F.expr(f"_b - pmod(_b, {span}L)")).groupBy(key, "_g").agg(*_children())
+        groups.append(below)
+        starts = F.flatten(F.transform("_children", lambda c: F.transform(c["steps"], lambda s: s["t"])))
+        levels.append(_maps(below.select(key, F.col("_g").alias("_b"), F.lit(0).alias("_p"), "_children", "_reach"), _by_steps, starts))
+    entries = _handed_down(levels[-1].groupBy(key).agg(*_children()).withColumn("_entry", F.lit(_NEVER)), key)
+    for below in reversed(groups):
+        entry = entries.select(F.col(key).alias("_k"), F.col("_b").alias("_g0"), "_entry")
+        entries = _handed_down(below.join(entry, (F.col(key) == F.col("_k")) & (F.col("_g") == F.col("_g0"))), key)
+    entry = entries.select(F.col(key).alias("_k"), F.col("_b").alias("_b0"), F.col("_p").alias("_p0"), "_entry")
+    entered = pieces.join(entry, (F.col(key) == F.col("_k")) & (F.col("_b") == F.col("_b0")) & (F.col("_p") == F.col("_p0")))
+    kept = (
+        entered.select(key, F.explode(F.arrays_zip("_children", _running(_by_window).alias("_entries"))).alias("_w"))
+        .where("_w._children.t >= _w._entries")
+        .select(key, F.col("_w._children.t").alias("_t"), F.col("_w._children.x").alias("_x"), F.col("_w._children.node").alias("_node"))
     )
-    chain = [key, "_segment"]
-    kept = nodes.groupBy(*chain).agg(F.min("_node").alias("_node"))
-    steps = materialize(_successors(nodes, chain, start, end, ids, bucket), "window-steps")
-    while not steps.isEmpty():
-        further = kept.join(steps, [*chain, "_node"]).select(*chain, F.col("_next").alias("_node"))
-        kept = materialize(kept.unionByName(further), "kept-windows")
-        ahead = steps.select(*chain, F.col("_node").alias("_next"), F.col("_next").alias("_after"))
-        steps = materialize(
-            steps.join(ahead, [*chain, "_next"]).select(*chain, "_node", F.col("_after").alias("_next")),
-            "window-steps",
+    walked = real.withColumn("_node", node).join(kept.select(key, "_node"), [key, "_node"], "left_semi")
+    over = in_buckets(kept, "_t", "_x", bucket).select(F.col(key).alias("_k"), "_bucket", "_x", F.col("_node").alias("_over"))
+    empty = stored.where(F.col(end) <= F.col(start)).withColumn("_node", node).withColumn("_at", F.expr(bucket_of(f"`{start}`", bucket)))
+    hidden = (F.col(key) == F.col("_k")) & (F.col("_at") == F.col("_bucket")) & (F.col("_x") > F.col(start)) & (F.col("_over") < F.col("_node"))
+    return walked.select(*names).unionByName(empty.join(over, hidden, "left_anti").select(*names))
+
+
+def _pieces(firsts: DataFrame, key: str, bucket: tuple[int, int]) -> DataFrame:
+    """``_children`` (windows, at most ``PIECE``, by start) of every piece ``_p`` of a bucket ``_b``.
+
+    ``_reach`` is how far a window that starts before the piece goes into it.
+    """
+    last = F.expr(bucket_of("_x - 1", bucket))
+    reaching = (
+        firsts.where(last > F.col("_b")).select(key, F.explode(F.sequence(F.col("_b") + 1, last)).alias("_b"), "_x")
+        .groupBy(key, "_b").agg(F.max("_x").alias("_x"))
+    )
+    by_start = Window.partitionBy(key, "_b").orderBy(F.col("_t").asc_nulls_first())
+    return (
+        firsts.unionByName(reaching, allowMissingColumns=True)
+        .withColumn("_p", F.floor(F.row_number().over(by_start) / PIECE))
+        .withColumn("_before", F.max("_x").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
+        .where("_t is not null")
+        .groupBy(key, "_b", "_p")
+        .agg(
+            F.array_sort(F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_x").alias("x"), F.col("_node").alias("node")))).alias("_children"),
+            F.min_by("_before", "_t").alias("_reach"),
         )
-    return nodes.join(kept, [*chain, "_node"], "left_semi").select(*names)
+    )
+
 
+def _by_window(window: Column, t: Column) -> Column:
+    return F.when(window["t"] >= t, window["x"]).otherwise(t)
 
-def _successors(nodes, chain, start, end, ids, bucket) -> DataFrame:
-    """``_node, _next``: the first window of the segment that starts no earlier than a window ends.
 
-    Ends are put between the starts, ahead of a start at the same place, and look for
-    the next start in their own bucket, else take the first one of the next bucket.
+def _by_steps(child: Column, t: Column) -> Column:
+    return F.coalesce(F.get(F.filter(child["steps"], lambda s: s["t"] >= t), F.lit(0))["x"], t)
+
+
+def _children() -> list[Column]:
+    """The maps of a group in order, and how far windows from before reach into the first one."""
+    child = F.struct(F.col("_b").alias("b"), F.col("_p").alias("p"), F.col("_steps").alias("steps"))
+    return [
+        F.array_sort(F.collect_list(child)).alias("_children"),
+        F.min_by("_reach", F.struct("_b", "_p")).alias("_reach"),
+    ]
+
+
+def _maps(groups: DataFrame, through, starts: Column) -> DataFrame:
+    """``_steps`` (entries up to ``t`` leave at ``x``) of every group, composed of those of its children.
+
+    A walk comes in at ``_reach`` or before, so the first step from there on is the last one needed.
     """
-    void = F.col(end) <= F.col(start)  # its end doesn't hide the windows right behind it
-    at = F.expr(bucket_of(f"`{end}`", bucket))
-    starts = nodes.select(
-        *chain, CHUNK, F.col("_node").alias("_start"), F.lit(None).cast(nodes.schema["_node"].dataType).alias("_node"),
-        F.col(start).alias("_t"), *ids, F.lit(0).alias("_turn"),
+    def leave(t):
+        return F.aggregate("_children", t, lambda at, child: through(child, at))
+
+    bounded = groups.withColumn("_starts", starts).withColumn(
+        "_bound", F.array_min(F.filter("_starts", lambda t: t >= F.coalesce("_reach", F.lit(_NEVER))))
     )
-    ends = nodes.select(
-        *chain, F.when(void, F.col(CHUNK)).otherwise(at).alias(CHUNK),
-        F.lit(None).cast(nodes.schema["_node"].dataType).alias("_start"), "_node",
-        F.when(void, F.col(start)).otherwise(F.col(end)).alias("_t"),
-        *[F.when(void, F.col(c)).alias(c) for c in ids], F.lit(1).alias("_turn"),
+    steps = F.transform(
+        F.filter("_starts", lambda t: F.col("_bound").isNull() | (t <= F.col("_bound"))),
+        lambda t: F.struct(t.alias("t"), leave(t).alias("x")),
     )
-    both = starts.unionByName(ends)
-    later = [F.col(c).desc_nulls_last() for c in ("_t", *ids, "_turn")]
-    here = Window.partitionBy(*chain, CHUNK).orderBy(*later)
-    found = both.withColumn(
-        "_here", F.last("_start", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, -1))
-    ).where("_node is not null")
-    firsts = both.groupBy(*chain, CHUNK).agg(F.min("_start").alias("_first_start"))
-    behind = Window.partitionBy(*chain).orderBy(F.col(CHUNK).desc())
-    nexts = firsts.select(
-        *chain, CHUNK,
-        F.last("_first_start", ignorenulls=True).over(behind.rowsBetween(Window.unboundedPreceding, -1)).alias("_there"),
+    ends = F.filter("_all", lambda s, i: ~F.coalesce(F.get("_all", i + 1)["x"] == s["x"], F.lit(False)))
+    return bounded.withColumn("_all", steps).withColumn("_steps", ends).drop("_children", "_starts", "_bound", "_all")
+
+
+def _running(through) -> Column:
+    """For every child the place from which on the walk is free when it comes there, and where it leaves the last one."""
+    return F.aggregate(
+        "_children", F.array("_entry"),
+        lambda at, child: F.concat(at, F.array(through(child, F.element_at(at, -1)))),
     )
-    return (
-        found.join(nexts, [*chain, CHUNK])
-        .select(*chain, "_node", F.coalesce("_here", "_there").alias("_next"))
-        .where("_next is not null")
+
+
+def _handed_down(groups: DataFrame, key: str) -> DataFrame:
+    """``_entry`` of every child of groups with an ``_entry``."""
+    zipped = F.explode(F.arrays_zip("_children", _running(_by_steps).alias("_entries"))).alias("_c")
+    return groups.select(key, zipped).where("_c._children is not null").select(
+        key, F.col("_c._children.b").alias("_b"), F.col("_c._children.p").alias("_p"), F.col("_c._entries").alias("_entry")
     )
 
 

@@ -28,6 +28,7 @@ from ..constants import (
 )
 from ..functions.curves import degrade, ease
 from ..functions.draws import Draws
+from ..session import materialize
 from .intervals import BUCKET, lay_over
 from .joins import with_anchors
 from .lut import with_curve
@@ -248,17 +249,27 @@ def splice(
     amplitude: Column | None = None,
     sd_by_col: dict[str, float] | None = None,
     blend: int = BLEND_ROWS,
-    bucket: tuple[int, int] = BUCKET,
 ) -> DataFrame:
     """Lay episodes over the rows of their windows (which need a ``kind``).
 
-    ``speed_up`` (a window column, 1 = as recorded) runs through the episode faster.
+    ``speed_up`` (a window column, 1 = as recorded) runs through the episode faster. The windows
+    are opened into the rows they cover and get their episode values there, so rows outside
+    of windows never meet the episodes, which are stored and read once.
     """
     idx = since() if speed_up is None else F.floor(since() * speed_up).cast("bigint")
+    stored = materialize(episodes.select("kind", "idx", *cols), "episodes")
     placed = with_anchors(windows, rows, {"pre_": ("start_row", list(cols))})
-    placed = with_episode(placed, episodes, cols, F.lit(0), "ep0_")
+    placed = with_episode(placed, stored, cols, F.lit(0), "ep0_")
     placed = placed.withColumns(splice_starts(cols, draws, amplitude, sd_by_col))
-    joined = with_episode(lay_over(rows, placed, bucket=bucket), episodes, cols, idx, "ep_")
+    shared = [c for c in placed.columns if c in rows.columns and c != KEY]
+    opened = (
+        placed.drop(*shared)
+        .where("end_row > start_row")
+        .withColumn("row_i", F.explode(F.expr("sequence(start_row, end_row - 1)")))
+    )
+    opened = with_episode(opened, stored, cols, idx, "ep_")
+    right = opened.withColumnRenamed(KEY, "_key").withColumnRenamed("row_i", "_row")
+    joined = rows.join(right, (F.col(KEY) == F.col("_key")) & (F.col("row_i") == F.col("_row")), "left")
     inside = F.col("start_row").isNotNull()
     mixes = splice_mixes(["all"], amplitude, blend)
     return apply_mixes(

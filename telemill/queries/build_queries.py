@@ -793,7 +793,7 @@ def decoy_splice(spark, sf):
     windows = kept(spark, sf)[1]
     out = O.splice(
         rows, windows, episodes(spark, sf), SIGNALS, D, amplitude=F.col("amplitude"),
-        sd_by_col=SD, bucket=(FREQ, 86400),
+        sd_by_col=SD,
     )
     return rounded(out, SIGNALS, *KEYS)
 
@@ -831,7 +831,6 @@ def failure_episode(spark, sf):
     )
     out = O.splice(
         base(spark, sf), windows, episodes(spark, sf), SIGNALS, speed_up=F.col("sev"),
-        bucket=(FREQ, 86400),
     )
     return rounded(out, SIGNALS, *KEYS)
 

@@ -52,6 +52,22 @@ def test_walk_below_zero_and_of_empty_windows(spark):
     assert I.non_overlapping(df.limit(0), ids=["n"]).count() == 0
 
 
+@pytest.mark.parametrize("piece, spans", [(2, (3, 12)), (7, (5,))])
+def test_walk_through_many_levels(spark, monkeypatch, piece, spans):
+    """Chains that never meet (a window of 2 rows at every row), and one window over many others."""
+    monkeypatch.setattr(I, "PIECE", piece)
+    monkeypatch.setattr(I, "SPANS", spans)
+    grid = pd.DataFrame({"device_id": 1, "start_row": np.arange(-40, 90)})
+    grid["end_row"] = grid.start_row + 2
+    burst = pd.DataFrame({"device_id": 2, "start_row": np.repeat(np.arange(30), 3)})
+    burst["end_row"] = burst.start_row + 1 + burst.index % 5
+    long = pd.DataFrame({"device_id": [3] * 61, "start_row": [0, *range(1, 61)], "end_row": [43, *range(2, 62)]})
+    pdf = pd.concat([grid, burst, long, random_windows(30, 8).assign(device_id=4)], ignore_index=True)
+    pdf["n"] = np.arange(len(pdf))
+    out = I.non_overlapping(spark.createDataFrame(pdf), ids=["n"], bucket=(1, 4))
+    assert sorted((r.device_id, r.n) for r in out.collect()) == greedy(pdf)
+
+
 def test_poisson_at_high_rates(spark):
     for method in ("md5", "xxhash64"):
         x = spark.range(400).select(Draws(1, method).poisson(F.lit(2000.0), ["id"], "p").alias("n")).toPandas().n

@@ -98,7 +98,7 @@ def test_splice_meets_the_series(spark):
     df = rows(spark, 200).withColumn("x", F.col("row_i") * 1.0)
     w = spark.createDataFrame([(1, 50, 120, "e")], "device_id int, start_row long, end_row long, kind string")
     ep = spark.range(70).select(F.lit("e").alias("kind"), F.col("id").alias("idx"), (F.col("id") * 3.0 + 500).alias("x"))
-    got = [r.x for r in O.splice(df, w, ep, ["x"], bucket=(1, 64)).orderBy("row_i").collect()]
+    got = [r.x for r in O.splice(df, w, ep, ["x"]).orderBy("row_i").collect()]
     assert got[:51] == [float(i) for i in range(51)]  # first row unchanged
     assert got[80:120] == [50 + 3.0 * (i - 50) for i in range(80, 120)]
     assert got[120] == 120.0
