@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import PUMP_P_DISCHARGE
@@ -48,9 +48,23 @@ def add_drift(
     key: str = "device_id",
     row: str = "row_i",
     chunk_rows: int = CHUNK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
-    """Random walk on the named signals, starting with a step at row 0."""
+    """Random walk on the named signals, starting with a step at row 0.
+
+    Where no ``row`` reaches ``longest`` and that is no more than a chunk, nothing is carried from
+    chunk to chunk, and rows placed by ``key`` stay where they are.
+    """
     steps = {f"_z_{c}": draws.normal([key, row], f"drift_{c}", 0.0, sd) for c in cols}
+    if longest is not None and longest <= chunk_rows:
+        so_far = Window.partitionBy(key).orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
+        walk = {f"_w_{c}": F.sum(f"_z_{c}").over(so_far) for c in cols}
+        return (
+            df.withColumns(steps)
+            .withColumns(walk)
+            .withColumns({c: F.col(c) + F.coalesce(f"_w_{c}", F.lit(0.0)) for c in cols})
+            .drop(*[f"_{p}_{c}" for p in "zw" for c in cols])
+        )
     chunked = with_chunk(df, row, chunk_rows).withColumns(steps)
     walked = running(chunked, [key], {f"_w_{c}": (f"_z_{c}", "sum") for c in cols}, [row])
     return walked.withColumns({c: F.col(c) + F.col(f"_w_{c}") for c in cols}).drop(

@@ -13,7 +13,7 @@ from ..operators import overlay as O
 from ..operators.labels import first_crossing, label_from, label_tail
 from ..operators.lut import curve_array, with_curve
 from ..operators.modulate import add_drift, add_noise
-from ..operators.spine import tile, with_one_row
+from ..operators.spine import day_rows, place, tile, with_one_row
 from ..session import materialize
 from ..sources.records import write_csv
 from ..sources.series import write_by_key
@@ -94,16 +94,21 @@ def with_catalogue(units: DataFrame, machine: str) -> DataFrame:
 
 
 def _rows(units: DataFrame, unit: str, machine: str, freq_s: int, horizon_s: int) -> DataFrame:
-    """Rows of every scenario of every unit; ``device_id`` names the pair."""
+    """Rows of every scenario of every unit; ``device_id`` names the pair.
+
+    The pairs are spread by ``device_id`` for the rows they grow to, since the units may be
+    one small file; a series stays in one task.
+    """
     named = with_catalogue(units, machine).withColumn(
         "device_id", F.concat_ws("_", F.col(unit).cast("string"), F.col("scenario_id"))
     )
-    last = int(horizon_s) // int(freq_s)
-    return (
-        named.withColumn("row_i", F.explode(F.expr(f"sequence(0L, {last}L)")))
-        .withColumn("time_s", F.col("row_i") * F.lit(int(freq_s)))
-        .withColumn("time_h", F.col("time_s") / F.lit(3600.0))
-    )
+    ends = {"_from": F.lit(0).cast("bigint"), "_to": F.lit(_last(freq_s, horizon_s)).cast("bigint")}
+    return day_rows(place(named.withColumns(ends), ["device_id"]), freq_s)
+
+
+def _last(freq_s: int, horizon_s: int) -> int:
+    """Number of a scenario's last row."""
+    return int(horizon_s) // int(freq_s)
 
 
 def input_level(time_s: Column, decoy: Column, at: int, axis_levels: dict) -> Column:
@@ -168,7 +173,8 @@ def motor_scenarios(
         F.lit(K.MOTOR_FAIL_SPEED_FRACTION),
     )
     noisy = add_noise(clean, K.MOTOR_NOISE_SD, draws)
-    walked = add_drift(noisy, K.MOTOR_RESPONSES, K.MOTOR_DRIFT_SD_SHORT, draws)
+    longest = _last(freq_s, horizon_s) + 1
+    walked = add_drift(noisy, K.MOTOR_RESPONSES, K.MOTOR_DRIFT_SD_SHORT, draws, longest=longest)
     labelled = label_from(walked, fails, freq_s)
     return labelled.select(
         unit, "scenario_id", "scenario", "row_i", *K.MOTOR_SIGNALS, "time_s", "time_h", "label",

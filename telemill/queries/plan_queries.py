@@ -12,7 +12,7 @@ from ..plans import fleet as FL
 from ..plans import scenarios as SN
 from ..plans.motor import MotorInputs, build_motor
 from ..plans.pump import PumpInputs, build_pump
-from ..session import new_path
+from ..session import new_path, use_compiled_code
 from . import plan_sql
 from .base import Registry, r6, table
 from .draw_queries import QUOTA
@@ -101,6 +101,8 @@ def motor_inputs(spark, sf) -> MotorInputs:
 
 
 def suppliers(spark, sf):
+    """Machines to build; every build reads them, so its wide stages get code that the JVM compiles."""
+    use_compiled_code(spark)
     return table(spark, sf, "supplier").select("s_suppkey")
 
 
