@@ -41,3 +41,9 @@ def test_rounding_is_that_of_round(spark):
     df = df.union(spark.sql("select double('nan'), double('inf'), cast(null as double)"))
     for c in "abc":
         assert df.where(~r6(c).eqNullSafe(F.round(c, 6) + F.lit(0.0))).isEmpty()
+
+
+def test_pump_scenarios_are_spread(spark):
+    units = P.suppliers(spark, SF).coalesce(1)
+    rows = SN.pump_scenarios(units, "s_suppkey", P.pump_inputs(spark, SF, 300), 300)
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
