@@ -97,8 +97,11 @@ def build_pump(
     placed = _placed(events, anchors, episodes, draws)
 
     def with_events(rows: DataFrame) -> DataFrame:
-        """Maintenance and decoys over the base series."""
-        joined = lay_over(rows, placed, **Y.block_bucket(freq_s))
+        """Maintenance and decoys over the base series, laid over the rows unless they came with them."""
+        if "_event" in rows.columns:
+            joined = Y.unpacked(rows, "_event")
+        else:
+            joined = lay_over(rows, placed, **Y.block_bucket(freq_s))
         joined = O.with_episode(joined, episodes, SIGNALS, O.since(), "ep_")
         kind = F.col("kind")
         mixed = O.apply_mixes(
@@ -112,7 +115,7 @@ def build_pump(
             draws,
         )
         event = F.coalesce(kind, F.lit("normal")).alias("event_type")
-        return mixed.select(*rows.columns, event)
+        return mixed.select(*[c for c in rows.columns if c != "_event"], event)
 
     failures = _failures(devices, lengths, freq_s)
     fixed = Y.at_rows(
@@ -124,8 +127,8 @@ def build_pump(
     )
     phases = _phases(failures, fixed, episodes, freq_s)
 
-    rows = with_events(base(Y.open_days(days, freq_s, *walk)))
-    return _with_failures(rows, phases, episodes, freq_s, draws, keep)
+    rows = with_events(base(Y.open_days(days, freq_s, *walk, {"_event": placed, "_phase": phases})))
+    return _with_failures(rows, episodes, freq_s, draws, keep)
 
 
 def _events(devices, lengths, draws, freq_s, per_month, maintenance_h, decoy_h) -> DataFrame:
@@ -242,10 +245,10 @@ def _phases(failures, fixed, episodes, freq_s) -> DataFrame:
     )
 
 
-def _with_failures(rows, phases, episodes, freq_s, draws, keep) -> DataFrame:
+def _with_failures(rows, episodes, freq_s, draws, keep) -> DataFrame:
     """Failure, downtime and restart over the series; labels and the final columns."""
     phase = F.col("phase")
-    joined = lay_over(rows, phases, **Y.block_bucket(freq_s)).withColumn(
+    joined = Y.unpacked(rows, "_phase").withColumn(
         "kind", F.when(phase == "failure", F.col("failure_kind"))
     )
     idx = F.floor(O.since() * F.col("severity")).cast("bigint")

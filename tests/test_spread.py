@@ -18,9 +18,6 @@ def test_motor_scenarios_are_spread(spark):
     rows = SN.motor_scenarios(units, "s_suppkey", P.motor_inputs(spark, SF), 300)
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
     assert rows.count() == units.count() * 10 * 73
-    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
-    opened = next(i for i, x in enumerate(plan) if "explode(sequence(_from" in x)
-    assert not any("Exchange hashpartitioning" in x for x in plan[:opened])
 
 
 def test_drift_of_short_series_needs_no_carry(spark):
@@ -47,3 +44,35 @@ def test_pump_scenarios_are_spread(spark):
     units = P.suppliers(spark, SF).coalesce(1)
     rows = SN.pump_scenarios(units, "s_suppkey", P.pump_inputs(spark, SF, 300), 300)
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_spans_meet_the_windows_their_rows_do(spark):
+    """Windows that touch, end at midnight, run over days, are empty, or come twice."""
+    days = spark.range(6).selectExpr(
+        "concat('d', id % 2) device_id", "id div 2 day", "(id div 2) * 24 _from", "least((id div 2) * 24 + 23, 65) _to"
+    )
+    windows = spark.createDataFrame(
+        [("d0", 0, 5, "a"), ("d0", 5, 24, "b"), ("d0", 30, 70, "c"), ("d0", 8, 8, "e"), ("d1", 23, 25, "f"), ("d1", 60, 61, "g"), ("d1", 60, 61, "g")],
+        "device_id string, start_row long, end_row long, kind string",
+    )
+    hourly = (3600, 86400)
+    spans = I.lay_over_spans(days, windows, "_event", hourly, "day")
+    opened = spans.select("device_id", F.explode(F.sequence("_from", "_to")).alias("row_i"), "_event")
+    got = opened.select("device_id", "row_i", F.explode_outer("_event").alias("w")).select("device_id", "row_i", "w.kind")
+    rows = days.select("device_id", F.explode(F.sequence("_from", "_to")).alias("row_i"))
+    want = I.lay_over(rows, windows, bucket=hourly).select("device_id", "row_i", "kind")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("machine", ("pump", "motor"))
+def test_built_rows_are_not_joined_with_windows(spark, machine):
+    from telemill.operators.manifest import sample_manifest
+    from telemill.plans.motor import build_motor
+    from telemill.plans.pump import build_pump
+
+    manifest = sample_manifest(P.suppliers(spark, SF), "s_suppkey", machine, 2.0)
+    inputs = P.pump_inputs(spark, SF, 300) if machine == "pump" else P.motor_inputs(spark, SF)
+    build = build_pump if machine == "pump" else build_motor
+    plan = build(manifest, inputs, 300)._jdf.queryExecution().executedPlan().toString().splitlines()
+    opened = next(i for i, x in enumerate(plan) if "explode(sequence(_from" in x)
+    assert not any("Join [device_id" in x for x in plan[:opened])
