@@ -178,10 +178,14 @@ def busiest_window(
     counted = trailing_sum(
         df.select(key, row, event, fail.alias("_fail")), [key], "_busy", busy, w, row, chunk_rows
     )
-    best = counted.groupBy(key).agg(
+    # Summed up per count first: the largest struct of all rows would take a sort of them.
+    by_count = counted.groupBy(key, "_busy").agg(
+        F.min("_fail").alias("_fail"), F.min(row).alias("_first"), F.max(row).alias("_last")
+    )
+    best = by_count.groupBy(key).agg(
         F.min("_fail").alias("_fail"),
-        F.max(F.struct(F.col("_busy"), -F.col(row))).alias("_best"),
-        (F.max(row) + 1).alias("_n"),
+        F.max(F.struct(F.col("_busy"), -F.col("_first"))).alias("_best"),
+        (F.max("_last") + 1).alias("_n"),
     )
     densest = -F.col("_best.col2")
     if centre_on_block:

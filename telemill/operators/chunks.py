@@ -83,9 +83,10 @@ def trailing_sum(
     """Sum of ``value`` over the last ``length`` rows, this one included.
 
     It is the running total less the running total ``length`` rows before. Inside a chunk
-    that row is in the halo; a window longer than a chunk meets it by a join at that
-    distance, so no task holds more than a chunk. Whole numbers are exact; a sum
-    of doubles has the rounding of the total it is taken from.
+    that row is in the halo. For a window longer than a chunk each row comes twice: as itself,
+    and ``length`` rows later to be taken off again. One more row per chunk brings what the earlier
+    chunks leave, so no row is joined with another, and tasks get ``INDEX_ROWS`` rows at most.
+    Whole numbers are exact; a sum of doubles has the rounding of the total it is taken from.
     """
     if length <= rows:
         here = Window.partitionBy(*keys, CHUNK).orderBy(order)
@@ -97,18 +98,35 @@ def trailing_sum(
             .where("_own")
             .drop("_own", "_value", "_total", CHUNK)
         )
-    summed = running(with_chunk(df.withColumn("_value", F.coalesce(value, F.lit(0))), order, rows), keys, {"_total": ("_value", "sum")}, [order])
-    summed = materialize(summed, "running-totals")
-    before = summed.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        (F.col(order) + length).alias("_row"), F.col("_total").alias("_before"),
+    own, others = F.col("_own"), [c for c in df.columns if c not in (*keys, order)]
+    taken = F.lit(0).cast("bigint") - F.col("_value")
+    steps = (
+        df.withColumn("_value", F.coalesce(value, F.lit(0)))
+        .withColumn("_own", F.explode(F.array(F.lit(True), F.lit(False))))
+        .withColumns(
+            {
+                "_value": F.when(own, F.col("_value")).otherwise(taken),
+                order: F.when(own, F.col(order)).otherwise(F.col(order) + length),
+                **{c: F.when(own, F.col(c)) for c in others},
+            }
+        )
+    )
+    chunked = with_chunk(steps, order, rows)
+    totals = materialize(
+        chunked.groupBy(*keys, CHUNK).agg(F.sum("_value").alias("_value"), F.count(F.lit(1)).alias("_n")), "chunk-totals"
     )
-    at = F.col(order) == F.col("_row")
-    for i, k in enumerate(keys):
-        at = at & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *keys, CHUNK, (F.col(CHUNK) * rows - 1).alias(order), F.lit(False).alias("_own"), F.sum("_value").over(earlier).alias("_value")
+    )
+    n = -(-(totals.agg(F.sum("_n")).first()[0] or 0) // INDEX_ROWS)
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
+    here = Window.partitionBy(*keys, CHUNK).orderBy(order, "_own").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        summed.join(before, at, "left")
-        .withColumn(name, F.col("_total") - F.coalesce("_before", F.lit(0)))
+        chunked.unionByName(carried, allowMissingColumns=True)
+        .repartition(n, *keys, CHUNK)
+        .withColumn(name, F.sum("_value").over(here))
+        .where("_own")
         .select(*df.columns, name)
     )
 

@@ -210,3 +210,18 @@ def test_trailing_sums_of_any_length(spark, length):
     got = {(r.device_id, r.row_i): r.s for r in out.collect()}
     want = {(k, i): sum(x or 0 for x in own[max(0, i - length + 1) : i + 1]) for k, own in series.items() for i in range(len(own))}
     assert got == want
+
+
+def test_long_trailing_sums_join_no_rows_and_bound_each_task(spark, monkeypatch):
+    from telemill.operators import chunks
+
+    monkeypatch.setattr(chunks, "INDEX_ROWS", 200)
+    df = spark.range(4_000).selectExpr("concat('d', id % 2) device_id", "id div 2 row_i", "id % 5 v", "id tag")
+    out = chunks.trailing_sum(df, ["device_id"], "s", F.col("v"), 300, rows=20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert "REPARTITION_BY_NUM" in plan and out.rdd.getNumPartitions() >= 2 * 4_000 // 200
+    rows = {(r.device_id, r.row_i): r for r in out.collect()}
+    assert len(rows) == 4_000 and all(r.tag == 2 * r.row_i + int(r.device_id[1]) for r in rows.values())
+    v = [2 * i % 5 for i in range(2_000)]
+    assert all(rows["d0", i].s == sum(v[max(0, i - 299) : i + 1]) for i in range(2_000))
