@@ -74,3 +74,25 @@ def test_fixed_text_rounds_the_exact_value(spark):
     for digits in (0, 1, 2, 3):
         got = [r.t for r in df.select(fixed_text(F.col("x"), digits).alias("t")).collect()]
         assert got == [f"{v:.{digits}f}" for v in x]
+
+
+def test_md5_draws_are_cut_as_bytes(spark):
+    """The hash is read as md5 spells it, whatever the session shows binary values as."""
+    import hashlib
+
+    style = "spark.sql.binaryOutputStyle"
+    spark.conf.set(style, "HEX")
+    try:
+        df = spark.range(50).select("id", Draws(3).uniform(["id"], "a").alias("u"), Draws(3).standard_normal(["id"], "b").alias("n"))
+        rows = df.collect()
+    finally:
+        spark.conf.unset(style)
+    assert "substring(cast(md5(" in df._jdf.queryExecution().executedPlan().toString()
+
+    def digits(i, stream, at):
+        return int(hashlib.md5(f"3|{i}|{stream}".encode()).hexdigest()[at : at + 13], 16) / 2**52
+
+    for r in rows:
+        assert r.u == digits(r.id, "a", 0)
+        want = math.sqrt(-2 * math.log(1 - digits(r.id, "b", 0))) * math.cos(2 * math.pi * digits(r.id, "b", 13))
+        assert abs(r.n - want) < 1e-12
