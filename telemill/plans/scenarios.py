@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -13,7 +13,7 @@ from ..operators import overlay as O
 from ..operators.labels import first_crossing, label_from, label_tail
 from ..operators.lut import curve_array, with_curve
 from ..operators.modulate import add_drift, add_noise
-from ..operators.spine import day_rows, place, tile, with_one_row
+from ..operators.spine import ROWS_PER_TASK, day_rows, place, tile, with_one_row
 from ..session import materialize
 from ..sources.records import write_csv
 from ..sources.series import write_by_key
@@ -195,10 +195,32 @@ def pump_scenarios(
 
     A failure plays its recorded episode from the start and ends with it; a
     decoy plays its episode from the change on; the rest is the healthy profile.
+    Only the noise differs between units, so the series without it are worked out once.
+    """
+    clean = _clean_pump(units.sparkSession, inputs, freq_s, horizon_s, change_at_s)
+    rows = _rows(units, unit, "pump", freq_s, horizon_s)
+    # a left join, so that the opened rows can't become the broadcast side
+    played = rows.join(clean, ["scenario_id", "row_i"], "left").where(
+        ~F.col("faulty") | F.col("label").isNotNull()
+    )
+    return add_noise(played, K.PUMP_NOISE_SD, draws).select(
+        unit, "scenario_id", "scenario", "row_i", *K.PUMP_SIGNALS, "time_s", "time_h", "label",
+        "time_to_failure_s",
+    ).withColumn("flow_gap_m3s", flow_gap(F.col("flow_in_m3s"), F.col("flow_out_m3s")))
+
+
+def _clean_pump(
+    spark: SparkSession, inputs: PumpInputs, freq_s: int, horizon_s: int, change_at_s: int
+) -> DataFrame:
+    """Signals and labels of every scenario's rows, before noise; stored.
+
+    The rows of all units meet this table alone, by (``scenario_id``, ``row_i``). It is written by as
+    few tasks as its rows need, since the footers of many small files would make it look too
+    large to broadcast.
     """
     cycle = K.CYCLE_S // freq_s
     change = change_at_s // freq_s
-    rows = _rows(units, unit, "pump", freq_s, horizon_s)
+    rows = _rows(spark.range(1), "id", "pump", freq_s, horizon_s)
     rows = tile(rows, inputs.profile, K.PUMP_SIGNALS, K.STARTUP_CYCLES * cycle, cycle)
     episodes = materialize(inputs.episodes.select("kind", "idx", *K.PUMP_SIGNALS), "episodes")
     name = F.when(F.col("faulty"), F.concat(F.lit("failure_"), "failure_type")).when(
@@ -212,11 +234,11 @@ def pump_scenarios(
         c: F.when(found, F.col(f"ep_{c}")).otherwise(F.col(c)) for c in K.PUMP_SIGNALS
     }
     whole = played.withColumns(values).where(~F.col("faulty") | found)
-    labelled = label_tail(add_noise(whole, K.PUMP_NOISE_SD, draws), "faulty", freq_s)
-    return labelled.select(
-        unit, "scenario_id", "scenario", "row_i", *K.PUMP_SIGNALS, "time_s", "time_h", "label",
-        "time_to_failure_s",
-    ).withColumn("flow_gap_m3s", flow_gap(F.col("flow_in_m3s"), F.col("flow_out_m3s")))
+    labelled = label_tail(whole, "faulty", freq_s).select(
+        "scenario_id", "row_i", *K.PUMP_SIGNALS, "label", "time_to_failure_s"
+    )
+    tasks = -(-len(PUMP_SCENARIOS) * (_last(freq_s, horizon_s) + 1) // ROWS_PER_TASK)
+    return materialize(labelled.repartition(tasks), "pump-scenarios")
 
 
 def scenario_lookup(units: DataFrame, machine: str, unit: str) -> DataFrame:

@@ -46,6 +46,44 @@ def test_pump_scenarios_are_spread(spark):
     assert rows.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_pump_scenarios_stay_where_they_are_opened(spark):
+    """Their rows meet one small table, and stay in place where small tables are written by many tasks."""
+    many = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "256k",
+    }
+    before = {k: spark.conf.get(k) for k in many}
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    try:
+        rows = SN.pump_scenarios(P.suppliers(spark, SF), "s_suppkey", P.pump_inputs(spark, SF, 300), 300)
+        plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    opened = next(i for i, x in enumerate(plan) if "[row_i#" in x and "explode(" in x)
+    assert sum("Join" in x for x in plan) == 1
+    assert not any("Exchange" in x and "Broadcast" not in x for x in plan[:opened])
+
+
+def test_pump_scenarios_of_repeated_and_missing_units(spark):
+    """Every row of ``units`` gets all its scenarios, whatever its key; a repeated position repeats its rows."""
+    inputs = P.pump_inputs(spark, SF, 300)
+    twice = P.PumpInputs(inputs.profile.union(inputs.profile.where("phase = 'startup' and idx = 3")), inputs.episodes)
+    units = spark.createDataFrame([(1,), (1,), (2,), (None,)], "u long")
+    got = SN.pump_scenarios(units, "u", twice, 300).groupBy("u", "scenario_id")
+    got = {(r.u, r.scenario_id): r for r in got.agg(
+        F.count("*").alias("n"), F.expr("count_if(row_i = 3)").alias("third"), F.max("row_i").alias("last"),
+        F.expr("count_if(label = 'FAILURE')").alias("failed"),
+    ).collect()}
+    assert len(got) == 30
+    for (u, _), r in got.items():
+        times = 2 if u == 1 else 1
+        assert r.third == 2 * times and r.n == (r.last + 2) * times
+        assert r.failed == (times if r.scenario_id in (1, 4, 7) else 0)
+
+
 def test_spans_meet_the_windows_their_rows_do(spark):
     """Windows that touch, end at midnight, run over days, are empty, or come twice."""
     days = spark.range(6).selectExpr(
