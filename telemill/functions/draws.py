@@ -36,10 +36,7 @@ class Draws:
         names = ", ".join(f"`{k}`" for k in keys)
         seed = f"`{self.seed}`" if isinstance(self.seed, str) else f"{int(self.seed)}L"
         if self.method == "md5":
-            # cut as bytes, which needs no walk over the characters
-            h = f"cast(md5(concat_ws('|', {seed}, {names}, '{stream}')) as binary)"
-            part = "(cast(conv(cast(substring({h}, {at}, 13) as string), 16, 10) as bigint) / 4503599627370496.0D)"
-            return part.format(h=h, at=1), part.format(h=h, at=14)
+            return self._cut(self._hash(keys, stream))
         if self.method == "xxhash64":
             h = "shiftrightunsigned(xxhash64(cast({seed} as bigint), {names}, '{stream}'), 11)"
             return tuple(
@@ -48,6 +45,34 @@ class Draws:
             )
         raise ValueError(f"unknown draw method {self.method!r}")
 
+    def _hash(self, keys: Sequence[str], stream: str) -> str:
+        """SQL of the md5 of a draw; all draws of a row share the text in front of the stream."""
+        names = ", ".join(f"`{k}`" for k in keys)
+        seed = f"`{self.seed}`" if isinstance(self.seed, str) else f"{int(self.seed)}L"
+        return f"md5(concat(concat_ws('|', {seed}, {names}, ''), '{stream}'))"
+
+    @staticmethod
+    def _cut(h: str) -> tuple[str, str]:
+        """SQL of the two uniforms of an md5, cut as bytes, which needs no walk over the characters."""
+        part = "(cast(conv(cast(substring(cast({h} as binary), {at}, 13) as string), 16, 10) as bigint) / 4503599627370496.0D)"
+        return part.format(h=h, at=1), part.format(h=h, at=14)
+
+    def hashed(self, keys: Sequence[str], stream: str) -> Column | None:
+        """The md5 that ``standard_normal`` is cut from, for ``normal_of``; None where a draw isn't cut from one hash.
+
+        In a branch of a condition Spark works out an expression as often as it is written, so a
+        draw there is dear unless its hash is a column.
+        """
+        return F.expr(self._hash(keys, stream)) if self.method == "md5" else None
+
+    def normal_of(self, name: str) -> Column:
+        """``standard_normal`` from its hash in column ``name``."""
+        return self._normal(*self._cut(f"`{name}`"))
+
+    @staticmethod
+    def _normal(u1: str, u2: str) -> Column:
+        return F.expr(f"sqrt(-2.0D * ln(1.0D - {u1})) * cos({2.0 * math.pi!r}D * {u2})")
+
     def _unit(self, keys: Sequence[str], stream: str) -> Column:
         return F.expr(self._units(keys, stream)[0])
 
@@ -57,8 +82,7 @@ class Draws:
 
     def standard_normal(self, keys: Sequence[str], stream: str) -> Column:
         """Normal draw of mean 0 and spread 1 by Box-Muller."""
-        u1, u2 = self._units(keys, stream)
-        return F.expr(f"sqrt(-2.0D * ln(1.0D - {u1})) * cos({2.0 * math.pi!r}D * {u2})")
+        return self._normal(*self._units(keys, stream))
 
     def normal(self, keys: Sequence[str], stream: str, mean=0.0, sd=1.0) -> Column:
         """Normal draw."""

@@ -74,8 +74,11 @@ def apply_mixes(
     stream: str = "event",
     ambient: float = PUMP_T_AMBIENT,
 ) -> DataFrame:
-    """Replace the signals of rows whose window meets one of the conditions."""
-    weights, used = {}, {}
+    """Replace the signals of rows whose window meets one of the conditions.
+
+    Noise is drawn only where its weight isn't zero.
+    """
+    weights, hashes, used = {}, {}, {}
     for group in groups:
         for part in (f.name for f in fields(Mix)):
             given = [(cond, getattr(m.get(group, UNCHANGED), part)) for cond, m in events]
@@ -109,13 +112,19 @@ def apply_mixes(
                     sd = sd_by_col.get(c, 0.0)
                     if sd == 0:
                         continue
-                    term = w * F.lit(sd) * event_noise(stream, c, draws)
+                    hashed = draws.hashed([KEY, ROW], f"{stream}_{c}")
+                    if hashed is None:
+                        drawn = event_noise(stream, c, draws)
+                    else:
+                        hashes[f"_h_{c}"] = F.when(weights[f"_noise_{group}"] != 0, hashed)
+                        drawn = draws.normal_of(f"_h_{c}")
+                    term = F.when(w != 0, w * F.lit(sd) * drawn).otherwise(F.lit(0.0))
                 else:
                     term = w * terms[part]
                 total = term if total is None else total + term
             first = F.col(f"_{parts[0]}_{group}")
             values[c] = F.when(first.isNotNull(), total).otherwise(F.col(c))
-    return joined.withColumns(weights).withColumns(values).drop(*weights)
+    return joined.withColumns({**weights, **hashes}).withColumns(values).drop(*weights, *hashes)
 
 
 def _laid(
@@ -182,20 +191,26 @@ def scale_episode(episode: Column, base: Column, amplitude: Column) -> Column:
 
 
 def with_episode(
-    windows_or_rows: DataFrame, episodes: DataFrame, cols: Sequence[str], idx: Column, prefix: str
+    windows_or_rows: DataFrame,
+    episodes: DataFrame,
+    cols: Sequence[str],
+    idx: Column,
+    prefix: str,
+    kind: Column | None = None,
 ) -> DataFrame:
-    """Add episode values at ``idx`` for the ``kind`` column.
+    """Add episode values at ``idx`` for ``kind``, by default the column of that name.
 
-    An episode table has one row per (kind, idx): a few hundred rows per kind.
+    An episode table has one row per (kind, idx): a few hundred rows per kind. Its values are joined as
+    one struct, which is copied as a whole.
     """
+    kind = F.col("kind") if kind is None else kind
     e = episodes.select(
         F.col("kind").alias("_kind"),
         F.col("idx").alias("_idx"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in cols],
+        F.struct(*[F.col(c).alias(f"{prefix}{c}") for c in cols]).alias("_episode"),
     )
-    return windows_or_rows.join(
-        e, (F.col("kind") == F.col("_kind")) & (idx == F.col("_idx")), "left"
-    ).drop("_kind", "_idx")
+    joined = windows_or_rows.join(e, (kind == F.col("_kind")) & (idx == F.col("_idx")), "left")
+    return joined.select(*windows_or_rows.columns, *[F.col("_episode")[f"{prefix}{c}"].alias(f"{prefix}{c}") for c in cols])
 
 
 def fade_in(blend: int = BLEND_ROWS) -> Column:

@@ -10,7 +10,7 @@ row: hash draws can be repeated, and sums of them say what the walk is there.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,8 @@ from ..session import materialize
 KEY = "device_id"
 #: Days of a device that one task builds and writes together.
 BLOCK_DAYS = 14
+#: Struct of a device's settings on its opened rows.
+UNIT = "_unit"
 
 
 def block_bucket(freq_s: int) -> dict:
@@ -70,9 +72,19 @@ def place_days(
     return place(days.withColumn("block", F.expr(f"day div {BLOCK_DAYS}")), [KEY, "block"])
 
 
-def _sized(days: DataFrame) -> DataFrame:
-    """Days with their first row ``_first`` and number of rows ``_n``, which stay when they are cut."""
-    return days.withColumn("_first", F.col("_from")).withColumn("_n", F.expr("_to - _from + 1"))
+def _sized(days: DataFrame, cols: Sequence[str], unit: Iterable[str] | None) -> DataFrame:
+    """Days with their first row and number of rows, which stay when they are cut, and the walk's values in a struct ``_day``.
+
+    With ``unit`` those columns become the struct ``UNIT`` and no others stay: a row's plain
+    columns are copied one by one at every step, a struct as a whole.
+    """
+    walk = [f"_{p}_{c}" for p in "ct" for c in cols]
+    sized = days.withColumn(
+        "_day", F.struct(F.col("_from").alias("_first"), F.expr("_to - _from + 1").alias("_n"), *walk)
+    ).drop(*walk)
+    if unit is None:
+        return sized
+    return sized.select(KEY, "seed", "block", "day", "_from", "_to", "_day", F.struct(*unit).alias(UNIT))
 
 
 def _with_steps(
@@ -83,6 +95,12 @@ def _with_steps(
     return day_rows(sized, freq_s).withColumns(steps)
 
 
+def _timed(rows: DataFrame, freq_s: int) -> DataFrame:
+    """``time_s`` and ``time_h`` once more, so that they needn't be carried from where rows are opened."""
+    time_s = F.col("row_i") * F.lit(int(freq_s))
+    return rows.withColumns({"time_s": time_s, "time_h": time_s / F.lit(3600.0)})
+
+
 def _cut(days: DataFrame, freq_s: int, laid: dict[str, DataFrame]) -> tuple[DataFrame, list[str]]:
     """The days cut at the edges of all windows and placed again; names of sets whose windows overlap.
 
@@ -100,9 +118,15 @@ def _cut(days: DataFrame, freq_s: int, laid: dict[str, DataFrame]) -> tuple[Data
 
 def unpacked(rows: DataFrame, name: str) -> DataFrame:
     """Rows with the columns of their window ``name``; a column that the rows have keeps their value."""
-    kept = [c for c in rows.columns if c != name]
-    fields = [f for f in rows.schema[name].dataType.names if f not in kept]
-    return rows.select(*kept, *[F.col(name)[f].alias(f) for f in fields])
+    return beside(rows, name).drop(name)
+
+
+def beside(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with the fields of their struct ``name``, if they have it, as columns too; a column that the rows have keeps its value."""
+    if name not in rows.columns:
+        return rows
+    fields = [f for f in rows.schema[name].dataType.names if f not in rows.columns]
+    return rows.select("*", *[F.col(name)[f].alias(f) for f in fields])
 
 
 def open_days(
@@ -112,31 +136,36 @@ def open_days(
     sd: float,
     draws: Draws,
     laid: dict[str, DataFrame] | None = None,
+    unit: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Rows of the placed days with the walk so far as ``_w_*``.
+    """Rows of the placed days with the walk so far as ``_w_*``, and the columns ``unit`` of the days as a struct ``UNIT``.
 
     ``laid`` names sets of windows; each row gets its window of a set as a struct of that name (see
     ``unpacked``), null where there is none. The days are cut at the windows' edges while
     they are few, so no row is compared with a window; a row in several windows of one set comes once
     for each.
     """
-    days, crowded = _cut(_sized(days), freq_s, laid) if laid else (_sized(days), [])
-    day = Window.partitionBy(KEY, "block", "day")
-    so_far = day.orderBy("row_i").rowsBetween(Window.unboundedPreceding, 0)
-    share = (F.col("row_i") - F.col("_first") + 1) / F.col("_n")
+    sized = _sized(days, cols, unit)
+    days, crowded = _cut(sized, freq_s, laid) if laid else (sized, [])
+    # one order for both sums, so that rows are gone through once
+    day = Window.partitionBy(KEY, "block", "day").orderBy("row_i")
+    so_far = day.rowsBetween(Window.unboundedPreceding, 0)
+    all_day = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_day = F.col("_day")
+    share = (F.col("row_i") - of_day["_first"] + 1) / of_day["_n"]
     rows = _with_steps(days, freq_s, cols, sd, draws)
     sums = {f"_s_{c}": F.sum(f"_z_{c}").over(so_far) for c in cols}
-    whole = {f"_d_{c}": F.sum(f"_z_{c}").over(day) for c in cols}
+    whole = {f"_d_{c}": F.sum(f"_z_{c}").over(all_day) for c in cols}
     walk = {
-        f"_w_{c}": F.col(f"_c_{c}")
+        f"_w_{c}": of_day[f"_c_{c}"]
         + F.col(f"_s_{c}")
-        - share * (F.col(f"_d_{c}") - F.col(f"_t_{c}"))
+        - share * (F.col(f"_d_{c}") - of_day[f"_t_{c}"])
         for c in cols
     }
     walked = (
-        rows.withColumns({**sums, **whole})
+        _timed(rows.drop("time_s", "time_h").withColumns({**sums, **whole}), freq_s)
         .withColumns(walk)
-        .drop("_first", "_n", *[f"_{p}_{c}" for p in "zcstd" for c in cols])
+        .drop("_day", *[f"_{p}_{c}" for p in "zsd" for c in cols])
     )
     for name in crowded:
         walked = walked.withColumn(name, F.explode_outer(name))
@@ -144,7 +173,7 @@ def open_days(
 
 
 def open_for_sums(
-    days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws
+    days: DataFrame, freq_s: int, cols: Sequence[str], sd: float, draws: Draws, unit: Iterable[str] | None = None
 ) -> DataFrame:
     """Rows of the days whose ``_w_*`` add up to those of ``open_days`` over each day.
 
@@ -153,16 +182,17 @@ def open_for_sums(
     times the gap. Each row's share of that needs no order, so sums and means of a
     build need neither a sort nor a window.
     """
-    after = F.col("_n") - (F.col("row_i") - F.col("_first"))
-    middle = (F.col("_n") + 1) / F.lit(2.0)
+    of_day = F.col("_day")
+    after = of_day["_n"] - (F.col("row_i") - of_day["_first"])
+    middle = (of_day["_n"] + 1) / F.lit(2.0)
     walk = {
-        f"_w_{c}": F.col(f"_c_{c}")
+        f"_w_{c}": of_day[f"_c_{c}"]
         + F.col(f"_z_{c}") * (after - middle)
-        + F.col(f"_t_{c}") * middle / F.col("_n")
+        + of_day[f"_t_{c}"] * middle / of_day["_n"]
         for c in cols
     }
-    rows = _with_steps(_sized(days), freq_s, cols, sd, draws).withColumns(walk)
-    return rows.drop("_first", "_n", *[f"_{p}_{c}" for p in "zct" for c in cols])
+    rows = _with_steps(_sized(days, cols, unit), freq_s, cols, sd, draws).withColumns(walk)
+    return rows.drop("_day", *[f"_z_{c}" for c in cols])
 
 
 def at_rows(

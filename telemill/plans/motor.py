@@ -80,12 +80,14 @@ def build_motor(
         for column, nominal, _ in K.MOTOR_WEAR.values():
             values[column] = F.lit(nominal)
         values["resistance_ohm"] = values["resistance_ohm"] + F.col("_r")
-        return rows.withColumn("_r", r).withColumns(values).drop("_r")
+        df = Y.beside(rows, Y.UNIT).withColumn("_r", r).withColumns(values)
+        return df.select(*[c for c in rows.columns if not c.startswith("_w_")], *SIGNALS)
 
     walk = (RESPONSES, K.MOTOR_DRIFT_SD_LONG, draws)
     # The duty factor works around the mean of the whole series, which is summed up without the walk's order.
+    settings = ["ambient_var_K", "noise_scale", *[f"level_{c}" for c in RESPONSES], f"shift_{SPEED}", f"shift_{CURRENT}"]
     means = (
-        undutied(Y.open_for_sums(Y.place_days(devices, freq_s, *walk), freq_s, *walk))
+        undutied(Y.open_for_sums(Y.place_days(devices, freq_s, *walk), freq_s, *walk, settings))
         .groupBy(KEY)
         .agg(*[F.avg(c).alias(f"mean_{c}") for c in RESPONSES])
     )
@@ -94,10 +96,11 @@ def build_motor(
 
     def base(rows: DataFrame) -> DataFrame:
         duty = duty_factor(F.col("time_h"), F.col("duty_cycle_var"), 0.4, smooth=False)
-        df = undutied(rows).withColumn("_duty", duty)
-        return df.withColumns(
+        df = undutied(rows)
+        names = df.columns
+        return Y.beside(df, Y.UNIT).withColumn("_duty", duty).withColumns(
             {c: around(F.col(c), F.col(f"mean_{c}"), F.col("_duty")) for c in RESPONSES}
-        ).drop("_duty")
+        ).select(*names)
 
     events = _events(
         devices, lut, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
@@ -143,7 +146,8 @@ def build_motor(
         lambda rows: with_events(base(rows)),
     )
     laid = {"_event": placed, "_phase": _phases(failures, fixed, freq_s)}
-    rows = with_events(base(Y.open_days(days, freq_s, *walk, laid)))
+    unit = dict.fromkeys([*settings, "duty_cycle_var", *[f"mean_{c}" for c in RESPONSES], *keep])
+    rows = with_events(base(Y.open_days(days, freq_s, *walk, laid, unit)))
     return _with_failures(rows, freq_s, draws, keep)
 
 
@@ -295,6 +299,6 @@ def _with_failures(rows, freq_s, draws, keep) -> DataFrame:
         .otherwise(F.col(c))
         for c in PARAMS
     }
-    return mixed.withColumns(params).select(
+    return Y.beside(mixed.withColumns(params), Y.UNIT).select(
         *Y.final_columns(SIGNALS, keep, freq_s, inclusive_extra=1)
     )

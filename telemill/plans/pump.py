@@ -64,7 +64,7 @@ def build_pump(
 
     def base(rows: DataFrame) -> DataFrame:
         """Tiled profile, noise, drift, ambient, duty, device offsets."""
-        df = tile_profile(rows, tiles, startup, cycle)
+        df = Y.beside(tile_profile(rows, tiles, startup, cycle), Y.UNIT)
         warm = ambient_temperature(F.col("time_h"), F.col("ambient_var_K"))
         duty = duty_factor(F.col("time_h"), F.col("duty_cycle_var"), 0.6, smooth=True)
         df = df.withColumns({"_warm": warm, "_duty": duty})
@@ -84,7 +84,7 @@ def build_pump(
             K.PUMP_FLOWS,
             F.col("v_offset"),
             F.col("p_offset"),
-        )
+        ).select(*[c for c in rows.columns if not c.startswith("_w_")], *SIGNALS)
 
     lengths = materialize(
         episodes.groupBy("kind").agg((F.max("idx") + 1).alias("_len")), "episode-lengths"
@@ -99,10 +99,11 @@ def build_pump(
     def with_events(rows: DataFrame) -> DataFrame:
         """Maintenance and decoys over the base series, laid over the rows unless they came with them."""
         if "_event" in rows.columns:
-            joined = Y.unpacked(rows, "_event")
+            joined = O.with_episode(rows, episodes, SIGNALS, O.since("_event.start_row"), "ep_", F.col("_event.kind"))
+            joined = Y.unpacked(joined, "_event")
         else:
             joined = lay_over(rows, placed, **Y.block_bucket(freq_s))
-        joined = O.with_episode(joined, episodes, SIGNALS, O.since(), "ep_")
+            joined = O.with_episode(joined, episodes, SIGNALS, O.since(), "ep_")
         kind = F.col("kind")
         mixed = O.apply_mixes(
             joined,
@@ -127,7 +128,10 @@ def build_pump(
     )
     phases = _phases(failures, fixed, episodes, freq_s)
 
-    rows = with_events(base(Y.open_days(days, freq_s, *walk, {"_event": placed, "_phase": phases})))
+    settings = ["ambient_var_K", "duty_cycle_var", "noise_scale", "v_offset", "p_offset", *[f"mean_{c}" for c in STOPPED]]
+    unit = dict.fromkeys([*settings, *keep])
+    laid = {"_event": placed, "_phase": phases}
+    rows = with_events(base(Y.open_days(days, freq_s, *walk, laid, unit)))
     return _with_failures(rows, episodes, freq_s, draws, keep)
 
 
@@ -248,13 +252,11 @@ def _phases(failures, fixed, episodes, freq_s) -> DataFrame:
 def _with_failures(rows, episodes, freq_s, draws, keep) -> DataFrame:
     """Failure, downtime and restart over the series; labels and the final columns."""
     phase = F.col("phase")
-    joined = Y.unpacked(rows, "_phase").withColumn(
-        "kind", F.when(phase == "failure", F.col("failure_kind"))
-    )
-    idx = F.floor(O.since() * F.col("severity")).cast("bigint")
-    joined = O.with_episode(joined, episodes, SIGNALS, idx, "ep_")
+    kind = F.when(F.col("_phase.phase") == "failure", F.col("_phase.failure_kind"))
+    idx = F.floor(O.since("_phase.start_row") * F.col("_phase.severity")).cast("bigint")
+    joined = O.with_episode(rows, episodes, SIGNALS, idx, "ep_", kind)
     mixed = O.apply_mixes(
-        joined,
+        Y.unpacked(joined, "_phase"),
         [
             (phase == "failure", O.splice_mixes(list(GROUPS), None)),
             (phase == "post_failure", O.downtime_mixes(freq_s)),
@@ -267,4 +269,4 @@ def _with_failures(rows, episodes, freq_s, draws, keep) -> DataFrame:
         "failure",
     )
     gap = flow_gap(F.col("flow_in_m3s"), F.col("flow_out_m3s"))
-    return mixed.select(*Y.final_columns(SIGNALS, keep, freq_s), gap.alias("flow_gap_m3s"))
+    return Y.beside(mixed, Y.UNIT).select(*Y.final_columns(SIGNALS, keep, freq_s), gap.alias("flow_gap_m3s"))

@@ -114,3 +114,41 @@ def test_built_rows_are_not_joined_with_windows(spark, machine):
     plan = build(manifest, inputs, 300)._jdf.queryExecution().executedPlan().toString().splitlines()
     opened = next(i for i, x in enumerate(plan) if "explode(sequence(_from" in x)
     assert not any("Join [device_id" in x for x in plan[:opened])
+
+
+@pytest.mark.parametrize("machine", ("pump", "motor"))
+def test_opened_rows_carry_structs_and_are_ordered_once(spark, machine):
+    """A device's settings, a day's walk and the windows go along as a struct each; one window sums the steps."""
+    from telemill.operators.manifest import sample_manifest
+    from telemill.plans.motor import build_motor
+    from telemill.plans.pump import build_pump
+
+    manifest = sample_manifest(P.suppliers(spark, SF), "s_suppkey", machine, 2.0)
+    inputs = P.pump_inputs(spark, SF, 300) if machine == "pump" else P.motor_inputs(spark, SF)
+    build = build_pump if machine == "pump" else build_motor
+    rows = build(manifest, inputs, 300, maintenance_per_month=15.0, keep=("noise_scale", "s_suppkey"))
+    assert rows.where("noise_scale is null or s_suppkey is null").isEmpty()
+    plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    opened = next(i for i, x in enumerate(plan) if "explode(sequence(_from" in x)
+    carried = plan[opened].split(", [", 1)[1].split("]")[0].split(", ")
+    assert len(carried) <= 8
+    assert sum("- Window [" in x for x in plan[:opened]) == 1
+    assert sum("- Sort [" in x for x in plan[:opened]) == 1
+
+
+def test_event_noise_is_hashed_once_where_it_weighs(spark):
+    """A row of a window without noise draws none; the others hash once for both uniforms."""
+    from telemill.operators import overlay as O
+
+    df = spark.range(6).selectExpr(
+        "concat('d', id) device_id", "id row_i", "1.0D x", "5.0D start_x", "case id % 3 when 0 then 'a' when 1 then 'b' end kind"
+    )
+    quiet, loud = {"g": O.Mix(own=2.0)}, {"g": O.Mix(start=1.0, noise=0.5)}
+    out = O.apply_mixes(df, [(F.col("kind") == "a", quiet), (F.col("kind") == "b", loud)], {"g": ["x"]}, {"x": 3.0}, P.Draws(7))
+    got = {r.row_i: r.x for r in out.collect()}
+    z = {r.row_i: r.z for r in df.select("row_i", O.event_noise("event", "x", P.Draws(7)).alias("z")).collect()}
+    for i in range(6):
+        want = {0: 2.0, 1: 5.0 + 1.5 * z[i], 2: 1.0}[i % 3]
+        assert abs(got[i] - want) < 1e-12
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and "CASE WHEN NOT" in plan
