@@ -93,7 +93,10 @@ def build_pump(
         devices, lengths, draws, freq_s, maintenance_per_month, maintenance_h, decoy_h
     )
     points = Y.points_of(events, "start_row", "post_row")
-    anchors = Y.at_rows(days, points, freq_s, *walk, base)
+    failures = _failures(devices, lengths, freq_s)
+    ends = Y.points_of(failures, "fail_start", "fail_row")
+    walked = Y.walked_at(days, points.unionByName(ends), freq_s, *walk)
+    anchors = materialize(base(walked), "anchors")
     placed = _placed(events, anchors, episodes, draws)
 
     def with_events(rows: DataFrame) -> DataFrame:
@@ -118,14 +121,7 @@ def build_pump(
         event = F.coalesce(kind, F.lit("normal")).alias("event_type")
         return mixed.select(*[c for c in rows.columns if c != "_event"], event)
 
-    failures = _failures(devices, lengths, freq_s)
-    fixed = Y.at_rows(
-        days,
-        Y.points_of(failures, "fail_start", "fail_row"),
-        freq_s,
-        *walk,
-        lambda rows: with_events(base(rows)),
-    )
+    fixed = materialize(with_events(Y.only_at(anchors, ends)), "anchors")
     phases = _phases(failures, fixed, episodes, freq_s)
 
     settings = ["ambient_var_K", "duty_cycle_var", "noise_scale", "v_offset", "p_offset", *[f"mean_{c}" for c in STOPPED]]

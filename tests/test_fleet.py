@@ -144,6 +144,21 @@ def test_sums_without_order(walked):
     assert all(abs(a[k][c] - b[k][c]) < 1e-8 for k in a for c in walk[0])
 
 
+def test_rows_for_sums_carry_structs(walked):
+    """The pass for the means takes a device's settings along as one struct, and its sums are the same."""
+    walk, days, _ = walked
+    plain = Y.open_for_sums(days, 1800, *walk)
+    days = days.withColumn("mean_level", F.lit(1.0))
+    packed = Y.open_for_sums(days, 1800, *walk, ["noise_scale", "mean_level"])
+    plan = packed._jdf.queryExecution().executedPlan().toString().splitlines()
+    opened = next(x for x in plan if "explode(sequence(_from" in x)
+    assert len(opened.split(", [", 1)[1].split("]")[0].split(", ")) <= 6
+    assert Y.beside(packed, Y.UNIT).where("noise_scale is null or mean_level <> 1").isEmpty()
+    sums = [F.sum(f"_w_{c}").alias(c) for c in walk[0]]
+    a, b = (x.groupBy("device_id").agg(*sums).orderBy("device_id").collect() for x in (plain, packed))
+    assert len(a) == 4 and all(abs(x[c] - y[c]) < 1e-8 for x, y in zip(a, b, strict=True) for c in walk[0])
+
+
 def test_walk_at_points(spark, walked):
     """First and last rows of days, several points of one day, and a repeated point."""
     walk, days, rows = walked
