@@ -152,3 +152,20 @@ def test_event_noise_is_hashed_once_where_it_weighs(spark):
         assert abs(got[i] - want) < 1e-12
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1 and "CASE WHEN NOT" in plan
+
+
+@pytest.mark.parametrize("machine", ("pump", "motor"))
+def test_steps_at_points_are_drawn_once(spark, machine, monkeypatch):
+    """Events and failures of a sample set share one table of walked points, and keep their values."""
+    from telemill.plans import fleet as FL
+    from telemill.plans import layers as Y
+
+    calls, walked_at = [], Y.walked_at
+    monkeypatch.setattr(Y, "walked_at", lambda *a: calls.append(1) or walked_at(*a))
+    units = P.suppliers(spark, SF).limit(2)
+    inputs = P.pump_inputs(spark, SF, 300) if machine == "pump" else P.motor_inputs(spark, SF)
+    series, _ = FL.sample_dataset(units, "s_suppkey", machine, inputs, 300, duration_days=1.0)
+    assert len(calls) == 1
+    failing = series.where("startswith(event_type, 'failure_')")
+    assert failing.select("device_id").distinct().count() == 6
+    assert series.where("r_radial is null" if machine == "pump" else "current_rms_A is null").isEmpty()
